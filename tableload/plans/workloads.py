@@ -92,3 +92,222 @@ def upsert_cursor_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = M.dedup_latest(orders_partial_staged(orders), "o_orderkey", "o_orderdate")
     live = M.drop_stale(staged, orders, "o_orderkey", "o_orderdate")
     return M.upsert(orders, live, "o_orderkey", partial=True)
+
+
+@workload("upsert_full_record", """
+WITH s AS (
+  SELECT c_custkey, upper(c_name) AS c_name, c_nationkey, c_acctbal + 1000 AS c_acctbal, c_mktsegment
+    FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')
+  UNION ALL SELECT -c_custkey, c_name, c_nationkey, c_acctbal, 'NEW'
+    FROM customer WHERE c_mktsegment = 'HOUSEHOLD')
+SELECT t.* FROM customer t ANTI JOIN s ON s.c_custkey = t.c_custkey
+UNION ALL SELECT * FROM s
+""")
+def upsert_full_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full-record upsert (U5): matched customers replaced, new keys inserted."""
+    c = read(spark, sf_dir, "customer")
+    seg = F.col("c_mktsegment")
+    staged = c.filter(seg.isin("BUILDING", "MACHINERY")).select(
+        "c_custkey", F.upper("c_name").alias("c_name"), "c_nationkey",
+        (F.col("c_acctbal") + 1000).alias("c_acctbal"), "c_mktsegment",
+    ).unionByName(c.filter(seg == "HOUSEHOLD").select(
+        (-F.col("c_custkey")).alias("c_custkey"), "c_name", "c_nationkey", "c_acctbal",
+        F.lit("NEW").alias("c_mktsegment")))
+    return M.upsert(c, staged, "c_custkey")
+
+
+@workload("dedup_latest", """
+SELECT * FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC) = 1
+""")
+def dedup_latest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest event per user (U2) with an explicit tie-break."""
+    return M.dedup_latest(read(spark, sf_dir, "events"), "user_id", "ts", ["event_id"])
+
+
+LINEITEM_VALUE_ORDER = ", ".join(
+    f"{c} DESC NULLS LAST" for c in
+    "l_partkey l_suppkey l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate".split()
+)
+
+
+@workload("dedup_composite_key", f"""
+SELECT * FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                           ORDER BY l_shipdate DESC NULLS LAST, {LINEITEM_VALUE_ORDER}) = 1
+""")
+def dedup_composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per composite key (U2 U11); exact cursor ties resolved by the row values."""
+    return M.dedup_latest(read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], "l_shipdate")
+
+
+@workload("upsert_composite_key", f"""
+WITH t AS (SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+             ORDER BY l_shipdate DESC NULLS LAST, {LINEITEM_VALUE_ORDER}) = 1),
+s0 AS (
+  SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity + 1 AS l_quantity, l_extendedprice,
+         l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate + INTERVAL 1 DAY AS l_shipdate
+    FROM lineitem WHERE l_returnflag = 'R'
+  UNION ALL
+  SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber + 100, l_quantity, l_extendedprice,
+         l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate
+    FROM lineitem WHERE l_returnflag = 'A' AND l_linestatus = 'F'),
+s AS (SELECT * FROM s0 QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+             ORDER BY l_shipdate DESC NULLS LAST, {LINEITEM_VALUE_ORDER}) = 1),
+live AS (SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.l_orderkey = s.l_orderkey
+         AND t.l_linenumber = s.l_linenumber
+         AND NOT coalesce(s.l_shipdate > t.l_shipdate OR (t.l_shipdate IS NULL AND s.l_shipdate IS NOT NULL), false)))
+SELECT t.* FROM t ANTI JOIN live l ON t.l_orderkey = l.l_orderkey AND t.l_linenumber = l.l_linenumber
+UNION ALL SELECT * FROM live
+""")
+def upsert_composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cursor upsert on a two-column key (U11): newer returns replace, new line numbers insert."""
+    li = read(spark, sf_dir, "lineitem")
+    pk = ["l_orderkey", "l_linenumber"]
+    target = M.dedup_latest(li, pk, "l_shipdate")
+    bumped = li.filter(F.col("l_returnflag") == "R").withColumn(
+        "l_quantity", F.col("l_quantity") + 1).withColumn("l_shipdate", _days("l_shipdate", 1))
+    added = li.filter((F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "F")).withColumn(
+        "l_linenumber", F.col("l_linenumber") + 100)
+    staged = M.dedup_latest(bumped.unionByName(added), pk, "l_shipdate")
+    live = M.drop_stale(staged, target, pk, "l_shipdate")
+    return M.upsert(target, live, pk, partial=True)
+
+
+STALE_T = """SELECT o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderdate END AS o_orderdate
+             FROM orders"""
+STALE_S = """SELECT o_orderkey,
+       CASE WHEN o_orderpriority = '2-HIGH' THEN NULL
+            WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 1 DAY
+            WHEN o_orderstatus = 'O' THEN o_orderdate
+            ELSE o_orderdate - INTERVAL 1 DAY END AS o_orderdate, o_totalprice FROM orders
+  UNION ALL SELECT -o_orderkey, NULL, o_totalprice FROM orders WHERE o_orderpriority = '1-URGENT'"""
+
+
+@workload("drop_stale_truth_table", f"""
+WITH t AS ({STALE_T}), s AS ({STALE_S})
+SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.o_orderkey = s.o_orderkey
+  AND NOT coalesce(s.o_orderdate > t.o_orderdate OR (t.o_orderdate IS NULL AND s.o_orderdate IS NOT NULL), false))
+""")
+def drop_stale_truth_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every cell of the stale test (U4): newer, tie, older, NULL on either side, unknown key."""
+    o = read(spark, sf_dir, "orders")
+    prio, status = F.col("o_orderpriority"), F.col("o_orderstatus")
+    target = o.select("o_orderkey", F.when(prio == "5-LOW", None).otherwise(F.col("o_orderdate")).alias("o_orderdate"))
+    cur = (F.when(prio == "2-HIGH", None)
+           .when(status == "F", _days("o_orderdate", 1))
+           .when(status == "O", F.col("o_orderdate"))
+           .otherwise(_days("o_orderdate", -1)))
+    staged = o.select("o_orderkey", cur.alias("o_orderdate"), "o_totalprice").unionByName(
+        o.filter(prio == "1-URGENT").select((-F.col("o_orderkey")).alias("o_orderkey"),
+                                            F.lit(None).cast("timestamp_ntz").alias("o_orderdate"), "o_totalprice"))
+    return M.drop_stale(staged, target, "o_orderkey", "o_orderdate")
+
+
+@workload("hard_delete_bool", """
+WITH t AS (SELECT *, false AS deleted FROM orders),
+s AS (SELECT *, o_orderpriority IN ('1-URGENT', '2-HIGH') AS deleted FROM orders WHERE o_orderstatus = 'F'
+      UNION ALL
+      SELECT -o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+             o_orderpriority = '5-LOW' FROM orders WHERE o_orderstatus = 'O')
+SELECT t.* FROM t ANTI JOIN s ON s.o_orderkey = t.o_orderkey
+UNION ALL SELECT * FROM s WHERE NOT coalesce(deleted, false)
+""")
+def hard_delete_bool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boolean tombstones (U6): TRUE deletes, tombstones for unknown keys leave nothing."""
+    o = read(spark, sf_dir, "orders")
+    target = o.withColumn("deleted", F.lit(False))
+    prio = F.col("o_orderpriority")
+    staged = o.filter(F.col("o_orderstatus") == "F").withColumn(
+        "deleted", prio.isin("1-URGENT", "2-HIGH")).unionByName(
+        o.filter(F.col("o_orderstatus") == "O").withColumn("o_orderkey", -F.col("o_orderkey"))
+        .withColumn("deleted", prio == "5-LOW"))
+    return M.upsert(target, staged, "o_orderkey", deleted="deleted")
+
+
+@workload("hard_delete_timestamp", """
+WITH t AS (SELECT *, CAST(NULL AS TIMESTAMP) AS deleted_at FROM orders),
+s AS (SELECT *, CASE WHEN o_orderpriority = '3-MEDIUM' THEN o_orderdate END AS deleted_at
+        FROM orders WHERE o_orderstatus = 'P'
+      UNION ALL
+      SELECT -o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+             CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN o_orderdate END
+        FROM orders WHERE o_orderstatus = 'O')
+SELECT t.* FROM t ANTI JOIN s ON s.o_orderkey = t.o_orderkey
+UNION ALL SELECT * FROM s WHERE deleted_at IS NULL
+""")
+def hard_delete_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Non-boolean tombstone (U6): NOT NULL deletes; staged single-table route."""
+    from tableload.contract import TableContract
+    o = read(spark, sf_dir, "orders")
+    target = o.withColumn("deleted_at", F.lit(None).cast("timestamp_ntz"))
+    prio = F.col("o_orderpriority")
+    staged = o.filter(F.col("o_orderstatus") == "P").withColumn(
+        "deleted_at", F.when(prio == "3-MEDIUM", F.col("o_orderdate"))).unionByName(
+        o.filter(F.col("o_orderstatus") == "O").withColumn("o_orderkey", -F.col("o_orderkey"))
+        .withColumn("deleted_at", F.when(prio == "4-NOT SPECIFIED", F.col("o_orderdate"))))
+    contract = TableContract("orders", "merge", ("o_orderkey",), hard_delete="deleted_at")
+    return M.merge_chain({"orders": target}, {"orders": staged}, [contract])["orders"]
+
+
+@workload("source_filter_merge", """
+WITH t AS (SELECT *, false AS deleted FROM customer),
+s AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal + 10 AS c_acctbal, c_mktsegment, c_acctbal < 0 AS deleted
+        FROM customer
+      UNION ALL SELECT -c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, false
+        FROM customer WHERE c_mktsegment = 'FURNITURE'),
+p AS (SELECT * FROM s WHERE c_mktsegment IN ('BUILDING', 'FURNITURE'))
+SELECT t.* FROM t ANTI JOIN p ON t.c_custkey = p.c_custkey
+UNION ALL SELECT * FROM p WHERE NOT coalesce(deleted, false)
+""")
+def source_filter_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filtered merge (P13): rows failing the filter neither insert, update nor delete."""
+    from tableload.contract import TableContract
+    c = read(spark, sf_dir, "customer")
+    target = c.withColumn("deleted", F.lit(False))
+    staged = c.select("c_custkey", "c_name", "c_nationkey", (F.col("c_acctbal") + 10).alias("c_acctbal"),
+                      "c_mktsegment", (F.col("c_acctbal") < 0).alias("deleted")).unionByName(
+        c.filter(F.col("c_mktsegment") == "FURNITURE").select(
+            (-F.col("c_custkey")).alias("c_custkey"), "c_name", "c_nationkey", "c_acctbal",
+            "c_mktsegment", F.lit(False).alias("deleted")))
+    contract = TableContract("customer", "merge", ("c_custkey",), hard_delete="deleted",
+                             source_filter="c_mktsegment IN ('BUILDING', 'FURNITURE')")
+    return M.merge_chain({"customer": target}, {"customer": staged}, [contract])["customer"]
+
+
+@workload("skip_unchanged", """
+WITH t AS (SELECT *, false AS deleted, 'load-1' AS _load_id FROM supplier),
+s AS (SELECT s_suppkey, s_name, s_nationkey,
+             CASE WHEN s_acctbal > 5000 THEN s_acctbal + 1 ELSE s_acctbal END AS s_acctbal,
+             false AS deleted, 'load-2' AS _load_id FROM supplier)
+SELECT s.s_suppkey, s.s_name, s.s_nationkey, s.s_acctbal, s.deleted,
+       CASE WHEN s.s_name IS NOT DISTINCT FROM t.s_name AND s.s_nationkey IS NOT DISTINCT FROM t.s_nationkey
+             AND s.s_acctbal IS NOT DISTINCT FROM t.s_acctbal THEN t._load_id ELSE s._load_id END AS _load_id
+FROM s JOIN t ON s.s_suppkey = t.s_suppkey
+""")
+def skip_unchanged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unchanged rows keep their stored load id."""
+    from tableload.contract import TableContract
+    s0 = read(spark, sf_dir, "supplier")
+    target = s0.withColumn("deleted", F.lit(False)).withColumn("_load_id", F.lit("load-1"))
+    staged = s0.withColumn("s_acctbal", F.when(F.col("s_acctbal") > 5000, F.col("s_acctbal") + 1)
+                           .otherwise(F.col("s_acctbal"))).withColumn(
+        "deleted", F.lit(False)).withColumn("_load_id", F.lit("load-2"))
+    contract = TableContract("supplier", "merge", ("s_suppkey",), hard_delete="deleted", skip_unchanged=True)
+    return M.merge_chain({"supplier": target}, {"supplier": staged}, [contract])["supplier"]
+
+
+@workload("unique_root_guard", """
+SELECT count(*) AS n_rows, count(DISTINCT {'k1': l_orderkey, 'k2': l_linenumber}) AS n_keys FROM lineitem
+""")
+def unique_root_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uniqueness guard of nested upserts (U3) on a key the data does not keep unique."""
+    return M.key_guard(read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@workload("duplicate_keys", """
+SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+""")
+def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The offending keys behind a failed guard."""
+    return M.duplicate_keys(read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
