@@ -311,3 +311,175 @@ SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY l_orderkey
 def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The offending keys behind a failed guard."""
     return M.duplicate_keys(read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+# ------------------------------------------------------------- normalization
+def _rid(expr: str) -> str:
+    return f"substr(sha256({expr}), 1, 32)"
+
+
+def _docs_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = read(spark, sf_dir, "documents")
+    return d.select("doc_id", F.struct("lang", "source").alias("meta"), F.split("text", "\n", -1).alias("lines"))
+
+
+@workload("nested_json_default", f"""
+SELECT doc_id, to_json({{'lang': lang, 'source': source}}) AS meta,
+       to_json(string_split(text, chr(10))) AS lines, {_rid("CAST(doc_id AS VARCHAR)")} AS _row_id
+FROM documents
+""")
+def nested_json_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nesting off (P2): struct and list columns stored as JSON text in the parent."""
+    from tableload.operators.normalize import normalize
+    return normalize(_docs_nested(spark, sf_dir), "documents", primary_key=["doc_id"], max_nesting=0)[0].frame
+
+
+@workload("nested_children", f"""
+WITH r AS (SELECT {_rid("concat_ws('|', CAST(conv_id AS VARCHAR), CAST(turn AS VARCHAR))")} AS rid,
+                  string_split(text, chr(10)) AS arr FROM conversations),
+e AS (SELECT rid, unnest(arr) AS value, unnest(range(len(arr))) AS i FROM r)
+SELECT value, {_rid("concat_ws('|', rid, 'conversations__lines', CAST(i AS VARCHAR))")} AS _row_id,
+       rid AS _parent_id, rid AS _root_id, i AS _list_idx FROM e
+""")
+def nested_children(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """List -> child table (P4 P6): one row per element, scalar in ``value``,
+    position in ``_list_idx``, deterministic ids linking back to the root."""
+    from tableload.operators.normalize import normalize
+    c = read(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", "role", F.split("text", "\n", -1).alias("lines"))
+    return normalize(c, "conversations", primary_key=["conv_id", "turn"], max_nesting=1)[1].frame
+
+
+@workload("nested_two_levels", f"""
+WITH d AS (SELECT {_rid("CAST(doc_id AS VARCHAR)")} AS rid, string_split(text, chr(10)) AS arr FROM documents),
+l AS (SELECT rid, unnest(arr) AS line, unnest(range(len(arr))) AS i FROM d),
+l2 AS (SELECT rid, {_rid("concat_ws('|', rid, 'documents__lines', CAST(i AS VARCHAR))")} AS lid,
+              string_split(line, ' ') AS words FROM l),
+w AS (SELECT rid, lid, unnest(words) AS value, unnest(range(len(words))) AS j FROM l2)
+SELECT value, {_rid("concat_ws('|', lid, 'documents__lines__words', CAST(j AS VARCHAR))")} AS _row_id,
+       lid AS _parent_id, rid AS _root_id, j AS _list_idx FROM w
+""")
+def nested_two_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two list levels (P3-P5): documents -> lines -> words; the grandchild table
+    links to its line (parent) and its document (root)."""
+    from tableload.operators.normalize import normalize
+    d = read(spark, sf_dir, "documents").select(
+        "doc_id", F.transform(F.split("text", "\n", -1),
+                              lambda l: F.struct(l.alias("text"), F.split(l, " ", -1).alias("words"))).alias("lines"))
+    return normalize(d, "documents", primary_key=["doc_id"], max_nesting=2)[2].frame
+
+
+@workload("nested_lines_table", f"""
+WITH d AS (SELECT {_rid("CAST(doc_id AS VARCHAR)")} AS rid, string_split(text, chr(10)) AS arr FROM documents),
+l AS (SELECT rid, unnest(arr) AS line, unnest(range(len(arr))) AS i FROM d)
+SELECT line AS text, to_json(string_split(line, ' ')) AS words,
+       {_rid("concat_ws('|', rid, 'documents__lines', CAST(i AS VARCHAR))")} AS _row_id,
+       rid AS _parent_id, rid AS _root_id, i AS _list_idx FROM l
+""")
+def nested_lines_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Depth bound (P5): with ``max_nesting=1`` the line table keeps its word list as JSON."""
+    from tableload.operators.normalize import normalize
+    d = read(spark, sf_dir, "documents").select(
+        "doc_id", F.transform(F.split("text", "\n", -1),
+                              lambda l: F.struct(l.alias("text"), F.split(l, " ", -1).alias("words"))).alias("lines"))
+    return normalize(d, "documents", primary_key=["doc_id"], max_nesting=1)[1].frame
+
+
+@workload("nested_embedding_children", f"""
+WITH r AS (SELECT {_rid("CAST(vec_id AS VARCHAR)")} AS rid, embedding FROM embeddings),
+e AS (SELECT rid, unnest(embedding) AS value, unnest(range(len(embedding))) AS i FROM r)
+SELECT value, {_rid("concat_ws('|', rid, 'embeddings__embedding', CAST(i AS VARCHAR))")} AS _row_id,
+       rid AS _parent_id, rid AS _root_id, i AS _list_idx FROM e
+""")
+def nested_embedding_children(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numeric list column -> child table of floats."""
+    from tableload.operators.normalize import normalize
+    return normalize(read(spark, sf_dir, "embeddings"), "embeddings", primary_key=["vec_id"],
+                     max_nesting=1)[1].frame
+
+
+@workload("flatten_struct_snake_case", f"""
+SELECT event_id, ts AS event_time, user_id, event_type, value,
+       CAST(json_extract(props, '$.k') AS BIGINT) AS props__k,
+       {_rid("CAST(event_id AS VARCHAR)")} AS _row_id
+FROM events
+""")
+def flatten_struct_snake_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Struct -> ``parent__child`` columns (P3) with ``snake_case`` naming."""
+    from tableload.operators.normalize import normalize
+    e = read(spark, sf_dir, "events").select(
+        F.col("event_id").alias("eventId"), F.col("ts").alias("eventTime"), F.col("user_id").alias("userId"),
+        F.col("event_type").alias("EventType"), "value", F.from_json("props", "k BIGINT").alias("Props"))
+    return normalize(e, "Events", primary_key=["event_id"], max_nesting=1, naming="snake_case")[0].frame
+
+
+@workload("union_by_name_pad", """
+SELECT p_partkey, p_name, p_brand, CAST(NULL AS VARCHAR) AS p_type, CAST(NULL AS INTEGER) AS p_size,
+       CAST(NULL AS DOUBLE) AS p_retailprice FROM part WHERE p_size <= 25
+UNION ALL
+SELECT p_partkey, p_name, NULL, p_type, p_size, p_retailprice FROM part WHERE p_size > 25
+""")
+def union_by_name_pad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged files of different widths (U1) unioned by name and aligned to the
+    contract's column order with typed NULLs (P1)."""
+    from tableload.operators.normalize import align_to_schema
+    p = read(spark, sf_dir, "part")
+    narrow = p.filter(F.col("p_size") <= 25).select("p_brand", "p_partkey", "p_name")
+    wide = p.filter(F.col("p_size") > 25).select("p_type", "p_size", "p_retailprice", "p_name", "p_partkey")
+    return align_to_schema(M.union_staged([narrow, wide]), p.schema)
+
+
+@workload("widen_uint64", """
+SELECT CAST(c_custkey AS DECIMAL(20,0)) AS c_custkey, c_name FROM customer
+UNION ALL
+SELECT CAST(c_custkey AS DECIMAL(20,0)) + CAST(18446744073709000000 AS DECIMAL(20,0)), c_name FROM customer
+""")
+def widen_uint64(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """BIGINT column widened to DECIMAL(20,0) once unsigned 64-bit values arrive (P10);
+    stored BIGINT rows are read with the widened type, exactly."""
+    from pyspark.sql import types as T
+
+    from tableload.functions.types import UINT64_DECIMAL, widen
+    from tableload.operators.normalize import align_to_schema
+    c = read(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    big = c.select((F.col("c_custkey").cast(UINT64_DECIMAL) + F.expr("CAST('18446744073709000000' AS DECIMAL(20,0))"))
+                   .cast(UINT64_DECIMAL).alias("c_custkey"), "c_name")
+    stored = T.StructType([T.StructField("c_custkey", widen(T.LongType(), big.schema["c_custkey"].dataType)),
+                           T.StructField("c_name", T.StringType())])
+    return align_to_schema(c, stored).unionByName(align_to_schema(big, stored))
+
+
+# -------------------------------------------------------------------- layout
+@workload("partition_year_month", """
+SELECT year(o_orderdate) AS _p_o_orderdate_year, month(o_orderdate) AS _p_o_orderdate_month, count(*) AS n,
+       round(sum(o_totalprice), 2) AS total
+FROM orders GROUP BY 1, 2
+""")
+def partition_year_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Year and month transforms (L2 L5): rows and value per derived partition."""
+    from tableload.functions.partition import month, year
+    from tableload.operators.layout import layout_columns
+    df, parts = layout_columns(read(spark, sf_dir, "orders"), [year("o_orderdate"), month("o_orderdate")])
+    return df.groupBy(*parts).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
+@workload("partition_day_hour", """
+SELECT day(ts) AS _p_ts_day, hour(ts) AS _p_ts_hour, event_type, count(*) AS n
+FROM events GROUP BY 1, 2, 3
+""")
+def partition_day_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day and hour transforms plus an identity key."""
+    from tableload.functions.partition import day, hour, identity
+    from tableload.operators.layout import layout_columns
+    df, parts = layout_columns(read(spark, sf_dir, "events"), [day("ts"), hour("ts"), identity("event_type")])
+    return df.groupBy(*parts).agg(F.count(F.lit(1)).alias("n"))
+
+
+@workload("partition_bucket", None)
+def partition_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bucket transform (L4): rows per ``bucket(16, o_custkey)``; the hash is ours,
+    so only row counts are checked."""
+    from tableload.functions.partition import bucket
+    from tableload.operators.layout import layout_columns
+    df, parts = layout_columns(read(spark, sf_dir, "orders"), [bucket(16, "o_custkey")])
+    return df.groupBy(*parts).agg(F.count(F.lit(1)).alias("n"))
