@@ -483,3 +483,85 @@ def partition_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tableload.operators.layout import layout_columns
     df, parts = layout_columns(read(spark, sf_dir, "orders"), [bucket(16, "o_custkey")])
     return df.groupBy(*parts).agg(F.count(F.lit(1)).alias("n"))
+
+
+# --------------------------------------------------------------- chain merge
+CHAIN_FILTER = "source <> 'src1'"
+
+
+def _docs_chain(spark: SparkSession, sf_dir: str):
+    """Stored and staged documents chains: stored = every document at version 1
+    with all its lines; staged = English documents re-sent at version 2 with fewer
+    lines, French ones at the same version (stale), German ones as tombstones."""
+    from tableload.contract import TableContract
+    from tableload.operators.normalize import normalize
+    d = read(spark, sf_dir, "documents")
+    lines = F.split("text", "\n", -1)
+    stored_rec = d.select("doc_id", "lang", "source", F.lit(1).cast("bigint").alias("version"),
+                          F.lit(False).alias("deleted"), lines.alias("lines"))
+    staged_rec = d.filter(F.col("lang").isin("en", "fr", "de")).select(
+        "doc_id", "lang", "source",
+        F.when(F.col("lang") == "fr", 1).otherwise(2).cast("bigint").alias("version"),
+        (F.col("lang") == "de").alias("deleted"),
+        F.filter(lines, lambda x: F.length(x) > 40).alias("lines"))
+    st = normalize(stored_rec, "documents", primary_key=["doc_id"], max_nesting=1, load_id="L1")
+    sg = normalize(staged_rec, "documents", primary_key=["doc_id"], max_nesting=1, load_id="L2")
+    chain = [TableContract("documents", "merge", ("doc_id",), cursor="version", hard_delete="deleted",
+                           source_filter=CHAIN_FILTER),
+             TableContract("documents__lines", "merge", parent="documents")]
+    return ({t.name: t.frame for t in st}, {t.name: t.frame for t in sg}, chain)
+
+
+CHAIN_SQL = f"""
+WITH t AS (SELECT doc_id, lang, source, CAST(1 AS BIGINT) AS version, false AS deleted, 'L1' AS _load_id,
+                  {_rid("CAST(doc_id AS VARCHAR)")} AS _row_id FROM documents),
+s AS (SELECT doc_id, lang, source, CAST(CASE WHEN lang = 'fr' THEN 1 ELSE 2 END AS BIGINT) AS version,
+             lang = 'de' AS deleted, 'L2' AS _load_id, {_rid("CAST(doc_id AS VARCHAR)")} AS _row_id
+      FROM documents WHERE lang IN ('en', 'fr', 'de')),
+live AS (SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.doc_id = s.doc_id
+         AND NOT coalesce(s.version > t.version OR (t.version IS NULL AND s.version IS NOT NULL), false))),
+p AS (SELECT * FROM live WHERE {CHAIN_FILTER}),
+tl AS (SELECT {_rid("CAST(doc_id AS VARCHAR)")} AS rid, string_split(text, chr(10)) AS arr FROM documents),
+tc0 AS (SELECT rid, unnest(arr) AS value, unnest(range(len(arr))) AS i FROM tl),
+tc AS (SELECT value, {_rid("concat_ws('|', rid, 'documents__lines', CAST(i AS VARCHAR))")} AS _row_id,
+              rid AS _parent_id, rid AS _root_id, i AS _list_idx FROM tc0),
+sl AS (SELECT {_rid("CAST(doc_id AS VARCHAR)")} AS rid,
+              list_filter(string_split(text, chr(10)), lambda x: length(x) > 40) AS arr
+       FROM documents WHERE lang IN ('en', 'fr', 'de')),
+sc0 AS (SELECT rid, unnest(arr) AS value, unnest(range(len(arr))) AS i FROM sl),
+sc AS (SELECT value, {_rid("concat_ws('|', rid, 'documents__lines', CAST(i AS VARCHAR))")} AS _row_id,
+              rid AS _parent_id, rid AS _root_id, i AS _list_idx FROM sc0)
+"""
+
+
+@workload("chain_merge_roots", CHAIN_SQL + """
+SELECT t.* FROM t ANTI JOIN p ON t.doc_id = p.doc_id
+UNION ALL SELECT * FROM p WHERE NOT deleted
+""")
+def chain_merge_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested upsert, root table (S7 U7): stale filter, source filter and tombstones
+    applied in order; roots failing the filter keep their stored version."""
+    stored, staged, chain = _docs_chain(spark, sf_dir)
+    return M.merge_chain(stored, staged, chain)["documents"]
+
+
+@workload("replace_children", CHAIN_SQL + """
+SELECT * FROM tc WHERE _root_id NOT IN (SELECT _row_id FROM p)
+UNION ALL SELECT * FROM sc WHERE _root_id IN (SELECT _row_id FROM p WHERE NOT deleted)
+""")
+def replace_children(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Child replacement (U9): children of passing roots are replaced by the staged
+    set, deleted roots lose theirs, everyone else's stay."""
+    stored, staged, chain = _docs_chain(spark, sf_dir)
+    return M.merge_chain(stored, staged, chain)["documents__lines"]
+
+
+@workload("orphan_children", CHAIN_SQL + """
+SELECT * FROM sc WHERE _root_id IN (SELECT _row_id FROM live)
+""")
+def orphan_children(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orphan filter (U8): staged children of stale roots are discarded."""
+    stored, staged, chain = _docs_chain(spark, sf_dir)
+    root = chain[0]
+    live = M.drop_stale(staged[root.name], stored[root.name], list(root.primary_key), root.cursor)
+    return M.drop_orphans(staged["documents__lines"], live)
