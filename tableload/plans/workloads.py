@@ -565,3 +565,226 @@ def orphan_children(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = chain[0]
     live = M.drop_stale(staged[root.name], stored[root.name], list(root.primary_key), root.cursor)
     return M.drop_orphans(staged["documents__lines"], live)
+
+
+# -------------------------------------------------------------- verification
+def _events_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events tagged with a synthetic load id per day of ``ts``."""
+    return read(spark, sf_dir, "events").withColumn(
+        "_load_id", F.concat(F.lit("load-"), F.date_format("ts", "yyyyMMdd")))
+
+
+@workload("verify_append", """
+SELECT 'load-' || strftime(ts, '%Y%m%d') AS _load_id, count(*) AS n_rows FROM events GROUP BY 1
+""")
+def verify_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append row counts (V3) of every load at once: rows landed per load id."""
+    return _events_loads(spark, sf_dir).groupBy("_load_id").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@workload("verify_replace_keys", """
+SELECT count(*) AS n_rows,
+       count(DISTINCT {'k': o_custkey}) FILTER (WHERE o_custkey IS NOT NULL) AS n_keys
+FROM orders
+""")
+def verify_replace_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key integrity of a replaced table (V4 V5) on a non-unique key."""
+    from tableload.operators.verify import key_counts
+    return key_counts(read(spark, sf_dir, "orders"), "replace", ["o_custkey"], None)
+
+
+@workload("verify_merge_keys", """
+SELECT count(*) AS n_rows,
+       count(DISTINCT {'a': loaded.l_orderkey, 'b': loaded.l_linenumber})
+         FILTER (WHERE loaded.l_orderkey IS NOT NULL AND loaded.l_linenumber IS NOT NULL) AS n_keys
+FROM lineitem AS loaded SEMI JOIN (SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_linestatus = 'O') AS cur
+  ON loaded.l_orderkey IS NOT DISTINCT FROM cur.l_orderkey AND loaded.l_linenumber IS NOT DISTINCT FROM cur.l_linenumber
+""")
+def verify_merge_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merge-scope key integrity (V6): rows sharing a key with this load's rows,
+    matched NULL-safely, so older duplicates of the loaded keys are found."""
+    from tableload.operators.verify import key_counts
+    li = read(spark, sf_dir, "lineitem").withColumn(
+        "_load_id", F.concat(F.lit("load-"), F.col("l_linestatus")))
+    return key_counts(li, "merge", ["l_orderkey", "l_linenumber"], F.col("_load_id") == "load-O")
+
+
+@workload("verify_child_scope", f"""
+WITH r AS (SELECT {_rid("concat_ws('|', CAST(conv_id AS VARCHAR), CAST(turn AS VARCHAR))")} AS rid, role,
+                  string_split(text, chr(10)) AS arr FROM conversations),
+c AS (SELECT rid, unnest(range(len(arr))) AS i FROM r)
+SELECT count(*) AS n_rows,
+       count(DISTINCT {_rid("concat_ws('|', rid, 'conversations__lines', CAST(i AS VARCHAR))")}) AS n_keys
+FROM c WHERE rid IN (SELECT rid FROM r WHERE role = 'user')
+""")
+def verify_child_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Child rows of a load (V8): a child table has no load id, so its rows belong
+    to the load through their parent's loaded row ids."""
+    from tableload.operators.normalize import normalize
+    from tableload.operators.verify import key_counts, loaded_rows
+    c = read(spark, sf_dir, "conversations")
+    tables = normalize(c.select("conv_id", "turn", "role", F.split("text", "\n", -1).alias("lines")),
+                       "conversations", primary_key=["conv_id", "turn"], max_nesting=1,
+                       load_id=F.concat(F.lit("load-"), F.col("role")))
+    frames = {t.name: t.frame for t in tables}
+    parents = {t.name: t.parent for t in tables}
+    rows = loaded_rows(frames, parents, "conversations__lines", ["load-user"])
+    return key_counts(rows, "replace", ["_row_id"], None)
+
+
+@workload("verify_problems", """
+WITH li AS (SELECT count(*) AS n_rows,
+                   count(DISTINCT {'a': l_orderkey, 'b': l_linenumber})
+                     FILTER (WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL) AS n_keys FROM lineitem),
+od AS (SELECT count(*) AS n_rows, count(DISTINCT {'k': o_orderkey}) FILTER (WHERE o_orderkey IS NOT NULL) AS n_keys
+       FROM orders),
+ev AS (SELECT count(*) AS n_rows FROM events)
+SELECT 'lineitem' AS "table", 'key_integrity' AS "check", n_keys AS expected, n_rows AS actual,
+       'lineitem: replace left ' || n_rows || ' rows, but the distinct, non-null primary-key count is ' || n_keys
+         AS detail FROM li WHERE n_rows <> n_keys
+UNION ALL
+SELECT 'orders', 'key_integrity', n_keys, n_rows,
+       'orders: replace left ' || n_rows || ' rows, but the distinct, non-null primary-key count is ' || n_keys
+  FROM od WHERE n_rows <> n_keys
+UNION ALL
+SELECT 'events', 'row_count', (SELECT count(*) FROM events WHERE event_type <> 'error'), n_rows,
+       'events: normalized ' || (SELECT count(*) FROM events WHERE event_type <> 'error') || ' rows, '
+         || n_rows || ' landed' FROM ev
+""")
+def verify_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Problem report (V1 V5 V3/V4): replaced ``lineitem`` keyed on a non-unique key,
+    replaced ``orders`` (clean), appended ``events`` whose normalized count (rows
+    other than errors) differs from what landed.  One aggregate per table."""
+    from tableload.operators.verify import key_counts, table_problems
+    li = read(spark, sf_dir, "lineitem")
+    od = read(spark, sf_dir, "orders")
+    ev = read(spark, sf_dir, "events")
+    normalized = ev.filter(F.col("event_type") != "error").count()
+    out = table_problems(spark, "lineitem", "replace", ["l_orderkey", "l_linenumber"],
+                         key_counts(li, "replace", ["l_orderkey", "l_linenumber"], None), None, False)
+    out = out.unionByName(table_problems(spark, "orders", "replace", ["o_orderkey"],
+                                         key_counts(od, "replace", ["o_orderkey"], None), None, False))
+    return out.unionByName(table_problems(spark, "events", "append", [],
+                                          key_counts(ev, "replace", [], None), normalized, False))
+
+
+# ------------------------------------------------------------ state / history
+def _states(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Pipeline states and load receipts derived from orders: one state per order,
+    pipeline = priority, fixed-width load ids; loads of pending orders never
+    committed (no receipt), loads of open orders failed (status 1)."""
+    o = read(spark, sf_dir, "orders")
+    lid = F.concat(F.lit("L"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0"))
+    states = o.select(F.col("o_orderkey").alias("version"), F.col("o_orderpriority").alias("pipeline_name"),
+                      F.concat_ws(":", "o_orderstatus", F.col("o_custkey").cast("string")).alias("state"),
+                      F.col("o_orderdate").alias("created_at"), lid.alias("_load_id"))
+    loads = o.filter(F.col("o_orderstatus") != "P").select(
+        lid.alias("load_id"), F.col("o_orderpriority").alias("schema_name"),
+        F.when(F.col("o_orderstatus") == "F", 0).otherwise(1).alias("status"),
+        F.col("o_orderdate").alias("inserted_at"))
+    return states, loads
+
+
+STATES_SQL = """
+WITH states AS (SELECT o_orderkey AS version, o_orderpriority AS pipeline_name,
+                       concat_ws(':', o_orderstatus, CAST(o_custkey AS VARCHAR)) AS state,
+                       o_orderdate AS created_at, 'L' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS _load_id
+                FROM orders),
+loads AS (SELECT 'L' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS load_id,
+                 CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END AS status FROM orders WHERE o_orderstatus <> 'P')
+"""
+
+
+@workload("state_latest", STATES_SQL + """
+SELECT s.* FROM states s JOIN loads l ON s._load_id = l.load_id WHERE l.status = 0
+QUALIFY row_number() OVER (PARTITION BY pipeline_name ORDER BY _load_id DESC) = 1
+""")
+def state_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest committed state of every pipeline (C6): join with receipts, status 0."""
+    from tableload.operators.state import latest_state_per_pipeline
+    states, loads = _states(spark, sf_dir)
+    return latest_state_per_pipeline(states, loads)
+
+
+@workload("state_one_pipeline", STATES_SQL + """
+SELECT s.* FROM states s JOIN loads l ON s._load_id = l.load_id
+WHERE l.status = 0 AND s.pipeline_name = '3-MEDIUM' ORDER BY s._load_id DESC LIMIT 1
+""")
+def state_one_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The restore query of one pipeline (C6): join, filter, top-1 by load id."""
+    from tableload.operators.state import latest_state
+    states, loads = _states(spark, sf_dir)
+    return latest_state(states, loads, "3-MEDIUM")
+
+
+@workload("schema_latest", """
+SELECT * FROM (SELECT 'h' || CAST(o_orderkey AS VARCHAR) AS version_hash, o_orderpriority AS schema_name,
+                      o_orderkey AS version, o_orderdate AS inserted_at, o_orderstatus AS schema FROM orders)
+QUALIFY row_number() OVER (PARTITION BY schema_name ORDER BY inserted_at DESC NULLS LAST,
+                                                            version DESC NULLS LAST) = 1
+""")
+def schema_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest stored schema of every schema name (C5), ties broken by version."""
+    from tableload.operators.state import latest_schema_per_name
+    o = read(spark, sf_dir, "orders")
+    versions = o.select(F.concat(F.lit("h"), F.col("o_orderkey").cast("string")).alias("version_hash"),
+                        F.col("o_orderpriority").alias("schema_name"), F.col("o_orderkey").alias("version"),
+                        F.col("o_orderdate").alias("inserted_at"), F.col("o_orderstatus").alias("schema"))
+    return latest_schema_per_name(versions)
+
+
+@workload("schema_insert_if_absent", """
+SELECT 'h' || CAST(o_orderkey AS VARCHAR) AS version_hash, o_orderpriority AS schema_name FROM orders
+WHERE o_orderstatus <> 'F'
+  AND 'h' || CAST(o_orderkey AS VARCHAR) NOT IN (SELECT 'h' || CAST(o_orderkey AS VARCHAR) FROM orders
+                                                 WHERE o_orderstatus = 'F' OR o_orderpriority = '1-URGENT')
+""")
+def schema_insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schema versions are stored once per hash (C4): incoming versions already
+    present are skipped."""
+    from tableload.operators.state import new_schema_versions
+    o = read(spark, sf_dir, "orders")
+    h = F.concat(F.lit("h"), F.col("o_orderkey").cast("string")).alias("version_hash")
+    stored = o.filter((F.col("o_orderstatus") == "F") | (F.col("o_orderpriority") == "1-URGENT")).select(h)
+    incoming = o.filter(F.col("o_orderstatus") != "F").select(h, F.col("o_orderpriority").alias("schema_name"))
+    return new_schema_versions(stored, incoming)
+
+
+@workload("incremental_window", """
+SELECT * FROM events WHERE ts > (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-16 00:00:00')
+""")
+def incremental_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incremental cursor (C7): the previous run committed the cursor max of the
+    first half of January; this run reads only newer rows."""
+    from tableload.operators.state import incremental, max_cursor
+    ev = read(spark, sf_dir, "events")
+    last = max_cursor(ev.filter(F.col("ts") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")), "ts")
+    return incremental(ev, "ts", last)
+
+
+@workload("refresh_drop_data", """
+SELECT 'nation' AS table_name, count(*) AS n_rows, count(DISTINCT n_regionkey) AS n_keys FROM nation
+UNION ALL SELECT 'region', 0, 0
+""")
+def refresh_drop_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``drop_data`` refresh of ``region`` (C8): its content is replaced by an empty
+    relation with the same schema; ``nation`` is untouched."""
+    from tableload.plans.refresh import drop_data
+    tables = {"nation": read(spark, sf_dir, "nation"), "region": read(spark, sf_dir, "region")}
+    after = drop_data(spark, tables, ["region"])
+    n = after["nation"].agg(F.lit("nation").alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
+                            F.count_distinct("n_regionkey").alias("n_keys"))
+    r = after["region"].agg(F.lit("region").alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
+                            F.count_distinct("r_regionkey").alias("n_keys"))
+    return n.unionByName(r)
+
+
+@workload("readback_select", """
+SELECT event_id, user_id, value FROM events WHERE value >= 50 ORDER BY value DESC, event_id DESC LIMIT 25
+""")
+def readback_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chained read-back (R2): select, ``where(col, "gte", v)``, order, top-25."""
+    from tableload.sources.relation import where
+    ev = read(spark, sf_dir, "events")
+    return (where(ev, "value", "gte", 50).select("event_id", "user_id", "value")
+            .orderBy(F.col("value").desc(), F.col("event_id").desc()).limit(25))
