@@ -237,7 +237,7 @@ def drop_orphans(children: DataFrame, roots: DataFrame, root_key: str = ROOT_ID,
     """Staged child rows whose root is not among the surviving staged roots are
     discarded.  A semi join, not ``NOT IN`` (whose NULL semantics would empty it)."""
     keys = roots.select(F.col(root_row_key).alias(root_key))
-    return children.join(keys, root_key, "left_semi")
+    return children.join(keys, root_key, "left_semi").select(*children.columns)
 
 
 # --------------------------------------------------------------------------- U9
