@@ -255,11 +255,12 @@ def _read_staged(spark: SparkSession, path: str, root: TableContract, load_id: s
     """Normalize one staged file.  Keyless roots get ids from (load id, file name,
     row index) of the staged Parquet, stable across retries."""
     raw = spark.read.parquet(path)
+    keyed = root.disposition == "merge"  # append/replace ignore key hints for row ids
     rid = None
-    if not root.primary_key:
+    if not keyed:
         rid = key_id([F.lit(load_id), F.col("_metadata.file_name"), F.col("_metadata.row_index")])
-    return normalize(raw, name, primary_key=root.primary_key, max_nesting=max_nesting, naming=naming,
-                     load_id=load_id, row_id=rid)
+    return normalize(raw, name, primary_key=root.primary_key if keyed else (), max_nesting=max_nesting,
+                     naming=naming, load_id=load_id, row_id=rid)
 
 
 def _entry(new: Snapshot, name: str, schema: T.StructType, layout, parent: str | None,
@@ -362,8 +363,9 @@ def _merge(ds: Dataset, spark: SparkSession, base: Snapshot, new: Snapshot, root
                          partial=not staged_route, deleted=root.hard_delete_column,
                          source_filter=root.source_filter, skip_unchanged=root.skip_unchanged)
         t_cur = align_to_schema(t_cur, schema)
-        passing_all = passing if passing_all is None else passing_all.unionByName(passing)
-        up_all = up if up_all is None else up_all.unionByName(up)
+        p_ids, u_ids = passing.select(ROW_ID), up.select(ROW_ID)
+        passing_all = p_ids if passing_all is None else passing_all.unionByName(p_ids)
+        up_all = u_ids if up_all is None else up_all.unionByName(u_ids)
     entry = _entry(new, root.name, schema, root.partition, None, root)
     seg = write_segment(ds, root.name, t_cur, entry["layout"], load_id, mrpf)
     _remove_files(entry, touched)
