@@ -788,3 +788,72 @@ def readback_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read(spark, sf_dir, "events")
     return (where(ev, "value", "gte", 50).select("event_id", "user_id", "value")
             .orderBy(F.col("value").desc(), F.col("event_id").desc()).limit(25))
+
+
+# ---------------------------------------------------------- load / stream
+def _chain_dataset(spark: SparkSession, sf_dir: str) -> str:
+    """Load the documents chain twice through ``plans.load`` into a fresh dataset
+    under the cluster's shared folder: all documents at version 1, then the staged
+    English / French / German versions with the source filter set.  The second
+    load is copy-on-write."""
+    from tableload.contract import TableContract
+    from tableload.plans.load import load
+    from tableload.session import scratch_path
+    path = scratch_path(spark, "docs-chain")
+    d = read(spark, sf_dir, "documents")
+    lines = F.split("text", "\n", -1)
+    root = TableContract("documents", "merge", ("doc_id",), cursor="version", hard_delete="deleted",
+                         source_filter=CHAIN_FILTER)
+    first = d.select("doc_id", "lang", "source", F.lit(1).cast("bigint").alias("version"),
+                     F.lit(False).alias("deleted"), lines.alias("lines"))
+    second = d.filter(F.col("lang").isin("en", "fr", "de")).select(
+        "doc_id", "lang", "source", F.when(F.col("lang") == "fr", 1).otherwise(2).cast("bigint").alias("version"),
+        (F.col("lang") == "de").alias("deleted"), F.filter(lines, lambda x: F.length(x) > 40).alias("lines"))
+    plain = TableContract("documents", "merge", ("doc_id",), cursor="version", hard_delete="deleted")
+    load(spark, path, {"documents": first}, [plain], "L1", max_nesting=1)
+    load(spark, path, {"documents": second}, [root], "L2", max_nesting=1)
+    load(spark, path, {"documents": second}, [root], "L2", max_nesting=1)  # replay: no-op
+    return path
+
+
+@workload("load_chain_roots", CHAIN_SQL + """
+SELECT t.* FROM t ANTI JOIN p ON t.doc_id = p.doc_id
+UNION ALL SELECT * FROM p WHERE NOT deleted
+""")
+def load_chain_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """End-to-end nested merge on disk (S7 U13 C2): staged, merged copy-on-write,
+    committed once, replay ignored; read back through the ledger."""
+    from tableload.sources.dataset import Dataset
+    return Dataset(spark, _chain_dataset(spark, sf_dir)).table("documents")
+
+
+@workload("load_chain_children", CHAIN_SQL + """
+SELECT * FROM tc WHERE _root_id NOT IN (SELECT _row_id FROM p)
+UNION ALL SELECT * FROM sc WHERE _root_id IN (SELECT _row_id FROM p WHERE NOT deleted)
+""")
+def load_chain_children(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The child table after the same two loads (U9 on disk)."""
+    from tableload.sources.dataset import Dataset
+    return Dataset(spark, _chain_dataset(spark, sf_dir)).table("documents__lines")
+
+
+@workload("stream_merge", f"""
+SELECT *, 'events-000000000000' AS _load_id, {_rid("CAST(user_id AS VARCHAR)")} AS _row_id FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC) = 1
+""")
+def stream_merge_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structured Streaming merge (X1): the events file read as a stream, each
+    micro-batch upserted by user with cursor ``ts``; read back after the stream
+    has drained (``availableNow``)."""
+    from tableload.contract import TableContract
+    from tableload.session import scratch_path
+    from tableload.sources.dataset import Dataset
+    from tableload.streaming.stream_merge import stream_merge
+    schema = read(spark, sf_dir, "events").schema
+    # the file source needs a directory or a glob, not a single file
+    src = spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/events.parque[t]")
+    path = scratch_path(spark, "events-stream")
+    c = TableContract("events", "merge", ("user_id",), cursor="ts", tie_break=("event_id",))
+    q = stream_merge(src, path, [c], "events", checkpoint=f"{path}/_checkpoint")
+    q.awaitTermination()
+    return Dataset(spark, path).table("events")
