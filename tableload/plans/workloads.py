@@ -55,7 +55,7 @@ def orders_partial_staged(orders: DataFrame) -> DataFrame:
             .unionByName(v(p == "1-URGENT", 2, 200))
             .unionByName(v(p == "3-MEDIUM", 0, 300))
             .unionByName(v(p == "4-NOT SPECIFIED", -1, 400))
-            .unionByName(v(F.col("o_orderstatus") == "F", 0, 0, -F.col("o_orderkey"))))
+            .unionByName(v(F.col("o_orderstatus") == "F", 0, 0, -F.col("o_orderkey") - 1)))
 
 
 ORDERS_PARTIAL_STAGED_SQL = """
@@ -67,7 +67,7 @@ ORDERS_PARTIAL_STAGED_SQL = """
     FROM orders WHERE o_orderpriority = '3-MEDIUM'
   UNION ALL SELECT o_orderkey, o_orderdate - INTERVAL 1 DAY, o_totalprice + 400
     FROM orders WHERE o_orderpriority = '4-NOT SPECIFIED'
-  UNION ALL SELECT -o_orderkey, o_orderdate, o_totalprice + 0
+  UNION ALL SELECT -o_orderkey - 1, o_orderdate, o_totalprice + 0
     FROM orders WHERE o_orderstatus = 'F'
 """
 
@@ -98,7 +98,7 @@ def upsert_cursor_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH s AS (
   SELECT c_custkey, upper(c_name) AS c_name, c_nationkey, c_acctbal + 1000 AS c_acctbal, c_mktsegment
     FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')
-  UNION ALL SELECT -c_custkey, c_name, c_nationkey, c_acctbal, 'NEW'
+  UNION ALL SELECT -c_custkey - 1, c_name, c_nationkey, c_acctbal, 'NEW'
     FROM customer WHERE c_mktsegment = 'HOUSEHOLD')
 SELECT t.* FROM customer t ANTI JOIN s ON s.c_custkey = t.c_custkey
 UNION ALL SELECT * FROM s
@@ -111,7 +111,7 @@ def upsert_full_record(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey", F.upper("c_name").alias("c_name"), "c_nationkey",
         (F.col("c_acctbal") + 1000).alias("c_acctbal"), "c_mktsegment",
     ).unionByName(c.filter(seg == "HOUSEHOLD").select(
-        (-F.col("c_custkey")).alias("c_custkey"), "c_name", "c_nationkey", "c_acctbal",
+        (-F.col("c_custkey") - 1).alias("c_custkey"), "c_name", "c_nationkey", "c_acctbal",
         F.lit("NEW").alias("c_mktsegment")))
     return M.upsert(c, staged, "c_custkey")
 
@@ -181,7 +181,7 @@ STALE_S = """SELECT o_orderkey,
             WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 1 DAY
             WHEN o_orderstatus = 'O' THEN o_orderdate
             ELSE o_orderdate - INTERVAL 1 DAY END AS o_orderdate, o_totalprice FROM orders
-  UNION ALL SELECT -o_orderkey, NULL, o_totalprice FROM orders WHERE o_orderpriority = '1-URGENT'"""
+  UNION ALL SELECT -o_orderkey - 1, NULL, o_totalprice FROM orders WHERE o_orderpriority = '1-URGENT'"""
 
 
 @workload("drop_stale_truth_table", f"""
@@ -199,7 +199,7 @@ def drop_stale_truth_table(spark: SparkSession, sf_dir: str) -> DataFrame:
            .when(status == "O", F.col("o_orderdate"))
            .otherwise(_days("o_orderdate", -1)))
     staged = o.select("o_orderkey", cur.alias("o_orderdate"), "o_totalprice").unionByName(
-        o.filter(prio == "1-URGENT").select((-F.col("o_orderkey")).alias("o_orderkey"),
+        o.filter(prio == "1-URGENT").select((-F.col("o_orderkey") - 1).alias("o_orderkey"),
                                             F.lit(None).cast("timestamp_ntz").alias("o_orderdate"), "o_totalprice"))
     return M.drop_stale(staged, target, "o_orderkey", "o_orderdate")
 
@@ -208,7 +208,7 @@ def drop_stale_truth_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH t AS (SELECT *, false AS deleted FROM orders),
 s AS (SELECT *, o_orderpriority IN ('1-URGENT', '2-HIGH') AS deleted FROM orders WHERE o_orderstatus = 'F'
       UNION ALL
-      SELECT -o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+      SELECT -o_orderkey - 1, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
              o_orderpriority = '5-LOW' FROM orders WHERE o_orderstatus = 'O')
 SELECT t.* FROM t ANTI JOIN s ON s.o_orderkey = t.o_orderkey
 UNION ALL SELECT * FROM s WHERE NOT coalesce(deleted, false)
@@ -220,7 +220,7 @@ def hard_delete_bool(spark: SparkSession, sf_dir: str) -> DataFrame:
     prio = F.col("o_orderpriority")
     staged = o.filter(F.col("o_orderstatus") == "F").withColumn(
         "deleted", prio.isin("1-URGENT", "2-HIGH")).unionByName(
-        o.filter(F.col("o_orderstatus") == "O").withColumn("o_orderkey", -F.col("o_orderkey"))
+        o.filter(F.col("o_orderstatus") == "O").withColumn("o_orderkey", -F.col("o_orderkey") - 1)
         .withColumn("deleted", prio == "5-LOW"))
     return M.upsert(target, staged, "o_orderkey", deleted="deleted")
 
@@ -230,7 +230,7 @@ WITH t AS (SELECT *, CAST(NULL AS TIMESTAMP) AS deleted_at FROM orders),
 s AS (SELECT *, CASE WHEN o_orderpriority = '3-MEDIUM' THEN o_orderdate END AS deleted_at
         FROM orders WHERE o_orderstatus = 'P'
       UNION ALL
-      SELECT -o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+      SELECT -o_orderkey - 1, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
              CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN o_orderdate END
         FROM orders WHERE o_orderstatus = 'O')
 SELECT t.* FROM t ANTI JOIN s ON s.o_orderkey = t.o_orderkey
@@ -244,7 +244,7 @@ def hard_delete_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     prio = F.col("o_orderpriority")
     staged = o.filter(F.col("o_orderstatus") == "P").withColumn(
         "deleted_at", F.when(prio == "3-MEDIUM", F.col("o_orderdate"))).unionByName(
-        o.filter(F.col("o_orderstatus") == "O").withColumn("o_orderkey", -F.col("o_orderkey"))
+        o.filter(F.col("o_orderstatus") == "O").withColumn("o_orderkey", -F.col("o_orderkey") - 1)
         .withColumn("deleted_at", F.when(prio == "4-NOT SPECIFIED", F.col("o_orderdate"))))
     contract = TableContract("orders", "merge", ("o_orderkey",), hard_delete="deleted_at")
     return M.merge_chain({"orders": target}, {"orders": staged}, [contract])["orders"]
@@ -254,7 +254,7 @@ def hard_delete_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH t AS (SELECT *, false AS deleted FROM customer),
 s AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal + 10 AS c_acctbal, c_mktsegment, c_acctbal < 0 AS deleted
         FROM customer
-      UNION ALL SELECT -c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, false
+      UNION ALL SELECT -c_custkey - 1, c_name, c_nationkey, c_acctbal, c_mktsegment, false
         FROM customer WHERE c_mktsegment = 'FURNITURE'),
 p AS (SELECT * FROM s WHERE c_mktsegment IN ('BUILDING', 'FURNITURE'))
 SELECT t.* FROM t ANTI JOIN p ON t.c_custkey = p.c_custkey
@@ -268,7 +268,7 @@ def source_filter_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = c.select("c_custkey", "c_name", "c_nationkey", (F.col("c_acctbal") + 10).alias("c_acctbal"),
                       "c_mktsegment", (F.col("c_acctbal") < 0).alias("deleted")).unionByName(
         c.filter(F.col("c_mktsegment") == "FURNITURE").select(
-            (-F.col("c_custkey")).alias("c_custkey"), "c_name", "c_nationkey", "c_acctbal",
+            (-F.col("c_custkey") - 1).alias("c_custkey"), "c_name", "c_nationkey", "c_acctbal",
             "c_mktsegment", F.lit(False).alias("deleted")))
     contract = TableContract("customer", "merge", ("c_custkey",), hard_delete="deleted",
                              source_filter="c_mktsegment IN ('BUILDING', 'FURNITURE')")
