@@ -315,7 +315,7 @@ def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------- normalization
 def _rid(expr: str) -> str:
-    return f"substr(sha256({expr}), 1, 32)"
+    return f"md5({expr})"
 
 
 def _docs_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
