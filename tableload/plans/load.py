@@ -124,7 +124,9 @@ def write_segment(ds: Dataset, table: str, df: DataFrame, layout, load_id: str,
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if parts:
-        out = out.repartition(*[F.col(f"`{p}`") for p in parts])
+        # cluster rows by partition value so each directory gets few files; the
+        # rebalance hint lets AQE split a value that holds a large share of the rows
+        out = out.hint("rebalance", *parts)
         writer = out.write.mode("errorifexists").partitionBy(*parts)
     writer.parquet(path)
     return {"path": path, "layout": layout_json(keys) or [], "removed": []}
@@ -199,9 +201,9 @@ def load(
             if not staged_files:
                 continue
             chain_names = [t.name for t in staged_files[0]]
+            counts.update(_count_tables(staged_files))
             for i, tname in enumerate(chain_names):
                 loaded_tables.append(tname)
-                counts[tname] = sum(f[i].frame.count() for f in staged_files)
                 hints[tname] = _hints(root if i == 0 else None, staged_files[0][i], root.disposition)
             if root.disposition == "append":
                 _append(ds, new, root, staged_files, load_id, max_records_per_file)
@@ -230,6 +232,15 @@ def load(
     raise RuntimeError(f"load {load_id}: lost the commit race {COMMIT_ATTEMPTS} times")
 
 
+def _count_tables(files: list[list[NormalizedTable]]) -> dict[str, int]:
+    """Normalized row count of every table of a chain in one job."""
+    parts = [t.frame.select(F.lit(t.name).alias("t")) for f in files for t in f]
+    counts = {t.name: 0 for t in files[0]}
+    for row in M.union_staged(parts).groupBy("t").count().collect():
+        counts[row["t"]] = row["count"]
+    return counts
+
+
 def _hints(root: TableContract | None, t: NormalizedTable, disposition: str) -> dict:
     if root is None:
         return {"disposition": disposition, "parent": t.parent, "primary_key": [], "row_key": [ROW_ID]}
@@ -307,13 +318,31 @@ def _touched(ds: Dataset, snap: Snapshot, table: str, keys: DataFrame, on: list[
     columns plus the file path; only distinct paths reach the driver)."""
     if table not in snap.tables:
         return []
-    stored = ds.table(table, snap, with_file=True)
     cols = key_cols or on
+    stored = ds.table(table, snap, with_file=True, keep_layout=True)
+    stored = stored.filter(_bucket_filter(snap.tables[table].get("layout") or [], keys, on, cols))
     hit = stored.select(*cols, FILE_COL).join(keys.select(*on).withColumnsRenamed(dict(zip(on, cols))), cols,
                                               "left_semi")
     return sorted({uri_path(r[0], encoded=True) for r in hit.select(FILE_COL).distinct().collect()})
 
 
+def _bucket_filter(layout: list[dict], keys: DataFrame, on: list[str], cols: list[str]):
+    """With a ``bucket(n, key)`` layout on a key column, only the buckets the staged
+    keys fall into are scanned (partition pruning); the bucket ids collected are at
+    most ``n``."""
+    from tableload.operators.layout import key_expr
+    from tableload.sources.dataset import keys_of
+    pred = F.lit(True)
+    for key in keys_of(layout):
+        if key.transform != "bucket" or key.column not in cols:
+            continue
+        src = on[cols.index(key.column)]
+        ids = [r[0] for r in keys.select(key_expr(replace(key, column=src)).alias("b")).distinct().collect()]
+        col = F.col(f"`{key.derived_name}`")
+        pred = pred & (col.isNull() | col.isin(ids))  # NULL: a segment written before the layout
+    return pred
+
+
 def _remove_files(entry: dict, files: Sequence[str]) -> None:
     gone = set(files)
     for seg in entry["segments"]:

@@ -240,3 +240,21 @@ def test_sql_readback_and_missing_table(spark, dataset_path):
     assert ds.exists() and ds.has_table("nums") and not ds.has_table("absent")
     assert Dataset(spark, dataset_path + "-nope").exists() is False
     assert ds.drop()[0].startswith("dry run")
+
+
+def test_bucket_layout_limits_rewritten_files(spark, dataset_path):
+    from tableload.functions.partition import bucket
+    plain = TableContract("t", "merge", ("id",))
+    base = spark.range(0, 400).select("id", (F.col("id") * 10).alias("v"))
+    load(spark, dataset_path, {"t": base.filter("id < 100")}, [plain], "L1")  # unbucketed segment
+    c = TableContract("t", "merge", ("id",), partition=[bucket(8, "id")])
+    load(spark, dataset_path, {"t": base.filter("id >= 100")}, [c], "L2")
+    load(spark, dataset_path, {"t": spark.createDataFrame([(5, -5), (250, -250)], "id long, v long")}, [c], "L3")
+    ds = Dataset(spark, dataset_path)
+    segs = ds.snapshot().tables["t"]["segments"]
+    assert len(segs[0]["removed"]) >= 1  # the old unbucketed file holding id 5 was found
+    bucket_dirs = {f.split("/")[-2] for f in segs[1]["removed"]}
+    assert len(bucket_dirs) == 1  # only the bucket of id 250 was rewritten
+    t = ds.table("t")
+    assert t.count() == 400
+    assert vals(t.filter("id in (5, 250)"), "id", "v") == [(5, -5), (250, -250)]
