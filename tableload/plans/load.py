@@ -371,7 +371,8 @@ def _merge(ds: Dataset, spark: SparkSession, base: Snapshot, new: Snapshot, root
     else:
         groups = _column_groups([f[0].frame for f in files])
         groups = [M.dedup_latest(g, pk, root.cursor, root.tie_break) for g in groups]
-    all_keys = M.union_staged([g.select(*pk) for g in groups])
+    # dedup keeps the key set, so touched files come from the raw staged keys
+    all_keys = M.union_staged([f[0].frame.select(*pk) for f in files])
     stored_schema = base.schema_of(root.name)
     touched = _touched(ds, base, root.name, all_keys, pk)
     if stored_schema is not None:
@@ -384,8 +385,11 @@ def _merge(ds: Dataset, spark: SparkSession, base: Snapshot, new: Snapshot, root
     schema = evolve(stored_schema, incoming)
     t_cur = align_to_schema(t_root, schema) if t_root is not None else spark.createDataFrame([], schema)
     passing_all, up_all = None, None
-    for g in groups:
+    for gi, g in enumerate(groups):
         live = M.drop_stale(g, t_cur, pk, root.cursor) if root.cursor else g
+        # written once: the upsert, the child replacement and the touched-file search
+        # all read it, instead of re-running dedup and the stale filter per consumer
+        live = _materialize(ds, spark, load_id, root.name, f"live-{base.seq + 1}-{gi}", live)
         passing = live.filter(F.expr(root.source_filter)) if root.source_filter else live
         up = passing.filter(~M.deleted_flag(passing, root.hard_delete_column)) if root.hard_delete_column else passing
         t_cur = M.upsert(t_cur, live if staged_route else align_to_schema(live, _sub(schema, live.columns)), pk,
@@ -415,6 +419,15 @@ def _merge(ds: Dataset, spark: SparkSession, base: Snapshot, new: Snapshot, root
         c_entry["segments"].append(c_seg)
 
 
+def _materialize(ds: Dataset, spark: SparkSession, load_id: str, table: str, name: str,
+                 df: DataFrame) -> DataFrame:
+    """Write an intermediate result under the load's staging folder (shared
+    storage) and read it back: a lineage cut that survives executor loss."""
+    path = f"{ds.path}/_staging/{_safe(load_id)}/{table}/_work/{name}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _sub(schema: T.StructType, names: Sequence[str]) -> T.StructType:
     keep = set(names)
     return T.StructType([f for f in schema.fields if f.name in keep])
