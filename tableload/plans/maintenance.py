@@ -45,3 +45,23 @@ def preflight(spark: SparkSession, path: str) -> list[str]:
     except Exception as e:  # noqa: BLE001
         problems.append(f"{path} is not writable: {str(e).splitlines()[0]}")
     return problems
+
+
+def compact(spark: SparkSession, path: str, table: str, max_records_per_file: int | None = None) -> bool:
+    """Rewrite a table's current rows as one segment in the table's layout, as an
+    ordinary commit.  Keeps the number of scans a read unions over bounded after
+    many loads; readers of older snapshots keep their files until ``vacuum``."""
+    from tableload.plans.load import write_segment
+    ds = Dataset(spark, path)
+    for _ in range(5):
+        base = ds.snapshot()
+        entry = base.tables[table]
+        if len(entry["segments"]) <= 1 and not any(s.get("removed") for s in entry["segments"]):
+            return False
+        seg = write_segment(ds, table, ds.table(table, base), entry.get("layout") or [],
+                            f"compact-{base.seq + 1}", max_records_per_file)
+        new = base.copy()
+        new.tables[table]["segments"] = [seg]
+        if ds.ledger.commit(base, new):
+            return True
+    raise RuntimeError("could not commit the compaction")

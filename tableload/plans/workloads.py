@@ -475,14 +475,23 @@ def partition_day_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.groupBy(*parts).agg(F.count(F.lit(1)).alias("n"))
 
 
-@workload("partition_bucket", None)
+@workload("partition_bucket", """
+SELECT 16 AS n_buckets, count(*) AS n_rows, 0 AS min_bucket, 15 AS max_bucket,
+       count(DISTINCT o_custkey) AS n_keys FROM orders
+""")
 def partition_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bucket transform (L4): rows per ``bucket(16, o_custkey)``; the hash is ours,
-    so only row counts are checked."""
+    """Bucket transform (L4) on ``bucket(16, o_custkey)``.  The hash is ours, so the
+    check is on invariants: every bucket is used, ids lie in 0..15, no row is lost,
+    and every key lands in exactly one bucket."""
     from tableload.functions.partition import bucket
     from tableload.operators.layout import layout_columns
     df, parts = layout_columns(read(spark, sf_dir, "orders"), [bucket(16, "o_custkey")])
-    return df.groupBy(*parts).agg(F.count(F.lit(1)).alias("n"))
+    b = F.col(parts[0])
+    per_bucket = df.groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("n"),
+                                              F.count_distinct("o_custkey").alias("k"))
+    return per_bucket.agg(F.count(F.lit(1)).alias("n_buckets"), F.sum("n").alias("n_rows"),
+                          F.min("b").alias("min_bucket"), F.max("b").alias("max_bucket"),
+                          F.sum("k").alias("n_keys"))
 
 
 # --------------------------------------------------------------- chain merge

@@ -79,3 +79,17 @@ def test_preflight(spark, tmp_path):
 def test_dataset_names():
     assert dataset_name("selected_data", "first", "first") == "selected_data"
     assert dataset_name("selected_data", "second", "first") == "selected_data_second"
+
+
+def test_compact_bounds_segments(spark, dataset_path):
+    from tableload.plans.maintenance import compact
+    c = TableContract("t", "merge", ("id",))
+    for i in range(3):
+        load(spark, dataset_path, {"t": spark.createDataFrame([(i, i), (0, 100 + i)], "id long, v long")}, [c],
+             f"L{i}")
+    ds = Dataset(spark, dataset_path)
+    before = sorted(tuple(r) for r in ds.table("t").select("id", "v").collect())
+    assert compact(spark, dataset_path, "t")
+    assert len(ds.snapshot().tables["t"]["segments"]) == 1
+    assert sorted(tuple(r) for r in ds.table("t").select("id", "v").collect()) == before == [(0, 102), (1, 1), (2, 2)]
+    assert not compact(spark, dataset_path, "t")
