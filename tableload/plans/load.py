@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 from tableload.contract import TableContract, chains, is_staged_route, validate
 from tableload.errors import ContractError, DuplicateRootError, IncompleteStagingError
 from tableload.functions.lineage import LOAD_ID, ROOT_ID, ROW_ID, key_id
+from tableload.functions.naming import normalize_name
 from tableload.functions.partition import parse_layout
 from tableload.functions.types import promote, widen
 from tableload.operators import merge as M
@@ -151,6 +152,9 @@ def load(
     """Load ``frames`` (root table name -> DataFrame or list of DataFrames, one per
     input file) into the dataset at ``path`` under ``load_id``."""
     ds = Dataset(spark, path)
+    if naming != "direct":
+        contracts = [rename_contract(c, naming) for c in contracts]
+        frames = {normalize_name(k, naming): v for k, v in frames.items()}
     roots = {c.name: c for c in contracts if c.parent is None}
     unknown = set(frames) - set(roots)
     if unknown:
@@ -241,6 +245,19 @@ def _count_tables(files: list[list[NormalizedTable]]) -> dict[str, int]:
     return counts
 
 
+def rename_contract(c: TableContract, naming: str) -> TableContract:
+    """Table, key, cursor, flag and layout column names follow the naming
+    convention of the data."""
+    n = lambda x: normalize_name(x, naming) if x else x
+    part = c.partition
+    if part:
+        part = [replace(k, column=n(k.column)) for k in parse_layout(part)]
+    hard = tuple(n(h) for h in c.hard_delete) if isinstance(c.hard_delete, tuple) else n(c.hard_delete)
+    return replace(c, name=n(c.name), primary_key=tuple(n(k) for k in c.primary_key), cursor=n(c.cursor),
+                   tie_break=tuple(n(k) for k in c.tie_break), hard_delete=hard, parent=n(c.parent),
+                   partition=part, columns={n(k): v for k, v in c.columns.items()})
+
+
 def _hints(root: TableContract | None, t: NormalizedTable, disposition: str) -> dict:
     if root is None:
         return {"disposition": disposition, "parent": t.parent, "primary_key": [], "row_key": [ROW_ID]}
@@ -274,8 +291,24 @@ def _read_staged(spark: SparkSession, path: str, root: TableContract, load_id: s
                      naming=naming, load_id=load_id, row_id=rid)
 
 
+def with_comments(schema: T.StructType, contract: TableContract | None) -> T.StructType:
+    """E5: column descriptions of the contract become ``comment`` metadata; a
+    column without a description keeps the comment it had."""
+    if contract is None:
+        return schema
+    fields = []
+    for f in schema.fields:
+        text = contract.columns.get(f.name, {}).get("description")
+        meta = dict(f.metadata)
+        if text is not None:
+            meta["comment"] = text
+        fields.append(T.StructField(f.name, f.dataType, f.nullable, meta))
+    return T.StructType(fields)
+
+
 def _entry(new: Snapshot, name: str, schema: T.StructType, layout, parent: str | None,
            contract: TableContract | None) -> dict:
+    schema = with_comments(schema, contract)
     entry = new.tables.get(name)
     if entry is None:
         entry = {"schema": schema.jsonValue(), "layout": [], "segments": [], "parent": parent}

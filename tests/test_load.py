@@ -258,3 +258,42 @@ def test_bucket_layout_limits_rewritten_files(spark, dataset_path):
     t = ds.table("t")
     assert t.count() == 400
     assert vals(t.filter("id in (5, 250)"), "id", "v") == [(5, -5), (250, -250)]
+
+
+def test_incremental_load_resumes_from_committed_cursor(spark, dataset_path):
+    from tableload.plans.incremental import incremental_load, last_cursor
+    c = TableContract("items", "append")
+    s = "id long, label string"
+    src = spark.createDataFrame([(0, "a"), (1, "b"), (2, None)], s)
+    incremental_load(spark, dataset_path, src.filter("id < 2"), c, "id", "pipe", "L000001", initial=-1)
+    assert last_cursor(spark, dataset_path, "pipe", "items") == "1"
+    incremental_load(spark, dataset_path, src, c, "id", "pipe", "L000002", initial=-1)
+    ds = Dataset(spark, dataset_path)
+    assert vals(ds.table("items"), "id") == [(0,), (1,), (2,)]
+    assert last_cursor(spark, dataset_path, "pipe", "items") == "2"
+    assert last_cursor(spark, dataset_path, "other", "items") is None
+    incremental_load(spark, dataset_path, src, c, "id", "pipe", "L000003")  # nothing newer
+    assert ds.table("items").count() == 3
+
+
+def test_snake_case_renames_hints(spark, dataset_path):
+    c = TableContract("Deals", "merge", ("dealId",), cursor="lastModified", partition=["Region"])
+    df = spark.createDataFrame([(1, 5, "eu")], "dealId long, lastModified long, Region string")
+    load(spark, dataset_path, {"Deals": df}, [c], "L1", naming="snake_case")
+    ds = Dataset(spark, dataset_path)
+    assert ds.table("deals").columns == ["deal_id", "last_modified", "region", "_load_id", "_row_id"]
+    assert glob.glob(f"{dataset_path}/deals/*/region=eu")
+
+
+def test_column_comments_follow_contract(spark, dataset_path):
+    def contract(text):
+        return TableContract("orders", "append", columns={
+            "id": {"data_type": "bigint"}, "total_amount": {"data_type": "double", "description": text}},
+            description="Orders table")
+    df = spark.createDataFrame([(1, 2.0)], "id long, total_amount double")
+    load(spark, dataset_path, {"orders": df}, [contract("Gross, in EUR")], "L1")
+    ds = Dataset(spark, dataset_path)
+    assert ds.table("orders").schema["total_amount"].metadata["comment"] == "Gross, in EUR"
+    load(spark, dataset_path, {"orders": df}, [contract("Net, in 'EUR'\\nline")], "L2")
+    assert ds.table("orders").schema["total_amount"].metadata["comment"] == "Net, in 'EUR'\\nline"
+    assert ds.snapshot().tables["orders"]["description"] == "Orders table"
