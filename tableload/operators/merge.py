@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tableload.functions.lineage import LOAD_ID, PARENT_ID, ROOT_ID, ROW_ID, LINEAGE
+from tableload.functions.lineage import LINEAGE, ROOT_ID, ROW_ID
 
 
 def _cols(names: Sequence[str] | str | None) -> list[str]:

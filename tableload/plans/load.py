@@ -27,9 +27,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tableload.contract import TableContract, chains, is_staged_route, validate
+from tableload.contract import TableContract, is_staged_route, validate
 from tableload.errors import ContractError, DuplicateRootError, IncompleteStagingError
-from tableload.functions.lineage import LOAD_ID, ROOT_ID, ROW_ID, key_id
+from tableload.functions.lineage import ROOT_ID, ROW_ID, key_id
 from tableload.functions.naming import normalize_name
 from tableload.functions.partition import parse_layout
 from tableload.functions.types import promote, widen

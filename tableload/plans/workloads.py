@@ -452,7 +452,7 @@ def widen_uint64(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -------------------------------------------------------------------- layout
 @workload("partition_year_month", """
 SELECT year(o_orderdate) AS _p_o_orderdate_year, month(o_orderdate) AS _p_o_orderdate_month, count(*) AS n,
-       round(sum(o_totalprice), 2) AS total
+       sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS total_cents
 FROM orders GROUP BY 1, 2
 """)
 def partition_year_month(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -460,7 +460,8 @@ def partition_year_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tableload.functions.partition import month, year
     from tableload.operators.layout import layout_columns
     df, parts = layout_columns(read(spark, sf_dir, "orders"), [year("o_orderdate"), month("o_orderdate")])
-    return df.groupBy(*parts).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")  # exact integer sums in any order
+    return df.groupBy(*parts).agg(F.count(F.lit(1)).alias("n"), F.sum(cents).alias("total_cents"))
 
 
 @workload("partition_day_hour", """
