@@ -446,7 +446,7 @@ def _merge(ds: Dataset, spark: SparkSession, base: Snapshot, new: Snapshot, root
                    else spark.createDataFrame([], c_schema))
         merged = M.replace_children(align_to_schema(t_child, c_schema), align_to_schema(s_child, c_schema),
                                     passing_all, up_all)
-        c_entry = _entry(new, t.name, c_schema, None, t.parent, None)
+        c_entry = _entry(new, t.name, c_schema, _child_layout(entry, new.tables.get(t.name)), t.parent, None)
         c_seg = write_segment(ds, t.name, align_to_schema(merged, c_schema), c_entry["layout"], load_id, mrpf)
         _remove_files(c_entry, c_touched)
         c_entry["segments"].append(c_seg)
@@ -461,6 +461,19 @@ def _materialize(ds: Dataset, spark: SparkSession, load_id: str, table: str, nam
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _child_layout(root_entry: dict, child_entry: dict | None):
+    """Children of a root bucketed on its key are bucketed on ``_root_id`` with the
+    same count, so replacing a root's children rewrites few child files and the
+    touched-file search prunes to the staged roots' buckets.  An explicit child
+    layout is kept."""
+    if child_entry is not None and child_entry.get("layout"):
+        return None
+    buckets = [k["buckets"] for k in root_entry.get("layout") or [] if k["transform"] == "bucket"]
+    if not buckets:
+        return None
+    return [{"column": ROOT_ID, "transform": "bucket", "buckets": buckets[0]}]
+
+
 def _sub(schema: T.StructType, names: Sequence[str]) -> T.StructType:
     keep = set(names)
     return T.StructType([f for f in schema.fields if f.name in keep])

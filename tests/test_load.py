@@ -297,3 +297,21 @@ def test_column_comments_follow_contract(spark, dataset_path):
     load(spark, dataset_path, {"orders": df}, [contract("Net, in 'EUR'\\nline")], "L2")
     assert ds.table("orders").schema["total_amount"].metadata["comment"] == "Net, in 'EUR'\\nline"
     assert ds.snapshot().tables["orders"]["description"] == "Orders table"
+
+
+def test_children_of_bucketed_roots_are_bucketed_by_root(spark, dataset_path):
+    from tableload.functions.partition import bucket
+    c = TableContract("deals", "merge", ("id",), partition=[bucket(4, "id")])
+    rows = [(i, "eu", False, [f"x{i}", f"y{i}"]) for i in range(40)]
+    load(spark, dataset_path, {"deals": spark.createDataFrame(rows, DEALS)}, [c], "L1", max_nesting=1)
+    load(spark, dataset_path, {"deals": spark.createDataFrame([(7, "eu", False, ["new"])], DEALS)}, [c], "L2",
+         max_nesting=1)
+    ds = Dataset(spark, dataset_path)
+    child = ds.snapshot().tables["deals__items"]
+    assert child["layout"] == [{"column": "_root_id", "transform": "bucket", "buckets": 4}]
+    removed_dirs = {f.split("/")[-2] for f in child["segments"][0]["removed"]}
+    assert len(removed_dirs) == 1
+    items = ds.table("deals__items")
+    assert items.count() == 79 and "_p__root_id_bucket4" not in items.columns
+    assert vals(items.join(ds.table("deals").filter("id = 7").select(F.col("_row_id").alias("_root_id")),
+                           "_root_id"), "value") == [("new",)]
