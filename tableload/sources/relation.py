@@ -31,17 +31,33 @@ def where(df: DataFrame, column: str | Column, op: str | None = None, value: obj
 
 def iter_arrow(df: DataFrame, chunk_size: int) -> Iterator[pa.Table]:
     """Arrow tables of ``chunk_size`` rows (the last may be shorter), pulled one
-    partition at a time so the driver holds one chunk; for results that do not
-    belong on one machine, write Parquet instead."""
+    partition at a time so the driver holds one chunk; columns are taken by
+    position, so duplicate names survive.  For results that do not belong on one
+    machine, write Parquet instead."""
     schema = arrow_schema(df)
-    buf: list[dict] = []
+    buf: list[tuple] = []
     for row in df.toLocalIterator(prefetchPartitions=True):
-        buf.append(row.asDict(recursive=True))
+        buf.append(tuple(row))
         if len(buf) == chunk_size:
-            yield pa.Table.from_pylist(buf, schema=schema)
+            yield _chunk(buf, schema)
             buf = []
     if buf:
-        yield pa.Table.from_pylist(buf, schema=schema)
+        yield _chunk(buf, schema)
+
+
+def _plain(v):
+    if hasattr(v, "asDict"):
+        return {k: _plain(x) for k, x in v.asDict().items()}
+    if isinstance(v, list):
+        return [_plain(x) for x in v]
+    if isinstance(v, dict):
+        return {k: _plain(x) for k, x in v.items()}
+    return v
+
+
+def _chunk(rows: list[tuple], schema: pa.Schema) -> pa.Table:
+    arrays = [pa.array([_plain(r[i]) for r in rows], type=schema.field(i).type) for i in range(len(schema))]
+    return pa.Table.from_arrays(arrays, schema=schema)
 
 
 def arrow_schema(df: DataFrame) -> pa.Schema:

@@ -315,3 +315,15 @@ def test_children_of_bucketed_roots_are_bucketed_by_root(spark, dataset_path):
     assert items.count() == 79 and "_p__root_id_bucket4" not in items.columns
     assert vals(items.join(ds.table("deals").filter("id = 7").select(F.col("_row_id").alias("_root_id")),
                            "_root_id"), "value") == [("new",)]
+
+
+def test_arrow_chunks_keep_types_and_duplicate_names(spark):
+    from tableload.sources.relation import arrow_schema, iter_arrow
+    df = spark.sql("SELECT id AS a, CAST(id AS DECIMAL(12,3)) AS a, named_struct('x', id) AS s FROM range(5)")
+    chunks = list(iter_arrow(df, 2))
+    assert [t.num_rows for t in chunks] == [2, 2, 1]
+    assert chunks[0].column_names == ["a", "a", "s"]
+    assert str(chunks[0].schema.field(1).type) == "decimal128(12, 3)"
+    empty = spark.sql("SELECT CAST(NULL AS DECIMAL(12,3)) AS d, CAST(NULL AS TIMESTAMP) AS t WHERE false")
+    assert str(arrow_schema(empty).field(0).type) == "decimal128(12, 3)"
+    assert list(iter_arrow(empty, 3)) == []
