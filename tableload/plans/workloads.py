@@ -867,3 +867,88 @@ def stream_merge_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = stream_merge(src, path, [c], "events", checkpoint=f"{path}/_checkpoint")
     q.awaitTermination()
     return Dataset(spark, path).table("events")
+
+
+@workload("labels_partial_update", """
+WITH t AS (SELECT doc_id, lang, source, n_chars, CAST(NULL AS INTEGER) AS quality,
+                  CAST(NULL AS INTEGER) AS toxic FROM documents)
+SELECT t.* FROM t ANTI JOIN labels l ON t.doc_id = l.doc_id
+UNION ALL
+SELECT l.doc_id, t.lang, t.source, t.n_chars, l.quality, l.toxic FROM labels l LEFT JOIN t ON t.doc_id = l.doc_id
+""")
+def labels_partial_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partial-column upsert (S6 U5): label columns land on the labelled documents,
+    every other stored column keeps its value."""
+    d = read(spark, sf_dir, "documents").select(
+        "doc_id", "lang", "source", "n_chars", F.lit(None).cast("int").alias("quality"),
+        F.lit(None).cast("int").alias("toxic"))
+    return M.upsert(d, read(spark, sf_dir, "labels"), "doc_id", partial=True)
+
+
+def _events_dataset(spark: SparkSession, sf_dir: str, disposition: str, layout=None) -> str:
+    """Two loads of events into a fresh dataset: views and clicks first, the
+    remaining event types second."""
+    from tableload.contract import TableContract
+    from tableload.plans.load import load
+    from tableload.session import scratch_path
+    path = scratch_path(spark, f"events-{disposition}")
+    ev = read(spark, sf_dir, "events")
+    first = F.col("event_type").isin("view", "click")
+    c = TableContract("events", disposition, partition=layout)
+    load(spark, path, {"events": ev.filter(first)}, [c], "L1")
+    load(spark, path, {"events": ev.filter(~first)}, [c], "L2")
+    return path
+
+
+@workload("load_append_events", """
+SELECT *, CASE WHEN event_type IN ('view', 'click') THEN 'L1' ELSE 'L2' END AS _load_id FROM events
+""")
+def load_append_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append on disk (S3): both loads' rows, each under its load id."""
+    from tableload.sources.dataset import Dataset
+    return Dataset(spark, _events_dataset(spark, sf_dir, "append")).table("events").drop("_row_id")
+
+
+@workload("load_replace_events", """
+SELECT *, 'L2' AS _load_id FROM events WHERE event_type NOT IN ('view', 'click')
+""")
+def load_replace_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replace on disk (S4): only the latest load's rows remain."""
+    from tableload.sources.dataset import Dataset
+    return Dataset(spark, _events_dataset(spark, sf_dir, "replace")).table("events").drop("_row_id")
+
+
+@workload("load_layout_between", """
+SELECT *, CASE WHEN event_type IN ('view', 'click') THEN 'L1' ELSE 'L2' END AS _load_id FROM events
+WHERE ts BETWEEN TIMESTAMP '2024-01-10 06:00:00' AND TIMESTAMP '2024-01-10 18:00:00'
+""")
+def load_layout_between(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partitioned append (L2 L5) read back with partition pruning: a range on
+    ``ts`` within one day becomes a filter on the derived day directories."""
+    from tableload.functions.partition import day
+    from tableload.sources.dataset import Dataset
+    path = _events_dataset(spark, sf_dir, "append", [day("ts")])
+    return Dataset(spark, path).between("events", "ts", "2024-01-10 06:00:00", "2024-01-10 18:00:00").drop(
+        "_row_id")
+
+
+@workload("load_verify_problems", """
+SELECT 'lineitem' AS "table", 'key_integrity' AS "check",
+       count(DISTINCT {'a': l_orderkey, 'b': l_linenumber}) AS expected, count(*) AS actual,
+       'lineitem: replace left ' || count(*) || ' rows, but the distinct, non-null primary-key count is '
+         || count(DISTINCT {'a': l_orderkey, 'b': l_linenumber}) AS detail
+FROM lineitem
+""")
+def load_verify_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``verify_load`` on disk (V1-V5 V12): a replace of ``lineitem`` and an append of
+    ``orders`` in one load; the replace keyed on (order, line number) reports its
+    duplicate keys, the append reconciles."""
+    from tableload.contract import TableContract
+    from tableload.plans.load import load
+    from tableload.plans.verify_load import verify_load
+    from tableload.session import scratch_path
+    path = scratch_path(spark, "verify")
+    load(spark, path, {"lineitem": read(spark, sf_dir, "lineitem"), "orders": read(spark, sf_dir, "orders")},
+         [TableContract("lineitem", "replace", ("l_orderkey", "l_linenumber")), TableContract("orders", "append")],
+         "L1")
+    return verify_load(spark, path)
