@@ -139,6 +139,8 @@ def drop_stale(
 def deleted_flag(df: DataFrame, column: str) -> Column:
     """Tombstone test: a boolean flag deletes when TRUE; any other type deletes
     when NOT NULL.  FALSE and NULL are live rows."""
+    if column not in df.columns:  # a file without the flag carries live rows only
+        return F.lit(False)
     dtype = df.schema[column].dataType
     if isinstance(dtype, T.BooleanType):
         return F.coalesce(F.col(column), F.lit(False))

@@ -176,3 +176,10 @@ def test_random_chain_merges_match_model(spark, seed):
         [root, TableContract("d__c", "merge", parent="d")])
     assert sorted(tuple(r) for r in out["d"].collect()) == sorted(roots.values())
     assert sorted(tuple(r) for r in out["d__c"].collect()) == sorted(children)
+
+
+def test_missing_delete_flag_means_live(spark):
+    target = spark.createDataFrame([(1, "a", False)], "id long, v string, deleted boolean")
+    staged = spark.createDataFrame([(1, "b"), (2, "c")], "id long, v string")
+    out = M.upsert(target, staged, "id", deleted="deleted")
+    assert rows(out, "id", "v", "deleted") == [(1, "b", None), (2, "c", None)]
