@@ -163,7 +163,7 @@ def load(
         validate([], allow_destructive=allow_destructive, refresh=refresh)
 
     base = ds.snapshot()
-    done = base.receipt(load_id)
+    done = ds.ledger.receipt(base, load_id)
     if done is not None:
         return Receipt(load_id, False, done.get("counts", {}), done.get("tables", []))
 
@@ -190,7 +190,7 @@ def load(
 
     for attempt in range(COMMIT_ATTEMPTS):
         base = ds.snapshot()
-        done = base.receipt(load_id)
+        done = ds.ledger.receipt(base, load_id)
         if done is not None:
             return Receipt(load_id, False, done.get("counts", {}), done.get("tables", []))
         new = base.copy()
@@ -217,9 +217,10 @@ def load(
                 _merge(ds, spark, base, new, root, staged_files, load_id, max_records_per_file)
         new.tables = {k: v for k, v in new.tables.items()}
         version_hash = schema_hash(new.tables)
-        if not any(s["version_hash"] == version_hash for s in new.schemas):
+        if not ds.ledger.has_schema(new, version_hash):
+            new.versions[schema_name] = new.versions.get(schema_name, 0) + 1
             new.schemas.append({"version_hash": version_hash, "schema_name": schema_name,
-                                "version": len([s for s in new.schemas if s["schema_name"] == schema_name]) + 1,
+                                "version": new.versions[schema_name],
                                 "engine_version": ENGINE_VERSION, "inserted_at": now(),
                                 "schema": json.dumps({n: t["schema"] for n, t in new.tables.items()})})
         if state is not None:

@@ -134,24 +134,14 @@ class Dataset:
 
     # ----------------------------------------------------- bookkeeping
     def loads(self) -> DataFrame:
-        rows = [(r["load_id"], r["schema_name"], r["status"], r["inserted_at"], r.get("schema_version_hash"))
-                for r in self.snapshot().loads]
-        return self.spark.createDataFrame(
-            rows, "load_id string, schema_name string, status int, inserted_at string, schema_version_hash string")
+        """Load receipts (C1): archived and inline, one row per committed load."""
+        return self.ledger.history(self.snapshot(), "loads").drop("counts", "tables", "hints")
 
     def schema_versions(self) -> DataFrame:
-        rows = [(s["version_hash"], s["schema_name"], s["version"], s["engine_version"], s["inserted_at"],
-                 s["schema"]) for s in self.snapshot().schemas]
-        return self.spark.createDataFrame(
-            rows, "version_hash string, schema_name string, version long, engine_version long, "
-                  "inserted_at string, schema string")
+        return self.ledger.history(self.snapshot(), "schemas")
 
     def states(self) -> DataFrame:
-        rows = [(s["version"], s["engine_version"], s["pipeline_name"], s["state"], s["created_at"],
-                 s["version_hash"], s["_load_id"]) for s in self.snapshot().states]
-        return self.spark.createDataFrame(
-            rows, "version long, engine_version long, pipeline_name string, state string, created_at string, "
-                  "version_hash string, _load_id string")
+        return self.ledger.history(self.snapshot(), "states")
 
     # ----------------------------------------------------- maintenance
     def drop(self, *, dry_run: bool = True) -> list[str]:

@@ -327,3 +327,23 @@ def test_arrow_chunks_keep_types_and_duplicate_names(spark):
     empty = spark.sql("SELECT CAST(NULL AS DECIMAL(12,3)) AS d, CAST(NULL AS TIMESTAMP) AS t WHERE false")
     assert str(arrow_schema(empty).field(0).type) == "decimal128(12, 3)"
     assert list(iter_arrow(empty, 3)) == []
+
+
+def test_bookkeeping_is_archived_and_still_found(spark, dataset_path, monkeypatch):
+    from tableload.sources import ledger as LG
+    monkeypatch.setattr(LG, "ARCHIVE_AFTER", 3)
+    monkeypatch.setattr(LG, "KEEP_INLINE", 1)
+    c = TableContract("t", "append")
+    for i in range(6):
+        load(spark, dataset_path, {"t": spark.createDataFrame([(i,)], "id long")}, [c], f"L{i:03d}",
+             state={"pipeline_name": "p", "state": {"i": i}})
+    ds = Dataset(spark, dataset_path)
+    snap = ds.snapshot()
+    assert len(snap.loads) <= 3 and snap.archives.get("loads")
+    assert [r["load_id"] for r in ds.loads().orderBy("load_id").collect()] == [f"L{i:03d}" for i in range(6)]
+    # an archived load id is still recognised: re-running it is a no-op
+    assert not load(spark, dataset_path, {"t": spark.createDataFrame([(9,)], "id long")}, [c], "L000").published
+    assert ds.table("t").count() == 6
+    from tableload.operators.state import latest_state
+    assert latest_state(ds.states(), ds.loads(), "p").collect()[0]["state"] == '{"i": 5}'
+    assert problems(verify_load(spark, dataset_path, "L001")) == []
