@@ -1,0 +1,60 @@
+"""Physical-plan properties the library relies on at scale."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
+from tableload.operators import merge as M
+from tests.conftest import SF
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()  # noqa: SLF001
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_no_nested_loop_cartesian_or_python(spark, name):
+    p = plan(E.queries()[name](spark, SF))
+    for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython"):
+        assert bad not in p, f"{name}: {bad}"
+
+
+def test_stale_filter_reads_only_key_and_cursor(spark):
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    staged = orders.select("o_orderkey", "o_orderdate", "o_totalprice")
+    p = plan(M.drop_stale(staged, orders, "o_orderkey", "o_orderdate"))
+    schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", p)
+    assert "struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in schemas
+
+
+def test_small_staged_side_is_broadcast_target_not_shuffled(spark):
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    staged = orders.filter(F.col("o_orderpriority") == "1-URGENT")
+    p = plan(M.upsert(orders, staged, "o_orderkey"))
+    assert "BroadcastHashJoin" in p and "LeftAnti" in p
+    assert "Exchange hashpartitioning" not in p
+
+
+def test_dedup_combines_map_side(spark):
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    p = plan(M.dedup_latest(events, "user_id", "ts", ["event_id"]))
+    assert "partial_max" in p and "Window" not in p
+
+
+def test_layout_read_prunes_directories(spark, tmp_path):
+    from tableload.contract import TableContract
+    from tableload.functions.partition import month, year
+    from tableload.plans.load import load
+    from tableload.sources.dataset import Dataset
+    path = str(tmp_path / "lake")
+    c = TableContract("orders", "append", partition=[year("o_orderdate"), month("o_orderdate")])
+    load(spark, path, {"orders": spark.read.parquet(f"{SF}/orders.parquet")}, [c], "L1")
+    df = Dataset(spark, path).between("orders", "o_orderdate", "1996-03-01 00:00:00", "1996-03-31 00:00:00")
+    p = plan(df)
+    assert re.search(r"PartitionFilters: \[[^\]]*_p_o_orderdate_year", p)
+    assert re.search(r"PartitionFilters: \[[^\]]*_p_o_orderdate_month", p)
+    expected = spark.read.parquet(f"{SF}/orders.parquet").filter(
+        F.col("o_orderdate").between("1996-03-01 00:00:00", "1996-03-31 00:00:00")).count()
+    assert df.count() == expected
