@@ -347,3 +347,23 @@ def test_bookkeeping_is_archived_and_still_found(spark, dataset_path, monkeypatc
     from tableload.operators.state import latest_state
     assert latest_state(ds.states(), ds.loads(), "p").collect()[0]["state"] == '{"i": 5}'
     assert problems(verify_load(spark, dataset_path, "L001")) == []
+
+
+def test_type_round_trip(spark, dataset_path):
+    import datetime as dt
+    c = TableContract("typed", "append", columns={
+        "id": {"data_type": "bigint"}, "amount": {"data_type": "decimal", "precision": 12, "scale": 3},
+        "at": {"data_type": "timestamp"}, "day": {"data_type": "date"}, "clock": {"data_type": "time"},
+        "flag": {"data_type": "bool"}, "blob": {"data_type": "binary"}, "doc": {"data_type": "json"}})
+    schema = c.declared_schema()
+    rows = [(2**53 + 1, Decimal("12.300"), dt.datetime(2026, 1, 1, 12, tzinfo=dt.timezone.utc),
+             dt.date(2026, 1, 3), dt.time(1, 2, 3, 4), True, b"\x00\x01", '{"a": 1}'),
+            (None, None, None, None, None, None, None, None)]
+    load(spark, dataset_path, {"typed": spark.createDataFrame(rows, schema)}, [c], "L1")
+    got = Dataset(spark, dataset_path).table("typed")
+    assert [f.dataType.simpleString() for f in got.schema.fields][:8] == [
+        "bigint", "decimal(12,3)", "timestamp", "date", "time(6)", "boolean", "binary", "string"]
+    back = sorted(got.collect(), key=lambda r: r["id"] is None)
+    assert back[0]["id"] == 2**53 + 1 and back[0]["amount"] == Decimal("12.300")
+    assert back[0]["clock"] == dt.time(1, 2, 3, 4) and bytes(back[0]["blob"]) == b"\x00\x01"
+    assert all(v is None for k, v in back[1].asDict().items() if not k.startswith("_"))
