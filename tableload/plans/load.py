@@ -152,6 +152,8 @@ def load(
     """Load ``frames`` (root table name -> DataFrame or list of DataFrames, one per
     input file) into the dataset at ``path`` under ``load_id``."""
     ds = Dataset(spark, path)
+    # declared types apply to the raw frame, so they keep the frame's original names
+    declared = {normalize_name(c.name, naming): c for c in contracts if c.parent is None}
     if naming != "direct":
         contracts = [rename_contract(c, naming) for c in contracts]
         frames = {normalize_name(k, naming): v for k, v in frames.items()}
@@ -168,7 +170,6 @@ def load(
         return Receipt(load_id, False, done.get("counts", {}), done.get("tables", []))
 
     # plan normalization lazily, then validate the full chains before any write
-    planned: dict[str, list[NormalizedTable]] = {}
     raw_schemas = {name: _frames_of(v)[0].schema for name, v in frames.items() if _frames_of(v)}
     chain_contracts: list[TableContract] = []
     for name, root in roots.items():
@@ -185,7 +186,7 @@ def load(
     staged_paths: dict[str, list[str]] = {}
     for name, value in frames.items():
         fr = _frames_of(value)
-        staged_paths[name] = stage(ds, load_id, name, [_declared(f, roots[name]) for f in fr])
+        staged_paths[name] = stage(ds, load_id, name, [_declared(f, declared[name]) for f in fr])
     require_complete(ds, [p for ps in staged_paths.values() for p in ps])
 
     for attempt in range(COMMIT_ATTEMPTS):
@@ -215,7 +216,6 @@ def load(
                 _replace(ds, new, root, staged_files, load_id, max_records_per_file)
             else:
                 _merge(ds, spark, base, new, root, staged_files, load_id, max_records_per_file)
-        new.tables = {k: v for k, v in new.tables.items()}
         version_hash = schema_hash(new.tables)
         if not ds.ledger.has_schema(new, version_hash):
             new.versions[schema_name] = new.versions.get(schema_name, 0) + 1
@@ -337,6 +337,10 @@ def _append(ds, new, root, files, load_id, mrpf) -> None:
 
 
 def _replace(ds, new, root, files, load_id, mrpf) -> None:
+    staged = {t.name for t in files[0]}
+    for name in _descendants(new, root.name):
+        if name not in staged:  # a child table with nothing staged is replaced by nothing
+            new.tables[name]["segments"] = []
     for i, t in enumerate(files[0]):
         df = _union(files, i)
         schema = evolve(None, df.schema)
@@ -390,7 +394,10 @@ def _merge(ds: Dataset, spark: SparkSession, base: Snapshot, new: Snapshot, root
            files: list[list[NormalizedTable]], load_id: str, mrpf) -> None:
     chain = files[0]
     pk = list(root.primary_key)
-    staged_route = is_staged_route(root, len(chain))
+    # the chain is the schema's: stored child tables this load has no rows for still
+    # lose the children of replaced and deleted roots
+    extra = [n for n in _descendants(base, root.name) if n not in {t.name for t in chain}]
+    staged_route = is_staged_route(root, len(chain) + len(extra))
     # staged root rows: one relation (staged route) or per-file column groups (flat)
     if staged_route:
         s_root = _union(files, 0)
@@ -438,8 +445,11 @@ def _merge(ds: Dataset, spark: SparkSession, base: Snapshot, new: Snapshot, root
     _remove_files(entry, touched)
     entry["segments"].append(seg)
     # children: replaced for every passing root, by root id
-    for i, t in enumerate(chain[1:], start=1):
-        s_child = M.drop_orphans(_union(files, i), passing_all) if passing_all is not None else _union(files, i)
+    children = [(t.name, t.parent, _union(files, i)) for i, t in enumerate(chain[1:], start=1)]
+    children += [(n, base.tables[n].get("parent"), spark.createDataFrame([], base.schema_of(n))) for n in extra]
+    for name, parent, staged_child in children:
+        t = NormalizedTable(name, parent, staged_child, ())
+        s_child = M.drop_orphans(staged_child, passing_all)
         c_stored_schema = base.schema_of(t.name)
         c_schema = evolve(c_stored_schema, s_child.schema)
         c_touched = _touched(ds, base, t.name, passing_all.select(F.col(ROW_ID).alias(ROOT_ID)), [ROOT_ID])
@@ -453,6 +463,11 @@ def _merge(ds: Dataset, spark: SparkSession, base: Snapshot, new: Snapshot, root
         c_entry["segments"].append(c_seg)
 
 
+def _descendants(snap: Snapshot, root: str) -> list[str]:
+    parents = {n: t.get("parent") for n, t in snap.tables.items()}
+    return [n for n in children_of([root], parents) if n != root]
+
+
 def _materialize(ds: Dataset, spark: SparkSession, load_id: str, table: str, name: str,
                  df: DataFrame) -> DataFrame:
     """Write an intermediate result under the load's staging folder (shared

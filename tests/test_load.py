@@ -367,3 +367,27 @@ def test_type_round_trip(spark, dataset_path):
     assert back[0]["id"] == 2**53 + 1 and back[0]["amount"] == Decimal("12.300")
     assert back[0]["clock"] == dt.time(1, 2, 3, 4) and bytes(back[0]["blob"]) == b"\x00\x01"
     assert all(v is None for k, v in back[1].asDict().items() if not k.startswith("_"))
+
+
+def test_snake_case_with_declared_types(spark, dataset_path):
+    c = TableContract("Events", "append", columns={"eventTime": {"data_type": "bigint"},
+                                                   "Amount": {"data_type": "decimal", "precision": 10, "scale": 2}})
+    df = spark.createDataFrame([(5, 1.5)], "eventTime int, Amount double")
+    load(spark, dataset_path, {"Events": df}, [c], "L1", naming="snake_case")
+    t = Dataset(spark, dataset_path).table("events")
+    assert [(f.name, f.dataType.simpleString()) for f in t.schema.fields][:2] == [
+        ("event_time", "bigint"), ("amount", "decimal(10,2)")]
+
+
+def test_children_cleared_when_later_frame_lacks_the_list(spark, dataset_path):
+    c = TableContract("deals", "merge", ("id",), hard_delete="deleted")
+    load(spark, dataset_path, {"deals": spark.createDataFrame([(1, "eu", False, ["a"]), (2, "eu", False, ["b"])],
+                                                              DEALS)}, [c], "L1", max_nesting=1)
+    flat = spark.createDataFrame([(1, True)], "id long, deleted boolean")
+    load(spark, dataset_path, {"deals": flat}, [c], "L2", max_nesting=1)
+    ds = Dataset(spark, dataset_path)
+    assert vals(ds.table("deals"), "id") == [(2,)]
+    assert vals(ds.table("deals__items"), "value") == [("b",)]
+    r = TableContract("deals", "replace")
+    load(spark, dataset_path, {"deals": spark.createDataFrame([(3,)], "id long")}, [r], "L3", max_nesting=1)
+    assert ds.table("deals__items").count() == 0
