@@ -42,6 +42,8 @@ from tableload.sources.ledger import Snapshot, now
 
 ENGINE_VERSION = 1
 COMMIT_ATTEMPTS = 5
+# Fixed value: the recommended data file size.
+TARGET_FILE_BYTES = 128 * 1024 * 1024
 
 
 @dataclass
@@ -148,9 +150,14 @@ def load(
     allow_destructive: Any = None,
     state: dict[str, Any] | None = None,
     max_records_per_file: int | None = None,
+    target_file_bytes: int | None = TARGET_FILE_BYTES,
 ) -> Receipt:
     """Load ``frames`` (root table name -> DataFrame or list of DataFrames, one per
-    input file) into the dataset at ``path`` under ``load_id``."""
+    input file) into the dataset at ``path`` under ``load_id``.
+
+    Output files are capped near ``target_file_bytes`` (S11): rows per file come
+    from the staged Parquet's bytes per root row, unless ``max_records_per_file``
+    is given."""
     ds = Dataset(spark, path)
     # declared types apply to the raw frame, so they keep the frame's original names
     declared = {normalize_name(c.name, naming): c for c in contracts if c.parent is None}
@@ -207,15 +214,16 @@ def load(
                 continue
             chain_names = [t.name for t in staged_files[0]]
             counts.update(_count_tables(staged_files))
+            mrpf = max_records_per_file or _records_per_file(ds, paths, counts[name], target_file_bytes)
             for i, tname in enumerate(chain_names):
                 loaded_tables.append(tname)
                 hints[tname] = _hints(root if i == 0 else None, staged_files[0][i], root.disposition)
             if root.disposition == "append":
-                _append(ds, new, root, staged_files, load_id, max_records_per_file)
+                _append(ds, new, root, staged_files, load_id, mrpf)
             elif root.disposition == "replace":
-                _replace(ds, new, root, staged_files, load_id, max_records_per_file)
+                _replace(ds, new, root, staged_files, load_id, mrpf)
             else:
-                _merge(ds, spark, base, new, root, staged_files, load_id, max_records_per_file)
+                _merge(ds, spark, base, new, root, staged_files, load_id, mrpf)
         version_hash = schema_hash(new.tables)
         if not ds.ledger.has_schema(new, version_hash):
             new.versions[schema_name] = new.versions.get(schema_name, 0) + 1
@@ -237,6 +245,18 @@ def load(
     raise RuntimeError(f"load {load_id}: lost the commit race {COMMIT_ATTEMPTS} times")
 
 
+def _records_per_file(ds: Dataset, paths: Sequence[str], rows: int, target: int | None) -> int | None:
+    """Rows per output file so that files land near ``target`` bytes, estimated
+    from the staged Parquet (same format and compression as the output).  Child
+    rows are narrower than roots, so their files stay at or under the target."""
+    if not target or rows <= 0:
+        return None
+    staged_bytes = sum(ds.ledger.fs.size(p) for p in paths)
+    if staged_bytes <= 0:
+        return None
+    return max(1000, int(target / (staged_bytes / rows)))
+
+
 def _count_tables(files: list[list[NormalizedTable]]) -> dict[str, int]:
     """Normalized row count of every table of a chain in one job."""
     parts = [t.frame.select(F.lit(t.name).alias("t")) for f in files for t in f]

@@ -73,6 +73,12 @@ class FS:
         finally:
             stream.close()
 
+    def size(self, p: str) -> int:
+        """Bytes under ``p`` (0 if absent)."""
+        if not self.exists(p):
+            return 0
+        return int(self._fs.getContentSummary(self._Path(p)).getLength())
+
     def delete(self, p: str) -> bool:
         return bool(self._fs.delete(self._Path(p), True))
 

@@ -391,3 +391,13 @@ def test_children_cleared_when_later_frame_lacks_the_list(spark, dataset_path):
     r = TableContract("deals", "replace")
     load(spark, dataset_path, {"deals": spark.createDataFrame([(3,)], "id long")}, [r], "L3", max_nesting=1)
     assert ds.table("deals__items").count() == 0
+
+
+def test_target_file_size_caps_rows_per_file(spark, dataset_path):
+    import pyarrow.parquet as pq
+    c = TableContract("t", "append")
+    df = spark.range(0, 20000, numPartitions=1).select("id", F.sha2(F.col("id").cast("string"), 256).alias("h"))
+    load(spark, dataset_path, {"t": df}, [c], "L1", target_file_bytes=200_000)
+    files = glob.glob(f"{dataset_path}/t/*/*.parquet")
+    assert len(files) >= 3  # about 1.5 MB of rows split near 200 KB (at least 1000 rows each)
+    assert sum(pq.ParquetFile(f).metadata.num_rows for f in files) == 20000
