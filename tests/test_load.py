@@ -401,3 +401,18 @@ def test_target_file_size_caps_rows_per_file(spark, dataset_path):
     files = glob.glob(f"{dataset_path}/t/*/*.parquet")
     assert len(files) >= 3  # about 1.5 MB of rows split near 200 KB (at least 1000 rows each)
     assert sum(pq.ParquetFile(f).metadata.num_rows for f in files) == 20000
+
+
+def test_touched_search_skips_files_outside_key_range(spark, dataset_path):
+    c = TableContract("t", "merge", ("id",))
+    for i in range(4):  # four segments with disjoint key ranges, as increasing ids produce
+        lo = i * 1000
+        load(spark, dataset_path, {"t": spark.range(lo, lo + 1000).withColumn("v", F.lit(i))}, [c], f"L{i}")
+    ds = Dataset(spark, dataset_path)
+    from tableload.plans.load import _touched
+    snap = ds.snapshot()
+    keys = spark.createDataFrame([(3500,), (3999,)], "id long")
+    touched = _touched(ds, snap, "t", keys, ["id"])
+    assert len(touched) >= 1 and all("/L3-" in f for f in touched)
+    load(spark, dataset_path, {"t": spark.createDataFrame([(3500, -1)], "id long, v int")}, [c], "L9")
+    assert vals(ds.table("t").filter("id = 3500"), "v") == [(-1,)] and ds.table("t").count() == 4000
