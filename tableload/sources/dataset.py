@@ -151,18 +151,32 @@ class Dataset:
         self.ledger.fs.delete(self.path)
         return [f"deleted {self.path}"]
 
-    def vacuum(self) -> list[str]:
-        """Delete segment directories no longer named by the newest snapshot."""
+    def vacuum(self, older_than_seconds: float = 7 * 24 * 3600) -> list[str]:
+        """Delete what the newest snapshot no longer names and that is older than
+        ``older_than_seconds``: segment folders of superseded or lost commits,
+        files a merge rewrote, and staging folders of abandoned loads.  The age
+        guard protects readers of older snapshots and loads still running."""
+        import time as _time
+        fs = self.ledger.fs
+        cutoff = _time.time() - older_than_seconds
         snap = self.snapshot()
         live = {uri_path(s["path"]) for t in snap.tables.values() for s in t["segments"]}
         gone = []
-        for name in self.ledger.fs.list(self.path):
-            if name.startswith("_"):
+        for name in fs.list(self.path):
+            if name.startswith("_") and name != "_staging":
                 continue
             tdir = f"{self.path}/{name}"
-            for seg in self.ledger.fs.list(tdir):
+            for seg in fs.list(tdir):
                 p = f"{tdir}/{seg}"
-                if uri_path(p) not in live and uri_path(self.ledger.fs.qualify(p)) not in live:
-                    self.ledger.fs.delete(p)
+                if name != "_staging" and uri_path(fs.qualify(p)) in live:
+                    continue
+                if fs.mtime(p) < cutoff:
+                    fs.delete(p)
                     gone.append(p)
+        for t in snap.tables.values():
+            for s in t["segments"]:
+                for f in s.get("removed") or []:
+                    if fs.exists(f) and fs.mtime(f) < cutoff:
+                        fs.delete(f)
+                        gone.append(f)
         return gone

@@ -79,6 +79,10 @@ class FS:
             return 0
         return int(self._fs.getContentSummary(self._Path(p)).getLength())
 
+    def mtime(self, p: str) -> float:
+        """Modification time in seconds since the epoch."""
+        return self._fs.getFileStatus(self._Path(p)).getModificationTime() / 1000.0
+
     def delete(self, p: str) -> bool:
         return bool(self._fs.delete(self._Path(p), True))
 

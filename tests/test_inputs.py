@@ -93,3 +93,19 @@ def test_compact_bounds_segments(spark, dataset_path):
     assert len(ds.snapshot().tables["t"]["segments"]) == 1
     assert sorted(tuple(r) for r in ds.table("t").select("id", "v").collect()) == before == [(0, 102), (1, 1), (2, 2)]
     assert not compact(spark, dataset_path, "t")
+
+
+def test_vacuum_respects_age_and_live_segments(spark, dataset_path):
+    from tableload.plans.maintenance import compact
+    c = TableContract("t", "merge", ("id",))
+    for i in range(2):
+        load(spark, dataset_path, {"t": spark.createDataFrame([(i, i), (0, 10 + i)], "id long, v long")}, [c],
+             f"L{i}")
+    compact(spark, dataset_path, "t")
+    ds = Dataset(spark, dataset_path)
+    before = sorted(tuple(r) for r in ds.table("t").select("id", "v").collect())
+    assert ds.vacuum() == []  # everything is younger than a week
+    gone = ds.vacuum(older_than_seconds=0)
+    assert len(gone) >= 2
+    assert sorted(tuple(r) for r in ds.table("t").select("id", "v").collect()) == before
+    assert len(os.listdir(f"{dataset_path}/t")) == 1
