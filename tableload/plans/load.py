@@ -213,7 +213,13 @@ def load(
             if not staged_files:
                 continue
             chain_names = [t.name for t in staged_files[0]]
-            counts.update(_count_tables(staged_files))
+            nested_merge = root.disposition == "merge" and (
+                len(staged_files[0]) > 1 or bool(_descendants(base, name)))
+            table_counts, n_keys = _count_tables(staged_files, root.primary_key if nested_merge else ())
+            if nested_merge and n_keys != table_counts[name]:
+                raise DuplicateRootError(
+                    f"table {name}: nested upsert requires one row per primary key per load")
+            counts.update(table_counts)
             mrpf = max_records_per_file or _records_per_file(ds, paths, counts[name], target_file_bytes)
             for i, tname in enumerate(chain_names):
                 loaded_tables.append(tname)
@@ -257,13 +263,28 @@ def _records_per_file(ds: Dataset, paths: Sequence[str], rows: int, target: int
     return max(1000, int(target / (staged_bytes / rows)))
 
 
-def _count_tables(files: list[list[NormalizedTable]]) -> dict[str, int]:
-    """Normalized row count of every table of a chain in one job."""
-    parts = [t.frame.select(F.lit(t.name).alias("t")) for f in files for t in f]
+def _count_tables(files: list[list[NormalizedTable]], keys: Sequence[str] = ()) -> tuple[dict[str, int], int | None]:
+    """Normalized row count of every table of a chain in one job (V12); with
+    ``keys``, the same job counts the root's distinct keys for the uniqueness
+    guard of nested merges (U3)."""
+    key_type = None
+    if keys:
+        key_type = files[0][0].frame.select(F.struct(*keys).alias("k")).schema["k"].dataType
+    parts = []
+    for f in files:
+        for i, t in enumerate(f):
+            k = F.struct(*keys) if keys and i == 0 else F.lit(None).cast(key_type or T.NullType())
+            parts.append(t.frame.select(F.lit(t.name).alias("t"), k.alias("k")))
     counts = {t.name: 0 for t in files[0]}
-    for row in M.union_staged(parts).groupBy("t").count().collect():
-        counts[row["t"]] = row["count"]
-    return counts
+    distinct_keys = None
+    agg = M.union_staged(parts).groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("k").alias("d"))
+    for row in agg.collect():
+        counts[row["t"]] = row["n"]
+        if keys and row["t"] == files[0][0].name:
+            distinct_keys = row["d"]
+    if keys and distinct_keys is None:
+        distinct_keys = 0
+    return counts, distinct_keys
 
 
 def rename_contract(c: TableContract, naming: str) -> TableContract:
@@ -437,12 +458,7 @@ def _merge(ds: Dataset, spark: SparkSession, base: Snapshot, new: Snapshot, root
     # staged root rows: one relation (staged route) or per-file column groups (flat)
     if staged_route:
         s_root = _union(files, 0)
-        if len(chain) > 1:
-            g = M.key_guard(s_root, pk).collect()[0]
-            if g["n_rows"] != g["n_keys"]:
-                raise DuplicateRootError(
-                    f"table {root.name}: nested upsert requires one row per primary key per load")
-        else:
+        if len(chain) + len(extra) == 1:  # nested chains were checked for unique roots while counting
             s_root = M.dedup_latest(s_root, pk, root.cursor, root.tie_break)
         groups = [s_root]
     else:

@@ -416,3 +416,12 @@ def test_touched_search_skips_files_outside_key_range(spark, dataset_path):
     assert len(touched) >= 1 and all("/L3-" in f for f in touched)
     load(spark, dataset_path, {"t": spark.createDataFrame([(3500, -1)], "id long, v int")}, [c], "L9")
     assert vals(ds.table("t").filter("id = 3500"), "v") == [(-1,)] and ds.table("t").count() == 4000
+
+
+def test_duplicate_roots_refused_once_the_table_has_children(spark, dataset_path):
+    c = TableContract("deals", "merge", ("id",))
+    load(spark, dataset_path, {"deals": spark.createDataFrame([(1, "eu", False, ["a"])], DEALS)}, [c], "L1",
+         max_nesting=1)
+    dup = spark.createDataFrame([(1, "x"), (1, "y")], "id long, region string")
+    with pytest.raises(DuplicateRootError):
+        load(spark, dataset_path, {"deals": dup}, [c], "L2", max_nesting=1)
