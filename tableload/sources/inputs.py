@@ -48,19 +48,32 @@ def frame(spark: SparkSession, data: Any, schema: T.StructType | str | None = No
     return spark.createDataFrame(data, schema)
 
 
-def route(df: DataFrame, by: Column | str, max_routes: int = 10_000) -> dict[str, DataFrame]:
+def route(df: DataFrame, by: Column | str, max_routes: int = 10_000,
+          staging_path: str | None = None) -> dict[str, DataFrame]:
     """Split rows into tables named by ``by`` (e.g. ``concat('events_', kind)``).
-    The distinct route names are collected once -- a bounded set, checked against
-    ``max_routes`` -- and each table is a filter over the same input, so write the
-    input once (``load`` stages it) before routing large data."""
+
+    The input is written once, partitioned by route value, under the shared
+    folder (``staging_path`` or a fresh folder under ``spark.checkpoint.dir``); each
+    table is then a partition-pruned read of its directory, so routing costs one
+    pass however many routes there are.  A route holding a large share of the
+    rows is split across writers by the ``rebalance`` hint.  The route names come
+    from the directory listing, bounded by ``max_routes``."""
+    from urllib.parse import unquote
+
+    from tableload.session import scratch_path
+    from tableload.sources.fs import FS
+    spark = df.sparkSession
     col = F.expr(by) if isinstance(by, str) else by
-    tagged = df.withColumn("__route", col)
-    names = [r[0] for r in tagged.select("__route").distinct().limit(max_routes + 1).collect()]
+    path = staging_path or scratch_path(spark, "route")
+    df.withColumn("__route", col).hint("rebalance", "__route").write.partitionBy("__route").parquet(path)
+    dirs = [d for d in FS(spark, path).list(path) if d.startswith("__route=")]
+    names = [unquote(d.split("=", 1)[1]) for d in dirs]
+    if "__HIVE_DEFAULT_PARTITION__" in names:
+        raise ContractError("route expression returned NULL for some rows")
     if len(names) > max_routes:
         raise ContractError(f"more than {max_routes} route values; route by a coarser expression")
-    if any(n is None for n in names):
-        raise ContractError("route expression returned NULL for some rows")
-    return {n: tagged.filter(F.col("__route") == n).drop("__route") for n in sorted(names)}
+    staged = spark.read.schema(df.schema.add("__route", T.StringType())).parquet(path)
+    return {n: staged.filter(F.col("__route") == n).drop("__route") for n in sorted(names)}
 
 
 def dataset_name(base: str, schema_name: str, default_schema: str | None = None) -> str:

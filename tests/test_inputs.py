@@ -109,3 +109,14 @@ def test_vacuum_respects_age_and_live_segments(spark, dataset_path):
     assert len(gone) >= 2
     assert sorted(tuple(r) for r in ds.table("t").select("id", "v").collect()) == before
     assert len(os.listdir(f"{dataset_path}/t")) == 1
+
+
+def test_routing_reads_one_directory_per_table(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a b"), (2, "c"), (3, None)], "id long, grp string")
+    with pytest.raises(ContractError):
+        route(df, "grp", staging_path=str(tmp_path / "r1"))
+    routes = route(df.filter("grp IS NOT NULL"), "concat('t_', grp)", staging_path=str(tmp_path / "r2"))
+    assert sorted(routes) == ["t_a b", "t_c"]
+    assert [r["id"] for r in routes["t_a b"].collect()] == [1]
+    p = routes["t_c"]._jdf.queryExecution().executedPlan().toString()  # noqa: SLF001
+    assert "PartitionFilters: [isnotnull(__route" in p
