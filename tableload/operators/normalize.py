@@ -125,12 +125,14 @@ def normalize(
     naming: str = "direct",
     load_id: str | Column | None = None,
     row_id: Column | None = None,
+    extra: dict[str, Column] | None = None,
 ) -> list[NormalizedTable]:
     """Split nested records into a root table and child tables, root first.
 
     ``primary_key`` (in normalized names) gives the root's ``_row_id``; without one
     pass ``row_id`` (e.g. a digest of file name and row index of a staged file),
-    else the digest of the whole normalized row is used."""
+    else the digest of the whole normalized row is used.  ``extra`` columns are
+    computed on the input and appended to the root table as named."""
     table = normalize_name(table, naming)
     root_cols, lists = _flatten_record(
         [(f.name, F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields], 0, max_nesting, naming)
@@ -143,16 +145,19 @@ def normalize(
         rid = None  # computed after projection, from normalized key names
     else:
         rid = key_id([F.to_json(F.struct(*[c.alias(n) for n, c in root_cols]), _JSON_OPTS)])
+    extra = extra or {}
     base = df.select(
         *[c.alias(n) for n, c in root_cols],
         *[c.alias(f"__list{i}") for i, (_, c, _, _) in enumerate(lists)],
         *([rid.alias(ROW_ID)] if rid is not None else []),
+        *[c.alias(n) for n, c in extra.items()],
     )
     if rid is None:
         base = base.withColumn(ROW_ID, key_id(pk))
     if load_id is not None:
         base = base.withColumn(LOAD_ID, load_id if isinstance(load_id, Column) else F.lit(load_id))
-    out = [NormalizedTable(table, None, base.select(*names, *([LOAD_ID] if load_id is not None else []), ROW_ID), ())]
+    out = [NormalizedTable(table, None, base.select(*names, *([LOAD_ID] if load_id is not None else []), ROW_ID,
+                                                   *extra), ())]
     for i, (lname, _, ldt, level) in enumerate(lists):
         out += _children(base, f"__list{i}", ldt, f"{table}{SEP}{lname}", table, level, max_nesting,
                          naming, ROW_ID, (lname,))

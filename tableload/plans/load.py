@@ -44,6 +44,8 @@ ENGINE_VERSION = 1
 COMMIT_ATTEMPTS = 5
 # Fixed value: the recommended data file size.
 TARGET_FILE_BYTES = 128 * 1024 * 1024
+# Write position of staged merge rows: input frame, staged file, row in file.
+ORDER_COLS = ("__w_frame", "__w_file", "__w_row")
 
 
 @dataclass
@@ -209,7 +211,8 @@ def load(
             _apply_refresh(new, refresh, [c.name for c in contracts if c.parent is None])
         for name, root in sorted(roots.items()):
             paths = staged_paths.get(name, [])
-            staged_files = [_read_staged(spark, p, root, load_id, max_nesting, naming, name) for p in paths]
+            staged_files = [_read_staged(spark, p, root, load_id, max_nesting, naming, name, i)
+                            for i, p in enumerate(paths)]
             if not staged_files:
                 continue
             chain_names = [t.name for t in staged_files[0]]
@@ -321,16 +324,22 @@ def _apply_refresh(new: Snapshot, mode: str, names: Sequence[str]) -> None:
 
 
 def _read_staged(spark: SparkSession, path: str, root: TableContract, load_id: str,
-                 max_nesting: int | None, naming: str, name: str) -> list[NormalizedTable]:
+                 max_nesting: int | None, naming: str, name: str, seq: int = 0) -> list[NormalizedTable]:
     """Normalize one staged file.  Keyless roots get ids from (load id, file name,
-    row index) of the staged Parquet, stable across retries."""
+    row index) of the staged Parquet, stable across retries.  Merge roots carry
+    their write position (input frame, file, row) so that among duplicates with
+    equal cursors the last written row wins."""
     raw = spark.read.parquet(path)
     keyed = root.disposition == "merge"  # append/replace ignore key hints for row ids
     rid = None
     if not keyed:
         rid = key_id([F.lit(load_id), F.col("_metadata.file_name"), F.col("_metadata.row_index")])
+    extra = None
+    if keyed:
+        extra = {ORDER_COLS[0]: F.lit(seq), ORDER_COLS[1]: F.col("_metadata.file_name"),
+                 ORDER_COLS[2]: F.col("_metadata.row_index")}
     return normalize(raw, name, primary_key=root.primary_key if keyed else (), max_nesting=max_nesting,
-                     naming=naming, load_id=load_id, row_id=rid)
+                     naming=naming, load_id=load_id, row_id=rid, extra=extra)
 
 
 def with_comments(schema: T.StructType, contract: TableContract | None) -> T.StructType:
@@ -459,11 +468,11 @@ def _merge(ds: Dataset, spark: SparkSession, base: Snapshot, new: Snapshot, root
     if staged_route:
         s_root = _union(files, 0)
         if len(chain) + len(extra) == 1:  # nested chains were checked for unique roots while counting
-            s_root = M.dedup_latest(s_root, pk, root.cursor, root.tie_break)
-        groups = [s_root]
+            s_root = _latest(s_root, pk, root)
+        groups = [s_root.drop(*ORDER_COLS)]
     else:
         groups = _column_groups([f[0].frame for f in files])
-        groups = [M.dedup_latest(g, pk, root.cursor, root.tie_break) for g in groups]
+        groups = [_latest(g, pk, root).drop(*ORDER_COLS) for g in groups]
     # dedup keeps the key set, so touched files come from the raw staged keys
     all_keys = M.union_staged([f[0].frame.select(*pk) for f in files])
     stored_schema = base.schema_of(root.name)
@@ -515,6 +524,11 @@ def _merge(ds: Dataset, spark: SparkSession, base: Snapshot, new: Snapshot, root
         c_entry["segments"].append(c_seg)
 
 
+def _latest(df: DataFrame, pk: list[str], root: TableContract) -> DataFrame:
+    """Highest cursor per key; ties (or no cursor) go to the last written row."""
+    return M.dedup_latest(df, pk, root.cursor, list(root.tie_break) + list(ORDER_COLS))
+
+
 def _descendants(snap: Snapshot, root: str) -> list[str]:
     parents = {n: t.get("parent") for n, t in snap.tables.items()}
     return [n for n in children_of([root], parents) if n != root]

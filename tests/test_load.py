@@ -425,3 +425,16 @@ def test_duplicate_roots_refused_once_the_table_has_children(spark, dataset_path
     dup = spark.createDataFrame([(1, "x"), (1, "y")], "id long, region string")
     with pytest.raises(DuplicateRootError):
         load(spark, dataset_path, {"deals": dup}, [c], "L2", max_nesting=1)
+
+
+def test_duplicates_without_cursor_last_write_wins(spark, dataset_path):
+    c = TableContract("t", "merge", ("id",))
+    s = "id long, v string"
+    f1 = spark.createDataFrame([(1, "first"), (1, "second"), (2, "zz")], s).coalesce(1)
+    f2 = spark.createDataFrame([(2, "aa")], s)
+    load(spark, dataset_path, {"t": [f1, f2]}, [c], "L1")
+    assert vals(Dataset(spark, dataset_path).table("t"), "id", "v") == [(1, "second"), (2, "aa")]
+    tied = TableContract("t", "merge", ("id",), cursor="k")
+    f3 = spark.createDataFrame([(1, "x", 5), (1, "y", 5), (1, "old", 4)], "id long, v string, k long").coalesce(1)
+    load(spark, dataset_path, {"t": f3}, [tied], "L2")
+    assert vals(Dataset(spark, dataset_path).table("t").filter("id = 1"), "v") == [("y",)]
