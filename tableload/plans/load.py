@@ -37,7 +37,7 @@ from tableload.operators import merge as M
 from tableload.operators.layout import layout_columns
 from tableload.operators.normalize import NormalizedTable, align_to_schema, normalize
 from tableload.plans.refresh import children_of
-from tableload.sources.dataset import FILE_COL, Dataset, layout_json, uri_path
+from tableload.sources.dataset import FILE_COL, SEGMENT_COL, Dataset, layout_json, uri_path
 from tableload.sources.ledger import Snapshot, now
 
 ENGINE_VERSION = 1
@@ -124,7 +124,9 @@ def write_segment(ds: Dataset, table: str, df: DataFrame, layout, load_id: str,
     derived columns); return its ledger entry."""
     keys = parse_layout(layout) if layout else []
     out, parts = layout_columns(df, keys)
-    path = ds.ledger.fs.qualify(f"{ds.path}/{table}/{_safe(load_id)}-{uuid.uuid4().hex[:8]}")
+    # segments are ``_seg=<id>`` folders, so every segment of one layout is a
+    # partition of a single scan rooted at the table folder
+    path = ds.ledger.fs.qualify(f"{ds.path}/{table}/{SEGMENT_COL}={_safe(load_id)}-{uuid.uuid4().hex[:8]}")
     writer = out.write.mode("errorifexists")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)

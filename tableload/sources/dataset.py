@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 from functools import reduce
 from urllib.parse import unquote, urlparse
@@ -17,6 +18,7 @@ from tableload.operators.layout import prune
 from tableload.sources.ledger import Ledger, Snapshot
 
 FILE_COL = "__file"
+SEGMENT_COL = "_seg"
 
 
 def uri_path(p: str, encoded: bool = False) -> str:
@@ -68,9 +70,12 @@ class Dataset:
         entry = snap.tables[name]
         schema = T.StructType.fromJson(entry["schema"])
         only = {uri_path(f) for f in files} if files is not None else None
-        frames = []
+        groups: dict[str, list[dict]] = {}
         for seg in entry["segments"]:
-            df = self._segment(seg, schema, only, with_file, keep_layout)
+            groups.setdefault(json.dumps(seg.get("layout") or [], sort_keys=True), []).append(seg)
+        frames = []
+        for segs in groups.values():
+            df = self._scan(segs, schema, only, with_file, keep_layout)
             if df is not None:
                 frames.append(df)
         if not frames:
@@ -80,24 +85,29 @@ class Dataset:
             return self.spark.createDataFrame([], empty)
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
-    def _segment(self, seg: dict, schema: T.StructType, only: set[str] | None, with_file: bool,
-                 keep_layout: bool) -> DataFrame | None:
-        keys = keys_of(seg.get("layout") or [])
+    def _scan(self, segs: list[dict], schema: T.StructType, only: set[str] | None, with_file: bool,
+              keep_layout: bool) -> DataFrame | None:
+        """One Parquet scan over all segments sharing a layout: the table folder is
+        the base path, the segment id and derived layout columns are partitions."""
+        keys = keys_of(segs[0].get("layout") or [])
         derived = [k.derived_name for k in keys if k.transform != "identity"]
         read_schema = T.StructType(schema.fields + [T.StructField(d, T.IntegerType()) for d in derived
-                                                    if d not in schema.fieldNames()])
-        reader = self.spark.read.schema(read_schema).option("basePath", seg["path"])
-        removed = set(seg.get("removed") or [])
-        if removed or only is not None:
-            files = self.ledger.fs.list_files(seg["path"])
-            files = [f for f in files if uri_path(f) not in removed]
-            if only is not None:
-                files = [f for f in files if uri_path(f) in only]
-            if not files:
-                return None
-            df = reader.parquet(*files)
-        else:
-            df = reader.parquet(seg["path"])
+                                                    if d not in schema.fieldNames()]
+                                   + [T.StructField(SEGMENT_COL, T.StringType())])
+        base = segs[0]["path"].rsplit("/", 1)[0]
+        paths: list[str] = []
+        for seg in segs:
+            removed = set(seg.get("removed") or [])
+            if removed or only is not None:
+                files = [f for f in self.ledger.fs.list_files(seg["path"]) if uri_path(f) not in removed]
+                if only is not None:
+                    files = [f for f in files if uri_path(f) in only]
+                paths += files
+            else:
+                paths.append(seg["path"])
+        if not paths:
+            return None
+        df = self.spark.read.schema(read_schema).option("basePath", base).parquet(*paths)
         cols = [F.col(f"`{c}`") for c in schema.fieldNames()]
         if keep_layout:
             cols += [F.col(f"`{d}`") for d in derived]

@@ -58,3 +58,17 @@ def test_layout_read_prunes_directories(spark, tmp_path):
     expected = spark.read.parquet(f"{SF}/orders.parquet").filter(
         F.col("o_orderdate").between("1996-03-01 00:00:00", "1996-03-31 00:00:00")).count()
     assert df.count() == expected
+
+
+def test_segments_of_one_layout_are_one_scan(spark, tmp_path):
+    from tableload.contract import TableContract
+    from tableload.plans.load import load
+    from tableload.sources.dataset import Dataset
+    path = str(tmp_path / "lake")
+    c = TableContract("t", "merge", ("id",))
+    for i in range(4):
+        load(spark, path, {"t": spark.range(i * 10, i * 10 + 10).withColumn("v", F.lit(i))}, [c], f"L{i}")
+    load(spark, path, {"t": spark.createDataFrame([(5, -1)], "id long, v int")}, [c], "L9")  # removes a file
+    df = Dataset(spark, path).table("t")
+    assert len(re.findall(r"FileScan parquet", plan(df))) == 1
+    assert df.count() == 40
