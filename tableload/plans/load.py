@@ -210,7 +210,8 @@ def load(
         loaded_tables: list[str] = []
         hints: dict[str, dict] = {}
         if refresh in ("drop_data", "drop_resources"):
-            _apply_refresh(new, refresh, [c.name for c in contracts if c.parent is None])
+            cleared = _apply_refresh(new, refresh, [c.name for c in contracts if c.parent is None])
+            _reset_cursors(ds, base, new, cleared, load_id)
         for name, root in sorted(roots.items()):
             paths = staged_paths.get(name, [])
             staged_files = [_read_staged(spark, p, root, load_id, max_nesting, naming, name, i)
@@ -313,7 +314,7 @@ def _hints(root: TableContract | None, t: NormalizedTable, disposition: str) ->
             "skip_unchanged": root.skip_unchanged, "source_filter": root.source_filter}
 
 
-def _apply_refresh(new: Snapshot, mode: str, names: Sequence[str]) -> None:
+def _apply_refresh(new: Snapshot, mode: str, names: Sequence[str]) -> list[str]:
     parents = {n: t.get("parent") for n, t in new.tables.items()}
     affected = children_of([n for n in names if n in new.tables], parents)
     for n in affected:
@@ -323,6 +324,30 @@ def _apply_refresh(new: Snapshot, mode: str, names: Sequence[str]) -> None:
             del new.tables[n]
     if mode == "drop_resources":
         new.schemas = [s for s in new.schemas if not any(n in json.loads(s["schema"]) for n in affected)]
+    return affected
+
+
+def _reset_cursors(ds: Dataset, base: Snapshot, new: Snapshot, tables: Sequence[str], load_id: str) -> None:
+    """A refreshed table's incremental cursor is reset.  Each pipeline whose
+    newest committed state holds a cursor for one of ``tables`` gets a new state
+    without it, committed with this load (pipelines are few; one small collect)."""
+    if not tables or not (base.states or base.archives.get("states")):
+        return
+    from tableload.operators.state import latest_state_per_pipeline
+    states = ds.ledger.history(base, "states")
+    loads = ds.ledger.history(base, "loads")
+    for row in latest_state_per_pipeline(states, loads).collect():
+        try:
+            state = json.loads(row["state"])
+        except (TypeError, ValueError):
+            continue
+        cursors = state.get("cursors") if isinstance(state, dict) else None
+        if not cursors or not any(t in cursors for t in tables):
+            continue
+        state["cursors"] = {k: v for k, v in cursors.items() if k not in tables}
+        new.states.append({"version": row["version"] + 1, "engine_version": ENGINE_VERSION,
+                           "pipeline_name": row["pipeline_name"], "state": json.dumps(state),
+                           "created_at": now(), "version_hash": "", "_load_id": load_id})
 
 
 def _read_staged(spark: SparkSession, path: str, root: TableContract, load_id: str,

@@ -438,3 +438,15 @@ def test_duplicates_without_cursor_last_write_wins(spark, dataset_path):
     f3 = spark.createDataFrame([(1, "x", 5), (1, "y", 5), (1, "old", 4)], "id long, v string, k long").coalesce(1)
     load(spark, dataset_path, {"t": f3}, [tied], "L2")
     assert vals(Dataset(spark, dataset_path).table("t").filter("id = 1"), "v") == [("y",)]
+
+
+def test_drop_data_resets_incremental_cursor(spark, dataset_path):
+    from tableload.plans.incremental import incremental_load, last_cursor
+    c = TableContract("items", "append")
+    src = spark.createDataFrame([(0, "a"), (1, "b")], "id long, label string")
+    incremental_load(spark, dataset_path, src, c, "id", "pipe", "L000001", initial=-1)
+    assert last_cursor(spark, dataset_path, "pipe", "items") == "1"
+    load(spark, dataset_path, {}, [c], "L000002", refresh="drop_data", allow_destructive=True)
+    assert last_cursor(spark, dataset_path, "pipe", "items") is None
+    incremental_load(spark, dataset_path, src, c, "id", "pipe", "L000003", initial=-1)
+    assert Dataset(spark, dataset_path).table("items").count() == 2
