@@ -183,6 +183,7 @@ def load(
     # plan normalization lazily, then validate the full chains before any write
     raw_schemas = {name: _frames_of(v)[0].schema for name, v in frames.items() if _frames_of(v)}
     chain_contracts: list[TableContract] = []
+    direct: set[str] = set()
     for name, root in roots.items():
         if name not in raw_schemas:
             chain_contracts.append(root)
@@ -192,10 +193,14 @@ def load(
                            naming=naming, load_id=load_id)
         chain_contracts.append(root)
         chain_contracts += [TableContract(t.name, root.disposition, parent=t.parent) for t in tables[1:]]
+        if root.disposition in ("append", "replace") and len(tables) == 1:
+            direct.add(name)  # no ids link tables: write the segment straight from the input
     validate(chain_contracts, allow_destructive=allow_destructive, refresh=refresh)
 
     staged_paths: dict[str, list[str]] = {}
     for name, value in frames.items():
+        if name in direct:
+            continue
         fr = _frames_of(value)
         staged_paths[name] = stage(ds, load_id, name, [_declared(f, declared[name]) for f in fr])
     require_complete(ds, [p for ps in staged_paths.values() for p in ps])
@@ -213,6 +218,18 @@ def load(
             cleared = _apply_refresh(new, refresh, [c.name for c in contracts if c.parent is None])
             _reset_cursors(ds, base, new, cleared, load_id)
         for name, root in sorted(roots.items()):
+            if name in direct:
+                tables = [_direct(f, declared[name], root, load_id, naming, name)
+                          for f in _frames_of(frames[name])]
+                if not tables:
+                    continue
+                write = _append if root.disposition == "append" else _replace
+                segs = write(ds, new, root, tables, load_id,
+                             max_records_per_file or _direct_records(tables, target_file_bytes))
+                counts[tables[0][0].name] = _written_rows(ds, segs)
+                loaded_tables.append(tables[0][0].name)
+                hints[tables[0][0].name] = _hints(root, tables[0][0], root.disposition)
+                continue
             paths = staged_paths.get(name, [])
             staged_files = [_read_staged(spark, p, root, load_id, max_nesting, naming, name, i)
                             for i, p in enumerate(paths)]
@@ -257,6 +274,27 @@ def load(
     raise RuntimeError(f"load {load_id}: lost the commit race {COMMIT_ATTEMPTS} times")
 
 
+def _direct(df: DataFrame, declared: TableContract, root: TableContract, load_id: str, naming: str,
+            name: str) -> list[NormalizedTable]:
+    """A flat append/replace input normalized without staging.  Its row ids only
+    need to be unique: (load id, task partition, row position) -- a retried task
+    rewrites its whole file, so ids inside the committed files stay consistent."""
+    rid = key_id([F.lit(load_id), F.spark_partition_id(), F.monotonically_increasing_id()])
+    return normalize(_declared(df, declared), name, max_nesting=0, naming=naming, load_id=load_id,
+                     row_id=rid)
+
+
+def _direct_records(tables: list[list[NormalizedTable]], target: int | None) -> int | None:
+    """Without staged bytes to measure, assume about 100 bytes per row."""
+    return max(1000, target // 100) if target else None
+
+
+def _written_rows(ds: Dataset, segs: list[dict]) -> int:
+    """Rows just written, from the Parquet footers (no second pass over the input)."""
+    files = [f for s in segs for f in ds.ledger.fs.list_files(s["path"])]
+    return ds.spark.read.parquet(*files).count() if files else 0
+
+
 def _records_per_file(ds: Dataset, paths: Sequence[str], rows: int, target: int | None) -> int | None:
     """Rows per output file so that files land near ``target`` bytes, estimated
     from the staged Parquet (same format and compression as the output).  Child
@@ -403,7 +441,8 @@ def _union(files: list[list[NormalizedTable]], i: int) -> DataFrame:
     return M.union_staged([f[i].frame for f in files])
 
 
-def _append(ds, new, root, files, load_id, mrpf) -> None:
+def _append(ds, new, root, files, load_id, mrpf) -> list[dict]:
+    segs = []
     for i, t in enumerate(files[0]):
         df = _union(files, i)
         stored = new.schema_of(t.name)
@@ -411,13 +450,16 @@ def _append(ds, new, root, files, load_id, mrpf) -> None:
         entry = _entry(new, t.name, schema, root.partition if i == 0 else None, t.parent, root if i == 0 else None)
         seg = write_segment(ds, t.name, align_to_schema(df, schema), entry["layout"], load_id, mrpf)
         entry["segments"].append(seg)
+        segs.append(seg)
+    return segs
 
 
-def _replace(ds, new, root, files, load_id, mrpf) -> None:
+def _replace(ds, new, root, files, load_id, mrpf) -> list[dict]:
     staged = {t.name for t in files[0]}
     for name in _descendants(new, root.name):
         if name not in staged:  # a child table with nothing staged is replaced by nothing
             new.tables[name]["segments"] = []
+    segs = []
     for i, t in enumerate(files[0]):
         df = _union(files, i)
         schema = evolve(None, df.schema)
@@ -425,6 +467,8 @@ def _replace(ds, new, root, files, load_id, mrpf) -> None:
         entry = _entry(new, t.name, schema, [], t.parent, root if i == 0 else None)
         seg = write_segment(ds, t.name, align_to_schema(df, schema), [], load_id, mrpf)
         entry["segments"] = [seg]
+        segs.append(seg)
+    return segs
 
 
 def _touched(ds: Dataset, snap: Snapshot, table: str, keys: DataFrame, on: list[str],

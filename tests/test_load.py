@@ -94,6 +94,21 @@ def test_replace_overwrites_and_empty_replace(spark, dataset_path):
     assert ds.table("deals").columns[:2] == ["id", "amount"]
 
 
+def test_flat_append_writes_once(spark, dataset_path, monkeypatch):
+    calls = []
+    real = L.stage
+    monkeypatch.setattr(L, "stage", lambda *a, **k: calls.append(1) or real(*a, **k))
+    c = TableContract("events", "append", partition=["kind"])
+    load(spark, dataset_path, {"events": spark.createDataFrame([(1, "a"), (2, "b")], "id long, kind string")},
+         [c], "L1")
+    load(spark, dataset_path, {"events": spark.createDataFrame([], "id long, kind string")}, [c], "L2")
+    assert calls == []  # flat appends are not staged
+    ds = Dataset(spark, dataset_path)
+    assert ds.table("events").count() == 2
+    assert [r["load_id"] for r in ds.loads().collect()] == ["L1", "L2"]
+    assert problems(verify_load(spark, dataset_path, "L1")) == []
+
+
 def test_append_ignores_keys_and_counts(spark, dataset_path):
     c = TableContract("events", "append", ("id",))
     s = "id long, kind string"
@@ -117,7 +132,7 @@ def test_exactly_once_and_receipts(spark, dataset_path):
 
 
 def test_incomplete_staging_refuses_to_publish(spark, dataset_path, monkeypatch):
-    c = TableContract("events", "append")
+    c = TableContract("events", "merge", ("id",))
     real = L.stage
 
     def broken(ds, load_id, table, frames):
