@@ -219,7 +219,7 @@ def load(
             _reset_cursors(ds, base, new, cleared, load_id)
         for name, root in sorted(roots.items()):
             if name in direct:
-                tables = [_direct(f, declared[name], root, load_id, naming, name)
+                tables = [_direct(f, declared[name], root, load_id, naming, name, max_nesting)
                           for f in _frames_of(frames[name])]
                 if not tables:
                     continue
@@ -275,12 +275,12 @@ def load(
 
 
 def _direct(df: DataFrame, declared: TableContract, root: TableContract, load_id: str, naming: str,
-            name: str) -> list[NormalizedTable]:
+            name: str, max_nesting: int | None) -> list[NormalizedTable]:
     """A flat append/replace input normalized without staging.  Its row ids only
     need to be unique: (load id, task partition, row position) -- a retried task
     rewrites its whole file, so ids inside the committed files stay consistent."""
     rid = key_id([F.lit(load_id), F.spark_partition_id(), F.monotonically_increasing_id()])
-    return normalize(_declared(df, declared), name, max_nesting=0, naming=naming, load_id=load_id,
+    return normalize(_declared(df, declared), name, max_nesting=max_nesting, naming=naming, load_id=load_id,
                      row_id=rid)
 
 

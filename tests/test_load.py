@@ -465,3 +465,12 @@ def test_drop_data_resets_incremental_cursor(spark, dataset_path):
     assert last_cursor(spark, dataset_path, "pipe", "items") is None
     incremental_load(spark, dataset_path, src, c, "id", "pipe", "L000003", initial=-1)
     assert Dataset(spark, dataset_path).table("items").count() == 2
+
+
+def test_flat_append_flattens_structs_like_staged_loads(spark, dataset_path):
+    c = TableContract("deals", "append")
+    df = spark.createDataFrame([(1, {"dealname": "d1"})], "id long, properties struct<dealname:string>")
+    load(spark, dataset_path, {"deals": df}, [c], "L1", max_nesting=1)
+    load(spark, dataset_path, {"deals": df}, [c], "L2", max_nesting=0)
+    cols = Dataset(spark, dataset_path).table("deals").columns
+    assert cols[:2] == ["id", "properties__dealname"] and "properties" in cols
