@@ -2,5 +2,10 @@
 
 from tableload.contract import TableContract, validate
 from tableload.errors import ContractError
+from tableload.plans.load import Receipt, load
+from tableload.plans.verify_load import problems, verify_load
+from tableload.sources.dataset import Dataset
+from tableload.streaming.stream_merge import stream_merge
 
-__all__ = ["ContractError", "TableContract", "validate"]
+__all__ = ["ContractError", "Dataset", "Receipt", "TableContract", "load", "problems", "stream_merge",
+           "validate", "verify_load"]
