@@ -72,3 +72,19 @@ def test_segments_of_one_layout_are_one_scan(spark, tmp_path):
     df = Dataset(spark, path).table("t")
     assert len(re.findall(r"FileScan parquet", plan(df))) == 1
     assert df.count() == 40
+
+
+def test_touched_search_pushes_key_range_into_scan(spark, tmp_path, monkeypatch):
+    from tableload.contract import TableContract
+    from tableload.plans import load as L
+    from tableload.sources.dataset import Dataset
+    path = str(tmp_path / "lake")
+    c = TableContract("t", "merge", ("id",))
+    L.load(spark, path, {"t": spark.range(0, 100).withColumn("v", F.lit(1))}, [c], "L1")
+    ds = Dataset(spark, path)
+    snap = ds.snapshot()
+    stored = ds.table("t", snap, with_file=True, keep_layout=True)
+    keys = spark.createDataFrame([(10,), (20,)], "id long")
+    p = plan(stored.filter(L._key_range(keys, ["id"], ["id"], stored)).select("id", "__file"))
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(id,10\)", p)
+    assert re.search(r"PushedFilters: \[[^\]]*LessThanOrEqual\(id,20\)", p)
