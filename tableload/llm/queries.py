@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tableload.llm import fingerprints, mixing, quality_rules
+from tableload.llm import fingerprints, mixing, packing, quality_rules, substring_dedup
 
 
 @dataclass(frozen=True)
@@ -20,8 +20,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _tokenizer(name: str) -> str:
+    """Path of a public tokenizer file."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 REGISTRY: dict[str, Query] = {
+    "op4_substring_dedup": Query(lambda s, d: substring_dedup.substring_dedup(_table(s, d, "documents"))),
     "op5_fingerprints": Query(lambda s, d: fingerprints.fingerprint_edits(_table(s, d, "documents"))),
     "op6_quality_rules": Query(lambda s, d: quality_rules.quality_rules(_table(s, d, "documents")), quality_rules.SQL),
     "op8_mixing": Query(lambda s, d: mixing.mix(_table(s, d, "documents")), mixing.SQL),
+    "op9_packing": Query(lambda s, d: packing.pack(_table(s, d, "documents"), _tokenizer("byte_bpe_50k.json"))),
 }
