@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tableload.llm import fingerprints, mixing, packing, quality_rules, substring_dedup
+from tableload.llm import fingerprints, mixing, ngram_join, packing, quality_rules, substring_dedup
 
 
 @dataclass(frozen=True)
@@ -28,6 +28,7 @@ def _tokenizer(name: str) -> str:
 
 
 REGISTRY: dict[str, Query] = {
+    "op2_ngram_join": Query(lambda s, d: ngram_join.ngram_join(_table(s, d, "documents"))),
     "op4_substring_dedup": Query(lambda s, d: substring_dedup.substring_dedup(_table(s, d, "documents"))),
     "op5_fingerprints": Query(lambda s, d: fingerprints.fingerprint_edits(_table(s, d, "documents"))),
     "op6_quality_rules": Query(lambda s, d: quality_rules.quality_rules(_table(s, d, "documents")), quality_rules.SQL),
