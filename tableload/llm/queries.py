@@ -7,7 +7,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tableload.llm import fingerprints, mixing, ngram_join, packing, quality_rules, substring_dedup
+from tableload.llm import (
+    fingerprints,
+    language_id,
+    mixing,
+    ngram_join,
+    packing,
+    quality_classifier,
+    quality_rules,
+    substring_dedup,
+    token_counts,
+)
 
 
 @dataclass(frozen=True)
@@ -20,7 +30,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer_path(name: str) -> str:
     """Path of a public tokenizer file."""
     import public_tokenizers
 
@@ -28,10 +38,15 @@ def _tokenizer(name: str) -> str:
 
 
 REGISTRY: dict[str, Query] = {
+    "op1_token_counts": Query(
+        lambda s, d: token_counts.token_counts(_table(s, d, "documents"), tokenizer_path("piece_bpe_32k.model"))),
     "op2_ngram_join": Query(lambda s, d: ngram_join.ngram_join(_table(s, d, "documents"))),
+    "op3_quality_classifier": Query(
+        lambda s, d: quality_classifier.quality_classifier(_table(s, d, "documents"), _table(s, d, "labels"))),
     "op4_substring_dedup": Query(lambda s, d: substring_dedup.substring_dedup(_table(s, d, "documents"))),
     "op5_fingerprints": Query(lambda s, d: fingerprints.fingerprint_edits(_table(s, d, "documents"))),
     "op6_quality_rules": Query(lambda s, d: quality_rules.quality_rules(_table(s, d, "documents")), quality_rules.SQL),
+    "op7_language_id": Query(lambda s, d: language_id.language_id(_table(s, d, "documents"))),
     "op8_mixing": Query(lambda s, d: mixing.mix(_table(s, d, "documents")), mixing.SQL),
-    "op9_packing": Query(lambda s, d: packing.pack(_table(s, d, "documents"), _tokenizer("byte_bpe_50k.json"))),
+    "op9_packing": Query(lambda s, d: packing.pack(_table(s, d, "documents"), tokenizer_path("byte_bpe_50k.json"))),
 }
