@@ -17,6 +17,7 @@ from tableload.llm import (
     quality_rules,
     substring_dedup,
     token_counts,
+    token_files,
 )
 
 
@@ -49,4 +50,6 @@ REGISTRY: dict[str, Query] = {
     "op7_language_id": Query(lambda s, d: language_id.language_id(_table(s, d, "documents"))),
     "op8_mixing": Query(lambda s, d: mixing.mix(_table(s, d, "documents")), mixing.SQL),
     "op9_packing": Query(lambda s, d: packing.pack(_table(s, d, "documents"), tokenizer_path("byte_bpe_50k.json"))),
+    "op10_token_files": Query(
+        lambda s, d: token_files.token_files(_table(s, d, "documents"), tokenizer_path("word_bpe_49k.json"))),
 }
