@@ -1,7 +1,7 @@
 """Operator 6, quality rules: a threshold table compiled into one projection.
 
-``measure`` adds the counts, ``RULES`` holds the thresholds, ``judge`` compiles the
-table into one boolean column.  Everything is a built-in expression over one row:
+``measured`` counts, ``RULES`` holds the thresholds, ``kept`` compiles the table into one
+boolean column.  Everything is a built-in expression over one row:
 no shuffle, no user function, whole texts.
 
 Defined results: a null or empty text has no words and fails the base rule; lines
@@ -46,9 +46,9 @@ class Rule:
     at_most: bool
     min_words: int = 0
 
-    def passes(self) -> Column:
-        part, limit = 100 * F.col(self.part), self.percent * F.col(self.whole)
-        return (F.col("n_words") < self.min_words) | (part <= limit if self.at_most else part >= limit)
+    def passes(self, m: Column) -> Column:
+        part, limit = 100 * m[self.part], self.percent * m[self.whole]
+        return (m["n_words"] < self.min_words) | (part <= limit if self.at_most else part >= limit)
 
     def sql(self) -> str:
         return f"(n_words < {self.min_words} OR 100 * {self.part} {'<=' if self.at_most else '>='} {self.percent} * {self.whole})"
@@ -83,43 +83,47 @@ def _repeat_words(ws: Column) -> Column:
     return let(let(windows, twice), covered)
 
 
-def measure(docs: DataFrame) -> DataFrame:
-    """``docs`` (with a ``text`` without nulls) plus the columns of COUNTS, all long."""
-    split = docs.withColumn("__w", words(F.col("text"))).withColumn(
-        "__l", F.filter(F.split("text", "\n", -1), lambda x: _removed(x, BLANKS) > 0))
-    n_chars, ws, lines = F.length("text"), F.col("__w"), F.col("__l")
-    counts = {
-        "n_words": F.size(ws),
-        "word_chars": _removed(F.col("text"), BLANKS),
-        "n_symbols": n_chars - _removed(F.col("text"), SYMBOLS),
-        "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
-        "n_repeat_words": _repeat_words(ws),
-        "n_lines": F.size(lines),
-        "n_stop_words": F.size(F.filter(ws, lambda x: F.lower(x).isin(STOP_WORDS))),
-    }
-    return split.withColumns({k: counts[k].cast("long") for k in COUNTS}).drop("__w", "__l")
-
-
-def judge(measured: DataFrame) -> DataFrame:
-    """Plus ``base_failed`` and ``kept``."""
-    base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    verdict = ~base
+def measured(text: Column) -> Column:
+    """The COUNTS of a non-null text, as one struct of longs."""
+    def counts(b: Column) -> Column:
+        t, ws, lines = b["t"], b["w"], b["l"]
+        found = {
+            "n_words": F.size(ws),
+            "word_chars": _removed(t, BLANKS),
+            "n_symbols": F.length(t) - _removed(t, SYMBOLS),
+            "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
+            "n_repeat_words": _repeat_words(ws),
+            "n_lines": F.size(lines),
+            "n_stop_words": F.size(F.filter(ws, lambda x: F.lower(x).isin(STOP_WORDS))),
+        }
+        return F.struct(*[found[k].cast("long").alias(k) for k in COUNTS])
+
+    lines = F.filter(F.split(text, "\n", -1), lambda x: _removed(x, BLANKS) > 0)
+    return let(F.struct(text.alias("t"), words(text).alias("w"), lines.alias("l")), counts)
+
+
+def base_failed(m: Column) -> Column:
+    return (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEAT_PERCENT * m["n_words"])
+
+
+def kept(m: Column) -> Column:
+    """The compiled threshold table over a struct of counts."""
+    verdict = ~base_failed(m)
     for rule in RULES:
-        verdict = verdict & rule.passes()
-    return measured.withColumn("base_failed", base).withColumn("kept", verdict)
+        verdict = verdict & rule.passes(m)
+    return verdict
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
     """One row per document: ``doc_id``, the counts, ``base_failed``, ``kept``."""
-    return judge(measure(documents(docs, "doc_id", "text"))).drop("text")
+    counted = documents(docs, "doc_id", "text").select("doc_id", measured(F.col("text")).alias("m"))
+    m = F.col("m")
+    return counted.select("doc_id", *[m[k].alias(k) for k in COUNTS], base_failed(m).alias("base_failed"), kept(m).alias("kept"))
 
 
 def keep_quality(docs: DataFrame) -> DataFrame:
     """The documents that pass, with their columns unchanged."""
-    columns = docs.columns
-    held = docs.select(F.struct(*[docs[c] for c in columns]).alias("__row"),
-                       F.coalesce(docs["text"], F.lit("")).alias("text"))
-    return judge(measure(held)).filter("kept").select(*[F.col("__row")[c].alias(c) for c in columns])
+    return docs.filter(let(measured(F.coalesce(docs["text"], F.lit(""))), kept))
 
 
 SQL = f"""
