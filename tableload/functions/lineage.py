@@ -32,9 +32,10 @@ def _digest(text: Column) -> Column:
 
 
 def key_id(columns: Sequence[str | Column]) -> Column:
-    """Row id of a keyed root: digest of the key values joined by ``|``."""
+    """Row id of a keyed root: digest of its key values, each with its length in
+    front and NULL marked, so that different keys never share a text."""
     parts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in columns]
-    return _digest(F.concat_ws(SEP, *parts))
+    return _digest(F.concat(*[F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in parts]))
 
 
 def child_id(parent_id: str | Column, path: str, idx: str | Column) -> Column:

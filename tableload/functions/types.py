@@ -83,12 +83,39 @@ def _time_supported() -> bool:
     return hasattr(T, "TimeType")
 
 
-def widen(stored: T.DataType, incoming: T.DataType) -> T.DataType:
-    """The only lossless change a stored column accepts: BIGINT -> DECIMAL(20,0)
-    when unsigned 64-bit values arrive.  Everything else keeps the stored type."""
+# Decimal digits that the integer types need.
+_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
+
+def _holds(stored: T.DataType, incoming: T.DataType) -> bool:
+    """Whether every value of ``incoming`` has an exact value of type ``stored``."""
+    if stored == incoming or isinstance(incoming, T.NullType):
+        return True
+    whole = _DIGITS.get(type(incoming))
+    if isinstance(stored, T.LongType):
+        return whole is not None
+    if isinstance(stored, T.DecimalType):
+        if whole is not None:
+            return stored.precision - stored.scale >= whole
+        return (isinstance(incoming, T.DecimalType) and stored.scale >= incoming.scale
+                and stored.precision - stored.scale >= incoming.precision - incoming.scale)
+    if isinstance(stored, T.DoubleType):  # integers up to 2^53 are exact; wider ones are not taken
+        return isinstance(incoming, T.FloatType) or (whole is not None and whole <= 10)
+    if isinstance(stored, T.StringType):
+        return not isinstance(incoming, T.BinaryType)
+    dates = (T.DateType, T.TimestampType, T.TimestampNTZType)
+    return isinstance(stored, dates[1:]) and isinstance(incoming, dates)
+
+
+def widen(stored: T.DataType, incoming: T.DataType, where: str = "") -> T.DataType:
+    """The type a stored column has after ``incoming`` values arrive: the stored one
+    where it holds them exactly, DECIMAL(20,0) for unsigned 64-bit values in a BIGINT
+    column, and else a refusal, as a cast would change values unnoticed."""
     if isinstance(stored, T.LongType) and incoming == UINT64_DECIMAL:
         return UINT64_DECIMAL
-    return stored
+    if _holds(stored, incoming):
+        return stored
+    raise ContractError(f"{where}a {stored.simpleString()} column cannot take {incoming.simpleString()} values without loss")
 
 
 def promote(incoming: T.DataType) -> T.DataType:

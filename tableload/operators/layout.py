@@ -10,11 +10,11 @@ partition filter.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tableload.functions.partition import PartitionKey, parse_layout
 
@@ -32,7 +32,8 @@ def key_expr(key: PartitionKey) -> Column:
     if key.transform == "hour":
         return F.hour(c)
     if key.transform == "bucket":
-        return F.pmod(F.hash(c), F.lit(key.buckets))
+        # hash of the text form: 7 lands in one bucket as INT, BIGINT or DECIMAL(20,0)
+        return F.pmod(F.hash(c.cast("string")), F.lit(key.buckets))
     raise ValueError(key.transform)
 
 
@@ -56,42 +57,30 @@ def drop_layout_columns(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("_p_")])
 
 
-def prune(keys: Sequence[PartitionKey], column: str, lo=None, hi=None) -> Column:
+def prune(keys: Sequence[PartitionKey], column: str, dtype: T.DataType, lo=None, hi=None) -> Column:
     """Predicate on the derived columns implied by ``lo <= column <= hi``.  AND it
-    with the range on the column itself; it only adds partition filters."""
+    with the range on the column itself; it only adds partition filters.  The bounds
+    are cast to the column's type and taken apart by Spark (constant folding), so
+    they follow the session time zone as the written rows did."""
+    low, high = (F.lit(v).cast(dtype) if v is not None else None for v in (lo, hi))
+    parts = {"year": F.year, "month": F.month, "day": F.dayofmonth, "hour": F.hour}
+    coarse_first = list(parts)
     pred = F.lit(True)
     for key in keys:
         if key.column != column or key.transform == "bucket":
             continue
         name = F.col(f"`{key.derived_name}`")
-        if key.transform == "identity":
-            if lo is not None:
-                pred = pred & (name >= F.lit(lo))
-            if hi is not None:
-                pred = pred & (name <= F.lit(hi))
-        elif key.transform == "year":
-            if lo is not None:
-                pred = pred & (name >= _part(lo, "year"))
-            if hi is not None:
-                pred = pred & (name <= _part(hi, "year"))
-        # month/day/hour wrap around within a year: only usable together with year,
-        # and only for equal bounds.
-        elif lo is not None and hi is not None and _same(lo, hi, key.transform):
-            pred = pred & (name == _part(lo, key.transform))
+        take = parts.get(key.transform, lambda c: c)
+        if key.transform in ("identity", "year"):
+            if low is not None:
+                pred = pred & (name >= take(low))
+            if high is not None:
+                pred = pred & (name <= take(high))
+        elif low is not None and high is not None:
+            # month, day and hour wrap around: usable while all coarser parts agree
+            same = F.lit(True)
+            for part in coarse_first[:coarse_first.index(key.transform)]:
+                same = same & (parts[part](low) == parts[part](high))
+            between = (name >= take(low)) & (name <= take(high))
+            pred = pred & (~same | between)
     return pred
-
-
-def _part(v, transform: str) -> int:
-    if isinstance(v, str):
-        v = dt.datetime.fromisoformat(v)
-    return {"year": v.year, "month": v.month, "day": v.day,
-            "hour": getattr(v, "hour", 0)}[transform]
-
-
-def _same(lo, hi, transform: str) -> bool:
-    if isinstance(lo, str):
-        lo = dt.datetime.fromisoformat(lo)
-    if isinstance(hi, str):
-        hi = dt.datetime.fromisoformat(hi)
-    order = ["year", "month", "day", "hour"]
-    return all(_part(lo, t) == _part(hi, t) for t in order[: order.index(transform) + 1])

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,25 +68,19 @@ def dedup_latest(
     """Keep one row per primary key: the highest ``cursor`` (NULL lowest, i.e.
     ``DESC NULLS LAST``), then the highest ``tie_break`` columns.
 
-    Planned as an aggregation, not a ``row_number`` window: ``max(struct(order,
-    row))`` is combined map-side, so a key holding a third of all staged rows
-    still ships one row per input partition into the shuffle, and the result is
-    deterministic (exact ties fall back to comparing the row values)."""
+    Planned as ``row_number() = 1``: Spark limits each key to one row before the
+    shuffle (``WindowGroupLimit``), so a key holding a third of all staged rows still
+    ships one row per input partition.  Exact ties fall back to the row values, so the
+    result is deterministic."""
     pk = _cols(primary_key)
-    order = ([cursor] if cursor else []) + list(tie_break)
     values = [c for c in df.columns if c not in pk]
     if not values:
         return df.select(*pk).distinct()
-    order_struct = F.struct(*[F.col(c) for c in order]) if order else F.lit(0)
-    value_struct = F.struct(*[F.col(c) for c in values])
-    fields = {f.name: f.dataType for f in df.schema.fields}
-    if all(_orderable(fields[c]) for c in values):
-        best = F.max(F.struct(order_struct.alias("o"), value_struct.alias("v")))["v"]
-    else:
-        best = F.max_by(value_struct, order_struct)
-    return df.groupBy(*pk).agg(best.alias("_best")).select(
-        *[F.col(c) if c in pk else F.col(f"_best.{c}").alias(c) for c in df.columns]
-    )
+    order = ([cursor] if cursor and cursor in df.columns else []) + [c for c in tie_break if c in df.columns]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    order += [c for c in values if c not in order and _orderable(types[c])]
+    latest = Window.partitionBy(*pk).orderBy(*[F.col(f"`{c}`").desc_nulls_last() for c in order] or [F.lit(0)])
+    return df.withColumn("__n", F.row_number().over(latest)).filter("__n = 1").drop("__n")
 
 
 # --------------------------------------------------------------------------- U3
@@ -120,9 +114,14 @@ def drop_stale(
     cursor: str,
 ) -> DataFrame:
     """Remove staged rows whose key is stored unless the incoming cursor is newer.
-    Ties and a NULL incoming cursor lose: the stored row wins.  Only the key and
-    cursor columns of the target are read."""
+    Ties and a NULL incoming cursor lose: the stored row wins; a staged frame without
+    the cursor column has NULL cursors.  Only the key and cursor columns of the target
+    are read."""
     pk = _cols(primary_key)
+    if cursor not in target.columns:  # nothing stored carries a cursor
+        return staged
+    if cursor not in staged.columns:
+        return staged.join(target.select(*pk), pk, "left_anti")
     stored = target.select(
         *[F.col(k).alias(f"__t_{k}") for k in pk], F.col(cursor).alias("__t_cursor")
     )
@@ -192,9 +191,7 @@ def upsert(
         )
     else:
         stored_cols = [c for c in target.columns if c not in pk]
-        hit = target.join(up.select(*pk), pk, "left_semi").select(
-            *pk, *[F.col(c).alias(f"__t_{c}") for c in stored_cols], F.lit(True).alias("__hit")
-        )
+        hit = target.select(*pk, *[F.col(c).alias(f"__t_{c}") for c in stored_cols], F.lit(True).alias("__hit"))
         joined = up.join(hit, pk, "left")
         matched = F.coalesce(F.col("__hit"), F.lit(False))
 
@@ -233,6 +230,45 @@ def upsert(
     return kept.unionByName(new_rows)
 
 
+def fold_groups(groups: Sequence[DataFrame], target: DataFrame, primary_key: Sequence[str] | str,
+                schema: T.StructType, cursor: str | None = None) -> DataFrame:
+    """Partial-column groups applied one after another, folded into one row per key.
+
+    Column ``c`` of the result is a struct holding the last applied value, or NULL where
+    no applied row carried ``c``.  A row is applied if its key is new or its cursor is
+    newer than the stored one and all earlier ones.  The target is read once (key and
+    cursor), however many groups there are."""
+    pk = _cols(primary_key)
+    columns = [f for f in schema.fields if f.name not in pk and any(f.name in g.columns for g in groups)]
+    rows = union_staged([
+        g.select(*[F.col(k).cast(schema[k].dataType).alias(k) for k in pk], F.lit(i).alias("__g"),
+                 (F.col(cursor).cast(schema[cursor].dataType) if cursor and cursor in g.columns
+                  else F.lit(None).cast(schema[cursor].dataType if cursor and cursor in schema.fieldNames() else "int")).alias("__c"),
+                 *[(F.struct(F.col(f"`{f.name}`").cast(f.dataType).alias("v")) if f.name in g.columns
+                    else F.lit(None).cast(T.StructType([T.StructField("v", f.dataType)]))).alias(f.name) for f in columns])
+        for i, g in enumerate(groups)])
+    if cursor and cursor in schema.fieldNames():
+        stored = target.select(*pk, F.col(cursor).alias("__t"), F.lit(True).alias("__stored"))
+        order = Window.partitionBy(*pk).orderBy("__g")
+        before = F.max("__c").over(order.rowsBetween(Window.unboundedPreceding, -1))
+        fresh = F.col("__stored").isNull() & (F.row_number().over(order) == 1)
+        rows = rows.join(stored, pk, "left").withColumn(
+            "__use", fresh | incoming_is_newer(F.col("__c"), F.greatest(before, F.col("__t")))).filter("__use")
+    last = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("__g")))
+    return rows.groupBy(*pk).agg(*[last(f.name).alias(f.name) for f in columns])
+
+
+def upsert_folded(target: DataFrame, folded: DataFrame, primary_key: Sequence[str] | str) -> DataFrame:
+    """Target rows without a folded key, and the folded rows over their stored values."""
+    pk = _cols(primary_key)
+    kept = target.join(folded.select(*pk), pk, "left_anti").select(*target.columns)
+    stored = target.select(*pk, *[F.col(f"`{c}`").alias(f"__t_{c}") for c in target.columns if c not in pk])
+    joined = folded.join(stored, pk, "left")
+    value = lambda c: (F.when(F.col(f"`{c}`").isNotNull(), F.col(f"`{c}`")["v"]).otherwise(F.col(f"`__t_{c}`"))
+                       if c in folded.columns else F.col(f"`__t_{c}`"))
+    return kept.unionByName(joined.select(*[F.col(f"`{c}`") if c in pk else value(c).alias(c) for c in target.columns]))
+
+
 # --------------------------------------------------------------------------- U8
 def drop_orphans(children: DataFrame, roots: DataFrame, root_key: str = ROOT_ID,
                  root_row_key: str = ROW_ID) -> DataFrame:
@@ -266,34 +302,42 @@ def replace_children(
 
 
 # --------------------------------------------------------------------------- U7
+def surviving_roots(live: DataFrame, root) -> tuple[DataFrame, DataFrame]:
+    """Of the staged roots that are not stale: those that pass the source filter, and of
+    these the ones that are not tombstones."""
+    passing = live.filter(F.expr(root.source_filter)) if root.source_filter else live
+    flag = root.hard_delete_column
+    return passing, passing.filter(~deleted_flag(passing, flag)) if flag else passing
+
+
+def merge_root(stored: DataFrame, live: DataFrame, root) -> DataFrame:
+    """New content of a root table on the staged route: full records, filter, tombstones."""
+    return upsert(stored, live, list(root.primary_key), deleted=root.hard_delete_column,
+                  source_filter=root.source_filter, skip_unchanged=root.skip_unchanged)
+
+
+def merge_child(stored: DataFrame, staged: DataFrame, live: DataFrame, passing: DataFrame, up: DataFrame) -> DataFrame:
+    """New content of a child table: orphans go, children of passing roots are replaced."""
+    return replace_children(stored, drop_orphans(staged, live), passing, up)
+
+
 def merge_chain(
     stored: dict[str, DataFrame],
     staged: dict[str, DataFrame],
     chain: Sequence,
 ) -> dict[str, DataFrame]:
-    """Merge a root table and its child tables in the reference's step order:
-    union -> dedup (single table) or uniqueness guard (chain) -> stale filter ->
-    orphan filter -> upsert with filter and delete -> child replacement.
-
-    ``chain`` is a list of ``TableContract`` (root first).  Returns the new content
-    of every table of the chain.  The uniqueness guard of a chain is *not*
-    evaluated here (it needs an action); ``plans.load`` checks it first."""
+    """Merge a root table and its child tables: the steps ``plans.load`` takes, without
+    the storage between them.  ``chain`` is a list of ``TableContract`` (root first).
+    Returns the new content of every table.  The uniqueness guard of a chain needs an
+    action and is not evaluated here."""
     root = chain[0]
     pk = list(root.primary_key)
     s_root = staged[root.name]
-    t_root = stored[root.name]
     if len(chain) == 1:
         s_root = dedup_latest(s_root, pk, root.cursor, root.tie_break)
-    live = drop_stale(s_root, t_root, pk, root.cursor) if root.cursor else s_root
-    passing = live.filter(F.expr(root.source_filter)) if root.source_filter else live
-    up = passing.filter(~deleted_flag(passing, root.hard_delete)) if root.hard_delete else passing
-    out = {
-        root.name: upsert(
-            t_root, live, pk, partial=False, deleted=root.hard_delete,
-            source_filter=root.source_filter, skip_unchanged=root.skip_unchanged,
-        )
-    }
+    live = drop_stale(s_root, stored[root.name], pk, root.cursor) if root.cursor else s_root
+    passing, up = surviving_roots(live, root)
+    out = {root.name: merge_root(stored[root.name], live, root)}
     for child in chain[1:]:
-        s_child = drop_orphans(staged[child.name], live)
-        out[child.name] = replace_children(stored[child.name], s_child, passing, up)
+        out[child.name] = merge_child(stored[child.name], staged[child.name], live, passing, up)
     return out

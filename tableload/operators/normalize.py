@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableload.functions.lineage import (
-    LIST_IDX, LOAD_ID, PARENT_ID, ROOT_ID, ROW_ID, VALUE, child_id, key_id,
+    LINEAGE, LIST_IDX, LOAD_ID, PARENT_ID, ROOT_ID, ROW_ID, VALUE, child_id, key_id,
 )
+from tableload.errors import ContractError
 from tableload.functions.naming import check_collisions, normalize_name
 
 SEP = "__"
@@ -116,6 +117,13 @@ def _flatten_record(
     return cols, lists
 
 
+def _check_reserved(names: Sequence[str], table: str) -> None:
+    """Lineage columns are the library's own; an input must not bring them."""
+    taken = sorted(n for n in names if n.casefold() in LINEAGE)
+    if taken:
+        raise ContractError(f"{table}: columns {taken} are written by the load; rename or drop them in the input")
+
+
 def normalize(
     df: DataFrame,
     table: str,
@@ -126,18 +134,22 @@ def normalize(
     load_id: str | Column | None = None,
     row_id: Column | None = None,
     extra: dict[str, Column] | None = None,
+    hidden: Sequence[str] = (),
 ) -> list[NormalizedTable]:
     """Split nested records into a root table and child tables, root first.
 
     ``primary_key`` (in normalized names) gives the root's ``_row_id``; without one
     pass ``row_id`` (e.g. a digest of file name and row index of a staged file),
     else the digest of the whole normalized row is used.  ``extra`` columns are
-    computed on the input and appended to the root table as named."""
+    computed on the input and appended to the root table as named; ``hidden`` input
+    columns are there for ``row_id`` and ``extra`` only."""
     table = normalize_name(table, naming)
     root_cols, lists = _flatten_record(
-        [(f.name, F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields], 0, max_nesting, naming)
+        [(f.name, F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields if f.name not in hidden],
+        0, max_nesting, naming)
     names = [n for n, _ in root_cols]
     check_collisions(names, f"{table}: ")
+    _check_reserved(names, table)
     pk = list(primary_key)
     if row_id is not None:
         rid = row_id
@@ -183,6 +195,7 @@ def _children(
         cols, lists = _flatten(elem, elem_dt, VALUE, level + 1, max_nesting, naming)
     names = [n for n, _ in cols]
     check_collisions(names, f"{name}: ")
+    _check_reserved(names, name)
     table = exploded.select(
         *[c.alias(n) for n, c in cols],
         *[c.alias(f"__list{i}") for i, (_, c, _, _) in enumerate(lists)],

@@ -6,12 +6,14 @@ from __future__ import annotations
 import json
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tableload.contract import TableContract
 from tableload.operators.state import incremental, latest_state
 from tableload.plans.load import Receipt, load
+from tableload.session import scratch_path
 from tableload.sources.dataset import Dataset
 
 
@@ -40,11 +42,41 @@ def incremental_load(
 ) -> Receipt:
     """Load the rows of ``source`` newer than the pipeline's committed cursor and
     commit the new cursor maximum in the same commit as the data."""
-    last = last_cursor(spark, path, pipeline, contract.name)
+    ds = Dataset(spark, path)
+    done = ds.ledger.receipt(ds.snapshot(), load_id) if ds.exists() else None
+    if done is not None:
+        return Receipt(load_id, False, done.get("counts", {}), done.get("tables", []))
+    # a refresh clears the table, so its old cursor no longer bounds the batch
+    last = None if load_options.get("refresh") else last_cursor(spark, path, pipeline, contract.name)
     bound = last if last is not None else initial
     dtype = source.schema[cursor].dataType
-    batch = incremental(source, cursor, F.lit(bound).cast(dtype) if bound is not None else None)
+    batch = source if bound is None else _from(ds, source, contract, cursor, F.lit(bound).cast(dtype), last is not None)
+    # read once: the new maximum and the loaded rows come from the same files
+    staged = f"{scratch_path(spark, 'incremental')}/{contract.name}"
+    batch.write.parquet(staged)
+    batch = spark.read.schema(source.schema).parquet(staged)
     top = batch.agg(F.max(cursor).cast("string").alias("m")).collect()[0]["m"]
     new = top if top is not None else (str(bound) if bound is not None else None)
     state = {"pipeline_name": pipeline, "state": {"cursors": {contract.name: new}}}
     return load(spark, path, {contract.name: batch}, [contract], load_id, state=state, **load_options)
+
+
+def _from(ds: Dataset, source: DataFrame, contract: TableContract, cursor: str, bound: Column, resumed: bool) -> DataFrame:
+    """Rows after ``bound``; on a resumed run also late ones: rows at the bound and rows
+    without a cursor that are not loaded yet.  A merge may see them again (its upsert is
+    repeatable); for an append of plain columns those already stored are taken off,
+    each as often as it is stored."""
+    after = incremental(source, cursor, bound)
+    if not resumed:
+        return after
+    late = source.filter((F.col(cursor) == bound) | F.col(cursor).isNull())
+    if contract.disposition == "append":
+        nested = (T.StructType, T.ArrayType, T.MapType)
+        if any(isinstance(f.dataType, nested) for f in source.schema.fields) or not ds.has_table(contract.name):
+            return after
+        stored = ds.table(contract.name)
+        if not set(source.columns) <= set(stored.columns):
+            return after
+        seen = stored.filter((F.col(cursor) == bound) | F.col(cursor).isNull())
+        late = late.exceptAll(seen.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in source.schema.fields]))
+    return after.unionByName(late)

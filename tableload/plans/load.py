@@ -16,13 +16,17 @@
 
 from __future__ import annotations
 
+import copy
 import hashlib
 import json
+import random
+import time
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,14 +38,15 @@ from tableload.functions.naming import normalize_name
 from tableload.functions.partition import parse_layout
 from tableload.functions.types import promote, widen
 from tableload.operators import merge as M
-from tableload.operators.layout import layout_columns
+from tableload.operators.layout import key_expr, layout_columns
 from tableload.operators.normalize import NormalizedTable, align_to_schema, normalize
 from tableload.plans.refresh import children_of
 from tableload.sources.dataset import FILE_COL, SEGMENT_COL, Dataset, layout_json, uri_path
 from tableload.sources.ledger import Snapshot, now
 
 ENGINE_VERSION = 1
-COMMIT_ATTEMPTS = 5
+# A load that keeps losing the commit race gives up after so long.
+COMMIT_SECONDS = 3600.0
 # Fixed value: the recommended data file size.
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 # Write position of staged merge rows: input frame, staged file, row in file.
@@ -66,7 +71,7 @@ def evolve(stored: T.StructType | None, incoming: T.StructType) -> T.StructType:
     inc = {f.name.casefold(): f for f in incoming.fields}
     for f in stored.fields:
         other = inc.get(f.name.casefold())
-        dt = widen(f.dataType, promote(other.dataType)) if other is not None else f.dataType
+        dt = widen(f.dataType, promote(other.dataType), f"column {f.name}: ") if other is not None else f.dataType
         meta = dict(f.metadata)
         if other is not None and other.metadata.get("comment"):
             meta["comment"] = other.metadata["comment"]
@@ -180,21 +185,26 @@ def load(
     if done is not None:
         return Receipt(load_id, False, done.get("counts", {}), done.get("tables", []))
 
-    # plan normalization lazily, then validate the full chains before any write
-    raw_schemas = {name: _frames_of(v)[0].schema for name, v in frames.items() if _frames_of(v)}
+    # plan normalization on the union of all frames' schemas, then validate the full
+    # chains before any write
+    raw_schemas = {name: _frames_schema(spark, name, _frames_of(v)) for name, v in frames.items() if _frames_of(v)}
     chain_contracts: list[TableContract] = []
     direct: set[str] = set()
+    padded: dict[str, T.StructType | None] = {}
     for name, root in roots.items():
+        chain_contracts.append(root)
         if name not in raw_schemas:
-            chain_contracts.append(root)
             continue
         probe_df = spark.createDataFrame([], raw_schemas[name])
         tables = normalize(probe_df, name, primary_key=root.primary_key, max_nesting=max_nesting,
                            naming=naming, load_id=load_id)
-        chain_contracts.append(root)
         chain_contracts += [TableContract(t.name, root.disposition, parent=t.parent) for t in tables[1:]]
         if root.disposition in ("append", "replace") and len(tables) == 1:
             direct.add(name)  # no ids link tables: write the segment straight from the input
+        # a flat merge keeps absent columns absent; everywhere else they are NULL, so that
+        # every frame has the same chain of tables
+        flat = root.disposition == "merge" and not is_staged_route(root, len(tables))
+        padded[name] = None if flat else raw_schemas[name]
     validate(chain_contracts, allow_destructive=allow_destructive, refresh=refresh)
 
     staged_paths: dict[str, list[str]] = {}
@@ -205,33 +215,30 @@ def load(
         staged_paths[name] = stage(ds, load_id, name, [_declared(f, declared[name]) for f in fr])
     require_complete(ds, [p for ps in staged_paths.values() for p in ps])
 
-    for attempt in range(COMMIT_ATTEMPTS):
-        base = ds.snapshot()
-        done = ds.ledger.receipt(base, load_id)
-        if done is not None:
-            return Receipt(load_id, False, done.get("counts", {}), done.get("tables", []))
+    def prepare(base: Snapshot) -> _Prepared:
+        """The tables' new content, written next to ``base``'s."""
         new = base.copy()
-        counts: dict[str, int] = {}
-        loaded_tables: list[str] = []
-        hints: dict[str, dict] = {}
+        out = _Prepared(base, new)
         if refresh in ("drop_data", "drop_resources"):
-            cleared = _apply_refresh(new, refresh, [c.name for c in contracts if c.parent is None])
-            _reset_cursors(ds, base, new, cleared, load_id)
+            out.cleared = _apply_refresh(new, refresh, [c.name for c in contracts if c.parent is None])
         for name, root in sorted(roots.items()):
             if name in direct:
-                tables = [_direct(f, declared[name], root, load_id, naming, name, max_nesting)
-                          for f in _frames_of(frames[name])]
+                tables = [_direct(f, declared[name], root, load_id, naming, name, max_nesting, i)
+                          for i, f in enumerate(_frames_of(frames[name]))]
                 if not tables:
                     continue
                 write = _append if root.disposition == "append" else _replace
-                segs = write(ds, new, root, tables, load_id,
-                             max_records_per_file or _direct_records(tables, target_file_bytes))
-                counts[tables[0][0].name] = _written_rows(ds, segs)
-                loaded_tables.append(tables[0][0].name)
-                hints[tables[0][0].name] = _hints(root, tables[0][0], root.disposition)
+                tname = tables[0][0].name
+                cap = max_records_per_file or _direct_records(base.tables.get(tname), target_file_bytes)
+                segs = write(ds, new, root, tables, load_id, cap)
+                out.counts[tname] = _written_rows(ds, segs)
+                if cap is None and target_file_bytes:
+                    _split_large(ds, new, tname, segs, load_id, target_file_bytes)
+                out.tables.append(tname)
+                out.hints[tname] = _hints(root, tables[0][0], root.disposition)
                 continue
             paths = staged_paths.get(name, [])
-            staged_files = [_read_staged(spark, p, root, load_id, max_nesting, naming, name, i)
+            staged_files = [_read_staged(spark, p, root, load_id, max_nesting, naming, name, i, padded[name])
                             for i, p in enumerate(paths)]
             if not staged_files:
                 continue
@@ -242,17 +249,30 @@ def load(
             if nested_merge and n_keys != table_counts[name]:
                 raise DuplicateRootError(
                     f"table {name}: nested upsert requires one row per primary key per load")
-            counts.update(table_counts)
-            mrpf = max_records_per_file or _records_per_file(ds, paths, counts[name], target_file_bytes)
+            out.counts.update(table_counts)
+            mrpf = max_records_per_file or _records_per_file(ds, paths, table_counts[name], target_file_bytes)
             for i, tname in enumerate(chain_names):
-                loaded_tables.append(tname)
-                hints[tname] = _hints(root if i == 0 else None, staged_files[0][i], root.disposition)
+                out.tables.append(tname)
+                out.hints[tname] = _hints(root if i == 0 else None, staged_files[0][i], root.disposition)
             if root.disposition == "append":
                 _append(ds, new, root, staged_files, load_id, mrpf)
             elif root.disposition == "replace":
                 _replace(ds, new, root, staged_files, load_id, mrpf)
             else:
                 _merge(ds, spark, base, new, root, staged_files, load_id, mrpf)
+        return out
+
+    deadline, pause, done_work = time.monotonic() + COMMIT_SECONDS, 0.05, None
+    while True:
+        base = ds.snapshot()
+        done = ds.ledger.receipt(base, load_id)
+        if done is not None:
+            return Receipt(load_id, False, done.get("counts", {}), done.get("tables", []))
+        if done_work is None or not done_work.holds(base):
+            done_work = prepare(base)
+        new = done_work.onto(base)
+        if refresh == "drop_resources":
+            ds.ledger.forget_schemas(new, done_work.cleared)
         version_hash = schema_hash(new.tables)
         if not ds.ledger.has_schema(new, version_hash):
             new.versions[schema_name] = new.versions.get(schema_name, 0) + 1
@@ -260,39 +280,99 @@ def load(
                                 "version": new.versions[schema_name],
                                 "engine_version": ENGINE_VERSION, "inserted_at": now(),
                                 "schema": json.dumps({n: t["schema"] for n, t in new.tables.items()})})
-        if state is not None:
-            new.states.append({"version": state.get("version", 1), "engine_version": ENGINE_VERSION,
-                               "pipeline_name": state["pipeline_name"], "state": json.dumps(state.get("state")),
-                               "created_at": now(), "version_hash": state.get("version_hash", ""),
-                               "_load_id": load_id})
+        _write_states(ds, base, new, done_work.cleared, state, load_id)
         new.loads.append({"load_id": load_id, "schema_name": schema_name, "status": 0, "inserted_at": now(),
-                          "schema_version_hash": version_hash, "counts": counts,
-                          "tables": loaded_tables, "hints": hints})
+                          "schema_version_hash": version_hash, "counts": done_work.counts,
+                          "tables": done_work.tables, "hints": done_work.hints})
         if ds.ledger.commit(base, new):
             ds.ledger.fs.delete(f"{ds.path}/_staging/{_safe(load_id)}")
-            return Receipt(load_id, True, counts, loaded_tables)
-    raise RuntimeError(f"load {load_id}: lost the commit race {COMMIT_ATTEMPTS} times")
+            return Receipt(load_id, True, done_work.counts, done_work.tables)
+        if time.monotonic() > deadline:
+            raise RuntimeError(f"load {load_id}: other writers kept committing first for {COMMIT_SECONDS:.0f} s")
+        time.sleep(pause * random.uniform(0.5, 1.5))
+        pause = min(5.0, 2 * pause)
+
+
+@dataclass
+class _Prepared:
+    """Tables written by a load but not committed yet, and the snapshot they came from."""
+
+    base: Snapshot
+    new: Snapshot
+    counts: dict[str, int] = field(default_factory=dict)
+    tables: list[str] = field(default_factory=list)
+    hints: dict[str, dict] = field(default_factory=dict)
+    cleared: list[str] = field(default_factory=list)
+
+    def _changed(self) -> set[str]:
+        names = set(self.base.tables) | set(self.new.tables)
+        return {n for n in names if self.base.tables.get(n) != self.new.tables.get(n)} | set(self.tables) | set(self.cleared)
+
+    def holds(self, base: Snapshot) -> bool:
+        """Whether no table the load touched has changed since; then the work stands."""
+        return all(base.tables.get(n) == self.base.tables.get(n) for n in self._changed())
+
+    def onto(self, base: Snapshot) -> Snapshot:
+        out = base.copy()
+        for name in self._changed():
+            out.tables.pop(name, None)
+            if name in self.new.tables:
+                out.tables[name] = copy.deepcopy(self.new.tables[name])
+        return out
+
+
+def _frames_schema(spark: SparkSession, name: str, frames: Sequence[DataFrame]) -> T.StructType:
+    """All columns (and struct fields) that any frame of the table has."""
+    union = spark.createDataFrame([], frames[0].schema)
+    for f in frames[1:]:
+        try:
+            union = union.unionByName(spark.createDataFrame([], f.schema), allowMissingColumns=True)
+        except AnalysisException as e:
+            raise ContractError(f"{name}: the frames of one load do not fit together: {str(e).splitlines()[0]}") from None
+    return union.schema
 
 
 def _direct(df: DataFrame, declared: TableContract, root: TableContract, load_id: str, naming: str,
-            name: str, max_nesting: int | None) -> list[NormalizedTable]:
+            name: str, max_nesting: int | None, frame: int) -> list[NormalizedTable]:
     """A flat append/replace input normalized without staging.  Its row ids only
-    need to be unique: (load id, task partition, row position) -- a retried task
+    need to be unique: (load id, frame, task partition, row position) -- a retried task
     rewrites its whole file, so ids inside the committed files stay consistent."""
-    rid = key_id([F.lit(load_id), F.spark_partition_id(), F.monotonically_increasing_id()])
+    rid = key_id([F.lit(load_id), F.lit(frame), F.spark_partition_id(), F.monotonically_increasing_id()])
     return normalize(_declared(df, declared), name, max_nesting=max_nesting, naming=naming, load_id=load_id,
                      row_id=rid)
 
 
-def _direct_records(tables: list[list[NormalizedTable]], target: int | None) -> int | None:
-    """Without staged bytes to measure, assume about 100 bytes per row."""
-    return max(1000, target // 100) if target else None
+def _direct_records(entry: dict | None, target: int | None) -> int | None:
+    """Rows per file from the bytes per row of the table's last measured segment (None
+    while nothing of the table is measured)."""
+    measured = [s for s in (entry or {}).get("segments", []) if s.get("rows") and s.get("bytes")]
+    if not target or not measured:
+        return None
+    return max(1, int(target * measured[-1]["rows"] / measured[-1]["bytes"]))
 
 
 def _written_rows(ds: Dataset, segs: list[dict]) -> int:
-    """Rows just written, from the Parquet footers (no second pass over the input)."""
-    files = [f for s in segs for f in ds.ledger.fs.list_files(s["path"])]
-    return ds.spark.read.parquet(*files).count() if files else 0
+    """Rows just written, from the Parquet footers (no second pass over the input);
+    rows and bytes of each segment are noted in its entry."""
+    for s in segs:
+        files = ds.ledger.fs.list_files(s["path"])
+        s["rows"] = ds.spark.read.parquet(*files).count() if files else 0
+        s["bytes"] = ds.ledger.fs.size(s["path"])
+    return sum(s["rows"] for s in segs)
+
+
+def _split_large(ds: Dataset, new: Snapshot, table: str, segs: list[dict], load_id: str, target: int) -> None:
+    """Write segments anew whose files are far above the target, now that their bytes
+    per row are known; later loads of the table are capped from the start."""
+    schema = new.schema_of(table)
+    for s in segs:
+        files = ds.ledger.fs.list_files(s["path"])
+        if not files or s["bytes"] <= 2 * target * len(files):
+            continue
+        cap = max(1, int(target * s["rows"] / s["bytes"]))
+        again = write_segment(ds, table, ds._scan([s], schema, None, False, False), s["layout"], load_id, cap)
+        ds.ledger.fs.delete(s["path"])
+        s.update(again, bytes=ds.ledger.fs.size(again["path"]))
 
 
 def _records_per_file(ds: Dataset, paths: Sequence[str], rows: int, target: int | None) -> int | None:
@@ -304,7 +384,7 @@ def _records_per_file(ds: Dataset, paths: Sequence[str], rows: int, target: int
     staged_bytes = sum(ds.ledger.fs.size(p) for p in paths)
     if staged_bytes <= 0:
         return None
-    return max(1000, int(target / (staged_bytes / rows)))
+    return max(1, int(target * rows / staged_bytes))
 
 
 def _count_tables(files: list[list[NormalizedTable]], keys: Sequence[str] = ()) -> tuple[dict[str, int], int | None]:
@@ -360,51 +440,64 @@ def _apply_refresh(new: Snapshot, mode: str, names: Sequence[str]) -> list[str]:
             new.tables[n]["segments"] = []
         else:
             del new.tables[n]
-    if mode == "drop_resources":
-        new.schemas = [s for s in new.schemas if not any(n in json.loads(s["schema"]) for n in affected)]
     return affected
 
 
-def _reset_cursors(ds: Dataset, base: Snapshot, new: Snapshot, tables: Sequence[str], load_id: str) -> None:
-    """A refreshed table's incremental cursor is reset.  Each pipeline whose
-    newest committed state holds a cursor for one of ``tables`` gets a new state
-    without it, committed with this load (pipelines are few; one small collect)."""
-    if not tables or not (base.states or base.archives.get("states")):
-        return
-    from tableload.operators.state import latest_state_per_pipeline
-    states = ds.ledger.history(base, "states")
-    loads = ds.ledger.history(base, "loads")
-    for row in latest_state_per_pipeline(states, loads).collect():
-        try:
-            state = json.loads(row["state"])
-        except (TypeError, ValueError):
-            continue
-        cursors = state.get("cursors") if isinstance(state, dict) else None
-        if not cursors or not any(t in cursors for t in tables):
-            continue
-        state["cursors"] = {k: v for k, v in cursors.items() if k not in tables}
-        new.states.append({"version": row["version"] + 1, "engine_version": ENGINE_VERSION,
-                           "pipeline_name": row["pipeline_name"], "state": json.dumps(state),
-                           "created_at": now(), "version_hash": "", "_load_id": load_id})
+def _write_states(ds: Dataset, base: Snapshot, new: Snapshot, cleared: Sequence[str], state: dict | None,
+                  load_id: str) -> None:
+    """At most one new state per pipeline and load, on top of its newest committed
+    one.  Cursors of cleared tables go from every pipeline's state; ``state`` is stored
+    as given, except that its cursors join the other tables' cursors."""
+    newest: dict[str, Any] = {}
+    if (cleared or state) and (base.states or base.archives.get("states")):
+        from tableload.operators.state import latest_state_per_pipeline
+        rows = latest_state_per_pipeline(ds.ledger.history(base, "states"), ds.ledger.history(base, "loads")).collect()
+        newest = {r["pipeline_name"]: r for r in rows}  # pipelines are few
+    wanted: dict[str, tuple[int, Any, str]] = {}
+    for name, row in newest.items():
+        held = _json_or_none(row["state"])
+        cursors = held.get("cursors") if isinstance(held, dict) else None
+        if cursors and any(t in cursors for t in cleared):
+            held = held | {"cursors": {k: v for k, v in cursors.items() if k not in cleared}}
+            wanted[name] = (row["version"] + 1, held, "")
+    if state is not None:
+        name, value = state["pipeline_name"], state.get("state")
+        if isinstance(value, dict) and "cursors" in value:
+            held = wanted[name][1] if name in wanted else _json_or_none(newest[name]["state"]) if name in newest else None
+            before = held.get("cursors", {}) if isinstance(held, dict) else {}
+            value = value | {"cursors": before | value["cursors"]}
+        wanted[name] = (state.get("version", 1), value, state.get("version_hash", ""))
+    for name, (version, value, version_hash) in wanted.items():
+        new.states.append({"version": version, "engine_version": ENGINE_VERSION, "pipeline_name": name,
+                           "state": json.dumps(value), "created_at": now(), "version_hash": version_hash,
+                           "_load_id": load_id})
+
+
+def _json_or_none(text: str | None) -> Any:
+    try:
+        return json.loads(text) if text is not None else None
+    except ValueError:
+        return None
 
 
 def _read_staged(spark: SparkSession, path: str, root: TableContract, load_id: str,
-                 max_nesting: int | None, naming: str, name: str, seq: int = 0) -> list[NormalizedTable]:
+                 max_nesting: int | None, naming: str, name: str, seq: int = 0,
+                 pad: T.StructType | None = None) -> list[NormalizedTable]:
     """Normalize one staged file.  Keyless roots get ids from (load id, file name,
     row index) of the staged Parquet, stable across retries.  Merge roots carry
     their write position (input frame, file, row) so that among duplicates with
     equal cursors the last written row wins."""
-    raw = spark.read.parquet(path)
+    at = [F.col("_metadata.file_name").alias(ORDER_COLS[1]), F.col("_metadata.row_index").alias(ORDER_COLS[2])]
+    raw = spark.read.parquet(path).select("*", *at)
+    if pad is not None:  # columns and struct fields only other frames have, as NULL
+        whole = T.StructType(pad.fields + raw.schema.fields[-2:])
+        raw = spark.createDataFrame([], whole).unionByName(raw, allowMissingColumns=True)
     keyed = root.disposition == "merge"  # append/replace ignore key hints for row ids
-    rid = None
-    if not keyed:
-        rid = key_id([F.lit(load_id), F.col("_metadata.file_name"), F.col("_metadata.row_index")])
-    extra = None
-    if keyed:
-        extra = {ORDER_COLS[0]: F.lit(seq), ORDER_COLS[1]: F.col("_metadata.file_name"),
-                 ORDER_COLS[2]: F.col("_metadata.row_index")}
+    file, row = F.col(ORDER_COLS[1]), F.col(ORDER_COLS[2])
+    rid = None if keyed else key_id([F.lit(load_id), file, row])
+    extra = dict(zip(ORDER_COLS, (F.lit(seq), file, row), strict=True)) if keyed else None
     return normalize(raw, name, primary_key=root.primary_key if keyed else (), max_nesting=max_nesting,
-                     naming=naming, load_id=load_id, row_id=rid, extra=extra)
+                     naming=naming, load_id=load_id, row_id=rid, extra=extra, hidden=ORDER_COLS)
 
 
 def with_comments(schema: T.StructType, contract: TableContract | None) -> T.StructType:
@@ -473,17 +566,23 @@ def _replace(ds, new, root, files, load_id, mrpf) -> list[dict]:
 
 def _touched(ds: Dataset, snap: Snapshot, table: str, keys: DataFrame, on: list[str],
              key_cols: list[str] | None = None) -> list[str]:
-    """Data files of ``table`` holding any of ``keys`` (semi join on the key
-    columns plus the file path; only distinct paths reach the driver)."""
+    """Data files of ``table`` holding any of ``keys`` (semi join on the key columns
+    plus the file path; only distinct paths reach the driver).  Segments laid out by
+    ``bucket(n, key)`` also join on the bucket, their partition column."""
     if table not in snap.tables:
         return []
     cols = key_cols or on
-    stored = ds.table(table, snap, with_file=True, keep_layout=True)
-    stored = stored.filter(_bucket_filter(snap.tables[table].get("layout") or [], keys, on, cols))
-    stored = stored.filter(_key_range(keys, on, cols, stored))
-    hit = stored.select(*cols, FILE_COL).join(keys.select(*on).withColumnsRenamed(dict(zip(on, cols))), cols,
-                                              "left_semi")
-    return sorted({uri_path(r[0], encoded=True) for r in hit.select(FILE_COL).distinct().collect()})
+    keys = keys.select(*[F.col(o).alias(c) for o, c in zip(on, cols, strict=True)])
+    hits = []
+    for layout, stored in ds.layout_groups(table, snap):
+        stored = stored.filter(_key_range(keys, cols, cols, stored))
+        buckets = [k for k in layout if k.transform == "bucket" and k.column in cols]
+        wanted = keys.select(*cols, *[key_expr(k).alias(k.derived_name) for k in buckets])
+        names = cols + [k.derived_name for k in buckets]
+        hits.append(stored.select(*names, FILE_COL).join(wanted, names, "left_semi").select(FILE_COL))
+    if not hits:
+        return []
+    return sorted({uri_path(r[0], encoded=True) for r in M.union_staged(hits).distinct().collect()})
 
 
 def _key_range(keys: DataFrame, on: list[str], cols: list[str], stored: DataFrame):
@@ -501,30 +600,19 @@ def _key_range(keys: DataFrame, on: list[str], cols: list[str], stored: DataFram
     return F.col(f"`{cols[0]}`").between(F.lit(lo), F.lit(hi))
 
 
-def _bucket_filter(layout: list[dict], keys: DataFrame, on: list[str], cols: list[str]):
-    """With a ``bucket(n, key)`` layout on a key column, only the buckets the staged
-    keys fall into are scanned (partition pruning); the bucket ids collected are at
-    most ``n``."""
-    from tableload.operators.layout import key_expr
-    from tableload.sources.dataset import keys_of
-    pred = F.lit(True)
-    for key in keys_of(layout):
-        if key.transform != "bucket" or key.column not in cols:
-            continue
-        src = on[cols.index(key.column)]
-        ids = [r[0] for r in keys.select(key_expr(replace(key, column=src)).alias("b")).distinct().collect()]
-        col = F.col(f"`{key.derived_name}`")
-        pred = pred & (col.isNull() | col.isin(ids))  # NULL: a segment written before the layout
-    return pred
-
-
-def _remove_files(entry: dict, files: Sequence[str]) -> None:
+def _remove_files(ds: Dataset, entry: dict, files: Sequence[str]) -> None:
+    """Note the rewritten files; a segment of which none is left goes."""
     gone = set(files)
+    left = []
     for seg in entry["segments"]:
         root = uri_path(seg["path"])
         mine = [f for f in gone if f.startswith(root.rstrip("/") + "/")]
         if mine:
             seg["removed"] = sorted(set(seg.get("removed") or []) | set(mine))
+            if {uri_path(f, encoded=True) for f in ds.ledger.fs.list_files(seg["path"])} <= {*seg["removed"]}:
+                continue
+        left.append(seg)
+    entry["segments"] = left
 
 
 def _merge(ds: Dataset, spark: SparkSession, base: Snapshot, new: Snapshot, root: TableContract,
@@ -557,41 +645,37 @@ def _merge(ds: Dataset, spark: SparkSession, base: Snapshot, new: Snapshot, root
         incoming = evolve(incoming, g.schema)
     schema = evolve(stored_schema, incoming)
     t_cur = align_to_schema(t_root, schema) if t_root is not None else spark.createDataFrame([], schema)
-    passing_all, up_all = None, None
-    for gi, g in enumerate(groups):
-        live = M.drop_stale(g, t_cur, pk, root.cursor) if root.cursor else g
+    passing = up = live = None
+    if staged_route:
+        live = M.drop_stale(groups[0], t_cur, pk, root.cursor) if root.cursor else groups[0]
         # written once: the upsert, the child replacement and the touched-file search
         # all read it, instead of re-running dedup and the stale filter per consumer
-        live = _materialize(ds, spark, load_id, root.name, f"live-{base.seq + 1}-{gi}", live)
-        passing = live.filter(F.expr(root.source_filter)) if root.source_filter else live
-        up = passing.filter(~M.deleted_flag(passing, root.hard_delete_column)) if root.hard_delete_column else passing
-        t_cur = M.upsert(t_cur, live if staged_route else align_to_schema(live, _sub(schema, live.columns)), pk,
-                         partial=not staged_route, deleted=root.hard_delete_column,
-                         source_filter=root.source_filter, skip_unchanged=root.skip_unchanged)
-        t_cur = align_to_schema(t_cur, schema)
-        p_ids, u_ids = passing.select(ROW_ID), up.select(ROW_ID)
-        passing_all = p_ids if passing_all is None else passing_all.unionByName(p_ids)
-        up_all = u_ids if up_all is None else up_all.unionByName(u_ids)
+        live = _materialize(ds, spark, load_id, root.name, f"live-{base.seq + 1}", live)
+        passing, up = M.surviving_roots(live, root)
+        t_cur = M.merge_root(t_cur, live, root)
+    elif len(groups) == 1:
+        live = M.drop_stale(groups[0], t_cur, pk, root.cursor) if root.cursor else groups[0]
+        live = _materialize(ds, spark, load_id, root.name, f"live-{base.seq + 1}", live)
+        t_cur = M.upsert(t_cur, align_to_schema(live, _sub(schema, live.columns)), pk, partial=True)
+    else:
+        folded = M.fold_groups(groups, t_cur, pk, schema, root.cursor)
+        t_cur = M.upsert_folded(t_cur, _materialize(ds, spark, load_id, root.name, f"live-{base.seq + 1}", folded), pk)
+    t_cur = align_to_schema(t_cur, schema)
     entry = _entry(new, root.name, schema, root.partition, None, root)
     seg = write_segment(ds, root.name, t_cur, entry["layout"], load_id, mrpf)
-    _remove_files(entry, touched)
+    _remove_files(ds, entry, touched)
     entry["segments"].append(seg)
     # children: replaced for every passing root, by root id
     children = [(t.name, t.parent, _union(files, i)) for i, t in enumerate(chain[1:], start=1)]
     children += [(n, base.tables[n].get("parent"), spark.createDataFrame([], base.schema_of(n))) for n in extra]
-    for name, parent, staged_child in children:
-        t = NormalizedTable(name, parent, staged_child, ())
-        s_child = M.drop_orphans(staged_child, passing_all)
-        c_stored_schema = base.schema_of(t.name)
-        c_schema = evolve(c_stored_schema, s_child.schema)
-        c_touched = _touched(ds, base, t.name, passing_all.select(F.col(ROW_ID).alias(ROOT_ID)), [ROOT_ID])
-        t_child = (ds.table(t.name, base, files=c_touched) if c_touched
-                   else spark.createDataFrame([], c_schema))
-        merged = M.replace_children(align_to_schema(t_child, c_schema), align_to_schema(s_child, c_schema),
-                                    passing_all, up_all)
-        c_entry = _entry(new, t.name, c_schema, _child_layout(entry, new.tables.get(t.name)), t.parent, None)
-        c_seg = write_segment(ds, t.name, align_to_schema(merged, c_schema), c_entry["layout"], load_id, mrpf)
-        _remove_files(c_entry, c_touched)
+    for name, parent, s_child in children:
+        c_schema = evolve(base.schema_of(name), s_child.schema)
+        c_touched = _touched(ds, base, name, passing.select(F.col(ROW_ID).alias(ROOT_ID)), [ROOT_ID])
+        t_child = ds.table(name, base, files=c_touched) if c_touched else spark.createDataFrame([], c_schema)
+        merged = M.merge_child(align_to_schema(t_child, c_schema), align_to_schema(s_child, c_schema), passing, passing, up)
+        c_entry = _entry(new, name, c_schema, _child_layout(entry, new.tables.get(name)), parent, None)
+        c_seg = write_segment(ds, name, align_to_schema(merged, c_schema), c_entry["layout"], load_id, mrpf)
+        _remove_files(ds, c_entry, c_touched)
         c_entry["segments"].append(c_seg)
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import random
+import time
 import uuid
+from collections.abc import Iterator
 from typing import Any
 
 from pyspark.sql import SparkSession
@@ -11,11 +14,20 @@ from tableload.functions.partition import parse_layout
 from tableload.sources.dataset import Dataset, layout_json
 
 
+def _attempts(seconds: float = 600.0) -> Iterator[int]:
+    """Attempts with growing pauses, until a time limit."""
+    end, n = time.monotonic() + seconds, 0
+    while n == 0 or time.monotonic() < end:
+        yield n
+        n += 1
+        time.sleep(min(5.0, 0.05 * 2**min(n, 10)) * random.uniform(0.5, 1.5))
+
+
 def set_layout(spark: SparkSession, path: str, table: str, keys: Any) -> bool:
     """Set a table's layout for files written from now on.  ``[]`` resets to
     unpartitioned; an unchanged layout writes no new snapshot (returns False)."""
     ds = Dataset(spark, path)
-    for _ in range(5):
+    for _ in _attempts():
         base = ds.snapshot()
         entry = base.tables[table]
         want = layout_json(parse_layout(keys)) or []
@@ -53,7 +65,7 @@ def compact(spark: SparkSession, path: str, table: str, max_records_per_file: in
     many loads; readers of older snapshots keep their files until ``vacuum``."""
     from tableload.plans.load import write_segment
     ds = Dataset(spark, path)
-    for _ in range(5):
+    for _ in _attempts():
         base = ds.snapshot()
         entry = base.tables[table]
         if len(entry["segments"]) <= 1 and not any(s.get("removed") for s in entry["segments"]):

@@ -318,6 +318,12 @@ def _rid(expr: str) -> str:
     return f"md5({expr})"
 
 
+def _kid(*exprs: str) -> str:
+    """SQL of a keyed root's id: every key value with its length in front."""
+    text = [f"CAST({e} AS VARCHAR)" for e in exprs]
+    return _rid(" || ".join(f"coalesce(CAST(length({t}) AS VARCHAR) || ':' || {t}, '-')" for t in text))
+
+
 def _docs_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read(spark, sf_dir, "documents")
     return d.select("doc_id", F.struct("lang", "source").alias("meta"), F.split("text", "\n", -1).alias("lines"))
@@ -325,7 +331,7 @@ def _docs_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @workload("nested_json_default", f"""
 SELECT doc_id, to_json({{'lang': lang, 'source': source}}) AS meta,
-       to_json(string_split(text, chr(10))) AS lines, {_rid("CAST(doc_id AS VARCHAR)")} AS _row_id
+       to_json(string_split(text, chr(10))) AS lines, {_kid("doc_id")} AS _row_id
 FROM documents
 """)
 def nested_json_default(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -335,7 +341,7 @@ def nested_json_default(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @workload("nested_children", f"""
-WITH r AS (SELECT {_rid("concat_ws('|', CAST(conv_id AS VARCHAR), CAST(turn AS VARCHAR))")} AS rid,
+WITH r AS (SELECT {_kid("conv_id", "turn")} AS rid,
                   string_split(text, chr(10)) AS arr FROM conversations),
 e AS (SELECT rid, unnest(arr) AS value, unnest(range(len(arr))) AS i FROM r)
 SELECT value, {_rid("concat_ws('|', rid, 'conversations__lines', CAST(i AS VARCHAR))")} AS _row_id,
@@ -351,7 +357,7 @@ def nested_children(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @workload("nested_two_levels", f"""
-WITH d AS (SELECT {_rid("CAST(doc_id AS VARCHAR)")} AS rid, string_split(text, chr(10)) AS arr FROM documents),
+WITH d AS (SELECT {_kid("doc_id")} AS rid, string_split(text, chr(10)) AS arr FROM documents),
 l AS (SELECT rid, unnest(arr) AS line, unnest(range(len(arr))) AS i FROM d),
 l2 AS (SELECT rid, {_rid("concat_ws('|', rid, 'documents__lines', CAST(i AS VARCHAR))")} AS lid,
               string_split(line, ' ') AS words FROM l),
@@ -370,7 +376,7 @@ def nested_two_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @workload("nested_lines_table", f"""
-WITH d AS (SELECT {_rid("CAST(doc_id AS VARCHAR)")} AS rid, string_split(text, chr(10)) AS arr FROM documents),
+WITH d AS (SELECT {_kid("doc_id")} AS rid, string_split(text, chr(10)) AS arr FROM documents),
 l AS (SELECT rid, unnest(arr) AS line, unnest(range(len(arr))) AS i FROM d)
 SELECT line AS text, to_json(string_split(line, ' ')) AS words,
        {_rid("concat_ws('|', rid, 'documents__lines', CAST(i AS VARCHAR))")} AS _row_id,
@@ -386,7 +392,7 @@ def nested_lines_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @workload("nested_embedding_children", f"""
-WITH r AS (SELECT {_rid("CAST(vec_id AS VARCHAR)")} AS rid, embedding FROM embeddings),
+WITH r AS (SELECT {_kid("vec_id")} AS rid, embedding FROM embeddings),
 e AS (SELECT rid, unnest(embedding) AS value, unnest(range(len(embedding))) AS i FROM r)
 SELECT value, {_rid("concat_ws('|', rid, 'embeddings__embedding', CAST(i AS VARCHAR))")} AS _row_id,
        rid AS _parent_id, rid AS _root_id, i AS _list_idx FROM e
@@ -401,7 +407,7 @@ def nested_embedding_children(spark: SparkSession, sf_dir: str) -> DataFrame:
 @workload("flatten_struct_snake_case", f"""
 SELECT event_id, ts AS event_time, user_id, event_type, value,
        CAST(json_extract(props, '$.k') AS BIGINT) AS props__k,
-       {_rid("CAST(event_id AS VARCHAR)")} AS _row_id
+       {_kid("event_id")} AS _row_id
 FROM events
 """)
 def flatten_struct_snake_case(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -477,22 +483,23 @@ def partition_day_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @workload("partition_bucket", """
-SELECT 16 AS n_buckets, count(*) AS n_rows, 0 AS min_bucket, 15 AS max_bucket,
-       count(DISTINCT o_custkey) AS n_keys FROM orders
+SELECT o_custkey, count(*) AS n_rows, sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS total_cents, 1 AS n_buckets
+FROM orders GROUP BY 1
 """)
 def partition_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bucket transform (L4) on ``bucket(16, o_custkey)``.  The hash is ours, so the
-    check is on invariants: every bucket is used, ids lie in 0..15, no row is lost,
-    and every key lands in exactly one bucket."""
+    """Bucket transform (L4): orders loaded with ``bucket(16, o_custkey)`` and read back;
+    no row is lost and every customer lies in one bucket directory."""
+    from tableload.contract import TableContract
     from tableload.functions.partition import bucket
-    from tableload.operators.layout import layout_columns
-    df, parts = layout_columns(read(spark, sf_dir, "orders"), [bucket(16, "o_custkey")])
-    b = F.col(parts[0])
-    per_bucket = df.groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("n"),
-                                              F.count_distinct("o_custkey").alias("k"))
-    return per_bucket.agg(F.count(F.lit(1)).alias("n_buckets"), F.sum("n").alias("n_rows"),
-                          F.min("b").alias("min_bucket"), F.max("b").alias("max_bucket"),
-                          F.sum("k").alias("n_keys"))
+    from tableload.plans.load import load
+    from tableload.session import scratch_path
+    from tableload.sources.dataset import Dataset
+    path = scratch_path(spark, "orders-bucket")
+    c = TableContract("orders", "append", partition=[bucket(16, "o_custkey")])
+    load(spark, path, {"orders": read(spark, sf_dir, "orders")}, [c], "L1")
+    return Dataset(spark, path).table("orders", keep_layout=True).groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("total_cents"),
+        F.count_distinct("_p_o_custkey_bucket16").cast("int").alias("n_buckets"))
 
 
 # --------------------------------------------------------------- chain merge
@@ -524,18 +531,18 @@ def _docs_chain(spark: SparkSession, sf_dir: str):
 
 CHAIN_SQL = f"""
 WITH t AS (SELECT doc_id, lang, source, CAST(1 AS BIGINT) AS version, false AS deleted, 'L1' AS _load_id,
-                  {_rid("CAST(doc_id AS VARCHAR)")} AS _row_id FROM documents),
+                  {_kid("doc_id")} AS _row_id FROM documents),
 s AS (SELECT doc_id, lang, source, CAST(CASE WHEN lang = 'fr' THEN 1 ELSE 2 END AS BIGINT) AS version,
-             lang = 'de' AS deleted, 'L2' AS _load_id, {_rid("CAST(doc_id AS VARCHAR)")} AS _row_id
+             lang = 'de' AS deleted, 'L2' AS _load_id, {_kid("doc_id")} AS _row_id
       FROM documents WHERE lang IN ('en', 'fr', 'de')),
 live AS (SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.doc_id = s.doc_id
          AND NOT coalesce(s.version > t.version OR (t.version IS NULL AND s.version IS NOT NULL), false))),
 p AS (SELECT * FROM live WHERE {CHAIN_FILTER}),
-tl AS (SELECT {_rid("CAST(doc_id AS VARCHAR)")} AS rid, string_split(text, chr(10)) AS arr FROM documents),
+tl AS (SELECT {_kid("doc_id")} AS rid, string_split(text, chr(10)) AS arr FROM documents),
 tc0 AS (SELECT rid, unnest(arr) AS value, unnest(range(len(arr))) AS i FROM tl),
 tc AS (SELECT value, {_rid("concat_ws('|', rid, 'documents__lines', CAST(i AS VARCHAR))")} AS _row_id,
               rid AS _parent_id, rid AS _root_id, i AS _list_idx FROM tc0),
-sl AS (SELECT {_rid("CAST(doc_id AS VARCHAR)")} AS rid,
+sl AS (SELECT {_kid("doc_id")} AS rid,
               list_filter(string_split(text, chr(10)), lambda x: length(x) > 40) AS arr
        FROM documents WHERE lang IN ('en', 'fr', 'de')),
 sc0 AS (SELECT rid, unnest(arr) AS value, unnest(range(len(arr))) AS i FROM sl),
@@ -585,11 +592,17 @@ def _events_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @workload("verify_append", """
-SELECT 'load-' || strftime(ts, '%Y%m%d') AS _load_id, count(*) AS n_rows FROM events GROUP BY 1
+SELECT CASE WHEN event_type IN ('view', 'click') THEN 'L1' ELSE 'L2' END AS load_id, count(*) AS n_rows
+FROM events GROUP BY 1
 """)
 def verify_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Append row counts (V3) of every load at once: rows landed per load id."""
-    return _events_loads(spark, sf_dir).groupBy("_load_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    """Append row counts (V3) of two committed loads, each counted as ``verify_load`` does."""
+    from tableload.operators.verify import key_counts, loaded_predicate
+    from tableload.sources.dataset import Dataset
+    events = Dataset(spark, _events_dataset(spark, sf_dir, "append")).table("events")
+    one = lambda lid: key_counts(events, "append", [], loaded_predicate([lid])).select(
+        F.lit(lid).alias("load_id"), "n_rows")
+    return one("L1").unionByName(one("L2"))
 
 
 @workload("verify_replace_keys", """
@@ -620,7 +633,7 @@ def verify_merge_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @workload("verify_child_scope", f"""
-WITH r AS (SELECT {_rid("concat_ws('|', CAST(conv_id AS VARCHAR), CAST(turn AS VARCHAR))")} AS rid, role,
+WITH r AS (SELECT {_kid("conv_id", "turn")} AS rid, role,
                   string_split(text, chr(10)) AS arr FROM conversations),
 c AS (SELECT rid, unnest(range(len(arr))) AS i FROM r)
 SELECT count(*) AS n_rows,
@@ -773,20 +786,31 @@ def incremental_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @workload("refresh_drop_data", """
-SELECT 'nation' AS table_name, count(*) AS n_rows, count(DISTINCT n_regionkey) AS n_keys FROM nation
-UNION ALL SELECT 'region', 0, 0
+SELECT 'customer' AS table_name, count(*) AS n_rows, count(DISTINCT c_nationkey) AS n_keys FROM customer
+WHERE c_mktsegment = 'BUILDING'
+UNION ALL SELECT 'orders', count(*), count(DISTINCT o_custkey) FROM orders
 """)
 def refresh_drop_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``drop_data`` refresh of ``region`` (C8): its content is replaced by an empty
-    relation with the same schema; ``nation`` is untouched."""
-    from tableload.plans.refresh import drop_data
-    tables = {"nation": read(spark, sf_dir, "nation"), "region": read(spark, sf_dir, "region")}
-    after = drop_data(spark, tables, ["region"])
-    n = after["nation"].agg(F.lit("nation").alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
-                            F.count_distinct("n_regionkey").alias("n_keys"))
-    r = after["region"].agg(F.lit("region").alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
-                            F.count_distinct("r_regionkey").alias("n_keys"))
-    return n.unionByName(r)
+    """``drop_data`` refresh through a load (C8): customers are cleared and one segment of
+    them loaded anew in the same commit; orders stay."""
+    from tableload.contract import TableContract
+    from tableload.plans.load import load
+    from tableload.session import scratch_path
+    from tableload.sources.dataset import Dataset
+    path = scratch_path(spark, "refresh")
+    cu, od = read(spark, sf_dir, "customer"), read(spark, sf_dir, "orders")
+    c, o = TableContract("customer", "append"), TableContract("orders", "append")
+    load(spark, path, {"customer": cu, "orders": od}, [c, o], "L1")
+    load(spark, path, {"customer": cu.filter("c_mktsegment = 'BUILDING'")}, [c], "L2", refresh="drop_data",
+         allow_destructive=True)
+    return _table_counts(Dataset(spark, path), {"customer": "c_nationkey", "orders": "o_custkey"})
+
+
+def _table_counts(ds, keys: dict[str, str]) -> DataFrame:
+    """Rows and distinct values of one column for every named table."""
+    return M.union_staged([
+        ds.table(t).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n_rows"), F.count_distinct(k).alias("n_keys"))
+        for t, k in keys.items()])
 
 
 @workload("readback_select", """
@@ -848,7 +872,7 @@ def load_chain_children(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @workload("stream_merge", f"""
-SELECT *, 'events-000000000000' AS _load_id, {_rid("CAST(user_id AS VARCHAR)")} AS _row_id FROM events
+SELECT *, 'events-000000000000' AS _load_id, {_kid("user_id")} AS _row_id FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC) = 1
 """)
 def stream_merge_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -866,7 +890,9 @@ def stream_merge_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = TableContract("events", "merge", ("user_id",), cursor="ts", tie_break=("event_id",))
     q = stream_merge(src, path, [c], "events", checkpoint=f"{path}/_checkpoint")
     q.awaitTermination()
-    return Dataset(spark, path).table("events")
+    # the load id also holds the id of the checkpoint, which differs from run to run
+    return Dataset(spark, path).table("events").withColumn(
+        "_load_id", F.regexp_replace("_load_id", "-[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}-", "-"))
 
 
 @workload("labels_partial_update", """
@@ -952,3 +978,182 @@ def load_verify_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
          [TableContract("lineitem", "replace", ("l_orderkey", "l_linenumber")), TableContract("orders", "append")],
          "L1")
     return verify_load(spark, path)
+
+
+@workload("load_bucket_int_key", """
+SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey,
+       CASE WHEN c_nationkey IN (3, 11) THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal,
+       CASE WHEN c_nationkey IN (3, 11) THEN 'L2' ELSE 'L1' END AS _load_id FROM customer
+""")
+def load_bucket_int_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merge into a table bucketed on a key that arrives as INT and is stored as BIGINT
+    (L4 P11 U5): two nations' customers are sent again, which touches few buckets."""
+    from tableload.functions.partition import bucket
+    cu = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    again = cu.filter(F.col("c_nationkey").isin(3, 11)).withColumn("c_acctbal", F.col("c_acctbal") + 1)
+    return _merged_twice(spark, "customer", ("c_nationkey", "c_custkey"), [bucket(8, "c_nationkey")], cu, again)
+
+
+@workload("load_bucket_widened", """
+SELECT CAST(c_custkey AS DECIMAL(20,0)) AS c_custkey, c_mktsegment,
+       CASE WHEN c_mktsegment = 'BUILDING' THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal,
+       CASE WHEN c_mktsegment = 'BUILDING' THEN 'L2' ELSE 'L1' END AS _load_id FROM customer
+""")
+def load_bucket_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bucketed key widened from BIGINT to DECIMAL(20,0) by the second load."""
+    from tableload.functions.partition import bucket
+    from tableload.functions.types import UINT64_DECIMAL
+    cu = read(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    again = cu.filter("c_mktsegment = 'BUILDING'").select(
+        F.col("c_custkey").cast(UINT64_DECIMAL).alias("c_custkey"), "c_mktsegment", (F.col("c_acctbal") + 1).alias("c_acctbal"))
+    return _merged_twice(spark, "customer", ("c_custkey",), [bucket(64, "c_custkey")], cu, again)
+
+
+def _merged_twice(spark: SparkSession, table: str, key: tuple[str, ...], layout, first: DataFrame, second: DataFrame) -> DataFrame:
+    from tableload.contract import TableContract
+    from tableload.plans.load import load
+    from tableload.session import scratch_path
+    from tableload.sources.dataset import Dataset
+    path = scratch_path(spark, f"{table}-merged")
+    c = TableContract(table, "merge", key, partition=layout)
+    load(spark, path, {table: first}, [c], "L1")
+    load(spark, path, {table: second}, [c], "L2")
+    return Dataset(spark, path).table(table).drop("_row_id")
+
+
+@workload("load_two_frames_nested", f"""
+WITH d AS (SELECT {_kid("doc_id")} AS rid, lang, string_split(text, chr(10)) AS ls, string_split(source, 'r') AS ps FROM documents),
+e AS (SELECT rid, 'lines' AS child, unnest(ls) AS value, unnest(range(len(ls))) AS i FROM d
+      UNION ALL SELECT rid, 'parts', unnest(ps), unnest(range(len(ps))) FROM d WHERE lang <> 'en')
+SELECT child, value, {_rid("concat_ws('|', rid, 'documents__' || child, CAST(i AS VARCHAR))")} AS _row_id, rid AS _root_id,
+       i AS _list_idx FROM e
+""")
+def load_two_frames_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two frames of one load whose list columns differ in number and order (S7 U1): child
+    tables are matched by name, and a list that one frame lacks is empty for its rows."""
+    from tableload.contract import TableContract
+    from tableload.plans.load import load
+    from tableload.session import scratch_path
+    from tableload.sources.dataset import Dataset
+    d = read(spark, sf_dir, "documents")
+    lines, parts = F.split("text", "\n", -1).alias("lines"), F.split("source", "r", -1).alias("parts")
+    frames = [d.filter("lang = 'en'").select("doc_id", lines), d.filter("lang <> 'en'").select(parts, "lang", lines, "doc_id")]
+    path = scratch_path(spark, "two-frames")
+    load(spark, path, {"documents": frames}, [TableContract("documents", "merge", ("doc_id",))], "L1", max_nesting=1)
+    ds = Dataset(spark, path)
+    return M.union_staged([ds.table(f"documents__{c}").select(F.lit(c).alias("child"), "value", "_row_id", "_root_id", "_list_idx")
+                           for c in ("lines", "parts")])
+
+
+@workload("load_two_frames_ids", """
+SELECT p_brand, count(*) AS n_rows, count(*) AS n_ids FROM part GROUP BY 1
+""")
+def load_two_frames_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two flat frames in one append (S3): every row has an id of its own."""
+    from tableload.contract import TableContract
+    from tableload.plans.load import load
+    from tableload.session import scratch_path
+    from tableload.sources.dataset import Dataset
+    p = read(spark, sf_dir, "part")
+    path = scratch_path(spark, "frame-ids")
+    load(spark, path, {"part": [p.filter("p_size <= 25"), p.filter("p_size > 25").drop("p_type")]}, [TableContract("part", "append")], "L1")
+    ids = Dataset(spark, path).table("part")
+    once = ids.groupBy("_row_id").agg(F.min("p_brand").alias("p_brand"), F.count(F.lit(1)).alias("n"))
+    return once.groupBy("p_brand").agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_ids"))
+
+
+@workload("load_composite_text_key", f"""
+WITH d AS (SELECT {_kid("concat(lang, '|', source)", "concat(doc_id, '|x')")} AS rid, lang, string_split(text, chr(10)) AS arr FROM documents),
+k AS (SELECT rid, CASE WHEN lang = 'de' THEN list_filter(arr, lambda x: length(x) > 40) ELSE arr END AS arr FROM d),
+e AS (SELECT rid, unnest(arr) AS value, unnest(range(len(arr))) AS i FROM k)
+SELECT value, {_rid("concat_ws('|', rid, 'docs__lines', CAST(i AS VARCHAR))")} AS _row_id, rid AS _parent_id, rid AS _root_id,
+       i AS _list_idx FROM e
+""")
+def load_composite_text_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chain on a two-column text key whose values hold separators (P6 U9 U11): the German
+    documents' children are replaced, all others stay."""
+    from tableload.contract import TableContract
+    from tableload.plans.load import load
+    from tableload.session import scratch_path
+    from tableload.sources.dataset import Dataset
+    lines = F.split("text", "\n", -1)
+    d = read(spark, sf_dir, "documents").select(
+        F.concat("lang", F.lit("|"), "source").alias("a"), F.concat(F.col("doc_id").cast("string"), F.lit("|x")).alias("b"),
+        "lang", lines.alias("lines"))
+    again = d.filter("lang = 'de'").withColumn("lines", F.filter("lines", lambda x: F.length(x) > 40))
+    path = scratch_path(spark, "text-key")
+    c = TableContract("docs", "merge", ("a", "b"))
+    load(spark, path, {"docs": d}, [c], "L1", max_nesting=1)
+    load(spark, path, {"docs": again}, [c], "L2", max_nesting=1)
+    return Dataset(spark, path).table("docs__lines")
+
+
+@workload("load_drop_resources", """
+SELECT 'customer' AS table_name, count(*) AS n_rows, count(DISTINCT c_name) AS n_keys, 1 AS n_versions FROM customer
+UNION ALL SELECT 'orders', count(*), count(DISTINCT o_orderkey), 1 FROM orders
+""")
+def load_drop_resources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``drop_resources`` refresh (C9): customers are dropped with all schema versions that
+    name them and loaded anew with another schema; orders stay."""
+    from tableload.contract import TableContract
+    from tableload.plans.load import load
+    from tableload.session import scratch_path
+    from tableload.sources.dataset import Dataset
+    path = scratch_path(spark, "drop-resources")
+    cu, od = read(spark, sf_dir, "customer"), read(spark, sf_dir, "orders")
+    c, o = TableContract("customer", "append"), TableContract("orders", "append")
+    load(spark, path, {"customer": cu.select("c_custkey")}, [c], "L1")
+    load(spark, path, {"customer": cu.select("c_custkey", "c_acctbal"), "orders": od}, [c, o], "L2")
+    load(spark, path, {"customer": cu.select("c_name")}, [c], "L3", refresh="drop_resources", allow_destructive=True)
+    ds = Dataset(spark, path)
+    named = ds.schema_versions().select(F.explode(F.json_object_keys("schema")).alias("table_name")).groupBy("table_name").agg(
+        F.count(F.lit(1)).cast("int").alias("n_versions"))
+    return _table_counts(ds, {"customer": "c_name", "orders": "o_orderkey"}).join(named, "table_name")
+
+
+@workload("load_incremental_two_tables", """
+SELECT 'events' AS table_name, count(*) AS n_rows, count(DISTINCT event_id) AS n_keys FROM events
+UNION ALL SELECT 'orders', count(*), count(DISTINCT o_orderkey) FROM orders
+""")
+def load_incremental_two_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables of one pipeline loaded incrementally in turns (C6 C7), the second run of
+    each from its own committed cursor, then a refresh of one of them (C8)."""
+    from tableload.contract import TableContract
+    from tableload.plans.incremental import incremental_load
+    from tableload.session import scratch_path
+    from tableload.sources.dataset import Dataset
+    path = scratch_path(spark, "incremental-two")
+    ev, od = read(spark, sf_dir, "events"), read(spark, sf_dir, "orders")
+    e, o = TableContract("events", "append"), TableContract("orders", "append")
+    run = lambda src, c, cur, lid, **kw: incremental_load(spark, path, src, c, cur, "pipe", lid, **kw)
+    run(ev.filter("ts < TIMESTAMP_NTZ '2024-01-16 00:00:00'"), e, "ts", "L001")
+    run(od.filter("o_orderdate < TIMESTAMP_NTZ '1997-01-01 00:00:00'"), o, "o_orderdate", "L002")
+    run(ev, e, "ts", "L003")
+    run(od, o, "o_orderdate", "L004")
+    run(ev, e, "ts", "L005", refresh="drop_data", allow_destructive=True)
+    run(od, o, "o_orderdate", "L006")
+    return _table_counts(Dataset(spark, path), {"events": "event_id", "orders": "o_orderkey"})
+
+
+@workload("load_layout_changed", """
+SELECT event_id, ts, user_id, event_type, CASE WHEN event_type = 'click' THEN value + 1 ELSE value END AS value FROM events
+WHERE ts BETWEEN TIMESTAMP '2024-01-10 06:00:00' AND TIMESTAMP '2024-01-12 18:00:00'
+""")
+def load_layout_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A layout set on a filled table (L6): append, set layout, append, merge, range read;
+    rows written before and after the change are all found."""
+    from tableload.contract import TableContract
+    from tableload.functions.partition import day, month, year
+    from tableload.plans.load import load
+    from tableload.plans.maintenance import set_layout
+    from tableload.session import scratch_path
+    from tableload.sources.dataset import Dataset
+    path = scratch_path(spark, "layout-changed")
+    ev = read(spark, sf_dir, "events").drop("props")
+    first = F.col("event_type").isin("view", "click")
+    plain, merge = TableContract("events", "append"), TableContract("events", "merge", ("event_id",))
+    load(spark, path, {"events": ev.filter(first)}, [plain], "L1")
+    set_layout(spark, path, "events", [year("ts"), month("ts"), day("ts")])
+    load(spark, path, {"events": ev.filter(~first)}, [plain], "L2")
+    load(spark, path, {"events": ev.filter("event_type = 'click'").withColumn("value", F.col("value") + 1)}, [merge], "L3")
+    return Dataset(spark, path).between("events", "ts", "2024-01-10 06:00:00", "2024-01-12 18:00:00").drop("_load_id", "_row_id")

@@ -49,10 +49,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for lineage cuts and scratch tables:
-    ``spark.checkpoint.dir`` from the session.  Only when it is unset (tests on
-    one machine) a folder under the system temp dir is chosen and recorded."""
+    ``spark.checkpoint.dir`` from the session.  A local master, whose executors are
+    this machine, may leave it unset; then a folder under the system temp dir is
+    chosen and recorded.  Elsewhere an unset folder is an error."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder (master {master})")
         path = os.path.join(os.environ.get("TMPDIR", "/tmp"), "tableload-checkpoints")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:

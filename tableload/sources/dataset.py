@@ -4,11 +4,11 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 from urllib.parse import unquote, urlparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,6 +42,7 @@ class Dataset:
         self.spark = spark
         self.path = path.rstrip("/")
         self.ledger = Ledger(spark, self.path)
+        self._own: Dataset | None = None
 
     # ------------------------------------------------------------ catalog
     def snapshot(self) -> Snapshot:
@@ -59,11 +60,13 @@ class Dataset:
 
     # ------------------------------------------------------------ reading
     def table(self, name: str, snapshot: Snapshot | None = None, *, with_file: bool = False,
-              keep_layout: bool = False, files: Iterable[str] | None = None) -> DataFrame:
+              keep_layout: bool = False, files: Iterable[str] | None = None,
+              where: Callable[[list[PartitionKey]], Column] | None = None) -> DataFrame:
         """The table's current rows (R1).  Each segment is one Parquet scan with the
         table schema supplied, so older segments read with added columns as NULL
         and BIGINT widened to DECIMAL(20,0); derived layout columns are dropped
-        unless ``keep_layout``.  ``files`` restricts the read to those data files."""
+        unless ``keep_layout``.  ``files`` restricts the read to those data files, and
+        ``where`` gives each layout's rows a filter that may use its derived columns."""
         snap = snapshot or self.snapshot()
         if name not in snap.tables:
             raise TableNotFound(f"table {name!r} does not exist in {self.path}")
@@ -75,7 +78,7 @@ class Dataset:
             groups.setdefault(json.dumps(seg.get("layout") or [], sort_keys=True), []).append(seg)
         frames = []
         for segs in groups.values():
-            df = self._scan(segs, schema, only, with_file, keep_layout)
+            df = self._scan(segs, schema, only, with_file, keep_layout, where)
             if df is not None:
                 frames.append(df)
         if not frames:
@@ -86,7 +89,7 @@ class Dataset:
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
     def _scan(self, segs: list[dict], schema: T.StructType, only: set[str] | None, with_file: bool,
-              keep_layout: bool) -> DataFrame | None:
+              keep_layout: bool, where=None) -> DataFrame | None:
         """One Parquet scan over all segments sharing a layout: the table folder is
         the base path, the segment id and derived layout columns are partitions."""
         keys = keys_of(segs[0].get("layout") or [])
@@ -108,6 +111,8 @@ class Dataset:
         if not paths:
             return None
         df = self.spark.read.schema(read_schema).option("basePath", base).parquet(*paths)
+        if where is not None:
+            df = df.filter(where(keys))
         cols = [F.col(f"`{c}`") for c in schema.fieldNames()]
         if keep_layout:
             cols += [F.col(f"`{d}`") for d in derived]
@@ -115,32 +120,54 @@ class Dataset:
             cols.append(F.col("_metadata.file_path").alias(FILE_COL))
         return df.select(*cols)
 
+    def layout_groups(self, name: str, snapshot: Snapshot) -> list[tuple[list[PartitionKey], DataFrame]]:
+        """For every layout the table's segments were written in: its keys and their rows,
+        with the file of each row and the derived columns."""
+        entry = snapshot.tables[name]
+        schema = T.StructType.fromJson(entry["schema"])
+        groups: dict[str, list[dict]] = {}
+        for seg in entry["segments"]:
+            groups.setdefault(json.dumps(seg.get("layout") or [], sort_keys=True), []).append(seg)
+        scans = [(keys_of(segs[0].get("layout") or []), self._scan(segs, schema, None, True, True)) for segs in groups.values()]
+        return [(keys, df) for keys, df in scans if df is not None]
+
     def between(self, name: str, column: str, lo=None, hi=None) -> DataFrame:
         """Rows with ``lo <= column <= hi``, with partition filters derived from the
         layout so Spark skips directories (transforms are not pruned by Catalyst)."""
         snap = self.snapshot()
-        df = self.table(name, snap, keep_layout=True)
-        pred = F.lit(True)
-        if lo is not None:
-            pred = pred & (F.col(column) >= F.lit(lo))
-        if hi is not None:
-            pred = pred & (F.col(column) <= F.lit(hi))
-        layout = snap.tables[name].get("layout") or []
-        pred = pred & prune(keys_of(layout), column, lo, hi)
-        out = df.filter(pred)
-        return out.select(*[c for c in out.columns if not c.startswith("_p_") or c in
-                            T.StructType.fromJson(snap.tables[name]["schema"]).fieldNames()])
+        if name not in snap.tables:
+            raise TableNotFound(f"table {name!r} does not exist in {self.path}")
+        dtype = T.StructType.fromJson(snap.tables[name]["schema"])[column].dataType
+
+        def where(keys: list[PartitionKey]) -> Column:
+            # a segment is pruned by the layout it was written in
+            pred = prune(keys, column, dtype, lo, hi)
+            if lo is not None:
+                pred = pred & (F.col(f"`{column}`") >= F.lit(lo).cast(dtype))
+            if hi is not None:
+                pred = pred & (F.col(f"`{column}`") <= F.lit(hi).cast(dtype))
+            return pred
+
+        return self.table(name, snap, where=where)
 
     def register(self, snapshot: Snapshot | None = None) -> list[str]:
-        """Temp views for every table, so unqualified SQL names resolve."""
+        """Temp views for every table in this session, under the tables' names."""
         snap = snapshot or self.snapshot()
         for name in snap.tables:
-            self.table(name, snap).createOrReplaceTempView(name)
+            self.table(name, snap).createOrReplaceTempView("`" + name.replace("`", "``") + "`")
         return sorted(snap.tables)
 
     def sql(self, text: str, **kwargs) -> DataFrame:
-        self.register()
-        return self.spark.sql(text, **kwargs)
+        """SQL over the tables by unqualified name (R3).  The views live in a session
+        of the dataset's own, so datasets with equal table names do not meet."""
+        if self._own is None:
+            own = self.spark.newSession()
+            for key, value in self.spark.conf.getAll.items():
+                if own.conf.isModifiable(key):
+                    own.conf.set(key, value)
+            self._own = Dataset(own, self.path)
+        self._own.register()
+        return self._own.spark.sql(text, **kwargs)
 
     # ----------------------------------------------------- bookkeeping
     def loads(self) -> DataFrame:

@@ -7,6 +7,8 @@ and written by Spark executors.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -18,6 +20,7 @@ class FS:
         self._conf = spark._jsc.hadoopConfiguration()  # noqa: SLF001
         self._fs = self._Path(root).getFileSystem(self._conf)
         self._jvm = jvm
+        self._none = spark.sparkContext._gateway.new_array(jvm.java.lang.String, 0)  # noqa: SLF001
 
     def path(self, p: str):
         return self._Path(p)
@@ -45,19 +48,35 @@ class FS:
         return out
 
     def create_exclusive(self, p: str, data: bytes) -> bool:
-        """Create ``p`` with ``data`` unless it exists; False if another writer won.
-        Exclusive create is atomic on HDFS; object stores need a store-side
-        conditional put for the same guarantee."""
+        """Publish ``data`` as ``p`` unless it exists; False if another writer won.
+        The bytes are written to a file of their own first and then named ``p`` in one
+        step that does not replace (a hard link on a local disk, a rename elsewhere),
+        so a reader or a crash never meets half a file.  Stores without an atomic
+        rename need a conditional put instead."""
+        if self.exists(p):
+            return False
+        tmp = f"{p}.{uuid.uuid4().hex}.tmp"
+        out = self._fs.create(self._Path(tmp), False)
+        try:
+            out.write(bytearray(data))
+        finally:
+            out.close()
         try:
-            out = self._fs.create(self._Path(p), False)
+            if self._fs.getScheme() == "file":
+                paths = [self._jvm.java.nio.file.Paths.get(self._Path(x).toUri().getPath(), self._none) for x in (p, tmp)]
+                self._jvm.java.nio.file.Files.createLink(*paths)
+            else:
+                options = self._jvm.org.apache.hadoop.fs.Options.Rename
+                none = self.spark.sparkContext._gateway.new_array(options, 1)  # noqa: SLF001
+                none[0] = options.NONE
+                context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._Path(p).toUri(), self._conf)
+                context.rename(self._Path(tmp), self._Path(p), none)
         except Exception as e:  # noqa: BLE001
             if "FileAlreadyExists" in str(e) or "already exists" in str(e):
                 return False
             raise
-        try:
-            out.write(bytearray(data))
         finally:
-            out.close()
+            self._fs.delete(self._Path(tmp), False)
         return True
 
     def read(self, p: str) -> bytes:

@@ -37,9 +37,7 @@ def frame(spark: SparkSession, data: Any, schema: T.StructType | str | None = No
     if isinstance(data, DataFrame):
         return data
     if isinstance(data, pa.Table):
-        df = spark.createDataFrame(data.to_pandas(types_mapper=None)) if schema is None else \
-            spark.createDataFrame(data.to_pylist(), schema)
-        return df
+        return spark.createDataFrame(data, schema)
     if isinstance(data, Iterable) and not isinstance(data, (str, bytes)):
         rows = list(data)
         if rows and isinstance(rows[0], dict) and schema is None:
@@ -48,8 +46,7 @@ def frame(spark: SparkSession, data: Any, schema: T.StructType | str | None = No
     return spark.createDataFrame(data, schema)
 
 
-def route(df: DataFrame, by: Column | str, max_routes: int = 10_000,
-          staging_path: str | None = None) -> dict[str, DataFrame]:
+def route(df: DataFrame, by: Column | str, staging_path: str | None = None) -> dict[str, DataFrame]:
     """Split rows into tables named by ``by`` (e.g. ``concat('events_', kind)``).
 
     The input is written once, partitioned by route value, under the shared
@@ -57,7 +54,7 @@ def route(df: DataFrame, by: Column | str, max_routes: int = 10_000,
     table is then a partition-pruned read of its directory, so routing costs one
     pass however many routes there are.  A route holding a large share of the
     rows is split across writers by the ``rebalance`` hint.  The route names come
-    from the directory listing, bounded by ``max_routes``."""
+    from the directory listing."""
     from urllib.parse import unquote
 
     from tableload.session import scratch_path
@@ -70,8 +67,6 @@ def route(df: DataFrame, by: Column | str, max_routes: int = 10_000,
     names = [unquote(d.split("=", 1)[1]) for d in dirs]
     if "__HIVE_DEFAULT_PARTITION__" in names:
         raise ContractError("route expression returned NULL for some rows")
-    if len(names) > max_routes:
-        raise ContractError(f"more than {max_routes} route values; route by a coarser expression")
     staged = spark.read.schema(df.schema.add("__route", T.StringType())).parquet(path)
     return {n: staged.filter(F.col("__route") == n).drop("__route") for n in sorted(names)}
 
