@@ -27,6 +27,7 @@ from tableload.session import shared_dir
 SHINGLE = 5
 FRACTION = 4  # one in FRACTION hashes is kept
 _LOWEST = -(1 << 31)
+_NO_ID = -(1 << 63)  # stands for a null id: last in descending order
 
 
 def sketch(text: Column) -> Column:
@@ -89,11 +90,11 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     near_next, and the resemblances resembles_edited and resembles_next."""
     spark = docs.sparkSession
     shared_dir(spark)
+    # both uses of the texts read the same columns, so that they share one exchange
     base = documents(docs, "doc_id", "text").select(
-        "doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("key"), "text",
-        F.length("text").alias("n"), F.xxhash64("text").alias("h"))
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("key"), "text", F.xxhash64("text").alias("h"))
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    links = _followers(base.select("key", "n", "h"), partitions)
+    links = _followers(base.select("key", F.length("text").alias("n"), "h"), partitions)
     # the window leaves rows hashed and sorted by key; the tie is compared beside the join key
     rows = base.withColumn("tie", F.row_number().over(Window.partitionBy("key").orderBy("h")))
     linked = rows.join(links.select(F.col("key").alias("lkey"), F.col("tie").alias("ltie"), "prev"),
@@ -103,8 +104,10 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
         F.substring("text", F.lit(1), F.floor(F.col("prev.n") / 3).cast("int")).alias("front"),
         sketch(F.col("text")).alias("next_sketch"))
     pairs = rows.join(donors, (F.col("key") == F.col("dkey")) & (F.col("tie") - F.col("dtie") == 0))
-    edited = pairs.select("doc_id", "n", "text", "next_sketch", F.concat(
-        F.substring("text", F.lit(1), (F.col("n") - F.floor(F.col("n") / 3)).cast("int")), "front").alias("edited"))
+    own = F.when(F.col("key") != _NO_ID, F.col("key"))
+    n = F.length("text")
+    edited = pairs.select(own.alias("doc_id"), n.alias("n"), "text", "next_sketch", F.concat(
+        F.substring("text", F.lit(1), (n - F.floor(n / 3)).cast("int")), "front").alias("edited"))
     sketched = edited.select(
         "doc_id", F.col("n").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
         sketch(F.col("text")).alias("a"), sketch(F.col("edited")).alias("b"), F.col("next_sketch").alias("c"))
