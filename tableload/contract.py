@@ -129,17 +129,24 @@ def validate_one(c: TableContract, contracts: Sequence[TableContract]) -> None:
                 "(a child table or a hard_delete column)"
             )
     if c.partition is not None:
-        keys = parse_layout(c.partition)
-        if keys and c.disposition == "replace":
-            raise ContractError(f"{c.name}: layout hints require append or merge; replace recreates the table")
-        for key in keys:
-            if names and key.column not in names:
-                raise ContractError(f"{c.name}: layout column {key.column!r} does not exist")
-            dt = _column_type(c, key.column)
-            if key.transform in TIME_TRANSFORMS and dt is not None:
-                ok = isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType))
-                if not ok or (key.transform == "hour" and isinstance(dt, T.DateType)):
-                    raise ContractError(f"{c.name}: {key.transform} cannot partition {key.column!r} ({dt.simpleString()})")
+        _check_layout(c, parse_layout(c.partition), names)
+
+
+def _check_layout(c: TableContract, keys: list[PartitionKey], names: list[str]) -> None:
+    """A layout needs a table that outlives the load, columns that are there, and times
+    for the parts of times."""
+    if c.disposition == "replace" and keys:
+        raise ContractError(f"{c.name}: a replaced table starts anew with each load and keeps no layout")
+    unknown = sorted({k.column for k in keys} - set(names)) if names else []
+    if unknown:
+        raise ContractError(f"{c.name}: the layout names columns the table lacks: {unknown}")
+    for key in keys:
+        dt = _column_type(c, key.column)
+        if dt is None or key.transform not in TIME_TRANSFORMS:
+            continue
+        fit = (T.TimestampType, T.TimestampNTZType) + (() if key.transform == "hour" else (T.DateType,))
+        if not isinstance(dt, fit):
+            raise ContractError(f"{c.name}: {dt.simpleString()} column {key.column!r} has no {key.transform}")
 
 
 def validate(contracts: Sequence[TableContract], allow_destructive: Any = None,

@@ -115,7 +115,7 @@ def stage(ds: Dataset, load_id: str, table: str, frames: Sequence[DataFrame]) ->
 def require_complete(ds: Dataset, paths: Sequence[str]) -> None:
     missing = [p for p in paths if not ds.ledger.fs.exists(f"{p}/_SUCCESS")]
     if missing:
-        raise IncompleteStagingError(f"cannot merge a load with incomplete staging: {missing}")
+        raise IncompleteStagingError(f"staged frames are not whole, nothing was published: {missing}")
 
 
 def _safe(load_id: str) -> str:
@@ -248,7 +248,7 @@ def load(
             table_counts, n_keys = _count_tables(staged_files, root.primary_key if nested_merge else ())
             if nested_merge and n_keys != table_counts[name]:
                 raise DuplicateRootError(
-                    f"table {name}: nested upsert requires one row per primary key per load")
+                    f"{name}: {table_counts[name]} staged roots share {n_keys} keys; a table with children takes one row per key")
             out.counts.update(table_counts)
             mrpf = max_records_per_file or _records_per_file(ds, paths, table_counts[name], target_file_bytes)
             for i, tname in enumerate(chain_names):
@@ -609,7 +609,8 @@ def _remove_files(ds: Dataset, entry: dict, files: Sequence[str]) -> None:
         mine = [f for f in gone if f.startswith(root.rstrip("/") + "/")]
         if mine:
             seg["removed"] = sorted(set(seg.get("removed") or []) | set(mine))
-            if {uri_path(f, encoded=True) for f in ds.ledger.fs.list_files(seg["path"])} <= {*seg["removed"]}:
+            rest = [f for f in ds.ledger.fs.list_files(seg["path"]) if uri_path(f, encoded=True) not in seg["removed"]]
+            if not rest or ds.spark.read.parquet(*rest).isEmpty():  # writers leave empty files too
                 continue
         left.append(seg)
     entry["segments"] = left

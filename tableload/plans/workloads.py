@@ -663,16 +663,16 @@ od AS (SELECT count(*) AS n_rows, count(DISTINCT {'k': o_orderkey}) FILTER (WHER
        FROM orders),
 ev AS (SELECT count(*) AS n_rows FROM events)
 SELECT 'lineitem' AS "table", 'key_integrity' AS "check", n_keys AS expected, n_rows AS actual,
-       'lineitem: replace left ' || n_rows || ' rows, but the distinct, non-null primary-key count is ' || n_keys
+       'lineitem (replace): ' || n_rows || ' rows share ' || n_keys || ' complete keys'
          AS detail FROM li WHERE n_rows <> n_keys
 UNION ALL
 SELECT 'orders', 'key_integrity', n_keys, n_rows,
-       'orders: replace left ' || n_rows || ' rows, but the distinct, non-null primary-key count is ' || n_keys
+       'orders (replace): ' || n_rows || ' rows share ' || n_keys || ' complete keys'
   FROM od WHERE n_rows <> n_keys
 UNION ALL
 SELECT 'events', 'row_count', (SELECT count(*) FROM events WHERE event_type <> 'error'), n_rows,
-       'events: normalized ' || (SELECT count(*) FROM events WHERE event_type <> 'error') || ' rows, '
-         || n_rows || ' landed' FROM ev
+       'events (append): ' || (SELECT count(*) FROM events WHERE event_type <> 'error') || ' rows prepared, '
+         || n_rows || ' found' FROM ev
 """)
 def verify_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Problem report (V1 V5 V3/V4): replaced ``lineitem`` keyed on a non-unique key,
@@ -961,8 +961,8 @@ def load_layout_between(spark: SparkSession, sf_dir: str) -> DataFrame:
 @workload("load_verify_problems", """
 SELECT 'lineitem' AS "table", 'key_integrity' AS "check",
        count(DISTINCT {'a': l_orderkey, 'b': l_linenumber}) AS expected, count(*) AS actual,
-       'lineitem: replace left ' || count(*) || ' rows, but the distinct, non-null primary-key count is '
-         || count(DISTINCT {'a': l_orderkey, 'b': l_linenumber}) AS detail
+       'lineitem (replace): ' || count(*) || ' rows share '
+         || count(DISTINCT {'a': l_orderkey, 'b': l_linenumber}) || ' complete keys' AS detail
 FROM lineitem
 """)
 def load_verify_problems(spark: SparkSession, sf_dir: str) -> DataFrame:

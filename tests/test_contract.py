@@ -1,48 +1,57 @@
 import pytest
 from pyspark.sql import types as T
 
-from tableload.contract import TableContract, validate
+from tableload.contract import DISPOSITIONS, REFUSED_STRATEGIES, TableContract, validate
 from tableload.errors import ContractError, DestructiveRefreshRefused
 from tableload.functions.naming import check_collisions, normalize_name
 from tableload.functions.partition import bucket, parse_layout, year
 from tableload.functions.types import UINT64_DECIMAL, logical_type, widen
 
 
-def base(**kw):
-    cols = {"id": {"data_type": "bigint"}, "value": {"data_type": "text"}, "deleted": {"data_type": "bool"}}
-    cols.update(kw.pop("columns", {}))
-    return TableContract("items", kw.pop("disposition", "merge"), **{"primary_key": ("id",), "columns": cols, **kw})
-
-
-@pytest.mark.parametrize("contract", [
-    base(primary_key=()),
-    base(strategy="scd2"),
-    base(strategy="delete-insert"),
-    base(strategy="insert-only"),
-    base(merge_key=("id",)),
-    base(hard_delete=("deleted", "value")),
-    base(cursor="value", cursor_order="asc"),
-    base(columns={"id": {"data_type": "bigint", "nullable": True}}),
-    base(disposition="append", columns={"big": {"data_type": "wei"}}),
-    base(disposition="replace", columns={"big": {"data_type": "wei"}}),
-    base(columns={"amount": {"data_type": "decimal", "precision": 39, "scale": 0}}),
-    base(source_filter="value = 'x'"),
-    base(skip_unchanged=True),
-])
-def test_invalid_contracts_stop_the_load(contract):
+SENSOR = {"station": {"data_type": "bigint"}, "reading": {"data_type": "double"}, "gone": {"data_type": "bool"}}
+
+
+def sensor(**changes):
+    """A merge contract that is valid but for ``changes``."""
+    columns = SENSOR | changes.pop("columns", {})
+    return TableContract("sensors", **({"disposition": "merge", "primary_key": ("station",), "columns": columns} | changes))
+
+
+# rule -> contracts that break it and nothing else
+BROKEN = {
+    "an upsert has a key": [sensor(primary_key=())],
+    "key columns are never null": [sensor(columns={"station": {"data_type": "text", "nullable": True}})],
+    "upsert is the only strategy": [sensor(strategy=s) for s in REFUSED_STRATEGIES],
+    "keys are primary keys": [sensor(merge_key=("reading",))],
+    "newest first": [sensor(cursor="reading", cursor_order="asc")],
+    "one tombstone column": [sensor(hard_delete=("gone", "reading"))],
+    "decimals have at most 38 digits": [sensor(columns={"sum": {"data_type": "decimal", "precision": p}}) for p in (39, 76)],
+    "no 256-bit integers": [sensor(disposition=d, columns={"sum": {"data_type": "wei"}}) for d in DISPOSITIONS],
+    "filters and skipping need the staged route": [sensor(source_filter="reading > 0"), sensor(skip_unchanged=True)],
+    "names differ by more than case": [sensor(columns={"Station": {"data_type": "text"}})],
+    "dispositions are known": [sensor(disposition="upsert")],
+}
+
+
+@pytest.mark.parametrize("rule,contract", [(rule, c) for rule, broken in BROKEN.items() for c in broken])
+def test_each_broken_rule_stops_the_load(rule, contract):
     with pytest.raises(ContractError):
         validate([contract])
 
 
+def test_the_unchanged_contract_is_valid():
+    validate([sensor()])
+
+
 def test_one_bad_table_stops_all():
     good = TableContract("ok", "append")
     with pytest.raises(ContractError):
-        validate([good, base(strategy="cdc")])
+        validate([good, sensor(strategy="cdc")])
 
 
 def test_filter_and_skip_allowed_with_hard_delete_or_children():
-    validate([base(hard_delete="deleted", source_filter="value = 'x'", skip_unchanged=True)])
-    validate([base(source_filter="value = 'x'"), TableContract("items__tags", "merge", parent="items")])
+    validate([sensor(hard_delete="gone", source_filter="reading > 0", skip_unchanged=True)])
+    validate([sensor(source_filter="reading > 0"), TableContract("sensors__notes", "merge", parent="sensors")])
 
 
 def test_destructive_refresh_needs_literal_true():
@@ -70,10 +79,17 @@ def test_logical_types():
             logical_type(bad)
 
 
-def test_widen_only_bigint_to_uint64_decimal():
+def test_columns_widen_or_refuse_but_never_lose_values():
     assert widen(T.LongType(), UINT64_DECIMAL) == UINT64_DECIMAL
     assert widen(T.StringType(), T.LongType()) == T.StringType()
     assert widen(UINT64_DECIMAL, T.LongType()) == UINT64_DECIMAL
+    assert widen(T.DecimalType(12, 3), T.DecimalType(10, 2)) == T.DecimalType(12, 3)
+    assert widen(T.TimestampType(), T.DateType()) == T.TimestampType()
+    lossy = [(T.LongType(), T.DoubleType()), (T.DecimalType(12, 2), T.DecimalType(10, 3)), (T.DateType(), T.TimestampType()),
+             (T.LongType(), T.StringType()), (T.DoubleType(), T.LongType()), (T.BooleanType(), T.LongType())]
+    for stored, incoming in lossy:
+        with pytest.raises(ContractError):
+            widen(stored, incoming)
 
 
 def test_naming():
