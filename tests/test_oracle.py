@@ -6,7 +6,7 @@ import __spark_entry__ as E
 from tests.conftest import SF
 from tests.oracle_compare import compare
 
-NAMES = sorted(E.queries())
+NAMES = sorted(E.oracle_sql())
 
 
 def test_every_query_has_sql_or_is_declared_rows_only():
