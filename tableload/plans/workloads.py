@@ -1157,3 +1157,85 @@ def load_layout_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     load(spark, path, {"events": ev.filter(~first)}, [plain], "L2")
     load(spark, path, {"events": ev.filter("event_type = 'click'").withColumn("value", F.col("value") + 1)}, [merge], "L3")
     return Dataset(spark, path).between("events", "ts", "2024-01-10 06:00:00", "2024-01-12 18:00:00").drop("_load_id", "_row_id")
+
+
+@workload("load_routed_events", """
+SELECT 'events_' || event_type AS table_name, count(*) AS n_rows, count(DISTINCT user_id) AS n_keys FROM events GROUP BY 1
+""")
+def load_routed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows routed to one table for each event type (S13) and loaded together."""
+    from tableload.contract import TableContract
+    from tableload.plans.load import load
+    from tableload.session import scratch_path
+    from tableload.sources.dataset import Dataset
+    from tableload.sources.inputs import route
+    routed = route(read(spark, sf_dir, "events"), "concat('events_', event_type)")
+    path = scratch_path(spark, "routed")
+    load(spark, path, routed, [TableContract(t, "append") for t in routed], "L1")
+    return _table_counts(Dataset(spark, path), {t: "user_id" for t in routed})
+
+
+@workload("load_evolved_part", """
+SELECT p_partkey, CAST(p_size AS BIGINT) AS p_size, CASE WHEN p_size > 25 THEN p_name END AS p_name,
+       CASE WHEN p_size > 25 THEN p_retailprice END AS p_retailprice FROM part
+""")
+def load_evolved_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second load brings new columns (E2 E3 P11): earlier rows read them as NULL, and
+    INT is stored as BIGINT."""
+    from tableload.contract import TableContract
+    from tableload.plans.load import load
+    from tableload.session import scratch_path
+    from tableload.sources.dataset import Dataset
+    p = read(spark, sf_dir, "part")
+    path = scratch_path(spark, "evolved")
+    c = TableContract("part", "append")
+    load(spark, path, {"part": p.filter("p_size <= 25").select("p_partkey", "p_size")}, [c], "L1")
+    load(spark, path, {"part": p.filter("p_size > 25").select("p_name", "p_retailprice", "p_size", "p_partkey")}, [c], "L2")
+    return Dataset(spark, path).table("part").drop("_load_id", "_row_id")
+
+
+@workload("load_partition_move", """
+SELECT CASE WHEN c_mktsegment = 'BUILDING' THEN 'MOVED' ELSE c_mktsegment END AS c_mktsegment, count(*) AS n_rows,
+       count(DISTINCT c_custkey) AS n_keys FROM customer GROUP BY 1
+""")
+def load_partition_move(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A merge that changes the partition value of a segment's customers (L1 L10): the rows
+    leave their old directory."""
+    from tableload.contract import TableContract
+    from tableload.functions.partition import identity
+    from tableload.plans.load import load
+    from tableload.session import scratch_path
+    from tableload.sources.dataset import Dataset
+    cu = read(spark, sf_dir, "customer")
+    path = scratch_path(spark, "moved")
+    c = TableContract("customer", "merge", ("c_custkey",), partition=[identity("c_mktsegment")])
+    load(spark, path, {"customer": cu}, [c], "L1")
+    load(spark, path, {"customer": cu.filter("c_mktsegment = 'BUILDING'").withColumn("c_mktsegment", F.lit("MOVED"))}, [c], "L2")
+    return Dataset(spark, path).table("customer").groupBy("c_mktsegment").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("c_custkey").alias("n_keys"))
+
+
+@workload("load_receipts", """
+SELECT CASE WHEN event_type IN ('view', 'click') THEN 'L1' ELSE 'L2' END AS load_id, 0 AS status, count(*) AS n_rows
+FROM events GROUP BY 1
+""")
+def load_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Receipts of two loads (C1 V12) with the row counts taken while loading."""
+    from tableload.sources.dataset import Dataset
+    ds = Dataset(spark, _events_dataset(spark, sf_dir, "append"))
+    return ds.ledger.history(ds.snapshot(), "loads").select(
+        "load_id", "status", F.get_json_object("counts", "$.events").cast("long").alias("n_rows"))
+
+
+@workload("upsert_null_keys", """
+WITH t AS (SELECT CASE WHEN c_nationkey <> 3 THEN c_custkey END AS k, c_acctbal AS v FROM customer),
+s AS (SELECT CASE WHEN c_nationkey <> 4 THEN c_custkey END AS k, c_acctbal + 1 AS v FROM customer WHERE c_mktsegment = 'BUILDING')
+SELECT * FROM t WHERE k IS NULL OR k NOT IN (SELECT k FROM s WHERE k IS NOT NULL)
+UNION ALL SELECT * FROM s
+""")
+def upsert_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NULL keys never match (U12): stored rows without a key stay, staged ones are inserted."""
+    cu = read(spark, sf_dir, "customer")
+    keyed = lambda n: F.when(F.col("c_nationkey") != n, F.col("c_custkey")).alias("k")
+    staged = cu.filter("c_mktsegment = 'BUILDING'").select(keyed(4), (F.col("c_acctbal") + 1).alias("v"))
+    return M.upsert(cu.select(keyed(3), F.col("c_acctbal").alias("v")), staged, "k")

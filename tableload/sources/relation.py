@@ -31,9 +31,9 @@ def where(df: DataFrame, column: str | Column, op: str | None = None, value: obj
 
 def iter_arrow(df: DataFrame, chunk_size: int) -> Iterator[pa.Table]:
     """Arrow tables of ``chunk_size`` rows (the last may be shorter), pulled one
-    partition at a time so the driver holds one chunk; columns are taken by
-    position, so duplicate names survive.  For results that do not belong on one
-    machine, write Parquet instead."""
+    partition at a time; the driver holds a chunk, the partition it comes from and the
+    next one.  Columns are taken by position, so duplicate names survive.  For results
+    that do not belong on one machine, write Parquet instead."""
     schema = arrow_schema(df)
     buf: list[tuple] = []
     for row in df.toLocalIterator(prefetchPartitions=True):
