@@ -87,7 +87,7 @@ def test_flat_cursor_upsert_partial_columns(spark, dataset_path):
 def test_copy_on_write_touches_only_matching_files(spark, dataset_path):
     c = TableContract("t", "merge", ("id",))
     big = spark.range(0, 1000).select(F.col("id"), (F.col("id") * 2).alias("v")).repartition(4, "id")
-    load(spark, dataset_path, {"t": big}, [c], "L1")
+    load(spark, dataset_path, {"t": big}, [c], "L1", max_records_per_file=250)
     load(spark, dataset_path, {"t": spark.createDataFrame([(3, -1)], "id long, v long")}, [c], "L2")
     snap = Dataset(spark, dataset_path).snapshot()
     segs = snap.tables["t"]["segments"]
