@@ -5,11 +5,12 @@ similarity of at least ``percent``/100.  A set of n grams needs T = ceil(percent
 of its grams in any partner.
 
 1. Equal sets form a class (grouped by a 128-bit digest); one member stands for it.
-2. A gram that only one class has can not be shared.  Grams below a fixed fraction of
-   the hash space are counted for all documents; a class with more than n - T single
-   ones has no partner and is done.  Few classes besides true relatives remain.
+2. A gram that only one class has can not be shared.  Grams below a fraction of the hash
+   space (somewhat more than a partner may lack, by set size) are counted for all documents;
+   a class with more than n - T single ones has no partner and is done.  Few classes besides
+   true relatives remain.
 3. The remaining sets are written once.  Each class posts the n - T + 1 first grams of a
-   global order (counted grams by frequency, then the others): two linked sets share a
+   global order (grams below a fraction by frequency, then the others): two linked sets share a
    posted gram.  Each inverted list links its classes to its least class, and the
    components of these links are *families*: no link leaves a family.
 4. A family is searched by T-occurrence: for each set, the lists of its grams are split
@@ -45,7 +46,7 @@ from tableload.session import scratch_path
 
 GRAM = 3
 PERCENT = 90
-COUNTED = 0.15           # fraction of the hash space whose grams are counted
+SPREAD = 1.2             # how far the counted fraction exceeds the least that could suffice
 CHUNK_GRAMS = 1_000_000  # grams of one search group
 _LOW_BATCH = 2000
 _NO_ID = -(1 << 63)
@@ -72,29 +73,45 @@ def _digest(grams: np.ndarray) -> tuple[int, bytes]:
     return int.from_bytes(raw[:8], "little", signed=True), raw
 
 
-def _measure(k: int, counted: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    limit = np.uint64(int(counted * 2**64))
+def _counted(n, percent: int, spread: float):
+    """Fraction of the hash space whose grams decide whether a set of ``n`` grams is done:
+    the share it may miss in a partner, with room for chance, more in small sets."""
+    return np.minimum(1.0, 1.08 * (100 - percent) / 100 + spread / np.sqrt(np.maximum(n, 1)))
+
+
+def _measure(k: int, percent: int, spread: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Per row: the class, the set's size, the grams it reports for counting and how many
+    of them decide about itself.  A partner of a set of n grams has at most 100 n / percent,
+    so a set reports what the smallest of its partners needs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, _LOW_BATCH):
                 part = batch.slice(at, _LOW_BATCH)
-                keys, wholes, sizes, low = [], [], [], []
+                keys, wholes, sizes, low, own = [], [], [], [], []
                 for text in part.column(2).to_pylist():
                     grams = gram_set(text, k)
                     key, whole = _digest(grams)
                     keys.append(key)
                     wholes.append(whole)
                     sizes.append(len(grams))
-                    low.append(grams[:np.searchsorted(grams, limit)].view(np.int64))
+                    reach = _counted(percent * len(grams) // 100, percent, spread)
+                    low.append(grams[:_below(grams, reach)].view(np.int64))
+                    own.append(_below(grams, _counted(len(grams), percent, spread)))
                 ends = np.cumsum([0, *map(len, low)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(low)))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(keys, pa.int64()), pa.array(wholes, pa.binary()),
-                     pa.array(sizes, pa.int64()), lists], names=["id", "th", "key", "whole", "n", "low"])
+                     pa.array(sizes, pa.int64()), lists, pa.array(own, pa.int32())],
+                    names=["id", "th", "key", "whole", "n", "low", "own"])
     return run
 
 
+def _below(grams: np.ndarray, fraction: float) -> int:
+    """How many of the sorted grams lie in the first ``fraction`` of the hash space."""
+    return len(grams) if fraction >= 1 else int(np.searchsorted(grams, np.uint64(int(fraction * 2**64))))
+
+
 def _sets(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,42 +223,47 @@ def _dealt(members: DataFrame, chunk_grams: int) -> DataFrame:
     return members.join(load, "fam").withColumn("chunk", F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int"))
 
 
-def _merged(comps: DataFrame, links: DataFrame) -> DataFrame:
-    """(key, comp) after the components were linked."""
-    roots = connected_components(links).select(F.col("node").alias("comp"), "root")
-    return comps.join(roots, "comp", "left").select("key", F.coalesce("root", "comp").alias("comp")).checkpoint()
+def _family_components(members: DataFrame, sets: DataFrame, percent: int, chunk_grams: int) -> DataFrame:
+    """(key, comp) of every member (key, n, fam): components of the links inside families.
+    Grams are read from ``sets`` only where a group is searched."""
+    grams = sets.select("key", "grams")
 
+    def search(light: DataFrame, *by: str) -> DataFrame:
+        return light.select("key", "n", "comp", *by).join(grams, "key").groupBy(*by).applyInArrow(
+            _search(percent), "u long, v long")
 
-def _family_components(members: DataFrame, percent: int, chunk_grams: int) -> DataFrame:
-    """(key, comp) of every member (key, n, grams, fam): components of the links inside families."""
-    edge = "u long, v long"
-    dealt = _dealt(members, chunk_grams)
-    first = dealt.withColumn("comp", F.col("key")).groupBy("fam", "chunk").applyInArrow(_search(percent), edge)
-    comps = _merged(members.select("key", F.col("key").alias("comp")), first)
-    if dealt.filter("chunks > 1").isEmpty():
+    dealt = _dealt(members, chunk_grams).checkpoint()
+    first = search(dealt.withColumn("comp", F.col("key")), "fam", "chunk")
+    comps = first.select(F.col("u").alias("key"), F.col("v").alias("comp")).checkpoint()
+    wide = dealt.filter("chunks > 1").select("key", "n", "fam", "chunk", "chunks")
+    if wide.isEmpty():
         return comps
-    wide = dealt.filter("chunks > 1").select("key", "fam", "n", "grams", "chunk", "chunks")
+
+    def renamed(links: DataFrame) -> DataFrame:
+        """Components after the links (u, v), v the root of u, were applied."""
+        to = links.select(F.col("u").alias("comp"), F.col("v").alias("root"))
+        return comps.join(to, "comp", "left").select("key", F.coalesce("root", "comp").alias("comp")).checkpoint()
+
+    before = None
     while True:  # leaders: one member for each component of a family in several chunks
-        leaders = wide.join(comps, "key").filter("key = comp").drop("chunk", "chunks")
-        before = leaders.count()
-        again = _dealt(leaders, chunk_grams)
-        links = again.groupBy("fam", "chunk").applyInArrow(_search(percent), edge)
-        comps = _merged(comps, links)
-        if wide.join(comps, "key").filter("key = comp").count() == before:
+        leaders = wide.join(comps, "key").filter("key = comp").select("key", "n", "fam", "comp").checkpoint()
+        now = leaders.count()
+        if now == before:
             break
+        before = now
+        comps = renamed(search(_dealt(leaders, chunk_grams), "fam", "chunk"))
     # families still in several components: every two chunks face each other
     held = wide.join(comps, "key")
     open_fams = held.groupBy("fam").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).filter("a <> b").select("fam")
-    if open_fams.isEmpty():
-        return comps
     facing = held.join(open_fams, "fam").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))) \
         .filter("other <> chunk").withColumn("a", F.least("chunk", "other")).withColumn("b", F.greatest("chunk", "other"))
-    links = facing.select("key", "n", "grams", "comp", "fam", "a", "b").groupBy("fam", "a", "b").applyInArrow(
-        _search(percent), edge)
-    return _merged(comps, links)
+    if facing.isEmpty():
+        return comps
+    roots = connected_components(search(facing, "fam", "a", "b"))
+    return renamed(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))
 
 
-def ngram_join(docs: DataFrame, k: int = GRAM, percent: int = PERCENT, counted: float = COUNTED,
+def ngram_join(docs: DataFrame, k: int = GRAM, percent: int = PERCENT, spread: float = SPREAD,
                chunk_grams: int = CHUNK_GRAMS) -> DataFrame:
     """doc_id, n_shingles, component_id of every row, plus ``component_key`` (null
     without words) and ``text_hash``, which tell rows of one id apart."""
@@ -250,7 +272,8 @@ def ngram_join(docs: DataFrame, k: int = GRAM, percent: int = PERCENT, counted:
     base = documents(docs, "doc_id", "text").select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("id"), F.xxhash64("text").alias("th"), "text")
     folder = scratch_path(spark, "ngram-join")
-    base.mapInArrow(_measure(k, counted), "id long, th long, key long, whole binary, n long, low array<long>") \
+    base.mapInArrow(_measure(k, percent, spread),
+                    "id long, th long, key long, whole binary, n long, low array<long>, own int") \
         .write.parquet(f"{folder}/measured")
     measured = spark.read.parquet(f"{folder}/measured")
 
@@ -258,33 +281,41 @@ def ngram_join(docs: DataFrame, k: int = GRAM, percent: int = PERCENT, counted:
     classes = light.filter("n > 0").groupBy("key", "whole").agg(
         F.min(F.struct("id", "th")).alias("rep"), F.min(F.when(F.col("id") != _NO_ID, F.col("id"))).alias("least"),
         F.first("n").alias("n"))
-    single = measured.select("key", F.explode("low").alias("gram")).groupBy("gram").agg(
-        F.min("key").alias("key"), F.max("key").alias("k2")).filter("key = k2").groupBy("key").agg(F.count("*").alias("single"))
+    # grams only one class reports, as far as they decide about that class
+    reported = measured.select("key", F.posexplode("low").alias("pos", "gram"), "own")
+    single = reported.groupBy("gram").agg(
+        F.min("key").alias("key"), F.max("key").alias("k2"), F.max(F.col("pos") < F.col("own")).alias("own")) \
+        .filter("key = k2 AND own").groupBy("key").agg(F.count("*").alias("single"))
     open_classes = classes.join(single, "key", "left").filter(
-        F.coalesce("single", F.lit(0)) <= F.col("n") - F.floor((percent * F.col("n") + 99) / 100))
-    # texts of the remaining classes' representatives; equal rows of one id give a class once
+        F.coalesce("single", F.lit(0)) <= F.col("n") - F.floor((percent * F.col("n") + 99) / 100)).checkpoint()
+    # texts of the remaining classes' representatives
     texts = base.join(open_classes.select("key", F.col("rep.id").alias("id"), F.col("rep.th").alias("th")), ["id", "th"]) \
-        .select("key", "text").dropDuplicates(["key"])
+        .select("key", "text")
     texts.mapInArrow(_sets(k), "key long, n long, grams array<long>").write.parquet(f"{folder}/sets")
     sets = spark.read.parquet(f"{folder}/sets")
-
-    low = _is_low(F.col("gram"), int(counted * 2**64))
+    if sets.count() > open_classes.count():  # equal rows of one id gave a class several times
+        sets.dropDuplicates(["key"]).write.parquet(f"{folder}/sets-once")
+        sets = spark.read.parquet(f"{folder}/sets-once")
+
+    # posted grams: the first of an order by frequency among the remaining sets, for the
+    # grams below a fraction, and then the others in hash order
+    fraction = min(1.0, 2 * (100 - percent) / 100)
+    limit = int(fraction * 2**64)
+    low = _is_low(F.col("gram"), limit)
     frequency = sets.select(F.explode("grams").alias("gram")).filter(low).groupBy("gram").agg(F.count("*").alias("df"))
-    entries = sets.select("key", "n", F.posexplode("grams").alias("pos", "gram"))
-    first = entries.filter(low).join(frequency, "gram").select("key", "n", "df", "gram")
-    posted_low = first.groupBy("key", "n").agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("low"))
+    first = sets.select("key", F.explode("grams").alias("gram")).filter(low).join(frequency, "gram")
+    posted_low = first.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("low"))
     prefix = F.col("n") - F.floor((percent * F.col("n") + 99) / 100) + 1
-    # grams are sorted as unsigned numbers, so the uncounted ones follow the counted ones in place
-    posted = sets.join(posted_low.select("key", "low"), "key", "left").withColumn("p", prefix.cast("int")).select(
+    posted = sets.join(posted_low, "key", "left").select(
         "key", F.explode(F.slice(F.concat(
             F.coalesce(F.transform("low", lambda x: x["gram"]), F.array().cast("array<long>")),
-            F.filter("grams", lambda g: ~_is_low(g, int(counted * 2**64)))), F.lit(1), F.col("p"))).alias("gram"))
+            F.filter("grams", lambda g: ~_is_low(g, limit))), F.lit(1), prefix.cast("int"))).alias("gram")).checkpoint()
     heads = posted.groupBy("gram").agg(F.min("key").alias("head"), F.max("key").alias("tail")).filter("head <> tail")
     edges = posted.join(heads.select("gram", "head"), "gram").select(F.col("key").alias("u"), F.col("head").alias("v")) \
         .filter("u <> v").dropDuplicates()
-    families = connected_components(edges).select(F.col("node").alias("key"), F.col("root").alias("fam")).checkpoint()
-    members = sets.join(families, "key")
-    comps = _family_components(members, percent, chunk_grams)
+    families = connected_components(edges).select(F.col("node").alias("key"), F.col("root").alias("fam"))
+    members = sets.select("key", "n").join(families, "key")
+    comps = _family_components(members, sets, percent, chunk_grams)
 
     least = comps.join(classes.select("key", "least"), "key").groupBy("comp").agg(F.min("least").alias("component"))
     reached = comps.join(least, "comp").select("key", "comp", "component")
@@ -299,6 +330,8 @@ def ngram_join(docs: DataFrame, k: int = GRAM, percent: int = PERCENT, counted:
 
 def _is_low(gram, limit: int):
     """Whether the gram (stored as a signed number) is below ``limit`` as an unsigned one."""
+    if limit >= 2**64:
+        return F.lit(True)
     return (gram >= 0) & (gram < limit) if limit < 2**63 else (gram >= 0) | (gram < limit - 2**64)
 
 

@@ -65,11 +65,11 @@ def near_copies(seed, families, copies, edits):
     return rows
 
 
-@pytest.mark.parametrize("chunk_grams,counted", [(10**6, 0.15), (700, 0.5)])
-def test_join_of_chained_copies_in_one_and_in_many_chunks(spark, chunk_grams, counted):
+@pytest.mark.parametrize("chunk_grams,spread", [(10**6, 1.2), (700, 0.1)])
+def test_join_of_chained_copies_in_one_and_in_many_chunks(spark, chunk_grams, spread):
     rows = near_copies(3, 6, 25, 3)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert joined(docs, chunk_grams=chunk_grams, counted=counted) == brute_components(rows)
+    assert joined(docs, chunk_grams=chunk_grams, spread=spread) == brute_components(rows)
 
 
 def test_keep_one_keeps_one_of_each_group(spark):
