@@ -25,37 +25,48 @@ MAGIC = b"IDCM"
 SLOT_BITS = 11
 CONFIDENCE = 7
 RECENT_BITS = 10
-PLAIN = 12              # plain bits coded at once; the range is never narrower than 16
+SAFE = 12               # plain bits that still fit a range narrowed by leading bits
 LEAD = 4                # adaptive leading bits below the magnitude
-_U = np.uint32          # low, range and value wrap at 32 bits
-_TOP, _BOT, _ALL, _ONE = _U(1 << 24), _U(1 << 16), _U(0xFFFFFFFF), _U(1)
-_8, _12, _24 = _U(8), _U(12), _U(24)
+_U = np.uint64          # low, range and value wrap at 64 bits; 32 settled bits leave at a time
+_WORD, _ALL, _ONE = _U(1 << 32), _U(2**64 - 1), _U(1)
+_32, _12 = _U(32), _U(12)
 _SQUASH = np.array([min(4095, max(1, round(4096 / (1 + math.exp(-x / 256))))) for x in range(-2047, 2048)], dtype=np.int64)
 _STRETCH = np.array([max(-2047, min(2047, round(256 * math.log((p + 0.5) / (4095.5 - p))))) for p in range(4096)], dtype=np.int64)
 
 
+def _settled(low, width):
+    """Lanes whose upper 32 bits are settled, after cutting ranges that straddle a
+    boundary and have become narrow (the carry-less form of range coding)."""
+    same = (low ^ (low + width)) < _WORD
+    m = np.flatnonzero(same | (width < _WORD))
+    if len(m):
+        under = m[~same[m]]
+        if len(under):
+            width[under] = (~low[under] + _ONE) & (_WORD - _ONE)
+    return m
+
+
 class _Writer:
     def __init__(self, lanes: int, steps: int):
         self.low = np.zeros(lanes, dtype=_U)
         self.range = np.full(lanes, _ALL, dtype=_U)
-        self.bytes = np.zeros((lanes, 8 * steps + 16), dtype=np.uint8)
+        self.words = np.zeros((lanes, 3 * steps + 8), dtype="<u4")
         self.at = np.zeros(lanes, dtype=np.int64)
 
-    def code(self, lanes, cum, freq, unit, _symbol=None):
+    def code(self, lanes, cum, freq, unit):
         """Narrows each lane's range; ``unit`` is range // total."""
-        low, width = self.low[lanes] + unit * cum, unit * freq
-        while True:
-            same = (low ^ (low + width)) < _TOP
-            m = np.flatnonzero(same | (width < _BOT))
-            if not len(m):
-                break
-            under = m[~same[m]]
-            width[under] = (~low[under] + _ONE) & (_BOT - _ONE)
+        self.low[lanes] += unit * cum
+        self.range[lanes] = unit * freq
+
+    def settle(self, lanes):
+        """Lets settled words leave; every range is at least 2^32 wide afterwards."""
+        low, width = self.low[lanes], self.range[lanes]
+        while len(m := _settled(low, width)):
             to = lanes[m]
-            self.bytes[to, self.at[to]] = low[m] >> _24
+            self.words[to, self.at[to]] = low[m] >> _32
             self.at[to] += 1
-            low[m] <<= _8
-            width[m] <<= _8
+            low[m] <<= _32
+            width[m] <<= _32
         self.low[lanes], self.range[lanes] = low, width
 
     def bit(self, lanes, p, hit):
@@ -66,10 +77,9 @@ class _Writer:
 
     def symbol(self, lanes, freqs, total, symbols):
         rows = np.arange(len(lanes))
-        ends = np.cumsum(freqs, axis=1)
+        ends = freqs.cumsum(axis=1)
         freq = freqs[rows, symbols]
-        self.code(lanes, (ends[rows, symbols] - freq).astype(_U), freq.astype(_U),
-                  self.range[lanes] // total.astype(_U))
+        self.code(lanes, (ends[rows, symbols] - freq).astype(_U), freq.astype(_U), self.range[lanes] // total.astype(_U))
         return symbols
 
     def plain(self, lanes, bits, values):
@@ -77,40 +87,36 @@ class _Writer:
         return values
 
     def finish(self) -> list[bytes]:
-        for _ in range(4):
-            self.bytes[np.arange(len(self.at)), self.at] = self.low >> _24
+        for _ in range(2):
+            self.words[np.arange(len(self.at)), self.at] = self.low >> _32
             self.at += 1
-            self.low = self.low << _8
-        return [row[:n].tobytes() for row, n in zip(self.bytes, self.at.tolist(), strict=True)]
+            self.low <<= _32
+        return [row[:n].tobytes() for row, n in zip(self.words, self.at.tolist(), strict=True)]
 
 
 class _Reader:
     def __init__(self, blocks: list[bytes]):
-        lanes, longest = len(blocks), max(map(len, blocks))
-        self.bytes = np.zeros((lanes, longest + 8), dtype=np.uint8)
+        lanes, longest = len(blocks), max(map(len, blocks)) // 4
+        self.words = np.zeros((lanes, longest + 2), dtype="<u4")
         for i, b in enumerate(blocks):
-            self.bytes[i, :len(b)] = np.frombuffer(b, dtype=np.uint8)
+            self.words[i, :len(b) // 4] = np.frombuffer(b[:len(b) // 4 * 4], dtype="<u4")
         self.low = np.zeros(lanes, dtype=_U)
         self.range = np.full(lanes, _ALL, dtype=_U)
-        self.value = np.zeros(lanes, dtype=_U)
-        for i in range(4):
-            self.value = (self.value << _8) | self.bytes[:, i]
-        self.at = np.full(lanes, 4, dtype=np.int64)
+        self.value = (self.words[:, 0].astype(_U) << _32) | self.words[:, 1]
+        self.at = np.full(lanes, 2, dtype=np.int64)
 
     def code(self, lanes, cum, freq, unit):
-        low, width, value = self.low[lanes] + unit * cum, unit * freq, self.value[lanes]
-        while True:
-            same = (low ^ (low + width)) < _TOP
-            m = np.flatnonzero(same | (width < _BOT))
-            if not len(m):
-                break
-            under = m[~same[m]]
-            width[under] = (~low[under] + _ONE) & (_BOT - _ONE)
+        self.low[lanes] += unit * cum
+        self.range[lanes] = unit * freq
+
+    def settle(self, lanes):
+        low, width, value = self.low[lanes], self.range[lanes], self.value[lanes]
+        while len(m := _settled(low, width)):
             to = lanes[m]
-            value[m] = (value[m] << _8) | self.bytes[to, np.minimum(self.at[to], self.bytes.shape[1] - 1)]
+            value[m] = (value[m] << _32) | self.words[to, np.minimum(self.at[to], self.words.shape[1] - 1)]
             self.at[to] += 1
-            low[m] <<= _8
-            width[m] <<= _8
+            low[m] <<= _32
+            width[m] <<= _32
         self.low[lanes], self.range[lanes], self.value[lanes] = low, width, value
 
     def _count(self, lanes, unit, total):
@@ -127,7 +133,7 @@ class _Reader:
         rows = np.arange(len(lanes))
         unit = self.range[lanes] // total.astype(_U)
         count = self._count(lanes, unit, total.astype(_U)).astype(np.int64)
-        ends = np.cumsum(freqs, axis=1)
+        ends = freqs.cumsum(axis=1)
         symbols = (ends <= count[:, None]).sum(axis=1)
         freq = freqs[rows, symbols]
         self.code(lanes, (ends[rows, symbols] - freq).astype(_U), freq.astype(_U), unit)
@@ -189,12 +195,14 @@ def _run(coder, lengths: np.ndarray, classes: int, ids: np.ndarray | None) -> np
     two, one = _Order(lanes), _Order(lanes)
     recent = np.zeros(lanes << RECENT_BITS, dtype=np.int8)
     magnitude, lead = _Frequencies(lanes, 1, classes), _Frequencies(lanes, classes, 1 << LEAD)
-    adapt = [np.full(lanes * 16, 1 << 14, dtype=np.int64) for _ in range(3)]
-    weights = [np.full(lanes, 1 << 15, dtype=np.int64) for _ in range(3)]
+    adapt = np.full(3 * lanes * 16, 1 << 14, dtype=np.int64)  # order 2, order 1, order 0
+    weights = np.full((3, lanes), 1 << 15, dtype=np.int64)
+    offsets = np.arange(lanes) * 16 + np.arange(3)[:, None] * lanes * 16
     prev1, prev2 = np.zeros(lanes, dtype=np.int64), np.zeros(lanes, dtype=np.int64)
+    every, active = np.arange(lanes), (lengths[None, :] > np.arange(steps)[:, None]).sum(axis=1)
     for t in range(steps):
-        n = int((lengths > t).sum())
-        lane = np.arange(n)
+        n = int(active[t])
+        lane = every[:n]
         a, b = prev1[:n], prev2[:n]
         slot = (lane << SLOT_BITS)
         at2 = slot + (((a * 0x2F0B4C47 + b * 0x1E35A7BD + 0x165667B1) & 0xFFFFFFFF) >> (32 - SLOT_BITS))
@@ -203,9 +211,10 @@ def _run(coder, lengths: np.ndarray, classes: int, ids: np.ndarray | None) -> np
         c1, k1 = one.look(at1)
         guess = np.where(k2 > 0, c2, c1)
         seen = (lane << RECENT_BITS) + (guess & ((1 << RECENT_BITS) - 1))
-        places = [lane * 16 + k2, lane * 16 + k1 + 8 * (c1 == guess), lane * 16 + recent[seen]]
-        inputs = [_STRETCH[adapt[i][places[i]] >> 4] for i in range(3)]
-        dot = (weights[0][:n] * inputs[0] + weights[1][:n] * inputs[1] + weights[2][:n] * inputs[2]) >> 16
+        places = np.stack([k2, k1 + 8 * (c1 == guess), recent[seen]]) + offsets[:, :n]
+        held = adapt[places]
+        inputs = _STRETCH[held >> 4]
+        dot = (weights[:, :n] * inputs).sum(axis=0) >> 16
         p = _SQUASH[np.clip(dot, -2047, 2047) + 2047]
         x = None if ids is None else ids[:n, t]
         hit = coder.bit(lane, p, None if x is None else x == guess)
@@ -215,22 +224,20 @@ def _run(coder, lengths: np.ndarray, classes: int, ids: np.ndarray | None) -> np
             v = x[miss] + 1
             size = magnitude.code(coder, miss, miss, _magnitude(v))
             rest = np.maximum(size - LEAD, 0)
+            coder.settle(lane)
             head = lead.code(coder, miss, miss * classes + size, (v - (1 << size)) >> rest)
             long = np.flatnonzero(rest)
+            if len(long) and int(rest.max()) > SAFE:
+                coder.settle(miss)
             v = (1 << size) + (head << rest)
             tail = None if ids is None else (x[miss] + 1) & ((1 << rest) - 1)
-            while len(long):  # PLAIN bits at a time
-                bits = np.minimum(rest[long], PLAIN)
-                rest[long] -= bits
-                part = coder.plain(miss[long], bits, None if tail is None else (tail[long] >> rest[long]) & ((1 << bits) - 1))
-                v[long] += part << rest[long]
-                long = long[rest[long] > 0]
+            if len(long):
+                v[long] += coder.plain(miss[long], rest[long], None if tail is None else tail[long])
             x[miss] = v - 1
+        coder.settle(lane if not len(miss) else miss)
         error = ((hit.astype(np.int64) << 12) - p) * 6
-        for i in range(3):
-            weights[i][:n] += (inputs[i] * error + 0x8000) >> 16
-            held = adapt[i][places[i]]
-            adapt[i][places[i]] = held + (np.where(hit, 65535 - held, -held) >> 4)
+        weights[:, :n] += (inputs * error + 0x8000) >> 16
+        adapt[places] = held + (np.where(hit, 65535 - held, -held) >> 4)
         two.learn(at2, c2, k2, x)
         one.learn(at1, c1, k1, x)
         mine = (lane << RECENT_BITS) + (x & ((1 << RECENT_BITS) - 1))
