@@ -72,33 +72,29 @@ def best_windows(at: np.ndarray, penalty: np.ndarray, window: int = WINDOW) -> l
     """Chosen cut positions, ending with the last candidate: least padding plus penalties."""
     m = len(at)
     place = np.concatenate(([0], at))
-    powers = []
+    exact: list[tuple[int, ...]] = [()] * (m + 1)  # starts that make a window of 2^k tokens
     for k in range(LEAST_POWER, window.bit_length() - 1):
         i = np.searchsorted(place, place - (1 << k))
-        i[place[np.minimum(i, m)] != place - (1 << k)] = -1
-        powers.append(i)
-    exact = np.full((m + 1, max(1, len(powers))), -1, dtype=np.int64)
-    for c, i in enumerate(powers):
-        exact[:, c] = i
-    has_exact = (exact >= 0).any(axis=1).tolist()
-    exact_rows = exact.tolist()
-    pos, pen = place.tolist(), [0, *penalty.tolist()]
-    best, came = [0] * (m + 1), [0] * (m + 1)
-    queue: deque[tuple[int, int]] = deque()  # (best[i] + at[i], i), ascending
+        for j in np.flatnonzero(place[np.minimum(i, m)] == place - (1 << k)).tolist():
+            exact[j] += (int(i[j]),)
+    pos, pen = place.tolist(), [0, *(penalty + SEQUENCE_COST).tolist()]
+    best, came, value = [0] * (m + 1), [0] * (m + 1), [0] * (m + 1)
+    queue: deque[int] = deque()  # starts by ascending value = best + position
     for j in range(1, m + 1):
-        value = best[j - 1] + pos[j - 1]
-        while queue and queue[-1][0] >= value:
+        new = value[j - 1]
+        while queue and value[queue[-1]] >= new:
             queue.pop()
-        queue.append((value, j - 1))
+        queue.append(j - 1)
         p = pos[j]
-        while pos[queue[0][1]] < p - window:
+        while pos[queue[0]] < p - window:
             queue.popleft()
-        least, source = queue[0][0] + window - p, queue[0][1]
-        if has_exact[j]:
-            for i in exact_rows[j]:
-                if 0 <= i and best[i] <= least:
-                    least, source = best[i], i
-        best[j], came[j] = least + pen[j] + SEQUENCE_COST, source
+        source = queue[0]
+        least = value[source] + window - p
+        for i in exact[j]:
+            if best[i] <= least:
+                least, source = best[i], i
+        best[j] = least = least + pen[j]
+        value[j], came[j] = least + p, source
     cuts, j = [], m
     while j > 0:
         cuts.append(pos[j])

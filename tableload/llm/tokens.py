@@ -1,27 +1,26 @@
 """Whole-text token ids of a public tokenizer file, each distinct chunk encoded once.
 
-A text is cut at single spaces, where the pre-tokenizers of the public files always
-cut too, and the tokenizers library encodes every distinct chunk that the worker has
-not met before.  Texts whose spaces touch other white space go to the library whole.
+A text is cut at single spaces and before single line ends, where the pre-tokenizers of
+the public files always cut too, and the tokenizers library encodes every distinct chunk that the worker has
+not met before.  Where a cut touches other white space, a pre-token may hold several
+blanks; such texts go to the library whole.
 Ids travel as little-endian unsigned 32-bit bytes.
 """
 
 from __future__ import annotations
 
 import os
-import re
 
 import numpy as np
 
-# a space beside other white space: there a pre-token may hold several blanks
-_IRREGULAR = re.compile(r" \s|\s ")
 _BATCH = 20_000
+_LONGEST = 200  # characters of a chunk that is remembered
 
 
 class ChunkEncoder:
     """Encodes lists of texts; remembers at most ``limit`` chunks."""
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = 2_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -29,8 +28,8 @@ class ChunkEncoder:
         self.tokenizer.encode_special_tokens = True
         self.limit = limit
         self._ends: np.ndarray | None = None
-        self.first: dict[str, bytes] = {}   # chunk at the start of a text
-        self.later: dict[str, bytes] = {}   # chunk after a space, without it
+        self.first: dict[str, bytes | None] = {}   # chunk at the start of a text; None: not to be cut there
+        self.later: dict[str, bytes | None] = {}   # chunk after a space, without it, or with its line end
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
@@ -39,31 +38,35 @@ class ChunkEncoder:
             out += [np.array(x.ids, dtype="<u4").tobytes() for x in found]
         return out
 
-    def _learn(self, memo: dict[str, bytes], chunks: set[str], lead: str) -> None:
-        new = list(chunks.difference(memo))
+    def _learn(self, memo: dict[str, bytes | None], chunks: set[str], lead: str) -> None:
+        new = [x for x in chunks.difference(memo) if len(x) <= _LONGEST]
         if len(memo) + len(new) > self.limit:
             memo.clear()
-            new = list(chunks)
-        memo.update(zip(new, self._whole([lead + x for x in new]), strict=True))
+            new = [x for x in chunks if len(x) <= _LONGEST]
+        memo.update(zip(new, self._whole([x if x[:1] == "\n" else lead + x for x in new]), strict=True))
+        for x in new:  # white space beside the cut
+            inner = x[1:] if x[:1] == "\n" else x
+            if x[-1:].isspace() or lead and (not inner or inner[0].isspace()):
+                memo[x] = None
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """One bytes object of ids per text."""
-        out: list[bytes] = [b""] * len(texts)
-        odd = [i for i, t in enumerate(texts) if _IRREGULAR.search(t)]
-        for i, ids in zip(odd, self._whole([texts[i] for i in odd]), strict=True):
-            out[i] = ids
-        skip = set(odd)
-        cut = [(i, t.split(" ")) for i, t in enumerate(texts) if i not in skip]
-        self._learn(self.first, {p[0] for _, p in cut}, "")
-        for at in range(0, len(cut), 1000):  # few texts at a time, so that new chunks stay few
-            part = cut[at:at + 1000]
+        out: list[bytes] = []
+        for at in range(0, len(texts), 500):  # few texts at a time, so that new chunks stay few
+            part = [t.replace("\n", " \n").split(" ") for t in texts[at:at + 500]]
+            self._learn(self.first, {p[0] for p in part}, "")
             seen: set[str] = set()
-            for _, pieces in part:
+            for pieces in part:
                 seen.update(pieces[1:])
             self._learn(self.later, seen, " ")
             get = self.later.__getitem__
-            for i, pieces in part:
-                out[i] = self.first[pieces[0]] + b"".join(map(get, pieces[1:]))
+            for text, pieces in zip(texts[at:at + 500], part, strict=True):
+                try:
+                    pieces[0] = self.first[pieces[0]]
+                    pieces[1:] = map(get, pieces[1:])
+                    out.append(b"".join(pieces))
+                except (TypeError, KeyError):  # a chunk that may not stand alone, or a long one
+                    out += self._whole([text])
         return out
 
     def ends_sentence(self) -> np.ndarray:
