@@ -223,21 +223,23 @@ def _dealt(members: DataFrame, chunk_grams: int) -> DataFrame:
     return members.join(load, "fam").withColumn("chunk", F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int"))
 
 
-def _family_components(members: DataFrame, sets: DataFrame, percent: int, chunk_grams: int) -> DataFrame:
+def _family_components(members: DataFrame, sets: DataFrame, percent: int, chunk_grams: int, folder: str) -> DataFrame:
     """(key, comp) of every member (key, n, fam): components of the links inside families.
     Grams are read from ``sets`` only where a group is searched."""
-    grams = sets.select("key", "grams")
-
-    def search(light: DataFrame, *by: str) -> DataFrame:
-        return light.select("key", "n", "comp", *by).join(grams, "key").groupBy(*by).applyInArrow(
+    def search(light: DataFrame, grams: DataFrame, *by: str) -> DataFrame:
+        return light.select("key", "n", "comp", *by).join(grams.select("key", "grams"), "key").groupBy(*by).applyInArrow(
             _search(percent), "u long, v long")
 
     dealt = _dealt(members, chunk_grams).checkpoint()
-    first = search(dealt.withColumn("comp", F.col("key")), "fam", "chunk")
+    first = search(dealt.withColumn("comp", F.col("key")), sets, "fam", "chunk")
     comps = first.select(F.col("u").alias("key"), F.col("v").alias("comp")).checkpoint()
     wide = dealt.filter("chunks > 1").select("key", "n", "fam", "chunk", "chunks")
     if wide.isEmpty():
         return comps
+    # only the sets of families in several chunks are read again, from a table of their own
+    again = f"{folder}/wide"
+    sets.select("key", "grams").join(wide.select("key"), "key", "left_semi").write.parquet(again)
+    grams = sets.sparkSession.read.parquet(again)
 
     def renamed(links: DataFrame) -> DataFrame:
         """Components after the links (u, v), v the root of u, were applied."""
@@ -251,7 +253,7 @@ def _family_components(members: DataFrame, sets: DataFrame, percent: int, chunk_
         if now == before:
             break
         before = now
-        comps = renamed(search(_dealt(leaders, chunk_grams), "fam", "chunk"))
+        comps = renamed(search(_dealt(leaders, chunk_grams), grams, "fam", "chunk"))
     # families still in several components: every two chunks face each other
     held = wide.join(comps, "key")
     open_fams = held.groupBy("fam").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).filter("a <> b").select("fam")
@@ -259,7 +261,7 @@ def _family_components(members: DataFrame, sets: DataFrame, percent: int, chunk_
         .filter("other <> chunk").withColumn("a", F.least("chunk", "other")).withColumn("b", F.greatest("chunk", "other"))
     if facing.isEmpty():
         return comps
-    roots = connected_components(search(facing, "fam", "a", "b"))
+    roots = connected_components(search(facing, grams, "fam", "a", "b"))
     return renamed(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))
 
 
@@ -305,17 +307,17 @@ def ngram_join(docs: DataFrame, k: int = GRAM, percent: int = PERCENT, spread: f
     frequency = sets.select(F.explode("grams").alias("gram")).filter(low).groupBy("gram").agg(F.count("*").alias("df"))
     first = sets.select("key", F.explode("grams").alias("gram")).filter(low).join(frequency, "gram")
     posted_low = first.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("low"))
-    prefix = F.col("n") - F.floor((percent * F.col("n") + 99) / 100) + 1
-    posted = sets.join(posted_low, "key", "left").select(
-        "key", F.explode(F.slice(F.concat(
-            F.coalesce(F.transform("low", lambda x: x["gram"]), F.array().cast("array<long>")),
-            F.filter("grams", lambda g: ~_is_low(g, limit))), F.lit(1), prefix.cast("int"))).alias("gram")).checkpoint()
+    prefix = (F.col("n") - F.floor((percent * F.col("n") + 99) / 100) + 1).cast("int")
+    others = sets.select("key", prefix.alias("p"), F.slice(F.filter("grams", lambda g: ~_is_low(g, limit)), F.lit(1), prefix).alias("rest"))
+    posted = others.join(posted_low, "key", "left").select("key", F.explode(F.slice(F.concat(
+        F.coalesce(F.transform("low", lambda x: x["gram"]), F.array().cast("array<long>")), "rest"), F.lit(1), F.col("p"))).alias("gram")) \
+        .checkpoint()
     heads = posted.groupBy("gram").agg(F.min("key").alias("head"), F.max("key").alias("tail")).filter("head <> tail")
     edges = posted.join(heads.select("gram", "head"), "gram").select(F.col("key").alias("u"), F.col("head").alias("v")) \
         .filter("u <> v").dropDuplicates()
     families = connected_components(edges).select(F.col("node").alias("key"), F.col("root").alias("fam"))
     members = sets.select("key", "n").join(families, "key")
-    comps = _family_components(members, sets, percent, chunk_grams)
+    comps = _family_components(members, sets, percent, chunk_grams, folder)
 
     least = comps.join(classes.select("key", "least"), "key").groupBy("comp").agg(F.min("least").alias("component"))
     reached = comps.join(least, "comp").select("key", "comp", "component")
