@@ -6,6 +6,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -209,6 +210,20 @@ def test_quality_classifier_of_odd_documents(spark):
     assert quality_classifier.quality_classifier(no_documents(spark), labels).count() == 0
 
 
+def test_quality_cut_is_the_quantile_over_all_labelled_rows(spark):
+    folder = SF.replace("sf0.001", "sf0.01")
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    # a row repeated more often than the sample holds is learned once and counted each time
+    again = docs.join(labels.filter("quality = 1"), "doc_id", "left_semi").filter(
+        ~language_id.held_out(docs["doc_id"])).orderBy("doc_id").limit(1)
+    docs = docs.unionAll(again.withColumn("__n", F.explode(F.sequence(F.lit(1), F.lit(60)))).drop("__n"))
+    ranker = quality_classifier.learn(docs, labels, per_label=20)  # both caps bite
+    rows = docs.join(labels, "doc_id").filter(~language_id.held_out(F.col("doc_id"))).select("text", "quality").collect()
+    strengths = np.sort(ranker.strengths(np.array([quality_classifier.features(r.text) for r in rows])))
+    k = sum(r.quality == 0 for r in rows)
+    assert 20 < k < len(rows) / 2 and ranker.cut == (strengths[k - 1] + strengths[k]) / 2
+
+
 def test_pipeline_stages_against_brute_force(spark):
     from tests.llm.test_joins_and_repeats import brute_components, brute_dedup
     from tests.llm.test_rules_mixing_fingerprints import reshared_targets
