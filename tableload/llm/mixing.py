@@ -11,7 +11,8 @@ of the budget is cut from the front of the order, inside the last document if ne
 
 Defined results: a null text has size 0 and is never taken; a source without words
 has target 0; null is a source of its own; repeated rows are mixed one by one (rows
-equal in key, id and size are interchangeable); an empty table gives no rows; other
+equal in key, id and size are interchangeable, for ``mixed_documents`` those equal in
+source and text besides); an empty table gives no rows; other
 columns of the input are ignored.
 """
 
@@ -31,6 +32,15 @@ def _key(doc_id: Column) -> Column:
     return F.md5(F.concat(F.lit(SEED + ":"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
 
 
+def _text_hash(text: Column) -> Column:
+    return F.xxhash64(text)
+
+
+def _named(value: Column) -> Column:
+    """A value as text that is never null, so that plain equality tells null from all else."""
+    return F.coalesce(F.concat(F.lit("="), value.cast("string")), F.lit(""))
+
+
 def source_targets(sizes: DataFrame, max_repeat: int = MAX_REPEAT) -> DataFrame:
     """(source, source_size, target): one row per source.  The windows below see
     one row per source, never documents."""
@@ -48,11 +58,13 @@ def source_targets(sizes: DataFrame, max_repeat: int = MAX_REPEAT) -> DataFrame:
         "source", "source_size", F.least(cap.cast("double"), F.col("__top") * F.col("weight")).alias("target"))
 
 
-def mix(docs: DataFrame, max_repeat: int = MAX_REPEAT, key_digits: int = KEY_DIGITS) -> DataFrame:
+def mix(docs: DataFrame, max_repeat: int = MAX_REPEAT, key_digits: int = KEY_DIGITS, text_hash: bool = False) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, taken, epochs
-    (whole times the document is taken) and part (words of one more, partial, time)."""
+    (whole times the document is taken) and part (words of one more, partial, time).
+    With ``text_hash``, that column too, by which rows equal in id and size are ordered."""
+    told = ["text_hash"] if text_hash else []
     sizes = documents(docs, "doc_id", "source", "text").select(
-        "doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("size"))
+        "doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("size"), *[_text_hash(F.col("text")).alias(c) for c in told])
     keyed = sizes.withColumn("__k", _key(F.col("doc_id"))).withColumn(
         "__range", F.substring("__k", 1, key_digits)).withColumn("__s", F.coalesce("source", F.lit(""))).withColumn(
         "__null", F.col("source").isNull())
@@ -62,7 +74,7 @@ def mix(docs: DataFrame, max_repeat: int = MAX_REPEAT, key_digits: int = KEY_DIG
     offsets = totals.select(*group, F.coalesce(F.sum("__sum").over(over_ranges), F.lit(0)).alias("__offset"))
     targets = source_targets(sizes, max_repeat).select(
         F.coalesce("source", F.lit("")).alias("__s"), F.col("source").isNull().alias("__null"), "source_size", "target")
-    in_range = Window.partitionBy(*group).orderBy("__k", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    in_range = Window.partitionBy(*group).orderBy("__k", "doc_id", "size", *told).rowsBetween(Window.unboundedPreceding, -1)
     placed = keyed.withColumn("__before", F.coalesce(F.sum("size").over(in_range), F.lit(0)))
     joined = placed.join(offsets, group).join(targets, ["__s", "__null"])
     budget = F.round("target").cast("long")
@@ -71,24 +83,29 @@ def mix(docs: DataFrame, max_repeat: int = MAX_REPEAT, key_digits: int = KEY_DIG
     part = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("__offset") - F.col("__before")))
     return (joined.withColumn("__budget", budget).withColumn("epochs", epochs).withColumn("part", part)
             .select("doc_id", "source", "size", "source_size", "target",
-                    (F.col("size") * F.col("epochs") + F.col("part")).alias("taken"), "epochs", "part"))
+                    (F.col("size") * F.col("epochs") + F.col("part")).alias("taken"), "epochs", "part", *told))
 
 
 def mixed_documents(docs: DataFrame, max_repeat: int = MAX_REPEAT) -> DataFrame:
     """The mix as documents: each taken whole as often as its epochs say, and once more
     up to its last taken word where the budget ends inside it.  Rows are matched to
-    their counts by doc_id; of rows that share a doc_id each is taken by its own size."""
+    their counts by doc_id, source, size and text hash; rows equal in all of these stand
+    side by side in the mix and use up their common part in turn."""
     columns = docs.columns
-    held = docs.select(F.struct(*[docs[c] for c in columns]).alias("__row"), docs["doc_id"].alias("__id"),
-                       F.coalesce(docs["text"], F.lit("")).alias("__text"))
-    taken = mix(docs, max_repeat).filter("taken > 0").groupBy(F.col("doc_id").alias("__tid"), F.col("size").alias("__size")) \
-        .agg(F.sum("epochs").alias("__epochs"), F.sum("part").alias("__part"), F.count("*").alias("__rows"))
-    size = F.size(words(F.col("__text"))).cast("long")
-    both = held.withColumn("__n", size).join(
-        taken, F.col("__id").eqNullSafe(F.col("__tid")) & (F.col("__n") == F.col("__size")))
-    # rows equal in id and size share their whole times and the one cut evenly
-    whole = F.floor(F.col("__epochs") / F.col("__rows")).cast("int")
-    part = F.floor(F.col("__part") / F.col("__rows")).cast("int")
+    group = ["__id", "__source", "__n", "__h"]
+    text = F.coalesce(docs["text"], F.lit(""))
+    # equal rows take their turns by their other columns (maps can not be hashed)
+    told = F.xxhash64(*[docs[c] for c, kind in docs.dtypes if "map<" not in kind])
+    held = docs.select(F.struct(*[docs[c] for c in columns]).alias("__row"), text.alias("__text"), told.alias("__told"),
+                       _named(docs["doc_id"]).alias("__id"), _named(docs["source"]).alias("__source"),
+                       F.size(words(text)).cast("long").alias("__n"), _text_hash(text).alias("__h"))
+    taken = mix(docs, max_repeat, text_hash=True).filter("taken > 0").groupBy(
+        _named(F.col("doc_id")).alias("__id"), _named(F.col("source")).alias("__source"), F.col("size").alias("__n"),
+        F.col("text_hash").alias("__h")).agg(F.max("epochs").cast("int").alias("__epochs"), F.sum("part").alias("__part"))
+    turn = F.row_number().over(Window.partitionBy(*group).orderBy("__told"))
+    both = held.join(taken, group).withColumn("__turn", turn)
+    whole = F.col("__epochs")
+    part = F.greatest(F.lit(0), F.least(F.col("__n"), F.col("__part") - (F.col("__turn") - 1) * F.col("__n"))).cast("int")
     ends = F.split("__text", "(?<=[^ \t-\r])(?=[ \t-\r])", -1)  # one piece per word, blanks in front
     cut = F.when(part > 0, F.array(F.array_join(F.slice(ends, 1, part), ""))).otherwise(F.array().cast("array<string>"))
     texts = F.concat(F.array_repeat(F.col("__text"), whole), cut)

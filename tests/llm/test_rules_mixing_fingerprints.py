@@ -98,6 +98,30 @@ def test_mixed_documents_hold_the_taken_words(spark):
     assert {i: sum(v) for i, v in got.items()} == {i: t for i, (t, _) in taken.items() if t}
 
 
+def test_mixed_documents_of_null_and_repeated_ids(spark):
+    odd = odd_documents(spark)
+    rows = [(None, "u v w x y", "en", "c", 9, *odd.first()[5:])] * 40 + [(None, "p q r s t", "en", "a", 9, *odd.first()[5:])] * 3
+    docs = odd.unionAll(spark.createDataFrame(rows, odd.schema))
+    budgets = mixing.mix(docs).collect()
+    whole, cut, total = Counter(), defaultdict(int), defaultdict(int)
+    size = {(r.doc_id, r.text, r.source): len(words(r.text)) for r in docs.collect()}
+    epochs = {r.source: r.epochs for r in budgets}
+    for r in budgets:
+        total[r.source] += r.taken
+    for r in docs.collect():
+        whole[(r.doc_id, r.text, r.source)] += epochs[r.source] if words(r.text) else 0
+    got, taken = Counter(), defaultdict(int)
+    for r in mixing.mixed_documents(docs).collect():
+        taken[r.source] += len(words(r.text))
+        if (r.doc_id, r.text, r.source) in size:
+            got[(r.doc_id, r.text, r.source)] += 1
+        else:
+            cut[r.source] += 1
+    assert taken == {s: n for s, n in total.items() if n}  # no word of a budget is lost
+    assert all(got[k] >= n for k, n in whole.items())  # no source takes another's epochs
+    assert all(n == 1 for n in cut.values())  # a budget ends inside one document at most
+
+
 def shingles(text):
     ws = words(text)
     return {tuple(ws[i:i + 5]) for i in range(len(ws) - 4)} or ({tuple(ws)} if ws else set())
