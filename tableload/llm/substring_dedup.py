@@ -13,8 +13,10 @@ window that also starts anywhere else is removed.
 3. Verification.  The windows of those runs are counted at their source coordinates;
    only windows that truly occur twice are marked, and their words removed.
 
-Documents are dealt into chunks of about ``CHUNK_ROWS`` by a hash, and one exchange of
-the texts serves all three steps.  Chunks report a hash once (twice if it repeats inside
+Documents are dealt into chunks of about ``CHUNK_ROWS`` by a hash of the row, and one exchange
+of the texts serves all three steps.  Rows equal in all columns are one row with a number of
+copies before a step gathers them, so that no repeated row makes a chunk large; with two
+copies or more, every window of the row repeats.  Chunks report a hash once (twice if it repeats inside
 the chunk), so a passage that a third of all documents share costs one row per chunk,
 and no step gathers more than one chunk or one row per chunk for a hash.
 
@@ -49,12 +51,13 @@ _HASHES = WordHash()
 class _Words:
     """Words of a chunk's documents, end to end."""
 
-    def __init__(self, texts: list[str | None], window: int):
-        split = [(t or "").encode().split() for t in texts]
+    def __init__(self, table: pa.Table, window: int):
+        split = [(t or "").encode().split() for t in table.column("text").to_pylist()]
         self.per_doc = split
         self.sizes = np.array([len(w) for w in split], dtype=np.int64)
         self.ends = np.cumsum(self.sizes)
         self.window = window
+        self.copied = np.repeat(table.column("__copies").to_numpy() > 1, self.sizes)  # by place
         flat: list[bytes] = [w for doc in split for w in doc]
         self.hashes = _HASHES.of(flat)
 
@@ -85,9 +88,10 @@ class _Words:
         return at, best, edges
 
 
-def _once_or_twice(hashes: np.ndarray) -> np.ndarray:
-    """Each hash once, and once more if it is there more than once."""
-    found, counts = np.unique(hashes, return_counts=True)
+def _once_or_twice(hashes: np.ndarray, copied: np.ndarray) -> np.ndarray:
+    """Each hash once, and once more if it is there more than once or in a copied row."""
+    found, at, counts = np.unique(hashes, return_inverse=True, return_counts=True)
+    np.add.at(counts, at[copied], 1)
     return np.concatenate([found, found[counts > 1]])
 
 
@@ -108,9 +112,10 @@ def _seen_twice(reported: DataFrame) -> DataFrame:
 def _report_seeds(window: int, seed: int) -> Callable[[pa.Table], pa.Table]:
     def report(table: pa.Table) -> pa.Table:
         chunk = table.column("__chunk")[0].as_py()
-        doc_words = _Words(table.column("text").to_pylist(), window)
+        doc_words = _Words(table, window)
         _, best, edges = doc_words.seeds(seed)
-        return _rows(_once_or_twice(edges[np.unique(best)]), chunk)
+        places = np.unique(best)
+        return _rows(_once_or_twice(edges[places], doc_words.copied[places]), chunk)
     return report
 
 
@@ -118,16 +123,16 @@ def _report_windows(window: int, seed: int) -> Callable[[pa.Table, pa.Table], pa
     def report(table: pa.Table, repeated: pa.Table) -> pa.Table:
         if not len(table) or not len(repeated):
             return _rows(np.empty(0, dtype=np.uint64), 0)
-        doc_words = _Words(table.column("text").to_pylist(), window)
+        doc_words = _Words(table, window)
         at, best, edges = doc_words.seeds(seed)
         path = at[np.isin(edges[best], _hash_set(repeated))]
-        return _rows(_once_or_twice(doc_words.windows()[path]), table.column("__chunk")[0].as_py())
+        return _rows(_once_or_twice(doc_words.windows()[path], doc_words.copied[path]), table.column("__chunk")[0].as_py())
     return report
 
 
 def _remove(window: int, schema: pa.Schema) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def remove(table: pa.Table, repeated: pa.Table) -> pa.Table:
-        doc_words = _Words(table.column("text").to_pylist(), window)
+        doc_words = _Words(table, window)
         total = len(doc_words.hashes)
         cover = np.zeros(total + 1, dtype=np.int64)
         if len(repeated):
@@ -159,14 +164,17 @@ def _dedup(docs: DataFrame, window: int, seed: int) -> DataFrame:
     ship(docs.sparkSession)
     columns = docs.columns
     chunks = docs.select(F.count("*")).first()[0] // CHUNK_ROWS + 1
-    dealt = docs.withColumn("__chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
-    by_chunk = dealt.groupBy("__chunk")
+    told = [c for c, kind in docs.dtypes if "map<" not in kind]  # maps can not be hashed
+    dealt = docs.withColumn("__chunk", F.pmod(F.xxhash64(*told), F.lit(chunks)).cast("int"))
+    # grouped behind the exchange by chunk, which so stays the only one
+    by_chunk = dealt.repartition("__chunk").groupBy(*columns, "__chunk").agg(F.count("*").alias("__copies")).groupBy("__chunk")
     reported = "h long, __chunk int"
     seeds = _seen_twice(by_chunk.applyInArrow(_report_seeds(window, seed), reported))
     windows = _seen_twice(by_chunk.cogroup(seeds.groupBy("__chunk")).applyInArrow(_report_windows(window, seed), reported))
-    schema = T.StructType([*[docs.schema[c] for c in columns], T.StructField("__n_words", T.LongType()),
+    schema = T.StructType([*[docs.schema[c] for c in columns], T.StructField("__copies", T.LongType()), T.StructField("__n_words", T.LongType()),
                            T.StructField("__n_removed", T.LongType()), T.StructField("__sha", T.StringType())])
-    return by_chunk.cogroup(windows.groupBy("__chunk")).applyInArrow(_remove(window, to_arrow_schema(schema)), schema)
+    done = by_chunk.cogroup(windows.groupBy("__chunk")).applyInArrow(_remove(window, to_arrow_schema(schema)), schema)
+    return done.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__copies").cast("int")))).drop("__copy", "__copies")
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:

@@ -3,6 +3,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tableload.llm import ngram_join, substring_dedup
@@ -136,6 +137,36 @@ def test_repeats_over_a_whole_table_and_many_chunks(spark, monkeypatch):
     assert deduped(docs) == brute_dedup([tuple(r) for r in docs.collect()])
 
 
+def test_repeated_rows_are_gathered_once(spark, monkeypatch):
+    text = " ".join(f"w{i}" for i in range(50))
+    rows = [(None, text, "a")] * 300 + [(None, None, "a")] * 300 + [(None, "few words", "b")] * 300
+    rows = rows + [(1, "x y " + text, "a"), (2, " ".join(f"z{i}" for i in range(60)), "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    assert deduped(docs) == brute_dedup([r[:2] for r in rows])
+    kept = Counter((r.doc_id, r.text, r.lang) for r in substring_dedup.remove_repeats(docs).collect())
+    assert kept == Counter([r for r in rows if r[1] != text and r[0] != 1] + [(1, "x y", "a")])
+
+    def gathered(table):
+        return pa.table({"n": pa.array([len(table)], pa.int64()), "__chunk": table.column("__chunk").slice(0, 1)})
+
+    # what a step gathers of a chunk: every row once
+    monkeypatch.setattr(substring_dedup, "_report_seeds", lambda *a: gathered)
+    monkeypatch.setattr(substring_dedup, "_seen_twice", lambda found: found)
+    sizes = []
+    frame = type(docs.groupBy("doc_id"))
+    plain = frame.applyInArrow
+
+    def spy(self, func, schema):
+        if func is gathered:
+            sizes.extend(r.n for r in plain(self, func, "n long, __chunk int").collect())
+            return spark.createDataFrame([], schema)
+        return plain(self, func, schema)
+
+    monkeypatch.setattr(frame, "applyInArrow", spy)
+    substring_dedup.substring_dedup(docs)
+    assert sum(sizes) == 5
+
+
 def test_remove_repeats_keeps_columns_and_untouched_texts(spark):
     docs = odd_documents(spark)
     out = substring_dedup.remove_repeats(docs)
