@@ -8,7 +8,8 @@ weighted by how well the bit's classifier fits, and takes the codeword of least
 ``score`` is the softmax of the losses; ``ambiguous`` flags scores below ``AMBIGUOUS``.
 
 The classifiers are fitted on a bounded sample: at most ``PER_LANGUAGE`` documents of each
-language, taken in hash order from those that are not held out.
+language, taken in hash order from those that are not held out; rows equal in id, text and
+language are learned once.
 
 Defined results: a null text or one without a letter is ``und`` with score 0; rows without
 a language are predicted but not learned; with nothing to learn from all is ``und``; an
@@ -138,10 +139,10 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     ship(docs.sparkSession)
     open_rows = docs.filter(docs["lang"].isNotNull() & ~held_out(docs["doc_id"])).select(
         docs["doc_id"], docs["lang"], docs["text"], F.xxhash64(docs["doc_id"].cast("string"), docs["text"]).alias("h"))
-    # only ids and hashes are ranked; the rank limit is applied before the shuffle
-    ranked = open_rows.filter(F.col("text").rlike("\\p{L}")).select("doc_id", "lang", "h").withColumn(
-        "r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("r") <= per_language)
-    chosen = open_rows.join(F.broadcast(ranked.select(F.col("h").alias("ch")).dropDuplicates()), F.col("h") == F.col("ch"))
+    # only hashes are ranked; the rank limit is applied before the shuffle
+    ranked = open_rows.filter(F.col("text").rlike("\\p{L}")).select("lang", "h").dropDuplicates().withColumn(
+        "r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("r") <= per_language).drop("r")
+    chosen = open_rows.join(F.broadcast(ranked), ["lang", "h"]).dropDuplicates(["lang", "h"])
     rows = chosen.select("lang", "text").mapInArrow(_featurise, "lang string, features binary").collect()
     features = np.array([np.frombuffer(r.features, dtype=np.float32) for r in rows], dtype=np.float64).reshape(-1, BUCKETS)
     return fit(features, [r.lang for r in rows])

@@ -177,6 +177,18 @@ def test_language_id_of_odd_documents(spark):
     assert {r.lang_pred for r in language_id.language_id(unknown).collect()} == {"und"}
 
 
+def test_repeated_rows_are_learned_once(spark, monkeypatch):
+    rows = [(None, "the same words", "en")] * 50 + [(1, "the same words", "en"), (2, "mots fran\u00e7ais", "fr"), (3, "autres mots", "fr")]
+    rows = rows + [(i, f"more words {i}", "en") for i in range(10, 40)]
+    learned = []
+    monkeypatch.setattr(language_id, "fit", lambda x, labels: learned.append(sorted(labels)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    language_id.learn(docs, per_language=5)
+    language_id.learn(docs, per_language=1000)
+    left = {r for r in rows if r[0] is None or zlib.crc32(str(r[0]).encode()) % 3 != 1}
+    assert learned[0].count("en") == 5 and learned[1] == sorted(r[2] for r in left)
+
+
 def test_long_texts_are_counted_in_pieces(monkeypatch):
     text = "äbc def, xyz! " * 50
     whole = language_id.gram_counts(text)
