@@ -1,16 +1,16 @@
-"""Operator 4, substring dedup: repeated word windows by De Bruijn edges.
+"""Operator 4, substring dedup: repeated word windows by minimizer seeds.
 
 A window is ``window`` (35) consecutive words of one document; every word covered by a
 window that also starts anywhere else is removed.
 
-1. Edges.  Word 12-mers are the edges of the corpus' De Bruijn graph.  Of each run of
-   24 neighbouring edges (one window) the one of least hash is a *seed*, so equal windows
-   have equal seeds and about one edge in twelve is shipped.  A seed seen once cannot
-   lie in a repeated window.
-2. Paths.  Joining the repeated seeds back to their documents leaves runs of windows
-   whose seed repeats: the compacted repeated paths.  Where documents part, the next
-   seed is another edge and the run ends.
-3. Verification.  The windows of those runs are counted at their source coordinates;
+This is not a De Bruijn compaction: no nodes, degrees or unitigs are built.
+
+1. Seeds.  Of the 24 word 12-mers of each window the one of least hash is its *seed*, so
+   equal windows have equal seeds and about one 12-mer in twelve is shipped.  A seed seen
+   once cannot lie in a repeated window.
+2. Candidates.  Joining the repeated seeds back to their documents leaves the windows
+   whose seed repeats.
+3. Verification.  Those windows are counted at their source coordinates;
    only windows that truly occur twice are marked, and their words removed.
 
 Documents are dealt into chunks of about ``CHUNK_ROWS`` by a hash of the row, and one exchange
