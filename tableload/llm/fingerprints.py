@@ -7,13 +7,16 @@ however unequal.  If no hash falls below the threshold, the smallest one is kept
 ``containment`` (shared share of the smaller sketch) and ``resemblance`` compare two.
 
 ``fingerprint_edits`` also fingerprints each document's edited text, which ends with the
-front of the next document in descending id order (after the last: the first).  The
-order comes from a range partitioning of ids; only ids and lengths pass through it.
-Texts are shuffled once, by id, and the needed front parts once more.
+front of the next document in descending id order (after the last: the first).  Rows
+equal in id and text are one row with a number of copies until the end: each copy but the
+last is followed by its equal.  The order comes from a range partitioning of ids and text
+hashes; only these and lengths pass through it.  Texts are shuffled once, by id, text hash
+and length, and the needed front parts once more, so rows that share an id (or have none)
+are spread by their texts and meet one row each.
 
 Defined results: a null text is empty; texts without words have an empty sketch, and two
-empty sketches are alike (1.0); rows that share an id follow each other by text hash;
-null ids come last; a single row is its own next document; an empty table gives no rows.
+empty sketches are alike (1.0); rows that share an id follow each other by text hash
+(64 bits, with the length taken for the text's identity within an id); null ids come last; a single row is its own next document; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -68,21 +71,18 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 
 def _followers(ids: DataFrame, partitions: int) -> DataFrame:
-    """For each row (key, tie): key, tie and length of the row it follows in descending
-    order, the last row preceding the first."""
-    ranged = ids.repartitionByRange(partitions, F.col("key").desc()).withColumn("part", F.spark_partition_id()).checkpoint()
-    order = Window.partitionBy("part").orderBy(F.col("key").desc(), "h")
-    ties = Window.partitionBy("part", "key").orderBy("h")
-    rows = ranged.withColumn("tie", F.row_number().over(ties))
-    me = F.struct("key", "tie", "n")
-    rows = rows.withColumn("me", me).withColumn("prev", F.lag("me").over(order)).withColumn(
+    """For each text of an id (key, h, n): the one it follows in descending order of ids,
+    as ``prev``; the last one precedes the first."""
+    ranged = ids.repartitionByRange(partitions, F.col("key").desc(), "h", "n").withColumn("part", F.spark_partition_id()).checkpoint()
+    order = Window.partitionBy("part").orderBy(F.col("key").desc(), "h", "n")
+    me = F.struct("key", "h", "n")
+    rows = ranged.withColumn("me", me).withColumn("prev", F.lag("me").over(order)).withColumn(
         "end", F.when(F.lead("me").over(order).isNull(), F.col("me")))
     ends = rows.filter("end is not null").select("part", "end")  # one row per partition
     by_part = Window.orderBy("part")
     all_parts = by_part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     fronts = ends.select(F.col("part"), F.coalesce(F.lag("end").over(by_part), F.last("end").over(all_parts)).alias("front"))
-    return rows.join(F.broadcast(fronts), "part").select(
-        "key", "tie", F.coalesce("prev", "front").alias("prev"))
+    return rows.join(F.broadcast(fronts), "part").select("key", "h", "n", F.coalesce("prev", "front").alias("prev"))
 
 
 def fingerprint_edits(docs: DataFrame) -> DataFrame:
@@ -90,29 +90,37 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     near_next, and the resemblances resembles_edited and resembles_next."""
     spark = docs.sparkSession
     shared_dir(spark)
-    # both uses of the texts read the same columns, so that they share one exchange
     base = documents(docs, "doc_id", "text").select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("key"), "text", F.xxhash64("text").alias("h"))
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("key"), "text", F.xxhash64("text").alias("h"),
+        F.length("text").alias("n"))
+    told = ["key", "h", "n"]
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    links = _followers(base.select("key", F.length("text").alias("n"), "h"), partitions)
-    # the window leaves rows hashed and sorted by key; the tie is compared beside the join key
-    rows = base.withColumn("tie", F.row_number().over(Window.partitionBy("key").orderBy("h")))
-    linked = rows.join(links.select(F.col("key").alias("lkey"), F.col("tie").alias("ltie"), "prev"),
-                       (F.col("key") == F.col("lkey")) & (F.col("tie") - F.col("ltie") == 0))
-    donors = linked.select(
-        F.col("prev.key").alias("dkey"), F.col("prev.tie").alias("dtie"),
+    links = _followers(base.select(*told).dropDuplicates(), partitions)
+    # both uses of the texts read the same columns, so that they share one exchange
+    rows = base.groupBy(*told).agg(F.first("text").alias("text"), F.count("*").alias("copies")) \
+        .filter("copies > 0")  # always so; keeps the column, else the uses would differ
+    donors = rows.join(links, told).select(
+        F.col("prev.key").alias("key"), F.col("prev.h").alias("h"), F.col("prev.n").alias("n"),
         F.substring("text", F.lit(1), F.floor(F.col("prev.n") / 3).cast("int")).alias("front"),
         sketch(F.col("text")).alias("next_sketch"))
-    pairs = rows.join(donors, (F.col("key") == F.col("dkey")) & (F.col("tie") - F.col("dtie") == 0))
+    # the last copy is followed by another text, the others by their equal
+    third = F.floor(F.col("n") / 3).cast("int")
+    last = F.struct(F.lit(1).cast("long").alias("times"), F.col("front"), F.col("next_sketch"))
+    equal = F.struct((F.col("copies") - 1).alias("times"), F.substring("text", F.lit(1), third).alias("front"),
+                     sketch(F.col("text")).alias("next_sketch"))
+    pairs = rows.join(donors, told).select("key", "text", F.explode(
+        F.when(F.col("copies") > 1, F.array(last, equal)).otherwise(F.array(last))).alias("next")).select(
+        "key", "text", "next.times", "next.front", "next.next_sketch")
     own = F.when(F.col("key") != _NO_ID, F.col("key"))
     n = F.length("text")
-    edited = pairs.select(own.alias("doc_id"), n.alias("n"), "text", "next_sketch", F.concat(
+    edited = pairs.select(own.alias("doc_id"), n.alias("n"), "text", "times", "next_sketch", F.concat(
         F.substring("text", F.lit(1), (n - F.floor(n / 3)).cast("int")), "front").alias("edited"))
     sketched = edited.select(
-        "doc_id", F.col("n").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        "doc_id", "times", F.col("n").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
         sketch(F.col("text")).alias("a"), sketch(F.col("edited")).alias("b"), F.col("next_sketch").alias("c"))
     a, b, c = F.col("a"), F.col("b"), F.col("c")
-    return sketched.select(
-        "doc_id", "n_chars", "edited_sha256", as_text(a).alias("fingerprint"), as_text(b).alias("edited_fingerprint"),
+    found = sketched.select(
+        "doc_id", "times", "n_chars", "edited_sha256", as_text(a).alias("fingerprint"), as_text(b).alias("edited_fingerprint"),
         containment(a, b).alias("near_edited"), containment(a, c).alias("near_next"),
         resemblance(a, b).alias("resembles_edited"), resemblance(a, c).alias("resembles_next"))
+    return found.withColumn("copy", F.explode(F.array_repeat(F.lit(1), F.col("times").cast("int")))).drop("copy", "times")

@@ -157,6 +157,22 @@ def test_fingerprints_with_ties_nulls_and_no_rows(spark):
     assert len(one) == 1 and one[0].near_next == 1.0
 
 
+def test_fingerprints_of_many_rows_without_an_id(spark):
+    rows = [(None, f"t{i} " * 30) for i in range(20)] + [(None, "same text " * 10)] * 20 + [(5, "a b c d e f g h " * 4)] * 2 + [(9, "z " * 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    hashes = {(r.doc_id, r.text): r.h for r in docs.selectExpr("doc_id", "text", "xxhash64(text) AS h").distinct().collect()}
+    ordered = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), hashes[r]))
+    want = Counter()
+    for k, (doc_id, text) in enumerate(ordered):
+        after, cut = ordered[(k + 1) % len(ordered)][1], len(text) // 3
+        want[(doc_id, len(text), hashlib.sha256((text[:len(text) - cut] + after[:cut]).encode()).hexdigest())] += 1
+    out = fingerprints.fingerprint_edits(docs)
+    assert Counter((r.doc_id, r.n_chars, r.edited_sha256) for r in out.collect()) == want
+    # each join of texts is on the text hash too, so that rows of one id do not all meet each other
+    joins = [x for x in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join Inner" in x and "key#" in x]
+    assert len(joins) == 2 and all("h#" in x for x in joins)
+
+
 def test_native_operators_plan_without_python(spark):
     docs = odd_documents(spark)
     for df in (mixing.mix(docs), fingerprints.fingerprint_edits(docs), quality_rules.quality_rules(docs)):
