@@ -8,16 +8,19 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tableload.llm import (
+    embedding_whitening,
     fingerprints,
     language_id,
     mixing,
     ngram_join,
     packing,
+    periodic_runs,
     quality_classifier,
     quality_rules,
     substring_dedup,
     token_counts,
     token_files,
+    url_filter,
 )
 
 
@@ -52,4 +55,7 @@ REGISTRY: dict[str, Query] = {
     "op9_packing": Query(lambda s, d: packing.pack(_table(s, d, "documents"), tokenizer_path("byte_bpe_50k.json"))),
     "op10_token_files": Query(
         lambda s, d: token_files.token_files(_table(s, d, "documents"), tokenizer_path("word_bpe_49k.json"))),
+    "op11_embedding_whitening": Query(lambda s, d: embedding_whitening.whiten(_table(s, d, "embeddings"))),
+    "op12_periodic_runs": Query(lambda s, d: periodic_runs.run_digests(_table(s, d, "documents"))),
+    "op13_url_filter": Query(lambda s, d: url_filter.url_filter(_table(s, d, "pages")), url_filter.SQL),
 }

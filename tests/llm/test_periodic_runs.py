@@ -1,0 +1,115 @@
+"""Runs against a version that tries every period at every place."""
+
+import hashlib
+import random
+import zlib
+
+import pytest
+
+from tableload.llm import periodic_runs as P
+from tests.conftest import SF
+from tests.llm.helpers import no_documents, odd_documents, odd_rows, words
+
+
+def smallest_period(w):
+    fail, k = [0], 0
+    for i in range(1, len(w)):
+        while k and w[i] != w[k]:
+            k = fail[k - 1]
+        k += w[i] == w[k]
+        fail.append(k)
+    return len(w) - fail[-1]
+
+
+def brute(w, least=6, times=4):
+    out, n = [], len(w)
+    for q in range(1, n // times + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and w[j] == w[j + q]:
+                j += 1
+            length = j - i + q
+            if j > i and length >= max(least, times * q) and smallest_period(w[i:i + length]) == q:
+                out.append((i, length, q))
+            i = j + 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def planted(rng, n, letters):
+    w = [rng.choice(letters) for _ in range(n)]
+    for _ in range(rng.randrange(4)):
+        a, q, times = rng.randrange(n), rng.choice([1, 2, 3, 5, 8, 9, 12, 16, 17, 24, 31, 32, 33, 48, 64, 65, 90]), rng.uniform(3.5, 6)
+        root = w[a:a + q]
+        for i in range(a, min(n, a + int(q * times))):
+            w[i] = root[(i - a) % len(root)]
+    return w
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_runs_equal_brute_force(seed):
+    rng = random.Random(seed)
+    docs = [planted(rng, rng.choice([3, 6, 7, 20, 60, 150, 500, 900]), "ab" if k % 3 else range(400)) for k in range(60)]
+    docs += [list("ab" * 40), list("a" * 100), [], ["x"], (list(range(40)) * 5)[:-3], list("aab" * 30 + "b" + "aab" * 30)]
+    docs += [(list("aaaaaaab" * 3) * 6), list(("a" * 20 + "b") * 7)]
+    assert P.runs_of(docs) == [brute(w) for w in docs]
+
+
+def test_long_periods_and_very_long_texts():
+    rng = random.Random(1)
+    for q, times in ((1000, 4), (777, 4.001), (1024, 4), (1025, 9), (3000, 5)):
+        root = [rng.randrange(10**6) for _ in range(q)]
+        body = (root * 10)[:int(q * times)]
+        w = [rng.randrange(10**6) for _ in range(500)] + body + [-1] * 3
+        got = [r for r in P.runs_of([w, ["z"] * 10])[0]]
+        assert got == ([(500, len(body), q)] if len(body) >= 4 * q else [])
+    long = ["w"] * 300_000
+    assert P.runs_of([long, list(range(300_000))]) == [[(0, 300_000, 1)], []]
+
+
+@pytest.mark.parametrize("q", range(1, 200, 7))
+def test_runs_of_exactly_four_periods_at_every_place(q):
+    rng = random.Random(q)
+    for lead in (0, 1, 5):
+        root = [rng.randrange(3) for _ in range(q)] if q > 8 else list(range(q))
+        body = (root * 6)[:max(6, 4 * q)]
+        w = [9] * (lead % 5) + body + [8]
+        assert P.runs_of([w])[0] == brute(w)
+
+
+def expected(doc_id, text):
+    w = words(text)
+    h, n = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1, len(w)
+    if h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        w = [x if i < a else w[a + (i - a) % p] for i, x in enumerate(w)]
+    runs = brute(w)
+    best = min(runs, key=lambda r: (-r[1] / r[2], r[0], r[2]), default=None)
+    gone = {i for s, length, q in runs for i in range(s + q, s + length)}
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    return (doc_id, len(runs), *(best or (None,) * 3), 1000 * best[1] // best[2] if best else None,
+            sha("".join(f"{a},{b},{c}\n" for a, b, c in runs)), sha(" ".join(x for i, x in enumerate(w) if i not in gone)))
+
+
+def test_digests_of_odd_documents(spark):
+    got = [tuple(r) for r in P.run_digests(odd_documents(spark)).collect()]
+    assert sorted(map(repr, got)) == sorted(repr(expected(r[0], r[1])) for r in odd_rows())
+    assert P.run_digests(no_documents(spark)).collect() == []
+
+
+def test_query_on_the_small_table(spark):
+    from tableload.llm.queries import REGISTRY
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    short = {r.doc_id: r.text for r in docs.collect() if len(words(r.text)) < 1500}
+    got = {r.doc_id: tuple(r) for r in REGISTRY["op12_periodic_runs"].build(spark, SF).collect()}
+    assert len(got) == docs.count() and len(short) > 150
+    for i, text in short.items():
+        assert got[i] == expected(i, text), i
+
+
+def test_runs_and_collapsed_texts(spark):
+    df = spark.createDataFrame([(1, "go " * 9 + "on"), (2, None), (None, "a b\ta b a\nb a b")], "doc_id long, text string")
+    assert sorted(tuple(r) for r in P.periodic_runs(df).select("start", "length", "period").collect()) == [(0, 8, 2), (0, 9, 1)]
+    assert {r.text for r in P.collapse_runs(df).collect()} == {"go on", "", "a b"}
