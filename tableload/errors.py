@@ -16,3 +16,7 @@ class DestructiveRefreshRefused(ValueError):
 
 class TableNotFound(LookupError):
     """The dataset has no such table."""
+
+
+class DamagedLedgerError(RuntimeError):
+    """The newest commit of a dataset cannot be read."""

@@ -14,6 +14,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tableload.functions.keycode import key_code
 
 # Lineage column names and id width.
 LOAD_ID = "_load_id"
@@ -27,19 +30,17 @@ ID_HEX_CHARS = 32
 SEP = "|"
 
 
-def _digest(text: Column) -> Column:
-    return F.md5(text)
-
-
-def key_id(columns: Sequence[str | Column]) -> Column:
-    """Row id of a keyed root: digest of its key values, each with its length in
-    front and NULL marked, so that different keys never share a text."""
-    parts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in columns]
-    return _digest(F.concat(*[F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in parts]))
+def key_id(columns: Sequence[str | Column], types: Sequence[T.DataType] | None = None) -> Column:
+    """Row id of a keyed root: digest of the code of its key values, so that different keys never share an
+    id.  ``types`` are those of the columns; values without one are taken as text."""
+    cols = [F.col(c) if isinstance(c, str) else c for c in columns]
+    if types is None:
+        cols, types = [c.cast("string") for c in cols], [T.StringType()] * len(cols)
+    return F.md5(key_code(cols, types))
 
 
 def child_id(parent_id: str | Column, path: str, idx: str | Column) -> Column:
     """Row id of a child element: digest of parent id, table path and list index."""
     p = F.col(parent_id) if isinstance(parent_id, str) else parent_id
     i = F.col(idx) if isinstance(idx, str) else idx
-    return _digest(F.concat_ws(SEP, p, F.lit(path), i.cast("string")))
+    return F.md5(F.concat_ws(SEP, p, F.lit(path), i.cast("string")))

@@ -8,7 +8,7 @@ functions) obeys the same rules.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, field, fields
 from typing import Any
 
 from tableload.errors import ContractError
@@ -24,6 +24,8 @@ class PartitionKey:
     column: str
     transform: str = "identity"
     buckets: int | None = None
+    # False for folders written before values were coded: identity folders of the column itself, buckets of its text
+    coded: bool = field(default=True, compare=False, repr=False)
 
     def __post_init__(self) -> None:
         wrong = None
@@ -43,17 +45,20 @@ class PartitionKey:
         """The key that a name, a spec dict or a key stands for."""
         if isinstance(spec, cls):
             return spec
-        if isinstance(spec, dict) and spec.keys() <= {f.name for f in fields(cls)}:
+        names = [f.name for f in fields(cls) if f.compare]
+        if isinstance(spec, dict) and spec.keys() <= set(names):
             return cls(**{"column": "", **spec})
         if isinstance(spec, str):
             return cls(spec)
-        raise ContractError(f"a partition key is a column name, a dict of {[f.name for f in fields(cls)]} or a key; got {spec!r}")
+        raise ContractError(f"a partition key is a column name, a dict of {names} or a key; got {spec!r}")
 
     @property
     def derived_name(self) -> str:
-        """Name of the directory column the key writes (identity keeps the column)."""
-        suffix = {"identity": "", "bucket": f"bucket{self.buckets}"}.get(self.transform, self.transform)
-        return f"_p_{self.column}_{suffix}" if suffix else self.column
+        """Name of the directory column the key writes; the column itself stays in the files."""
+        if self.transform == "identity" and not self.coded:
+            return self.column
+        suffix = {"identity": "value", "bucket": f"bucket{self.buckets}"}.get(self.transform, self.transform)
+        return f"_p_{self.column}_{suffix}"
 
 
 def _is_bucket_count(n: Any) -> bool:

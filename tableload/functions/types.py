@@ -111,6 +111,8 @@ def widen(stored: T.DataType, incoming: T.DataType, where: str = "") -> T.DataTy
     """The type a stored column has after ``incoming`` values arrive: the stored one
     where it holds them exactly, DECIMAL(20,0) for unsigned 64-bit values in a BIGINT
     column, and else a refusal, as a cast would change values unnoticed."""
+    if isinstance(stored, T.NullType):  # only NULLs so far: the first typed values decide
+        return incoming
     if isinstance(stored, T.LongType) and incoming == UINT64_DECIMAL:
         return UINT64_DECIMAL
     if _holds(stored, incoming):

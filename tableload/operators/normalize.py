@@ -135,6 +135,7 @@ def normalize(
     row_id: Column | None = None,
     extra: dict[str, Column] | None = None,
     hidden: Sequence[str] = (),
+    types: dict[str, T.DataType] | None = None,
 ) -> list[NormalizedTable]:
     """Split nested records into a root table and child tables, root first.
 
@@ -142,7 +143,8 @@ def normalize(
     pass ``row_id`` (e.g. a digest of file name and row index of a staged file),
     else the digest of the whole normalized row is used.  ``extra`` columns are
     computed on the input and appended to the root table as named; ``hidden`` input
-    columns are there for ``row_id`` and ``extra`` only."""
+    columns are there for ``row_id`` and ``extra`` only.  ``types`` gives root columns (in
+    normalized names) the type their table stores, before ids are made of them."""
     table = normalize_name(table, naming)
     root_cols, lists = _flatten_record(
         [(f.name, F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields if f.name not in hidden],
@@ -150,13 +152,14 @@ def normalize(
     names = [n for n, _ in root_cols]
     check_collisions(names, f"{table}: ")
     _check_reserved(names, table)
+    root_cols = [(n, c.cast(types[n]) if types and n in types else c) for n, c in root_cols]
     pk = list(primary_key)
     if row_id is not None:
         rid = row_id
     elif pk:
         rid = None  # computed after projection, from normalized key names
     else:
-        rid = key_id([F.to_json(F.struct(*[c.alias(n) for n, c in root_cols]), _JSON_OPTS)])
+        rid = key_id([F.md5(F.to_json(F.struct(*[c.alias(n) for n, c in root_cols]), _JSON_OPTS))])
     extra = extra or {}
     base = df.select(
         *[c.alias(n) for n, c in root_cols],
@@ -165,7 +168,7 @@ def normalize(
         *[c.alias(n) for n, c in extra.items()],
     )
     if rid is None:
-        base = base.withColumn(ROW_ID, key_id(pk))
+        base = base.withColumn(ROW_ID, key_id([F.col(f"`{k}`") for k in pk], [base.schema[k].dataType for k in pk]))
     if load_id is not None:
         base = base.withColumn(LOAD_ID, load_id if isinstance(load_id, Column) else F.lit(load_id))
     out = [NormalizedTable(table, None, base.select(*names, *([LOAD_ID] if load_id is not None else []), ROW_ID,

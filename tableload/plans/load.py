@@ -27,13 +27,13 @@ from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableload.contract import TableContract, is_staged_route, validate
 from tableload.errors import ContractError, DuplicateRootError, IncompleteStagingError
-from tableload.functions.lineage import ROOT_ID, ROW_ID, key_id
+from tableload.functions.lineage import LINEAGE, ROOT_ID, ROW_ID, key_id
 from tableload.functions.naming import normalize_name
 from tableload.functions.partition import parse_layout
 from tableload.functions.types import promote, widen
@@ -41,7 +41,7 @@ from tableload.operators import merge as M
 from tableload.operators.layout import key_expr, layout_columns
 from tableload.operators.normalize import NormalizedTable, align_to_schema, normalize
 from tableload.plans.refresh import children_of
-from tableload.sources.dataset import FILE_COL, SEGMENT_COL, Dataset, layout_json, uri_path
+from tableload.sources.dataset import FILE_COL, SEGMENT_COL, Dataset, keys_of, layout_json, uri_path
 from tableload.sources.ledger import Snapshot, now
 
 ENGINE_VERSION = 1
@@ -51,6 +51,8 @@ COMMIT_SECONDS = 3600.0
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 # Write position of staged merge rows: input frame, staged file, row in file.
 ORDER_COLS = ("__w_frame", "__w_file", "__w_row")
+# Types of a directly written row's place: load id, frame, task partition, row.
+ROW_AT = (T.StringType(), T.IntegerType(), T.IntegerType(), T.LongType())
 
 
 @dataclass
@@ -71,7 +73,7 @@ def evolve(stored: T.StructType | None, incoming: T.StructType) -> T.StructType:
     inc = {f.name.casefold(): f for f in incoming.fields}
     for f in stored.fields:
         other = inc.get(f.name.casefold())
-        dt = widen(f.dataType, promote(other.dataType), f"column {f.name}: ") if other is not None else f.dataType
+        dt = promote(widen(f.dataType, other.dataType, f"column {f.name}: ")) if other is not None else f.dataType
         meta = dict(f.metadata)
         if other is not None and other.metadata.get("comment"):
             meta["comment"] = other.metadata["comment"]
@@ -127,8 +129,9 @@ def write_segment(ds: Dataset, table: str, df: DataFrame, layout, load_id: str,
                   max_records_per_file: int | None = None) -> dict:
     """Write ``df`` as a new segment of ``table`` (partitioned by the layout's
     derived columns); return its ledger entry."""
-    keys = parse_layout(layout) if layout else []
-    out, parts = layout_columns(df, keys)
+    keys = [replace(k, coded=True) for k in keys_of(layout or [])]
+    # Parquet has no type for a column of NULLs only: it stays in the schema and out of the files
+    out, parts = layout_columns(df.drop(*[f.name for f in df.schema.fields if isinstance(f.dataType, T.NullType)]), keys)
     # segments are ``_seg=<id>`` folders, so every segment of one layout is a
     # partition of a single scan rooted at the table folder
     path = ds.ledger.fs.qualify(f"{ds.path}/{table}/{SEGMENT_COL}={_safe(load_id)}-{uuid.uuid4().hex[:8]}")
@@ -191,6 +194,7 @@ def load(
     chain_contracts: list[TableContract] = []
     direct: set[str] = set()
     padded: dict[str, T.StructType | None] = {}
+    keyed: dict[str, T.StructType] = {}  # root columns of merges, as their frames bring them
     for name, root in roots.items():
         chain_contracts.append(root)
         if name not in raw_schemas:
@@ -205,6 +209,10 @@ def load(
         # every frame has the same chain of tables
         flat = root.disposition == "merge" and not is_staged_route(root, len(tables))
         padded[name] = None if flat else raw_schemas[name]
+        if root.disposition == "merge":
+            typed = normalize(_declared(probe_df, declared[name]), name, primary_key=root.primary_key,
+                              max_nesting=max_nesting, naming=naming, load_id=load_id)
+            keyed[name] = typed[0].frame.schema
     validate(chain_contracts, allow_destructive=allow_destructive, refresh=refresh)
 
     staged_paths: dict[str, list[str]] = {}
@@ -238,7 +246,8 @@ def load(
                 out.hints[tname] = _hints(root, tables[0][0], root.disposition)
                 continue
             paths = staged_paths.get(name, [])
-            staged_files = [_read_staged(spark, p, root, load_id, max_nesting, naming, name, i, padded[name])
+            types = _key_types(base, root, keyed[name]) if name in keyed else {}
+            staged_files = [_read_staged(spark, p, root, load_id, max_nesting, naming, name, i, padded[name], types)
                             for i, p in enumerate(paths)]
             if not staged_files:
                 continue
@@ -337,7 +346,7 @@ def _direct(df: DataFrame, declared: TableContract, root: TableContract, load_id
     """A flat append/replace input normalized without staging.  Its row ids only
     need to be unique: (load id, frame, task partition, row position) -- a retried task
     rewrites its whole file, so ids inside the committed files stay consistent."""
-    rid = key_id([F.lit(load_id), F.lit(frame), F.spark_partition_id(), F.monotonically_increasing_id()])
+    rid = key_id([F.lit(load_id), F.lit(frame), F.spark_partition_id(), F.monotonically_increasing_id()], ROW_AT)
     return normalize(_declared(df, declared), name, max_nesting=max_nesting, naming=naming, load_id=load_id,
                      row_id=rid)
 
@@ -482,9 +491,10 @@ def _json_or_none(text: str | None) -> Any:
 
 def _read_staged(spark: SparkSession, path: str, root: TableContract, load_id: str,
                  max_nesting: int | None, naming: str, name: str, seq: int = 0,
-                 pad: T.StructType | None = None) -> list[NormalizedTable]:
+                 pad: T.StructType | None = None, key_types: dict[str, T.DataType] | None = None) -> list[NormalizedTable]:
     """Normalize one staged file.  Keyless roots get ids from (load id, file name,
-    row index) of the staged Parquet, stable across retries.  Merge roots carry
+    row index) of the staged Parquet, stable across retries.  The keys of merge roots are
+    cast to the types the table stores, before any id is made.  Merge roots carry
     their write position (input frame, file, row) so that among duplicates with
     equal cursors the last written row wins."""
     at = [F.col("_metadata.file_name").alias(ORDER_COLS[1]), F.col("_metadata.row_index").alias(ORDER_COLS[2])]
@@ -494,10 +504,18 @@ def _read_staged(spark: SparkSession, path: str, root: TableContract, load_id: s
         raw = spark.createDataFrame([], whole).unionByName(raw, allowMissingColumns=True)
     keyed = root.disposition == "merge"  # append/replace ignore key hints for row ids
     file, row = F.col(ORDER_COLS[1]), F.col(ORDER_COLS[2])
-    rid = None if keyed else key_id([F.lit(load_id), file, row])
+    rid = None if keyed else key_id([F.lit(load_id), file, row], [T.StringType(), T.StringType(), T.LongType()])
     extra = dict(zip(ORDER_COLS, (F.lit(seq), file, row), strict=True)) if keyed else None
     return normalize(raw, name, primary_key=root.primary_key if keyed else (), max_nesting=max_nesting,
-                     naming=naming, load_id=load_id, row_id=rid, extra=extra, hidden=ORDER_COLS)
+                     naming=naming, load_id=load_id, row_id=rid, extra=extra, hidden=ORDER_COLS, types=key_types)
+
+
+def _key_types(base: Snapshot, root: TableContract, incoming: T.StructType) -> dict[str, T.DataType]:
+    """Types that key, cursor and tie-break columns of a merge have in the table after this load."""
+    names = {*root.primary_key, *root.tie_break, *([root.cursor] if root.cursor else [])}
+    stored = base.schema_of(root.name)
+    evolved = evolve(stored, T.StructType([f for f in incoming.fields if f.name in names]))
+    return {f.name: f.dataType for f in evolved.fields if f.name in names and not isinstance(f.dataType, T.NullType)}
 
 
 def with_comments(schema: T.StructType, contract: TableContract | None) -> T.StructType:
@@ -573,11 +591,12 @@ def _touched(ds: Dataset, snap: Snapshot, table: str, keys: DataFrame, on: list[
         return []
     cols = key_cols or on
     keys = keys.select(*[F.col(o).alias(c) for o, c in zip(on, cols, strict=True)])
+    within = _key_range(keys)
     hits = []
     for layout, stored in ds.layout_groups(table, snap):
-        stored = stored.filter(_key_range(keys, cols, cols, stored))
-        buckets = [k for k in layout if k.transform == "bucket" and k.column in cols]
-        wanted = keys.select(*cols, *[key_expr(k).alias(k.derived_name) for k in buckets])
+        stored = stored.filter(within)
+        buckets = [k for k in layout if k.transform == "bucket" and k.column in cols and k.coded]
+        wanted = keys.select(*cols, *[key_expr(k, keys.schema[k.column].dataType).alias(k.derived_name) for k in buckets])
         names = cols + [k.derived_name for k in buckets]
         hits.append(stored.select(*names, FILE_COL).join(wanted, names, "left_semi").select(FILE_COL))
     if not hits:
@@ -585,19 +604,40 @@ def _touched(ds: Dataset, snap: Snapshot, table: str, keys: DataFrame, on: list[
     return sorted({uri_path(r[0], encoded=True) for r in M.union_staged(hits).distinct().collect()})
 
 
-def _key_range(keys: DataFrame, on: list[str], cols: list[str], stored: DataFrame):
-    """``key BETWEEN min AND max`` of the staged keys (one small aggregate).  Pushed
-    into the Parquet scan, it lets row groups and files whose key statistics miss
-    the range be skipped -- large savings when keys follow write order."""
-    if len(on) != 1:
+# Key types whose statistics in the Parquet files show where a key can be.
+_RANGED = (T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType, T.DecimalType, T.StringType)
+
+
+def _key_range(keys: DataFrame) -> Column:
+    """``key BETWEEN min AND max`` of every column of the staged keys (one small aggregate).
+    Pushed into the Parquet scan, it lets row groups and files whose key statistics miss
+    the range be skipped -- large savings when keys follow write order.  Ids of the library are
+    digests, spread over all files, and have no useful range."""
+    ranged = [f.name for f in keys.schema.fields if isinstance(f.dataType, _RANGED) and f.name not in LINEAGE]
+    if not ranged:
         return F.lit(True)
-    dt = stored.schema[cols[0]].dataType
-    if not isinstance(dt, (T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType, T.DecimalType)):
-        return F.lit(True)  # hashed ids (child tables) are not clustered
-    lo, hi = keys.agg(F.min(on[0]), F.max(on[0])).collect()[0]
-    if lo is None:
-        return F.lit(False)
-    return F.col(f"`{cols[0]}`").between(F.lit(lo), F.lit(hi))
+    carry = {c: _carried(keys.schema[c].dataType) for c in ranged}
+    bounds = keys.agg(*[carry[c][0](f(F.col(f"`{c}`"))).alias(f"{n}_{i}") for i, c in enumerate(ranged)
+                        for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    within = F.lit(True)
+    for i, c in enumerate(ranged):
+        lo, hi = bounds[f"lo_{i}"], bounds[f"hi_{i}"]
+        if lo is None:  # a NULL key meets nothing
+            return F.lit(False)
+        within = within & F.col(f"`{c}`").between(carry[c][1](F.lit(lo)), carry[c][1](F.lit(hi)))
+    return within
+
+
+def _carried(dtype: T.DataType) -> tuple:
+    """How a bound passes through the driver and back: times as numbers or text, as Python's
+    are bound to years 1 to 9999 and to the driver's time zone."""
+    if isinstance(dtype, T.DateType):
+        return F.unix_date, F.date_from_unix_date
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros, F.timestamp_micros
+    if isinstance(dtype, T.TimestampNTZType):
+        return (lambda c: c.cast("string")), (lambda c: c.cast(dtype))
+    return (lambda c: c), (lambda c: c.cast(dtype))
 
 
 def _remove_files(ds: Dataset, entry: dict, files: Sequence[str]) -> None:

@@ -319,9 +319,18 @@ def _rid(expr: str) -> str:
 
 
 def _kid(*exprs: str) -> str:
-    """SQL of a keyed root's id: every key value with its length in front."""
-    text = [f"CAST({e} AS VARCHAR)" for e in exprs]
-    return _rid(" || ".join(f"coalesce(CAST(length({t}) AS VARCHAR) || ':' || {t}, '-')" for t in text))
+    """SQL of a keyed root's id from integer keys that are not negative."""
+    return _rid(" || ".join(f"'1p' || lpad(CAST(length(CAST({e} AS VARCHAR)) AS VARCHAR), 2, '0') || CAST({e} AS VARCHAR)" for e in exprs))
+
+
+def _kid_text(*exprs: str) -> str:
+    """SQL of a keyed root's id from text keys."""
+    return _rid(" || ".join(f"'1' || hex({e}) || ' '" for e in exprs))
+
+
+def _kid_time(micros: str, *exprs: str) -> str:
+    """SQL of a keyed root's id from a time after 1970 (in microseconds) and integer keys."""
+    return _kid(f"({micros})", *exprs)
 
 
 def _docs_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -471,7 +480,7 @@ def partition_year_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @workload("partition_day_hour", """
-SELECT day(ts) AS _p_ts_day, hour(ts) AS _p_ts_hour, event_type, count(*) AS n
+SELECT day(ts) AS _p_ts_day, hour(ts) AS _p_ts_hour, 'v' || event_type AS _p_event_type_value, count(*) AS n
 FROM events GROUP BY 1, 2, 3
 """)
 def partition_day_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -1009,6 +1018,111 @@ def load_bucket_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merged_twice(spark, "customer", ("c_custkey",), [bucket(64, "c_custkey")], cu, again)
 
 
+@workload("load_bucket_date_key", """
+SELECT o_orderdate, o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN 'L2' ELSE 'L1' END AS _load_id FROM orders
+""")
+def load_bucket_date_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bucketed TIMESTAMP key that arrives again as DATE (L4 P6 U5): urgent orders are sent once
+    more and meet their stored rows."""
+    from tableload.functions.partition import bucket
+    od = read(spark, sf_dir, "orders").select("o_orderdate", "o_orderkey", "o_totalprice", "o_orderpriority")
+    again = od.filter("o_orderpriority = '1-URGENT'").select(
+        F.to_date("o_orderdate").alias("o_orderdate"), "o_orderkey", (F.col("o_totalprice") + 1).alias("o_totalprice"))
+    return _merged_twice(spark, "orders", ("o_orderdate", "o_orderkey"), [bucket(8, "o_orderdate")], od.drop("o_orderpriority"), again)
+
+
+@workload("load_chain_date_key", f"""
+WITH o AS (SELECT {_kid_time("epoch_us(o_orderdate)", "o_orderkey")} AS rid, CASE WHEN o_orderpriority = '1-URGENT'
+           THEN ['again', o_orderstatus] ELSE string_split(o_orderpriority, '-') END AS arr FROM orders),
+e AS (SELECT rid, unnest(arr) AS value, unnest(range(len(arr))) AS i FROM o)
+SELECT value, {_rid("concat_ws('|', rid, 'orders__notes', CAST(i AS VARCHAR))")} AS _row_id, rid AS _root_id, i AS _list_idx FROM e
+""")
+def load_chain_date_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A chain whose TIMESTAMP key arrives again as DATE (P6 U9): the urgent orders' children are
+    replaced, none is doubled."""
+    od = read(spark, sf_dir, "orders")
+    first = od.select("o_orderdate", "o_orderkey", F.split("o_orderpriority", "-").alias("notes"))
+    again = od.filter("o_orderpriority = '1-URGENT'").select(
+        F.to_date("o_orderdate").alias("o_orderdate"), "o_orderkey", F.array(F.lit("again"), "o_orderstatus").alias("notes"))
+    return _chain_twice(spark, "orders", ("o_orderdate", "o_orderkey"), first, again).table("orders__notes").drop("_parent_id")
+
+
+@workload("load_chain_text_key", f"""
+WITH c AS (SELECT {_kid_text("CAST(c_custkey AS VARCHAR)")} AS rid, c_mktsegment AS seg, c_custkey AS k,
+                  CASE WHEN c_mktsegment = 'BUILDING' THEN ['x', c_mktsegment] ELSE [c_mktsegment] END AS arr FROM customer),
+e AS (SELECT rid, k, unnest(arr) AS value, unnest(range(len(arr))) AS i FROM c)
+SELECT CAST(k AS VARCHAR) AS c_custkey, value, i AS _list_idx, rid AS _root_id FROM e
+""")
+def load_chain_text_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored TEXT key that arrives as INT (S6 P6 U11): one row a key, with one set of children."""
+    cu = read(spark, sf_dir, "customer")
+    first = cu.select(F.col("c_custkey").cast("string").alias("c_custkey"), F.array("c_mktsegment").alias("segs"))
+    again = cu.filter("c_mktsegment = 'BUILDING'").select("c_custkey", F.array(F.lit("x"), "c_mktsegment").alias("segs"))
+    ds = _chain_twice(spark, "customer", ("c_custkey",), first, again)
+    roots = ds.table("customer").select("c_custkey", F.col("_row_id").alias("_root_id"))
+    return ds.table("customer__segs").join(roots, "_root_id").select("c_custkey", "value", "_list_idx", "_root_id")
+
+
+def _chain_twice(spark: SparkSession, table: str, key: tuple[str, ...], first: DataFrame, second: DataFrame):
+    from tableload.contract import TableContract
+    from tableload.plans.load import load
+    from tableload.session import scratch_path
+    from tableload.sources.dataset import Dataset
+    path = scratch_path(spark, f"{table}-chain")
+    c = TableContract(table, "merge", key)
+    load(spark, path, {table: first}, [c], "L1", max_nesting=1)
+    load(spark, path, {table: second}, [c], "L2", max_nesting=1)
+    return Dataset(spark, path)
+
+
+PARTITION_TEXT = {"BUILDING": "", "MACHINERY": None, "FURNITURE": "__HIVE_DEFAULT_PARTITION__", "AUTOMOBILE": "a/b=c %"}
+
+
+@workload("load_partition_empty_text", """
+WITH c AS (SELECT c_custkey, CASE c_mktsegment WHEN 'BUILDING' THEN '' WHEN 'MACHINERY' THEN NULL
+             WHEN 'FURNITURE' THEN '__HIVE_DEFAULT_PARTITION__' WHEN 'AUTOMOBILE' THEN 'a/b=c %' ELSE c_mktsegment END AS seg,
+             c_acctbal + CASE WHEN c_nationkey = 3 THEN 1 ELSE 0 END AS c_acctbal FROM customer)
+SELECT 'all' AS part, * FROM c UNION ALL SELECT 'range', * FROM c WHERE seg BETWEEN '' AND '`'
+""")
+def load_partition_empty_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Identity partitions of empty text, NULL and names that mean something to a path (L1 L5 L10): every value
+    reads back as it was, after an append and after a merge, and a range reads its folders."""
+    from tableload.contract import TableContract
+    from tableload.functions.partition import identity
+    from tableload.plans.load import load
+    from tableload.session import scratch_path
+    from tableload.sources.dataset import Dataset
+    seg = F.col("c_mktsegment")
+    for name, text in PARTITION_TEXT.items():
+        seg = F.when(F.col("c_mktsegment") == name, F.lit(text).cast("string")).otherwise(seg)
+    cu = read(spark, sf_dir, "customer").select("c_custkey", seg.alias("seg"), "c_acctbal", "c_nationkey")
+    path = scratch_path(spark, "partition-text")
+    layout = [identity("seg")]
+    load(spark, path, {"customer": cu.drop("c_nationkey")}, [TableContract("customer", "append", partition=layout)], "L1")
+    again = cu.filter("c_nationkey = 3").select("c_custkey", "seg", (F.col("c_acctbal") + 1).alias("c_acctbal"))
+    load(spark, path, {"customer": again}, [TableContract("customer", "merge", ("c_custkey",), partition=layout)], "L2")
+    ds = Dataset(spark, path)
+    parts = {"all": ds.table("customer"), "range": ds.between("customer", "seg", "", "`")}
+    return M.union_staged([df.select(F.lit(p).alias("part"), "c_custkey", "seg", "c_acctbal") for p, df in parts.items()])
+
+
+@workload("load_layout_cover", """
+SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate BETWEEN TIMESTAMP '1995-12-15 00:00:00' AND TIMESTAMP '1996-01-31 00:00:00'
+""")
+def load_layout_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range over the end of a year in a year and month layout (L2 L3 R2): two months are read."""
+    from tableload.contract import TableContract
+    from tableload.functions.partition import month, year
+    from tableload.plans.load import load
+    from tableload.session import scratch_path
+    from tableload.sources.dataset import Dataset
+    path = scratch_path(spark, "cover")
+    c = TableContract("orders", "append", partition=[year("o_orderdate"), month("o_orderdate")])
+    load(spark, path, {"orders": read(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")}, [c], "L1")
+    return Dataset(spark, path).between("orders", "o_orderdate", "1995-12-15 00:00:00", "1996-01-31 00:00:00").drop("_load_id", "_row_id")
+
+
 def _merged_twice(spark: SparkSession, table: str, key: tuple[str, ...], layout, first: DataFrame, second: DataFrame) -> DataFrame:
     from tableload.contract import TableContract
     from tableload.plans.load import load
@@ -1063,7 +1177,7 @@ def load_two_frames_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @workload("load_composite_text_key", f"""
-WITH d AS (SELECT {_kid("concat(lang, '|', source)", "concat(doc_id, '|x')")} AS rid, lang, string_split(text, chr(10)) AS arr FROM documents),
+WITH d AS (SELECT {_kid_text("concat(lang, '|', source)", "concat(doc_id, '|x')")} AS rid, lang, string_split(text, chr(10)) AS arr FROM documents),
 k AS (SELECT rid, CASE WHEN lang = 'de' THEN list_filter(arr, lambda x: length(x) > 40) ELSE arr END AS arr FROM d),
 e AS (SELECT rid, unnest(arr) AS value, unnest(range(len(arr))) AS i FROM k)
 SELECT value, {_rid("concat_ws('|', rid, 'docs__lines', CAST(i AS VARCHAR))")} AS _row_id, rid AS _parent_id, rid AS _root_id,

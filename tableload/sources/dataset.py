@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tableload.errors import TableNotFound
 from tableload.functions.partition import PartitionKey
-from tableload.operators.layout import prune
+from tableload.operators.layout import CALENDAR, derived_type, prune
 from tableload.sources.ledger import Ledger, Snapshot
 
 FILE_COL = "__file"
@@ -27,13 +27,18 @@ def uri_path(p: str, encoded: bool = False) -> str:
 
 
 def keys_of(layout: Iterable[dict]) -> list[PartitionKey]:
-    return [PartitionKey(k["column"], k["transform"], k.get("buckets")) for k in layout]
+    return [PartitionKey(k["column"], k["transform"], k.get("buckets"), _is_coded(k)) for k in layout]
+
+
+def _is_coded(k: dict) -> bool:
+    return k["transform"] in CALENDAR or bool(k.get("coded"))
 
 
 def layout_json(keys: Iterable[PartitionKey] | None) -> list[dict] | None:
     if keys is None:
         return None
-    return [{"column": k.column, "transform": k.transform, **({"buckets": k.buckets} if k.buckets else {})}
+    return [{"column": k.column, "transform": k.transform, **({"buckets": k.buckets} if k.buckets else {}),
+             **({} if k.transform in CALENDAR else {"coded": True})}
             for k in keys]
 
 
@@ -93,8 +98,9 @@ class Dataset:
         """One Parquet scan over all segments sharing a layout: the table folder is
         the base path, the segment id and derived layout columns are partitions."""
         keys = keys_of(segs[0].get("layout") or [])
-        derived = [k.derived_name for k in keys if k.transform != "identity"]
-        read_schema = T.StructType(schema.fields + [T.StructField(d, T.IntegerType()) for d in derived
+        derived = {k.derived_name: derived_type(k) for k in keys if k.derived_name != k.column}
+        void = {f.name for f in schema.fields if isinstance(f.dataType, T.NullType)}  # in no file
+        read_schema = T.StructType([f for f in schema.fields if f.name not in void] + [T.StructField(d, t) for d, t in derived.items()
                                                     if d not in schema.fieldNames()]
                                    + [T.StructField(SEGMENT_COL, T.StringType())])
         base = segs[0]["path"].rsplit("/", 1)[0]
@@ -113,7 +119,7 @@ class Dataset:
         df = self.spark.read.schema(read_schema).option("basePath", base).parquet(*paths)
         if where is not None:
             df = df.filter(where(keys))
-        cols = [F.col(f"`{c}`") for c in schema.fieldNames()]
+        cols = [F.lit(None).alias(c) if c in void else F.col(f"`{c}`") for c in schema.fieldNames()]
         if keep_layout:
             cols += [F.col(f"`{d}`") for d in derived]
         if with_file:

@@ -82,13 +82,7 @@ class FS:
     def read(self, p: str) -> bytes:
         stream = self._fs.open(self._Path(p))
         try:
-            chunks = []
-            reader = self._jvm.java.io.BufferedReader(self._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            line = reader.readLine()
-            while line is not None:
-                chunks.append(line)
-                line = reader.readLine()
-            return "\n".join(chunks).encode()
+            return bytes(stream.readAllBytes())  # one call for the whole file
         finally:
             stream.close()
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableload.contract import TableContract
-from tableload.errors import ContractError
+from tableload.errors import ContractError, DamagedLedgerError
 from tableload.functions.lineage import key_id
 from tableload.functions.partition import bucket, day, year
 from tableload.operators import merge as M
@@ -141,13 +141,28 @@ def test_arrow_tables_keep_their_types(spark):
     assert [r.n for r in df.collect()] == [2**53 + 1, None]
 
 
-def test_a_damaged_commit_file_stops_neither_readers_nor_writers(spark, dataset_path):
+def test_a_damaged_commit_is_an_error_and_hides_nothing(spark, dataset_path):
+    c = TableContract("t", "append")
+    load(spark, dataset_path, {"t": spark.range(3)}, [c], "L1")
+    load(spark, dataset_path, {"t": spark.range(2)}, [c], "L2")
+    ds = Dataset(spark, dataset_path)
+    name = ds.ledger._name(ds.ledger.latest_seq())
+    whole = ds.ledger.fs.read(name)
+    ds.ledger.fs.delete(name)
+    assert ds.ledger.fs.create_exclusive(name, whole[:len(whole) // 2])
+    for use in (lambda: ds.table("t"), lambda: load(spark, dataset_path, {"t": spark.range(2)}, [c], "L3")):
+        with pytest.raises(DamagedLedgerError):
+            use()
+    ds.ledger.fs.delete(name)
+    assert ds.ledger.fs.create_exclusive(name, whole)
+    assert ds.table("t").count() == 5
+
+
+def test_a_commit_in_progress_is_not_seen(spark, dataset_path):
     c = TableContract("t", "append")
     load(spark, dataset_path, {"t": spark.range(3)}, [c], "L1")
     ds = Dataset(spark, dataset_path)
-    torn = ds.ledger._name(ds.ledger.latest_seq() + 1)
-    assert ds.ledger.fs.create_exclusive(torn, b"") and not ds.ledger.fs.create_exclusive(torn, b"x")
-    assert ds.table("t").count() == 3
+    assert ds.ledger.fs.create_exclusive(f"{ds.ledger._name(ds.ledger.latest_seq() + 1)}.abc.tmp", b"{")
     load(spark, dataset_path, {"t": spark.range(2)}, [c], "L2")
     assert ds.table("t").count() == 5
 

@@ -35,7 +35,7 @@ def test_rows_that_change_directory_leave_the_old_one(spark, dataset_path):
     ds = Dataset(spark, dataset_path)
     ports = lambda: {(r.ship, r.voyage): r.port for r in ds.table("shipments").collect()}
     assert ports() == {(s, v): p for s, v, p, _, _ in rows} | {("s1", 0): "genoa"}
-    assert glob.glob(f"{dataset_path}/shipments/*/port=genoa/*.parquet")
+    assert glob.glob(f"{dataset_path}/shipments/*/_p_port_value=vgenoa/*.parquet")
     crates = lambda: sorted(r.value for r in ds.table("shipments__crates").collect())
     others = [x for s, v, _, _, xs in rows if (s, v) != ("s1", 0) for x in xs]
     assert crates() == sorted([*others, 77])
@@ -313,7 +313,7 @@ def test_snake_case_renames_hints(spark, dataset_path):
     load(spark, dataset_path, {"Deals": df}, [c], "L1", naming="snake_case")
     ds = Dataset(spark, dataset_path)
     assert ds.table("deals").columns == ["deal_id", "last_modified", "region", "_load_id", "_row_id"]
-    assert glob.glob(f"{dataset_path}/deals/*/region=eu")
+    assert glob.glob(f"{dataset_path}/deals/*/_p_region_value=veu")
 
 
 def test_column_comments_follow_contract(spark, dataset_path):
@@ -339,7 +339,7 @@ def test_children_of_bucketed_roots_are_bucketed_by_root(spark, dataset_path):
          max_nesting=1)
     ds = Dataset(spark, dataset_path)
     child = ds.snapshot().tables["deals__items"]
-    assert child["layout"] == [{"column": "_root_id", "transform": "bucket", "buckets": 4}]
+    assert child["layout"] == [{"column": "_root_id", "transform": "bucket", "buckets": 4, "coded": True}]
     removed_dirs = {f.split("/")[-2] for f in child["segments"][0]["removed"]}
     assert len(removed_dirs) == 1
     items = ds.table("deals__items")

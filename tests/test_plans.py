@@ -101,6 +101,6 @@ def test_touched_search_pushes_key_range_into_scan(spark, tmp_path, monkeypatch)
     snap = ds.snapshot()
     stored = ds.table("t", snap, with_file=True, keep_layout=True)
     keys = spark.createDataFrame([(10,), (20,)], "id long")
-    p = plan(stored.filter(L._key_range(keys, ["id"], ["id"], stored)).select("id", "__file"))
+    p = plan(stored.filter(L._key_range(keys)).select("id", "__file"))
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(id,10\)", p)
     assert re.search(r"PushedFilters: \[[^\]]*LessThanOrEqual\(id,20\)", p)
