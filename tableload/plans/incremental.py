@@ -1,32 +1,42 @@
 """Incremental loads (C7): resume from the cursor committed by the last load of
-the same pipeline; an uncommitted run leaves no state behind."""
+the same pipeline; an uncommitted run leaves no state behind.
+
+Beside the cursor, a load commits the boundary (``operators.boundary``): the digests of the loaded source
+rows at the cursor and without one, as a Parquet table under ``<dataset>/_boundary`` that the state names.  Rows that
+turn up there later are loaded once, whatever the table's nesting, naming or columns.
+"""
 
 from __future__ import annotations
 
 import json
+import uuid
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableload.contract import TableContract
+from tableload.functions.naming import normalize_name
+from tableload.operators.boundary import SCHEMA, boundary_of, joined, not_loaded
 from tableload.operators.state import incremental, latest_state
 from tableload.plans.load import Receipt, load
 from tableload.session import scratch_path
-from tableload.sources.dataset import Dataset
+from tableload.sources.dataset import BOUNDARY_DIR, Dataset
 
 
-def last_cursor(spark: SparkSession, path: str, pipeline: str, table: str) -> Any:
-    """The cursor value the newest committed state of ``pipeline`` holds for
-    ``table`` (None on a first run or after the dataset was dropped)."""
-    ds = Dataset(spark, path)
+def _state(ds: Dataset, pipeline: str) -> dict[str, Any]:
     if not ds.exists():
-        return None
+        return {}
     rows = latest_state(ds.states(), ds.loads(), pipeline).collect()
-    if not rows:
-        return None
-    return json.loads(rows[0]["state"]).get("cursors", {}).get(table)
+    held = json.loads(rows[0]["state"]) if rows else None
+    return held if isinstance(held, dict) else {}
+
+
+def last_cursor(spark: SparkSession, path: str, pipeline: str, table: str) -> Any:
+    """The cursor value the newest committed state of ``pipeline`` holds for
+    ``table`` (its name in the dataset); None on a first run or after the dataset was dropped."""
+    return _state(Dataset(spark, path), pipeline).get("cursors", {}).get(table)
 
 
 def incremental_load(
@@ -40,43 +50,57 @@ def incremental_load(
     initial: Any = None,
     **load_options,
 ) -> Receipt:
-    """Load the rows of ``source`` newer than the pipeline's committed cursor and
-    commit the new cursor maximum in the same commit as the data."""
+    """Load the rows of ``source`` newer than the pipeline's committed cursor, and those at the cursor
+    or without one that are not loaded yet; commit the new cursor maximum and boundary with the data."""
     ds = Dataset(spark, path)
     done = ds.ledger.receipt(ds.snapshot(), load_id) if ds.exists() else None
     if done is not None:
         return Receipt(load_id, False, done.get("counts", {}), done.get("tables", []))
+    table = normalize_name(contract.name, load_options.get("naming", "direct"))
     # a refresh clears the table, so its old cursor no longer bounds the batch
-    last = None if load_options.get("refresh") else last_cursor(spark, path, pipeline, contract.name)
+    held = {} if load_options.get("refresh") else _state(ds, pipeline)
+    last = held.get("cursors", {}).get(table)
+    boundary = held.get("boundaries", {}).get(table)
     bound = last if last is not None else initial
     dtype = source.schema[cursor].dataType
-    batch = source if bound is None else _from(ds, source, contract, cursor, F.lit(bound).cast(dtype), last is not None)
-    # read once: the new maximum and the loaded rows come from the same files
-    staged = f"{scratch_path(spark, 'incremental')}/{contract.name}"
+    loaded = _read(spark, ds, boundary)
+    batch = source if bound is None else _batch(source, cursor, F.lit(bound).cast(dtype), last is not None, boundary, loaded)
+    # read once: the new maximum, the boundary and the loaded rows come from the same files
+    staged = f"{scratch_path(spark, 'incremental')}/{table}"
     batch.write.parquet(staged)
     batch = spark.read.schema(source.schema).parquet(staged)
     top = batch.agg(F.max(cursor).cast("string").alias("m")).collect()[0]["m"]
     new = top if top is not None else (str(bound) if bound is not None else None)
-    state = {"pipeline_name": pipeline, "state": {"cursors": {contract.name: new}}}
-    return load(spark, path, {contract.name: batch}, [contract], load_id, state=state, **load_options)
-
-
-def _from(ds: Dataset, source: DataFrame, contract: TableContract, cursor: str, bound: Column, resumed: bool) -> DataFrame:
-    """Rows after ``bound``; on a resumed run also late ones: rows at the bound and rows
-    without a cursor that are not loaded yet.  A merge may see them again (its upsert is
-    repeatable); for an append of plain columns those already stored are taken off,
-    each as often as it is stored."""
-    after = incremental(source, cursor, bound)
-    if not resumed:
-        return after
-    late = source.filter((F.col(cursor) == bound) | F.col(cursor).isNull())
-    if contract.disposition == "append":
-        nested = (T.StructType, T.ArrayType, T.MapType)
-        if any(isinstance(f.dataType, nested) for f in source.schema.fields) or not ds.has_table(contract.name):
-            return after
-        stored = ds.table(contract.name)
-        if not set(source.columns) <= set(stored.columns):
-            return after
-        seen = stored.filter((F.col(cursor) == bound) | F.col(cursor).isNull())
-        late = late.exceptAll(seen.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in source.schema.fields]))
-    return after.unionByName(late)
+    entry = _write(ds, batch, cursor, dtype, new, loaded, boundary, same=new == (None if last is None else str(last)))
+    state = {"pipeline_name": pipeline, "state": {"cursors": {table: new}, "boundaries": {table: entry}}}
+    receipt = load(spark, path, {contract.name: batch}, [contract], load_id, state=state, **load_options)
+    ds.ledger.fs.delete(staged.rsplit("/", 1)[0])
+    return receipt
+
+
+def _batch(source: DataFrame, cursor: str, bound, resumed: bool, boundary: dict | None, loaded: DataFrame | None) -> DataFrame:
+    """Rows after ``bound``, and those without a cursor; on a resumed run also rows at the bound.  What the boundary
+    holds is taken off."""
+    c = F.col(f"`{cursor}`")
+    late = source.filter((c == bound) | c.isNull() if resumed else c.isNull())
+    if loaded is not None:
+        late = not_loaded(late, loaded, boundary["columns"])
+    return incremental(source, cursor, bound).unionByName(late)
+
+
+def _read(spark: SparkSession, ds: Dataset, boundary: dict | None) -> DataFrame | None:
+    return spark.read.schema(SCHEMA).parquet(f"{ds.path}/{boundary['path']}") if boundary else None
+
+
+def _write(ds: Dataset, batch: DataFrame, cursor: str, dtype: T.DataType, bound: str | None, loaded: DataFrame | None,
+           boundary: dict | None, same: bool) -> dict:
+    """The boundary after this load: what the batch adds, the rows without a cursor loaded before, and those at
+    the bound while it stays the same."""
+    parts = [boundary_of(batch, cursor, F.lit(bound).cast(dtype))]
+    sets = [sorted(batch.columns)]
+    if loaded is not None:
+        parts.append(loaded if same else loaded.filter(~F.col("on_bound")))
+        sets += [c for c in boundary["columns"] if c not in sets]
+    name = f"{BOUNDARY_DIR}/{uuid.uuid4().hex}"
+    joined(parts).write.parquet(f"{ds.path}/{name}")
+    return {"path": name, "columns": sorted(sets, key=lambda c: (-len(c), c))}

@@ -51,6 +51,8 @@ COMMIT_SECONDS = 3600.0
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 # Write position of staged merge rows: input frame, staged file, row in file.
 ORDER_COLS = ("__w_frame", "__w_file", "__w_row")
+# Parts of a pipeline's state that hold one entry a table, under its name in the dataset.
+PER_TABLE = ("cursors", "boundaries")
 # Types of a directly written row's place: load id, frame, task partition, row.
 ROW_AT = (T.StringType(), T.IntegerType(), T.IntegerType(), T.LongType())
 
@@ -455,8 +457,8 @@ def _apply_refresh(new: Snapshot, mode: str, names: Sequence[str]) -> list[str]:
 def _write_states(ds: Dataset, base: Snapshot, new: Snapshot, cleared: Sequence[str], state: dict | None,
                   load_id: str) -> None:
     """At most one new state per pipeline and load, on top of its newest committed
-    one.  Cursors of cleared tables go from every pipeline's state; ``state`` is stored
-    as given, except that its cursors join the other tables' cursors."""
+    one.  Cursors and boundaries of cleared tables go from every pipeline's state; ``state`` is
+    stored as given, except that its cursors and boundaries join the other tables'."""
     newest: dict[str, Any] = {}
     if (cleared or state) and (base.states or base.archives.get("states")):
         from tableload.operators.state import latest_state_per_pipeline
@@ -465,16 +467,16 @@ def _write_states(ds: Dataset, base: Snapshot, new: Snapshot, cleared: Sequence[
     wanted: dict[str, tuple[int, Any, str]] = {}
     for name, row in newest.items():
         held = _json_or_none(row["state"])
-        cursors = held.get("cursors") if isinstance(held, dict) else None
-        if cursors and any(t in cursors for t in cleared):
-            held = held | {"cursors": {k: v for k, v in cursors.items() if k not in cleared}}
+        kept = {k: held[k] for k in PER_TABLE if isinstance(held.get(k), dict)} if isinstance(held, dict) else {}
+        if any(t in v for v in kept.values() for t in cleared):
+            held = held | {k: {t: x for t, x in v.items() if t not in cleared} for k, v in kept.items()}
             wanted[name] = (row["version"] + 1, held, "")
     if state is not None:
         name, value = state["pipeline_name"], state.get("state")
         if isinstance(value, dict) and "cursors" in value:
             held = wanted[name][1] if name in wanted else _json_or_none(newest[name]["state"]) if name in newest else None
-            before = held.get("cursors", {}) if isinstance(held, dict) else {}
-            value = value | {"cursors": before | value["cursors"]}
+            before = held if isinstance(held, dict) else {}
+            value = value | {k: before.get(k, {}) | value[k] for k in PER_TABLE if k in value}
         wanted[name] = (state.get("version", 1), value, state.get("version_hash", ""))
     for name, (version, value, version_hash) in wanted.items():
         new.states.append({"version": version, "engine_version": ENGINE_VERSION, "pipeline_name": name,

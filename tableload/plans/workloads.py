@@ -1249,6 +1249,44 @@ def load_incremental_two_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table_counts(Dataset(spark, path), {"events": "event_id", "orders": "o_orderkey"})
 
 
+@workload("load_incremental_late", """
+WITH ev AS (SELECT *, CASE WHEN event_type = 'click' AND user_id % 3 = 0 THEN NULL ELSE date_trunc('day', ts) END AS event_day FROM events)
+SELECT mode, event_day, event_type, count(*) AS n_rows, count(DISTINCT event_id) AS n_keys, sum(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS n_views
+FROM ev, (VALUES ('plain'), ('snake'), ('nested')) AS m(mode) GROUP BY ALL
+""")
+def load_incremental_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Appends that resume from a cursor of whole days (C7 C8 P8): of the last day loaded, and of the events without a
+    cursor, only views come with the first run, clicks with the second (whose source has a column more), all others with
+    the third; a fourth finds nothing new.  Plain, with renamed columns and table, and with nested lists."""
+    from tableload.contract import TableContract
+    from tableload.plans.incremental import incremental_load
+    from tableload.session import scratch_path
+    from tableload.sources.dataset import Dataset
+    at = F.when((F.col("event_type") == "click") & (F.col("user_id") % 3 == 0), F.lit(None)).otherwise(F.date_trunc("day", "ts"))
+    ev = read(spark, sf_dir, "events").select(at.cast("timestamp_ntz").alias("eventDay"), F.col("event_id").alias("eventId"), "event_type")
+    day = F.lit("2024-01-16").cast("timestamp_ntz")
+    c = F.col("eventDay")
+    first = ev.filter((c < day) | (F.coalesce(c <= day, F.lit(True)) & (F.col("event_type") == "view")))
+    wider = ev.withColumn("added", F.when(F.col("event_type") != "view", F.col("event_type")))
+    second = wider.filter((c < day) | (F.coalesce(c <= day, F.lit(True)) & F.col("event_type").isin("view", "click")))
+    out = []
+    for mode, table, naming, nesting in (("plain", "Ev", "direct", 0), ("snake", "Ev", "snake_case", 0), ("nested", "ev", "snake_case", 1)):
+        path = scratch_path(spark, f"late-{mode}")
+        listed = (lambda df: df.withColumn("xs", F.array("event_type", "event_type"))) if nesting else (lambda df: df)
+        for i, source in enumerate((first, second, wider, wider)):
+            incremental_load(spark, path, listed(source), TableContract(table, "append"), "eventDay", "pipe", f"L{i}",
+                             naming=naming, max_nesting=nesting)
+        ds = Dataset(spark, path)
+        t = ds.table("Ev" if naming == "direct" else "ev")
+        t = t.select(*[F.col(x).alias(y) for x, y in zip(t.columns, ("event_day", "event_id", "event_type"))], "_row_id")
+        if nesting:  # every event has its two list entries
+            t = t.join(ds.table("ev__xs").filter("_list_idx = 1").select(F.col("_root_id").alias("_row_id")), "_row_id")
+        out.append(t.groupBy(F.lit(mode).alias("mode"), "event_day", "event_type").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.count_distinct("event_id").alias("n_keys"),
+            F.sum(F.when(F.col("event_type") == "view", 1).otherwise(0)).alias("n_views")))
+    return M.union_staged(out)
+
+
 @workload("load_layout_changed", """
 SELECT event_id, ts, user_id, event_type, CASE WHEN event_type = 'click' THEN value + 1 ELSE value END AS value FROM events
 WHERE ts BETWEEN TIMESTAMP '2024-01-10 06:00:00' AND TIMESTAMP '2024-01-12 18:00:00'

@@ -19,6 +19,7 @@ from tableload.sources.ledger import Ledger, Snapshot
 
 FILE_COL = "__file"
 SEGMENT_COL = "_seg"
+BOUNDARY_DIR = "_boundary"  # boundaries of incremental loads, named by the pipelines' states
 
 
 def uri_path(p: str, encoded: bool = False) -> str:
@@ -186,6 +187,18 @@ class Dataset:
     def states(self) -> DataFrame:
         return self.ledger.history(self.snapshot(), "states")
 
+    def _boundaries(self) -> list[dict]:
+        """Boundaries that the newest state of a pipeline names (pipelines are few)."""
+        from tableload.operators.state import latest_state_per_pipeline
+        out = []
+        for row in latest_state_per_pipeline(self.states(), self.loads()).select("state").collect():
+            try:
+                held = json.loads(row["state"])
+            except (TypeError, ValueError):
+                continue
+            out += held.get("boundaries", {}).values() if isinstance(held, dict) else []
+        return out
+
     # ----------------------------------------------------- maintenance
     def drop(self, *, dry_run: bool = True) -> list[str]:
         """C11: delete the whole dataset; only when ``dry_run`` is literally False."""
@@ -216,6 +229,12 @@ class Dataset:
                 if fs.mtime(p) < cutoff:
                     fs.delete(p)
                     gone.append(p)
+        named = {b["path"] for b in self._boundaries()}
+        for name in fs.list(f"{self.path}/{BOUNDARY_DIR}"):
+            p = f"{self.path}/{BOUNDARY_DIR}/{name}"
+            if f"{BOUNDARY_DIR}/{name}" not in named and fs.mtime(p) < cutoff:
+                fs.delete(p)
+                gone.append(p)
         for t in snap.tables.values():
             for s in t["segments"]:
                 for f in s.get("removed") or []:

@@ -2,6 +2,8 @@
 that meet, damaged and archived bookkeeping."""
 
 import random
+from collections import Counter
+from datetime import date
 from types import SimpleNamespace
 
 import pyarrow as pa
@@ -102,6 +104,64 @@ def test_late_rows_at_the_cursor_and_without_one_are_loaded_once(spark, dataset_
     assert got == [(0, "none"), (1, "a"), (2, "b"), (2, "b"), (2, "b"), (2, "late"), (3, "c")]
 
 
+@pytest.mark.parametrize("mode", ["plain", "snake_case", "nested", "merge"])
+def test_late_rows_whatever_the_table_looks_like(spark, dataset_path, mode):
+    naming = "snake_case" if mode == "snake_case" else "direct"
+    c = TableContract("Ev", "merge" if mode == "merge" else "append", ("Id",) if mode == "merge" else ())
+    name = "ev" if mode == "snake_case" else "Ev"
+
+    def run(data, lid, extra=False, **kw):
+        df = spark.createDataFrame(data, "Id int, AtTime date, xs array<string>" + (", More string" if extra else ""))
+        df = df if mode == "nested" else df.drop("xs")
+        return incremental_load(spark, dataset_path, df, c, "AtTime", "p", lid, naming=naming, max_nesting=1, **kw)
+
+    d = lambda n: date(2026, 5, n)
+    one = [(1, d(1), ["a"]), (2, d(2), ["b", "c"]), (3, d(2), []), (7, None, ["n"])]
+    run(one, "L1")
+    more = [(*r, "x") for r in one] + [(4, d(2), ["late"], "y"), (8, None, ["n"], None), (5, d(3), ["e"], None)]
+    run(more, "L2", extra=True)
+    run(more, "L3", extra=True)
+    run([*one, (9, None, ["n"])], "L4")  # the column is gone again; nothing is doubled that had no value in it
+    t = Dataset(spark, dataset_path).table(name)
+    assert rows(t, t.columns[0]) == [(i,) for i in (1, 2, 3, 4, 5, 7, 8, 9)]
+    if mode == "nested":
+        xs = Dataset(spark, dataset_path).table("Ev__xs")
+        assert rows(xs, "value") == [(v,) for v in sorted("a b c n late n e n".split())]
+    assert last_cursor(spark, dataset_path, "p", name) == "2026-05-03"
+
+
+def test_a_refresh_clears_cursor_and_boundary_under_the_final_name(spark, dataset_path):
+    c = TableContract("Ev", "append")
+    run = lambda n, lid, **kw: incremental_load(spark, dataset_path, spark.range(n).toDF("Id"), c, "Id", "p", lid,
+                                                naming="snake_case", **kw)
+    run(2, "L1")
+    assert last_cursor(spark, dataset_path, "p", "ev") == "1"
+    load(spark, dataset_path, {}, [c], "L2", naming="snake_case", refresh="drop_data", allow_destructive=True)
+    assert last_cursor(spark, dataset_path, "p", "ev") is None
+    run(2, "L3")
+    ds = Dataset(spark, dataset_path)
+    assert rows(ds.table("ev"), "id") == [(0,), (1,)]
+    held = ds._boundaries()
+    assert len(held) == 1 and len(ds.ledger.fs.list(f"{dataset_path}/_boundary")) == 2
+    ds.vacuum(older_than_seconds=-5)
+    assert ds.ledger.fs.list(f"{dataset_path}/_boundary") == [held[0]["path"].split("/")[1]]
+    run(2, "L4")
+    assert rows(ds.table("ev"), "id") == [(0,), (1,)]
+
+
+def test_a_boundary_is_a_multiset(spark):
+    from tableload.operators.boundary import boundary_of, joined, not_loaded
+    rng = random.Random(2)
+    schema = "at int, a string, m map<string,int>, s struct<x:double>"
+    pick = lambda n: [(rng.choice([1, 1, None]), rng.choice("ab"), {"k": rng.randrange(2)}, (rng.choice([0.5, None]),)) for _ in range(n)]
+    old, new = pick(40), pick(15)
+    frame = lambda data: spark.createDataFrame(data, schema)
+    parts = [boundary_of(frame(old[:25]), "at", F.lit(1)), boundary_of(frame(old[25:]), "at", F.lit(1))]
+    got = not_loaded(frame(old + new), joined(parts), [sorted(frame(old).columns)])
+    count = lambda data: Counter(map(repr, data))
+    assert count(tuple(r) for r in got.collect()) == count(tuple(r) for r in frame(new).collect())
+
+
 def test_layout_set_on_a_filled_table(spark, dataset_path):
     make = lambda lo, hi: spark.range(lo, hi).select("id", F.expr("timestamp_ntz'2026-03-01 00:00:00' + make_dt_interval(int(id))").alias("ts"))
     load(spark, dataset_path, {"t": make(0, 5)}, [TableContract("t", "append")], "L1")
