@@ -100,6 +100,18 @@ def duplicate_keys(df: DataFrame, primary_key: Sequence[str] | str) -> DataFrame
     return df.groupBy(*pk).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
+DUPLICATE_KEY = "two rows of one load share a key"
+
+
+def unique_keys(df: DataFrame, primary_key: Sequence[str] | str) -> DataFrame:
+    """The rows as they are; the job that reads them fails when a key repeats.  The check is part of the
+    plan: each partition passes on at most two rows of a key before the shuffle."""
+    pk = _cols(primary_key)
+    n = F.row_number().over(Window.partitionBy(*pk).orderBy(F.lit(0)))
+    once = F.when(F.col("__n") > 1, F.raise_error(F.lit(DUPLICATE_KEY)).cast("boolean")).otherwise(F.lit(True))
+    return df.withColumn("__n", n).filter("__n <= 2").filter(once).drop("__n")
+
+
 # --------------------------------------------------------------------------- U4
 def incoming_is_newer(staged_cursor: Column, stored_cursor: Column) -> Column:
     """``s > t`` or (``t`` NULL and ``s`` not NULL); NULL counts as false."""

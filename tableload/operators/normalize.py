@@ -146,13 +146,25 @@ def normalize(
     columns are there for ``row_id`` and ``extra`` only.  ``types`` gives root columns (in
     normalized names) the type their table stores, before ids are made of them."""
     table = normalize_name(table, naming)
+    base, names, lists = _root_rows(df, table, primary_key, max_nesting, naming, load_id, row_id, extra or {}, hidden, types or {})
+    tail = [*([LOAD_ID] if load_id is not None else []), ROW_ID, *(extra or {})]
+    out = [NormalizedTable(table, None, base.select(*names, *tail), ())]
+    for i, (lname, _, ldt, level) in enumerate(lists):
+        out += _children(base, f"__list{i}", ldt, f"{table}{SEP}{lname}", table, level, max_nesting,
+                         naming, ROW_ID, (lname,))
+    return out
+
+
+def _root_rows(df: DataFrame, table: str, primary_key: Sequence[str], max_nesting: int | None, naming: str, load_id, row_id,
+               extra: dict[str, Column], hidden: Sequence[str], types: dict[str, T.DataType]) -> tuple:
+    """The root's rows with their lists as ``__list<i>``, the names of its own columns, and the lists."""
     root_cols, lists = _flatten_record(
         [(f.name, F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields if f.name not in hidden],
         0, max_nesting, naming)
     names = [n for n, _ in root_cols]
     check_collisions(names, f"{table}: ")
     _check_reserved(names, table)
-    root_cols = [(n, c.cast(types[n]) if types and n in types else c) for n, c in root_cols]
+    root_cols = [(n, c.cast(types[n]) if n in types else c) for n, c in root_cols]
     pk = list(primary_key)
     if row_id is not None:
         rid = row_id
@@ -160,7 +172,6 @@ def normalize(
         rid = None  # computed after projection, from normalized key names
     else:
         rid = key_id([F.md5(F.to_json(F.struct(*[c.alias(n) for n, c in root_cols]), _JSON_OPTS))])
-    extra = extra or {}
     base = df.select(
         *[c.alias(n) for n, c in root_cols],
         *[c.alias(f"__list{i}") for i, (_, c, _, _) in enumerate(lists)],
@@ -171,12 +182,62 @@ def normalize(
         base = base.withColumn(ROW_ID, key_id([F.col(f"`{k}`") for k in pk], [base.schema[k].dataType for k in pk]))
     if load_id is not None:
         base = base.withColumn(LOAD_ID, load_id if isinstance(load_id, Column) else F.lit(load_id))
-    out = [NormalizedTable(table, None, base.select(*names, *([LOAD_ID] if load_id is not None else []), ROW_ID,
-                                                   *extra), ())]
-    for i, (lname, _, ldt, level) in enumerate(lists):
-        out += _children(base, f"__list{i}", ldt, f"{table}{SEP}{lname}", table, level, max_nesting,
-                         naming, ROW_ID, (lname,))
-    return out
+    return base, names, lists
+
+
+TAG = "__t"
+
+
+def one_pass(df: DataFrame, table: str, *, load_id=None, extra: dict[str, Column] | None = None, naming: str = "direct",
+             max_nesting: int | None = 0, **options) -> tuple[DataFrame, list[NormalizedTable]]:
+    """All tables of the chain as one relation over one reading of ``df``: ``__t`` is the table's place in
+    the chain and the column ``t<place>`` holds its row (without columns of NULLs only, which have no stored
+    form).  Takes the arguments of ``normalize`` and returns its tables as well (their
+    plans read ``df`` again; here they give names and schemas)."""
+    tables = normalize(df, table, load_id=load_id, extra=extra, naming=naming, max_nesting=max_nesting, **options)
+    place = {t.name: i for i, t in enumerate(tables)}
+    schemas = [T.StructType([f for f in t.frame.schema.fields if not isinstance(f.dataType, T.NullType)]) for t in tables]
+    table = tables[0].name
+    base, _, lists = _root_rows(df, table, options.get("primary_key", ()), max_nesting, naming, load_id, options.get("row_id"),
+                                extra or {}, options.get("hidden", ()), options.get("types") or {})
+
+    def tagged(name: str, row: Column) -> Column:
+        mine = place[name]
+        return F.struct(F.lit(mine).alias(TAG), *[
+            (row.cast(schemas[i]) if i == mine else F.lit(None).cast(schemas[i])).alias(f"t{i}") for i in range(len(tables))])
+
+    def rows_of(values: Column, dt: T.ArrayType, name: str, level: int, parent: Column, root: Column) -> Column:
+        """The tagged rows of a list and of the lists in its elements."""
+        def flat(elem: Column):
+            if isinstance(dt.elementType, T.StructType):
+                return _flatten_record([(f.name, elem.getField(f.name), f.dataType) for f in dt.elementType.fields],
+                                       level + 1, max_nesting, naming)
+            return _flatten(elem, dt.elementType, VALUE, level + 1, max_nesting, naming)
+
+        def rows(elem: Column, idx: Column, own_id: Column) -> tuple[Column, list[Column]]:
+            cols, inner = flat(elem)
+            own = F.struct(*[c.alias(n) for n, c in cols if n in schemas[place[name]].names], own_id.alias(ROW_ID), parent.alias(PARENT_ID), root.alias(ROOT_ID),
+                           idx.alias(LIST_IDX))
+            below = [rows_of(c, ldt, f"{name}{SEP}{lname}", lvl, own_id, root) for lname, c, ldt, lvl in inner]
+            return tagged(name, own), below
+
+        if not flat(F.lit(None).cast(dt.elementType))[1]:
+            every = F.transform(values, lambda elem, idx: rows(elem, idx, child_id(parent, name, idx))[0])
+        else:
+            def with_inner(elem: Column, idx: Column) -> Column:
+                # the element's id is made once and shared by its children
+                def body(own_id: Column) -> Column:
+                    own, below = rows(elem, idx, own_id)
+                    return F.concat(F.array(own), *below)
+                return F.flatten(F.transform(F.array(child_id(parent, name, idx)), body))
+            every = F.flatten(F.transform(values, with_inner))
+        return F.coalesce(every, F.array())
+
+    root_row = F.struct(*[F.col(f"`{c}`").alias(c) for c in schemas[0].fieldNames()])
+    parts = [F.array(tagged(table, root_row))]
+    parts += [rows_of(F.col(f"__list{i}"), ldt, f"{table}{SEP}{lname}", level, F.col(ROW_ID), F.col(ROW_ID))
+              for i, (lname, _, ldt, level) in enumerate(lists)]
+    return base.select(F.explode(F.concat(*parts)).alias("r")).select("r.*"), tables
 
 
 def _children(

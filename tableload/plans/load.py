@@ -27,7 +27,7 @@ from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,7 +39,7 @@ from tableload.functions.partition import parse_layout
 from tableload.functions.types import promote, widen
 from tableload.operators import merge as M
 from tableload.operators.layout import key_expr, layout_columns
-from tableload.operators.normalize import NormalizedTable, align_to_schema, normalize
+from tableload.operators.normalize import TAG, NormalizedTable, align_to_schema, normalize, one_pass
 from tableload.plans.refresh import children_of
 from tableload.sources.dataset import FILE_COL, SEGMENT_COL, Dataset, keys_of, layout_json, uri_path
 from tableload.sources.ledger import Snapshot, now
@@ -105,7 +105,8 @@ def _frames_of(value: DataFrame | Sequence[DataFrame]) -> list[DataFrame]:
 
 
 def stage(ds: Dataset, load_id: str, table: str, frames: Sequence[DataFrame]) -> list[str]:
-    """Write each input frame of ``table`` to its own staging folder, once."""
+    """Write each input frame of ``table`` to its own staging folder, once.  Staged folders are counted
+    from their footers (``_staged_rows``)."""
     base = f"{ds.path}/_staging/{_safe(load_id)}/{table}"
     paths = []
     for i, df in enumerate(frames):
@@ -137,16 +138,19 @@ def write_segment(ds: Dataset, table: str, df: DataFrame, layout, load_id: str,
     # segments are ``_seg=<id>`` folders, so every segment of one layout is a
     # partition of a single scan rooted at the table folder
     path = ds.ledger.fs.qualify(f"{ds.path}/{table}/{SEGMENT_COL}={_safe(load_id)}-{uuid.uuid4().hex[:8]}")
-    writer = out.write.mode("errorifexists")
-    if max_records_per_file:
-        writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if parts:
         # cluster rows by partition value so each directory gets few files; the
         # rebalance hint lets AQE split a value that holds a large share of the rows
         out = out.hint("rebalance", *parts)
-        writer = out.write.mode("errorifexists").partitionBy(*parts)
+    # counted in the write's last stage, whose tasks count once however often they run
+    counted = Observation()
+    writer = out.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("errorifexists")
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", max_records_per_file)
+    if parts:
+        writer = writer.partitionBy(*parts)
     writer.parquet(path)
-    return {"path": path, "layout": layout_json(keys) or [], "removed": []}
+    return {"path": path, "layout": layout_json(keys) or [], "removed": [], "rows": int(counted.get.get("n", 0))}
 
 
 # ------------------------------------------------------------------- load
@@ -241,25 +245,28 @@ def load(
                 tname = tables[0][0].name
                 cap = max_records_per_file or _direct_records(base.tables.get(tname), target_file_bytes)
                 segs = write(ds, new, root, tables, load_id, cap)
-                out.counts[tname] = _written_rows(ds, segs)
+                out.counts[tname] = sum(seg["rows"] for seg in segs)
+                for seg in segs:
+                    seg["bytes"] = ds.ledger.fs.size(seg["path"])
                 if cap is None and target_file_bytes:
                     _split_large(ds, new, tname, segs, load_id, target_file_bytes)
                 out.tables.append(tname)
                 out.hints[tname] = _hints(root, tables[0][0], root.disposition)
                 continue
             paths = staged_paths.get(name, [])
-            types = _key_types(base, root, keyed[name]) if name in keyed else {}
-            staged_files = [_read_staged(spark, p, root, load_id, max_nesting, naming, name, i, padded[name], types)
-                            for i, p in enumerate(paths)]
-            if not staged_files:
+            if not paths:
                 continue
-            chain_names = [t.name for t in staged_files[0]]
-            nested_merge = root.disposition == "merge" and (
-                len(staged_files[0]) > 1 or bool(_descendants(base, name)))
-            table_counts, n_keys = _count_tables(staged_files, root.primary_key if nested_merge else ())
-            if nested_merge and n_keys != table_counts[name]:
-                raise DuplicateRootError(
-                    f"{name}: {table_counts[name]} staged roots share {n_keys} keys; a table with children takes one row per key")
+            types = _key_types(base, root, keyed[name]) if name in keyed else {}
+            inputs = [_staged_input(spark, p, root, load_id, max_nesting, naming, name, i, padded[name], types)
+                      for i, p in enumerate(paths)]
+            chain = normalize(inputs[0][0], **inputs[0][1])
+            chain_names = [t.name for t in chain]
+            if len(chain) > 1:
+                tables, table_counts = _chain_tables(ds, load_id, f"chain-{base.seq + 1}", name, inputs)
+                staged_files = [tables]
+            else:
+                staged_files = [normalize(raw, **options) for raw, options in inputs]
+                table_counts = {name: sum(_staged_rows(ds, p) for p in paths)}
             out.counts.update(table_counts)
             mrpf = max_records_per_file or _records_per_file(ds, paths, table_counts[name], target_file_bytes)
             for i, tname in enumerate(chain_names):
@@ -362,23 +369,13 @@ def _direct_records(entry: dict | None, target: int | None) -> int | None:
     return max(1, int(target * measured[-1]["rows"] / measured[-1]["bytes"]))
 
 
-def _written_rows(ds: Dataset, segs: list[dict]) -> int:
-    """Rows just written, from the Parquet footers (no second pass over the input);
-    rows and bytes of each segment are noted in its entry."""
-    for s in segs:
-        files = ds.ledger.fs.list_files(s["path"])
-        s["rows"] = ds.spark.read.parquet(*files).count() if files else 0
-        s["bytes"] = ds.ledger.fs.size(s["path"])
-    return sum(s["rows"] for s in segs)
-
-
 def _split_large(ds: Dataset, new: Snapshot, table: str, segs: list[dict], load_id: str, target: int) -> None:
     """Write segments anew whose files are far above the target, now that their bytes
     per row are known; later loads of the table are capped from the start."""
     schema = new.schema_of(table)
     for s in segs:
         files = ds.ledger.fs.list_files(s["path"])
-        if not files or s["bytes"] <= 2 * target * len(files):
+        if not s["rows"] or s["bytes"] <= 2 * target * len(files):
             continue
         cap = max(1, int(target * s["rows"] / s["bytes"]))
         again = write_segment(ds, table, ds._scan([s], schema, None, False, False), s["layout"], load_id, cap)
@@ -398,28 +395,35 @@ def _records_per_file(ds: Dataset, paths: Sequence[str], rows: int, target: int
     return max(1, int(target * rows / staged_bytes))
 
 
-def _count_tables(files: list[list[NormalizedTable]], keys: Sequence[str] = ()) -> tuple[dict[str, int], int | None]:
-    """Normalized row count of every table of a chain in one job (V12); with
-    ``keys``, the same job counts the root's distinct keys for the uniqueness
-    guard of nested merges (U3)."""
-    key_type = None
-    if keys:
-        key_type = files[0][0].frame.select(F.struct(*keys).alias("k")).schema["k"].dataType
-    parts = []
-    for f in files:
-        for i, t in enumerate(f):
-            k = F.struct(*keys) if keys and i == 0 else F.lit(None).cast(key_type or T.NullType())
-            parts.append(t.frame.select(F.lit(t.name).alias("t"), k.alias("k")))
-    counts = {t.name: 0 for t in files[0]}
-    distinct_keys = None
-    agg = M.union_staged(parts).groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("k").alias("d"))
-    for row in agg.collect():
-        counts[row["t"]] = row["n"]
-        if keys and row["t"] == files[0][0].name:
-            distinct_keys = row["d"]
-    if keys and distinct_keys is None:
-        distinct_keys = 0
-    return counts, distinct_keys
+def _staged_rows(ds: Dataset, path: str) -> int:
+    """Rows of a staged frame, from its Parquet footers."""
+    files = ds.ledger.fs.list_files(path)
+    return ds.spark.read.parquet(*files).count() if files else 0
+
+
+def _chain_tables(ds: Dataset, load_id: str, name: str, root: str, inputs: list[tuple[DataFrame, dict]]) -> tuple[list[NormalizedTable], dict[str, int]]:
+    """The tables of a chain, written in one job that reads the staged frames once, each
+    table under a folder of its own; the row counts (V12) are observed on that write."""
+    passes = [one_pass(raw, **options) for raw, options in inputs]
+    tables = passes[0][1]
+    rows = M.union_staged([p[0] for p in passes])
+    path = f"{ds.path}/_staging/{_safe(load_id)}/{root}/_work/{name}"
+    counted = Observation()
+    rows.observe(counted, *[F.count_if(F.col(TAG) == i).alias(f"n{i}") for i in range(len(tables))]) \
+        .write.mode("overwrite").partitionBy(TAG).parquet(path)
+    counts = {t.name: int(counted.get.get(f"n{i}", 0)) for i, t in enumerate(tables)}
+    out = []
+    for i, t in enumerate(tables):
+        schema = t.frame.schema
+        if counts[t.name]:
+            stored = rows.schema[f"t{i}"]
+            frame = ds.spark.read.schema(T.StructType([stored])).parquet(f"{path}/{TAG}={i}")
+            frame = frame.select(*[F.col(f"t{i}")[f.name].alias(f.name) if f.name in stored.dataType.names else F.lit(None).alias(f.name)
+                                   for f in schema.fields])
+        else:
+            frame = ds.spark.createDataFrame([], schema)
+        out.append(NormalizedTable(t.name, t.parent, frame, t.path))
+    return out, counts
 
 
 def rename_contract(c: TableContract, naming: str) -> TableContract:
@@ -491,10 +495,10 @@ def _json_or_none(text: str | None) -> Any:
         return None
 
 
-def _read_staged(spark: SparkSession, path: str, root: TableContract, load_id: str,
+def _staged_input(spark: SparkSession, path: str, root: TableContract, load_id: str,
                  max_nesting: int | None, naming: str, name: str, seq: int = 0,
-                 pad: T.StructType | None = None, key_types: dict[str, T.DataType] | None = None) -> list[NormalizedTable]:
-    """Normalize one staged file.  Keyless roots get ids from (load id, file name,
+                 pad: T.StructType | None = None, key_types: dict[str, T.DataType] | None = None) -> tuple[DataFrame, dict]:
+    """One staged frame and the arguments it is normalized with.  Keyless roots get ids from (load id, file name,
     row index) of the staged Parquet, stable across retries.  The keys of merge roots are
     cast to the types the table stores, before any id is made.  Merge roots carry
     their write position (input frame, file, row) so that among duplicates with
@@ -508,8 +512,8 @@ def _read_staged(spark: SparkSession, path: str, root: TableContract, load_id: s
     file, row = F.col(ORDER_COLS[1]), F.col(ORDER_COLS[2])
     rid = None if keyed else key_id([F.lit(load_id), file, row], [T.StringType(), T.StringType(), T.LongType()])
     extra = dict(zip(ORDER_COLS, (F.lit(seq), file, row), strict=True)) if keyed else None
-    return normalize(raw, name, primary_key=root.primary_key if keyed else (), max_nesting=max_nesting,
-                     naming=naming, load_id=load_id, row_id=rid, extra=extra, hidden=ORDER_COLS, types=key_types)
+    return raw, {"table": name, "primary_key": root.primary_key if keyed else (), "max_nesting": max_nesting,
+                 "naming": naming, "load_id": load_id, "row_id": rid, "extra": extra, "hidden": ORDER_COLS, "types": key_types}
 
 
 def _key_types(base: Snapshot, root: TableContract, incoming: T.StructType) -> dict[str, T.DataType]:
@@ -669,8 +673,8 @@ def _merge(ds: Dataset, spark: SparkSession, base: Snapshot, new: Snapshot, root
     # staged root rows: one relation (staged route) or per-file column groups (flat)
     if staged_route:
         s_root = _union(files, 0)
-        if len(chain) + len(extra) == 1:  # nested chains were checked for unique roots while counting
-            s_root = _latest(s_root, pk, root)
+        # a chain takes one row per key: its write fails otherwise
+        s_root = _latest(s_root, pk, root) if len(chain) + len(extra) == 1 else M.unique_keys(s_root, pk)
         groups = [s_root.drop(*ORDER_COLS)]
     else:
         groups = _column_groups([f[0].frame for f in files])
@@ -693,7 +697,12 @@ def _merge(ds: Dataset, spark: SparkSession, base: Snapshot, new: Snapshot, root
         live = M.drop_stale(groups[0], t_cur, pk, root.cursor) if root.cursor else groups[0]
         # written once: the upsert, the child replacement and the touched-file search
         # all read it, instead of re-running dedup and the stale filter per consumer
-        live = _materialize(ds, spark, load_id, root.name, f"live-{base.seq + 1}", live)
+        try:
+            live = _materialize(ds, spark, load_id, root.name, f"live-{base.seq + 1}", live)
+        except Exception as e:
+            if M.DUPLICATE_KEY in str(e):
+                raise DuplicateRootError(f"{root.name}: {M.DUPLICATE_KEY}; a table with children takes one row per key") from None
+            raise
         passing, up = M.surviving_roots(live, root)
         t_cur = M.merge_root(t_cur, live, root)
     elif len(groups) == 1:
