@@ -9,11 +9,14 @@ each (source, range) plus a prefix sum over the range totals: no task holds a wh
 source.  A document is taken as often as whole epochs fit the budget, and the rest
 of the budget is cut from the front of the order, inside the last document if need be.
 
+The key is made of id and text, and rows equal in id, source and text are counted before
+anything is shuffled: they are one entry with a number of copies, so null or repeated
+ids and copies without end never meet in one window.
+
 Defined results: a null text has size 0 and is never taken; a source without words
-has target 0; null is a source of its own; repeated rows are mixed one by one (rows
-equal in key, id and size are interchangeable, for ``mixed_documents`` those equal in
-source and text besides); an empty table gives no rows; other
-columns of the input are ignored.
+has target 0; null is a source of its own; copies of a row share their entry's budget in
+turn, whole documents first; an empty table gives no rows; other columns, of any type and
+name, are ignored by ``mix`` and kept by ``mixed_documents``.
 """
 
 from __future__ import annotations
@@ -28,12 +31,8 @@ SEED = "mix"
 KEY_DIGITS = 3  # leading hex digits of the key that name its range: 16^3 ranges in each source
 
 
-def _key(doc_id: Column) -> Column:
-    return F.md5(F.concat(F.lit(SEED + ":"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
-
-
-def _text_hash(text: Column) -> Column:
-    return F.xxhash64(text)
+def _key(doc_id: Column, text_hash: Column) -> Column:
+    return F.md5(F.concat(F.lit(SEED + ":"), F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit(":"), text_hash))
 
 
 def _named(value: Column) -> Column:
@@ -42,9 +41,9 @@ def _named(value: Column) -> Column:
 
 
 def source_targets(sizes: DataFrame, max_repeat: int = MAX_REPEAT) -> DataFrame:
-    """(source, source_size, target): one row per source.  The windows below see
-    one row per source, never documents."""
-    totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    """(source, source_size, target): one row per source, from entries (source, size, copies).
+    The windows below see one row per source, never documents."""
+    totals = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"))
     named = Window.orderBy(F.col("source").asc_nulls_last())
     weighed = totals.withColumn("weight", (F.row_number().over(named) - 1) % 3 + 1)
     cap = max_repeat * F.col("source_size")
@@ -58,57 +57,80 @@ def source_targets(sizes: DataFrame, max_repeat: int = MAX_REPEAT) -> DataFrame:
         "source", "source_size", F.least(cap.cast("double"), F.col("__top") * F.col("weight")).alias("target"))
 
 
-def mix(docs: DataFrame, max_repeat: int = MAX_REPEAT, key_digits: int = KEY_DIGITS, text_hash: bool = False) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, taken, epochs
-    (whole times the document is taken) and part (words of one more, partial, time).
-    With ``text_hash``, that column too, by which rows equal in id and size are ordered."""
-    told = ["text_hash"] if text_hash else []
-    sizes = documents(docs, "doc_id", "source", "text").select(
-        "doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("size"), *[_text_hash(F.col("text")).alias(c) for c in told])
-    keyed = sizes.withColumn("__k", _key(F.col("doc_id"))).withColumn(
+def _placed(entries: DataFrame, max_repeat: int, key_digits: int) -> DataFrame:
+    """Entries (doc_id, source, size, text_hash, told, copies) with source_size, target, epochs and ``words``, what the
+    copies of the entry take together beyond whole epochs."""
+    weight = F.col("size") * F.col("copies")
+    keyed = entries.withColumn("__k", _key(F.col("doc_id"), F.col("text_hash"))).withColumn(
         "__range", F.substring("__k", 1, key_digits)).withColumn("__s", F.coalesce("source", F.lit(""))).withColumn(
         "__null", F.col("source").isNull())
     group = ["__s", "__null", "__range"]
-    totals = keyed.groupBy(*group).agg(F.sum("size").alias("__sum"))
+    totals = keyed.groupBy(*group).agg(F.sum(weight).alias("__sum"))
     over_ranges = Window.partitionBy("__s", "__null").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*group, F.coalesce(F.sum("__sum").over(over_ranges), F.lit(0)).alias("__offset"))
-    targets = source_targets(sizes, max_repeat).select(
+    targets = source_targets(entries, max_repeat).select(
         F.coalesce("source", F.lit("")).alias("__s"), F.col("source").isNull().alias("__null"), "source_size", "target")
-    in_range = Window.partitionBy(*group).orderBy("__k", "doc_id", "size", *told).rowsBetween(Window.unboundedPreceding, -1)
-    placed = keyed.withColumn("__before", F.coalesce(F.sum("size").over(in_range), F.lit(0)))
+    in_range = Window.partitionBy(*group).orderBy("__k", "doc_id", "size", "told").rowsBetween(Window.unboundedPreceding, -1)
+    placed = keyed.withColumn("__before", F.coalesce(F.sum(weight).over(in_range), F.lit(0)))
     joined = placed.join(offsets, group).join(targets, ["__s", "__null"])
     budget = F.round("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long")
-    rest = F.col("__budget") - F.col("epochs") * F.col("source_size")
-    part = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("__offset") - F.col("__before")))
-    return (joined.withColumn("__budget", budget).withColumn("epochs", epochs).withColumn("part", part)
-            .select("doc_id", "source", "size", "source_size", "target",
-                    (F.col("size") * F.col("epochs") + F.col("part")).alias("taken"), "epochs", "part", *told))
+    rest = budget - F.col("epochs") * F.col("source_size") - F.col("__offset") - F.col("__before")
+    return joined.withColumn("epochs", epochs).withColumn("words", F.greatest(F.lit(0), F.least(weight, rest))).select(
+        *entries.columns, "source_size", "target", "epochs", "words")
+
+
+def _part(turn: Column) -> Column:
+    """Words that the ``turn``-th copy takes of its entry's."""
+    return F.greatest(F.lit(0), F.least(F.col("size"), F.col("words") - (turn - 1) * F.col("size")))
+
+
+def mix(docs: DataFrame, max_repeat: int = MAX_REPEAT, key_digits: int = KEY_DIGITS) -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target, taken, epochs
+    (whole times the document is taken) and part (words of one more, partial, time)."""
+    entries = documents(docs, "doc_id", "source", "text").select(
+        "doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("size"), F.md5("text").alias("text_hash"))
+    entries = entries.groupBy("doc_id", "source", "size", "text_hash").agg(
+        F.count(F.lit(1)).alias("copies")).withColumn("told", F.lit(0))
+    rows = _placed(entries, max_repeat, key_digits).withColumn("__turn", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return rows.withColumn("part", _part(F.col("__turn"))).select(
+        "doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("epochs") + F.col("part")).alias("taken"),
+        "epochs", "part")
+
+
+def _told(docs: DataFrame, columns: list[str]) -> Column:
+    """Hash of the named columns, of any type (maps and variants as JSON)."""
+    def plain(c: str) -> Column:
+        kind = dict(docs.dtypes)[c]
+        return F.to_json(F.struct(docs[c].alias("v"))) if "map<" in kind or "variant" in kind else docs[c]
+
+    return F.xxhash64(*[plain(c) for c in columns]) if columns else F.lit(0).cast("long")
 
 
-def mixed_documents(docs: DataFrame, max_repeat: int = MAX_REPEAT) -> DataFrame:
+def mixed_documents(docs: DataFrame, max_repeat: int = MAX_REPEAT, key_digits: int = KEY_DIGITS) -> DataFrame:
     """The mix as documents: each taken whole as often as its epochs say, and once more
-    up to its last taken word where the budget ends inside it.  Rows are matched to
-    their counts by doc_id, source, size and text hash; rows equal in all of these stand
-    side by side in the mix and use up their common part in turn."""
+    up to its last taken word where the budget ends inside it.  Rows equal in every column are one
+    entry with copies before the texts are shuffled; the copies use up their common part in turn."""
     columns = docs.columns
-    group = ["__id", "__source", "__n", "__h"]
     text = F.coalesce(docs["text"], F.lit(""))
-    # equal rows take their turns by their other columns (maps can not be hashed)
-    told = F.xxhash64(*[docs[c] for c, kind in docs.dtypes if "map<" not in kind])
-    held = docs.select(F.struct(*[docs[c] for c in columns]).alias("__row"), text.alias("__text"), told.alias("__told"),
-                       _named(docs["doc_id"]).alias("__id"), _named(docs["source"]).alias("__source"),
-                       F.size(words(text)).cast("long").alias("__n"), _text_hash(text).alias("__h"))
-    taken = mix(docs, max_repeat, text_hash=True).filter("taken > 0").groupBy(
-        _named(F.col("doc_id")).alias("__id"), _named(F.col("source")).alias("__source"), F.col("size").alias("__n"),
-        F.col("text_hash").alias("__h")).agg(F.max("epochs").cast("int").alias("__epochs"), F.sum("part").alias("__part"))
-    turn = F.row_number().over(Window.partitionBy(*group).orderBy("__told"))
-    both = held.join(taken, group).withColumn("__turn", turn)
-    whole = F.col("__epochs")
-    part = F.greatest(F.lit(0), F.least(F.col("__n"), F.col("__part") - (F.col("__turn") - 1) * F.col("__n"))).cast("int")
-    ends = F.split("__text", "(?<=[^ \t-\r])(?=[ \t-\r])", -1)  # one piece per word, blanks in front
-    cut = F.when(part > 0, F.array(F.array_join(F.slice(ends, 1, part), ""))).otherwise(F.array().cast("array<string>"))
-    texts = F.concat(F.array_repeat(F.col("__text"), whole), cut)
+    held = docs.select(
+        docs["doc_id"].alias("doc_id"), docs["source"].alias("source"), F.size(words(text)).cast("long").alias("size"),
+        F.md5(text).alias("text_hash"), _told(docs, [c for c in columns if c not in ("doc_id", "source", "text")]).alias("told"),
+        F.struct(*[docs[c] for c in columns]).alias("__row"))
+    keys = ["doc_id", "source", "size", "text_hash", "told"]
+    entries = held.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
+    named = [_named(F.col("doc_id")).alias("__id"), _named(F.col("source")).alias("__source"), F.col("size").alias("__n"),
+             F.col("text_hash").alias("__h"), F.col("told").alias("__told")]
+    taken = _placed(entries, max_repeat, key_digits).filter((F.col("epochs") > 0) & (F.col("size") > 0) | (F.col("words") > 0)).select(
+        *named, "size", "epochs", "words", "copies")
+    rows = held.select(*named, "__row").groupBy("__id", "__source", "__n", "__h", "__told").agg(F.any_value("__row").alias("__row"))
+    both = rows.join(taken, ["__id", "__source", "__n", "__h", "__told"]).withColumn(
+        "__turn", F.explode(F.sequence(F.lit(1), F.col("copies")))).withColumn("__part", _part(F.col("__turn")).cast("int"))
+    whole = F.col("__row")["text"]
+    ends = F.split(whole, "(?<=[^ \t-\r])(?=[ \t-\r])", -1)  # one piece per word, blanks in front
+    cut = F.when(F.col("__part") > 0, F.array(F.array_join(F.slice(ends, F.lit(1), F.col("__part")), ""))).otherwise(
+        F.array().cast("array<string>"))
+    texts = F.concat(F.array_repeat(whole, F.col("epochs").cast("int")), cut)
     return both.select("__row", F.explode(texts).alias("__t")).select(
         *[(F.col("__t") if c == "text" else F.length("__t").cast("long") if c == "n_chars" else F.col("__row")[c]).alias(c)
           for c in columns])
@@ -117,7 +139,7 @@ def mixed_documents(docs: DataFrame, max_repeat: int = MAX_REPEAT) -> DataFrame:
 SQL = f"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')) AS BIGINT) AS size,
-         md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS k FROM documents
+         md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(coalesce(text, ''))) AS k FROM documents
 ), s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1 AS weight FROM d GROUP BY source
 ), l AS (

@@ -2,6 +2,7 @@ import hashlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tableload.llm import fingerprints, mixing, quality_rules
 from tests.conftest import SF
@@ -122,6 +123,31 @@ def test_mixed_documents_of_null_and_repeated_ids(spark):
     assert all(n == 1 for n in cut.values())  # a budget ends inside one document at most
 
 
+def test_mixed_documents_keep_maps_variants_and_clashing_names(spark):
+    docs = odd_documents(spark).withColumn("m", F.create_map(F.lit("k"), F.col("n_chars"))).withColumn(
+        "v", F.parse_json(F.lit('{"a": 1}'))).withColumn("copies", F.lit(5)).withColumn("told", F.lit("t")).withColumn("words", F.lit(9))
+    out = mixing.mixed_documents(docs)
+    assert out.columns == docs.columns
+    rows = out.select("doc_id", "text", "m", F.to_json("v").alias("v"), "copies", "told", "words").collect()
+    assert rows and all((r.m.keys(), r.v, r.copies, r.told, r.words) == ({"k"}, '{"a":1}', 5, "t", 9) for r in rows)
+    budgets = mixing.mix(docs).agg(F.sum("taken")).first()[0]
+    assert sum(len(words(r.text)) for r in rows) == budgets
+
+
+def test_rows_without_an_id_are_spread_and_copies_counted_first(spark):
+    docs = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("s").alias("source"), F.concat(
+        F.lit("w "), F.when(F.col("id") < 1000, "same").otherwise(F.col("id").cast("string"))).alias("text"))
+    out = mixing.mix(docs).collect()
+    assert len(out) == 3000 and sum(r.taken for r in out) == 6000
+    keys = docs.select(mixing._key(F.col("doc_id"), F.md5("text")).substr(1, mixing.KEY_DIGITS).alias("r"), "text").distinct()
+    assert keys.groupBy("r").count().agg(F.max("count")).first()[0] < 12  # 2001 texts over 4096 ranges
+    plan = mixing.mix(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window") < plan.index("count(1)")  # copies are counted below every window
+    two = spark.createDataFrame([(1, "a b c d", "x")] * 3 + [(2, "e f", "y")], "doc_id long, text string, source string")
+    got = mixing.mix(two).filter("source = 'x'").collect()
+    assert sorted(r.part for r in got) == [0, 0, 4] or sum(r.taken for r in got) == round(got[0].target)
+
+
 def shingles(text):
     ws = words(text)
     return {tuple(ws[i:i + 5]) for i in range(len(ws) - 4)} or ({tuple(ws)} if ws else set())
