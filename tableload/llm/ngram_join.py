@@ -19,7 +19,9 @@ of its grams in any partner.
    the set are skipped, so copies in the thousands cost one pass and no pairs.
    Families are dealt into chunks of bounded size; chunks exchange the leaders of their
    components until no more merge, and what then still differs in a family of several
-   chunks is searched chunk against chunk.
+   chunks is searched chunk against chunk.  Large families are dealt by set size: the sizes of
+   linked sets differ by a tenth at most, so a chunk meets only those of its own and the
+   neighbouring size levels.
 
 Defined results: documents without words (or text) have an empty set, link with nothing
 and are their own component; fewer words than three make one gram; ids may repeat (each
@@ -31,12 +33,13 @@ other columns are ignored.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tableload.llm.components import connected_components
@@ -217,10 +220,52 @@ def _search(percent: int) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
-def _dealt(members: DataFrame, chunk_grams: int) -> DataFrame:
-    """Plus ``chunk`` and ``chunks``: a family's members dealt into bounded groups."""
-    load = members.groupBy("fam").agg((F.floor(F.sum("n") / chunk_grams) + 1).cast("int").alias("chunks"))
-    return members.join(load, "fam").withColumn("chunk", F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int"))
+def _level(n: Column, percent: int) -> Column:
+    """Size levels: the sizes of two linked sets lie in one level or in neighbouring ones."""
+    if percent >= 100:
+        return n.cast("int")
+    step = math.log(100 / percent) * (1 + 1e-6)  # rounding never puts a partner two levels away
+    return F.floor(F.log(n) / F.lit(step)).cast("int")
+
+
+def _loads(members: DataFrame, chunk_grams: int, percent: int) -> DataFrame:
+    """(fam, level, chunks): into how many chunks the sets of a family's size level are dealt.  A
+    family that fits one chunk is one level."""
+    levels = members.groupBy("fam", _level(F.col("n"), percent).alias("size_level")).agg(F.sum("n").alias("load"))
+    whole = levels.groupBy("fam").agg((F.sum("load") < chunk_grams).alias("small"))
+    chunks = (F.floor(F.col("load") / chunk_grams) + 1).cast("int")
+    return levels.join(whole, "fam").select(
+        "fam", "size_level", F.when(F.col("small"), F.lit(None)).otherwise(F.col("size_level")).cast("int").alias("level"),
+        F.when(F.col("small"), 1).otherwise(chunks).alias("chunks"))
+
+
+def _dealt(members: DataFrame, loads: DataFrame, percent: int) -> DataFrame:
+    """Plus ``level`` (null in families of one chunk) and ``chunk``: members dealt into bounded groups."""
+    placed = members.withColumn("size_level", _level(F.col("n"), percent)).join(loads, ["fam", "size_level"])
+    return placed.withColumn("chunk", F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int")).drop("size_level", "chunks")
+
+
+def _facing(held: DataFrame, loads: DataFrame) -> DataFrame:
+    """Members (key, n, comp, fam, level, chunk) once for every chunk they have to meet: the others of their level
+    and those of the neighbouring levels, unless such a chunk is wholly of the member's component."""
+    per_level = loads.filter("level IS NOT NULL").select("fam", "level", "chunks")
+    beside = per_level
+    for name, step in (("above", 1), ("below", -1)):
+        beside = beside.join(per_level.select("fam", (F.col("level") - step).alias("level"), F.col("chunks").alias(name)),
+                             ["fam", "level"], "left")
+
+    def chunks_of(step: int, name: str) -> Column:
+        count = F.coalesce(F.col(name), F.lit(0))
+        numbers = F.filter(F.sequence(F.lit(0), count), lambda c: c < count)
+        return F.transform(numbers, lambda c: F.struct((F.col("level") + step).alias("level"), c.cast("int").alias("chunk")))
+
+    met = [chunks_of(0, "chunks"), chunks_of(1, "above"), chunks_of(-1, "below")]
+    own = F.struct("level", "chunk")
+    pairs = held.join(beside, ["fam", "level"]).select(
+        "key", "n", "comp", "fam", own.alias("own"), F.explode(F.concat(*met)).alias("other")).filter("own <> other")
+    one = held.groupBy("fam", F.struct("level", "chunk").alias("other")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    return pairs.join(one, ["fam", "other"]).filter("NOT (lo = hi AND lo = comp)").select(
+        "key", "n", "comp", "fam", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"))
 
 
 def _family_components(members: DataFrame, sets: DataFrame, percent: int, chunk_grams: int, folder: str) -> DataFrame:
@@ -230,10 +275,11 @@ def _family_components(members: DataFrame, sets: DataFrame, percent: int, chunk_
         return light.select("key", "n", "comp", *by).join(grams.select("key", "grams"), "key").groupBy(*by).applyInArrow(
             _search(percent), "u long, v long")
 
-    dealt = _dealt(members, chunk_grams).checkpoint()
-    first = search(dealt.withColumn("comp", F.col("key")), sets, "fam", "chunk")
+    loads = _loads(members, chunk_grams, percent).checkpoint()
+    dealt = _dealt(members, loads, percent).checkpoint()
+    first = search(dealt.withColumn("comp", F.col("key")), sets, "fam", "level", "chunk")
     comps = first.select(F.col("u").alias("key"), F.col("v").alias("comp")).checkpoint()
-    wide = dealt.filter("chunks > 1").select("key", "n", "fam", "chunk", "chunks")
+    wide = dealt.filter("level IS NOT NULL").select("key", "n", "fam", "level", "chunk")
     if wide.isEmpty():
         return comps
     # only the sets of families in several chunks are read again, from a table of their own
@@ -253,12 +299,11 @@ def _family_components(members: DataFrame, sets: DataFrame, percent: int, chunk_
         if now == before:
             break
         before = now
-        comps = renamed(search(_dealt(leaders, chunk_grams), grams, "fam", "chunk"))
-    # families still in several components: every two chunks face each other
+        comps = renamed(search(_dealt(leaders, _loads(leaders, chunk_grams, percent), percent), grams, "fam", "level", "chunk"))
+    # families still in several components: chunks of neighbouring sizes face each other
     held = wide.join(comps, "key")
     open_fams = held.groupBy("fam").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).filter("a <> b").select("fam")
-    facing = held.join(open_fams, "fam").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))) \
-        .filter("other <> chunk").withColumn("a", F.least("chunk", "other")).withColumn("b", F.greatest("chunk", "other"))
+    facing = _facing(held.join(open_fams, "fam").checkpoint(), loads).checkpoint()
     if facing.isEmpty():
         return comps
     roots = connected_components(search(facing, grams, "fam", "a", "b"))

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tableload.llm import ngram_join, substring_dedup
 from tableload.llm.components import connected_components
@@ -73,6 +74,33 @@ def test_join_of_chained_copies_in_one_and_in_many_chunks(spark, chunk_grams, sp
     assert joined(docs, chunk_grams=chunk_grams, spread=spread) == brute_components(rows)
 
 
+@pytest.mark.parametrize("chunk_grams", [150, 1200])
+def test_join_of_families_of_many_sizes(spark, chunk_grams):
+    """Texts cut from one long text and from mixtures of it: one family, several components, sizes of many levels."""
+    rng = random.Random(11)
+    base = [f"b{i}" for i in range(400)]
+    rows = []
+    for i in range(90):
+        n = rng.randrange(20, 400)
+        w = base[:n]
+        if i % 3 == 0:  # a tail of its own: about the limit
+            w = w + [f"x{i}_{j}" for j in range(rng.choice([n // 20, n // 9, n // 4]))]
+        if i % 7 == 0:
+            w = base[400 - n:]
+        rows.append((i, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = joined(docs, chunk_grams=chunk_grams)
+    assert got == brute_components(rows) and 1 < len({c for _, _, c in got}) < 60
+
+
+def test_size_levels_hold_partners_side_by_side(spark):
+    sizes = spark.range(1, 30000).select(F.col("id").alias("n"))
+    for percent in (50, 80, 90, 99):
+        level = lambda c: ngram_join._level(c, percent)
+        partner = F.floor(F.col("n") * 100 / percent)
+        assert sizes.agg(F.max(level(partner) - level(F.col("n")))).first()[0] <= 1
+
+
 def test_keep_one_keeps_one_of_each_group(spark):
     docs = odd_documents(spark).filter("doc_id IS NOT NULL")
     kept = ngram_join.keep_one(docs)
