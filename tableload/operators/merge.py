@@ -79,7 +79,8 @@ def dedup_latest(
     order = ([cursor] if cursor and cursor in df.columns else []) + [c for c in tie_break if c in df.columns]
     types = {f.name: f.dataType for f in df.schema.fields}
     order += [c for c in values if c not in order and _orderable(types[c])]
-    latest = Window.partitionBy(*pk).orderBy(*[F.col(f"`{c}`").desc_nulls_last() for c in order] or [F.lit(0)])
+    quoted = ["`" + c.replace("`", "``") + "`" for c in order]
+    latest = Window.partitionBy(*pk).orderBy(*[F.col(c).desc_nulls_last() for c in quoted] or [F.lit(0)])
     return df.withColumn("__n", F.row_number().over(latest)).filter("__n = 1").drop("__n")
 
 

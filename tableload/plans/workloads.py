@@ -1391,3 +1391,186 @@ def upsert_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = lambda n: F.when(F.col("c_nationkey") != n, F.col("c_custkey")).alias("k")
     staged = cu.filter("c_mktsegment = 'BUILDING'").select(keyed(4), (F.col("c_acctbal") + 1).alias("v"))
     return M.upsert(cu.select(keyed(3), F.col("c_acctbal").alias("v")), staged, "k")
+
+
+@workload("merge_bucketed_orders", f"""
+WITH s AS ({ORDERS_PARTIAL_STAGED_SQL}),
+d AS (SELECT * FROM s QUALIFY row_number() OVER (
+        PARTITION BY o_orderkey ORDER BY o_orderdate DESC NULLS LAST) = 1),
+live AS (SELECT * FROM d WHERE NOT EXISTS (
+        SELECT 1 FROM orders t WHERE t.o_orderkey = d.o_orderkey
+        AND NOT coalesce(d.o_orderdate > t.o_orderdate
+                         OR (t.o_orderdate IS NULL AND d.o_orderdate IS NOT NULL), false))),
+m AS (SELECT t.* FROM orders t ANTI JOIN live l ON t.o_orderkey = l.o_orderkey
+      UNION ALL
+      SELECT l.o_orderkey, t.o_custkey, t.o_orderstatus, l.o_totalprice, l.o_orderdate, t.o_orderpriority
+      FROM live l LEFT JOIN orders t ON t.o_orderkey = l.o_orderkey),
+again AS (SELECT o_orderkey, o_custkey % 2 = 0 AS gone FROM orders WHERE o_orderstatus = 'P'
+          UNION ALL SELECT NULL, false)
+SELECT m.*, CASE WHEN a.o_orderkey IS NOT NULL THEN 'kept' END AS note FROM m LEFT JOIN again a ON m.o_orderkey = a.o_orderkey
+WHERE a.gone IS NOT TRUE
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, 'kept'
+""")
+def merge_bucketed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two merges into a bucketed table that is never shuffled (L4 U2 U4 U5 U6 U12): partial columns with a cursor, then
+    deletes and a new column under keys of another type; a row without a key is inserted."""
+    from tableload.operators.bucketed import merge_bucketed, open_bucketed, save_bucketed
+    from tableload.session import scratch_path
+    orders, buckets, key = read(spark, sf_dir, "orders"), 8, "o_orderkey"
+    first = save_bucketed(orders, scratch_path(spark, "bucketed"), key, buckets)
+    merged = merge_bucketed(first, orders_partial_staged(orders), key, buckets, "o_orderdate", partial=True)
+    path = scratch_path(spark, "bucketed")
+    save_bucketed(merged, path, key, buckets)
+    second = open_bucketed(spark, path, merged.schema, key, buckets)
+    again = orders.filter("o_orderstatus = 'P'").select(
+        F.col(key).cast("int").alias(key), (F.col("o_custkey") % 2 == 0).alias("gone"), F.lit("kept").alias("note"))
+    # one row without a key, whatever the table holds
+    keyless = orders.agg(F.lit(None).cast("int").alias(key), F.lit(False).alias("gone"), F.lit("kept").alias("note"))
+    return merge_bucketed(second, again.unionByName(keyless), key, buckets, partial=True, hard_delete="gone")
+
+
+@workload("readback_arrow_chunks", """
+SELECT event_type, count(*) AS n_rows, sum(event_id) AS id_sum, count(value) AS n_values, max(ts) AS last_ts FROM events GROUP BY 1
+""")
+def readback_arrow_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunked Arrow read-back (R5 R6 R7): chunks of 1000 rows made on the executors hold every row once, with its types."""
+    import pyarrow as pa
+
+    from tableload.sources.relation import arrow_chunks, read_chunk
+
+    def rows(batches):
+        for batch in batches:
+            for chunk in batch.column(0).to_pylist():
+                table = read_chunk(chunk)
+                assert len(table) <= 1000
+                yield from table.rename_columns(["event_id", "ts", "event_type", "value"]).to_batches()
+        yield pa.RecordBatch.from_pylist([], schema=pa.schema([
+            ("event_id", pa.int64()), ("ts", pa.timestamp("us")), ("event_type", pa.string()), ("value", pa.float64())]))
+
+    ev = read(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
+    back = arrow_chunks(ev, 1000).select("chunk").mapInArrow(rows, ev.schema)
+    return back.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("event_id").alias("id_sum"), F.count("value").alias("n_values"),
+        F.max("ts").alias("last_ts"))
+
+
+@workload("load_replace_empty", """
+SELECT 'customer' AS table_name, count(*) AS n_rows, 'c_custkey,c_name,c_nationkey,c_acctbal,c_mktsegment' AS columns FROM customer WHERE false
+UNION ALL SELECT 'nation', count(*), 'n_nationkey,n_name,n_regionkey' FROM nation
+""")
+def load_replace_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A replace with no rows empties the table and keeps its columns (S5); the other table of the load is filled."""
+    from tableload.contract import TableContract
+    from tableload.plans.load import load
+    from tableload.session import scratch_path
+    from tableload.sources.dataset import Dataset
+    path = scratch_path(spark, "replace-empty")
+    cu, na = read(spark, sf_dir, "customer"), read(spark, sf_dir, "nation")
+    contracts = [TableContract("customer", "replace"), TableContract("nation", "replace")]
+    load(spark, path, {"customer": cu, "nation": na}, contracts, "L1")
+    load(spark, path, {"customer": cu.filter(F.lit(False)), "nation": na}, contracts, "L2")
+    ds = Dataset(spark, path)
+    out = []
+    for t in ("customer", "nation"):
+        df = ds.table(t).drop("_load_id", "_row_id")
+        out.append(df.agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n_rows"), F.lit(",".join(df.columns)).alias("columns")))
+    return M.union_staged(out)
+
+
+@workload("load_refused_whole", """
+SELECT step, t.table_name, t.n_rows, t.n_keys
+FROM (VALUES ('bad contract'), ('guard')) AS s(step),
+     (SELECT 'customer' AS table_name, count(*) AS n_rows, count(DISTINCT c_custkey) AS n_keys FROM customer
+      UNION ALL SELECT 'orders', count(*), count(DISTINCT o_orderkey) FROM orders) AS t
+""")
+def load_refused_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One table with a broken contract stops the whole load (U14 U15 L8), and a refresh without the opt-in is refused (C10):
+    both leave all tables as they were."""
+    from tableload.contract import TableContract
+    from tableload.errors import ContractError, DestructiveRefreshRefused
+    from tableload.plans.load import load
+    from tableload.session import scratch_path
+    from tableload.sources.dataset import Dataset
+    path = scratch_path(spark, "refused")
+    cu, od = read(spark, sf_dir, "customer"), read(spark, sf_dir, "orders")
+    good = [TableContract("customer", "append"), TableContract("orders", "append")]
+    load(spark, path, {"customer": cu, "orders": od}, good, "L1")
+    out = []
+    for step, contracts, more in (("bad contract", [good[0], TableContract("orders", "merge")], {}),
+                                  ("guard", good, {"refresh": "drop_data"})):
+        try:
+            load(spark, path, {"customer": cu, "orders": od}, contracts, "L2", **more)
+            refused = False
+        except (ContractError, DestructiveRefreshRefused):
+            refused = True
+        out.append(_table_counts(Dataset(spark, path), {"customer": "c_custkey", "orders": "o_orderkey"}).withColumn(
+            "step", F.lit(step if refused else "published")))
+    return M.union_staged(out)
+
+
+@workload("readback_sql", """
+SELECT c_mktsegment, count(*) AS n_orders, sum(o_totalprice) AS total FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY 1
+""")
+def readback_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL over two loaded tables by their plain names (R3), whose files were read as one input."""
+    from tableload.contract import TableContract
+    from tableload.plans.load import load
+    from tableload.session import scratch_path
+    from tableload.sources.dataset import Dataset
+    from tableload.sources.inputs import read_files
+    path = scratch_path(spark, "readback-sql")
+    frames = {t: read_files(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet"]) for t in ("customer", "orders")}
+    load(spark, path, frames, [TableContract(t, "append") for t in frames], "L1")
+    return Dataset(spark, path).sql("SELECT c_mktsegment, count(*) AS n_orders, sum(o_totalprice) AS total "
+                                    "FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY c_mktsegment")
+
+
+@workload("load_typed_values", """
+SELECT CASE WHEN o_custkey % 5 > 0 THEN o_orderkey + 9007199254740993 END AS big, CAST(o_totalprice AS DECIMAL(12, 3)) AS price,
+       CAST(o_orderdate AS DATE) AS day, o_orderdate AS "At Time", o_orderkey % 2 = 0 AS even, epoch_us(o_orderdate) * 1000 + o_orderkey % 1000 AS nanos
+FROM orders
+""")
+def load_typed_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values beyond 2^53, decimals, dates, times, nanoseconds as a long and NULLs come back as they were (R7 E1 P12), under
+    verbatim names (P7)."""
+    from tableload.contract import TableContract
+    from tableload.plans.load import load
+    from tableload.session import scratch_path
+    from tableload.sources.dataset import Dataset
+    k, at = F.col("o_orderkey"), F.col("o_orderdate")
+    typed = read(spark, sf_dir, "orders").select(
+        F.when(F.col("o_custkey") % 5 > 0, k + F.lit(9007199254740993)).alias("big"), F.col("o_totalprice").cast("decimal(12,3)").alias("price"),
+        at.cast("date").alias("day"), at.alias("At Time"), (k % 2 == 0).alias("even"),
+        (F.unix_micros(at.cast("timestamp")) * 1000 + k % 1000).alias("nanos"))
+    path = scratch_path(spark, "typed")
+    load(spark, path, {"typed": typed}, [TableContract("typed", "append")], "L1", naming="direct")
+    return Dataset(spark, path).table("typed").drop("_load_id", "_row_id")
+
+
+@workload("verify_landed", """
+SELECT 'cursor' AS mode, 0 AS n_problems, 0 AS n_checks UNION ALL SELECT 'plain', 0, 0
+UNION ALL SELECT 'twice', (SELECT CASE WHEN count(*) > 0 THEN 1 ELSE 0 END FROM (SELECT o_custkey FROM orders GROUP BY 1 HAVING count(*) > 1)), 1
+UNION ALL SELECT 'append', 0, 0
+""")
+def verify_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``verify_load`` over four loads (V2 V4 V7): a merge whose rows are all stale may land nothing, a plain merge and an append
+    reconcile, a replace on a key that repeats does not."""
+    from tableload.contract import TableContract
+    from tableload.plans.load import load
+    from tableload.plans.verify_load import verify_load
+    from tableload.session import scratch_path
+    od = read(spark, sf_dir, "orders")
+    older = od.withColumn("o_orderdate", F.col("o_orderdate") - F.expr("INTERVAL 1 DAY"))
+    key = ("o_orderkey",)
+    out = []
+    for mode, contract, frames in (
+            ("cursor", TableContract("orders", "merge", key, cursor="o_orderdate"), (od, older)),
+            ("plain", TableContract("orders", "merge", key), (od,)),
+            ("twice", TableContract("orders", "replace", ("o_custkey",)), (od,)),
+            ("append", TableContract("orders", "append", key), (od, od))):
+        path = scratch_path(spark, f"landed-{mode}")
+        for i, f in enumerate(frames):
+            load(spark, path, {"orders": f}, [contract], f"L{i}")
+        out.append(verify_load(spark, path).agg(
+            F.lit(mode).alias("mode"), F.count(F.lit(1)).cast("int").alias("n_problems"), F.count_distinct("check").cast("int").alias("n_checks")))
+    return M.union_staged(out)
