@@ -3,7 +3,9 @@
 A text is cut at single spaces and before single line ends, where the pre-tokenizers of
 the public files always cut too, and the tokenizers library encodes every distinct chunk that the worker has
 not met before.  Where a cut touches other white space, a pre-token may hold several
-blanks; such texts go to the library whole.
+blanks; such texts go to the library whole.  New chunks are encoded many to a call, as one line, and
+told apart in its ids: by the ids that begin with a space, or, where the tokenizer drops
+spaces, by a mark between them; a line whose parts do not add up is encoded chunk by chunk.
 Ids travel as little-endian unsigned 32-bit bytes.
 """
 
@@ -15,6 +17,8 @@ import numpy as np
 
 _BATCH = 20_000
 _LONGEST = 200  # characters of a chunk that is remembered
+_LINE = 200     # chunks encoded as one line
+_MARK = "\x01"
 
 
 class ChunkEncoder:
@@ -28,9 +32,20 @@ class ChunkEncoder:
         self.tokenizer.encode_special_tokens = True
         self.limit = limit
         self._ends: np.ndarray | None = None
+        # whether an id begins a chunk of a line, or stands for the mark before it
+        self._begins = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        self._marked = not self._ids("  ")  # spaces leave no ids
+        if self._marked:
+            mark = self._ids(_MARK)
+            self._begins[mark if len(mark) == 1 else []] = True
+        else:
+            self._begins[[i for t, i in self.tokenizer.get_vocab().items() if t.startswith("Ġ")]] = True  # byte-level space
         self.first: dict[str, bytes | None] = {}   # chunk at the start of a text; None: not to be cut there
         self.later: dict[str, bytes | None] = {}   # chunk after a space, without it, or with its line end
 
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
     def _whole(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
         for at in range(0, len(texts), _BATCH):
@@ -38,12 +53,30 @@ class ChunkEncoder:
             out += [np.array(x.ids, dtype="<u4").tobytes() for x in found]
         return out
 
+    def _lines(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks behind a space each, without white space at their ends or the mark in them."""
+        groups = [chunks[at:at + _LINE] for at in range(0, len(chunks), _LINE)]
+        lead = f" {_MARK} " if self._marked else " "
+        out: list[bytes] = []
+        for group, raw in zip(groups, self._whole([lead + lead.join(g) for g in groups]), strict=True):
+            at = np.flatnonzero(self._begins[np.frombuffer(raw, dtype="<u4")])
+            if len(at) != len(group):
+                out += self._whole([" " + x for x in group])
+                continue
+            starts = ((at + self._marked) * 4).tolist()
+            ends = [*(at[1:] * 4).tolist(), len(raw)]
+            out += [raw[a:b] for a, b in zip(starts, ends, strict=True)]
+        return out
+
     def _learn(self, memo: dict[str, bytes | None], chunks: set[str], lead: str) -> None:
         new = [x for x in chunks.difference(memo) if len(x) <= _LONGEST]
         if len(memo) + len(new) > self.limit:
             memo.clear()
             new = [x for x in chunks if len(x) <= _LONGEST]
-        memo.update(zip(new, self._whole([x if x[:1] == "\n" else lead + x for x in new]), strict=True))
+        joined = [x for x in new if lead and x and not (x[0].isspace() or x[-1].isspace() or _MARK in x)]
+        memo.update(zip(joined, self._lines(joined), strict=True))
+        alone = [x for x in new if x not in memo]
+        memo.update(zip(alone, self._whole([x if x[:1] == "\n" else lead + x for x in alone]), strict=True))
         for x in new:  # white space beside the cut
             inner = x[1:] if x[:1] == "\n" else x
             if x[-1:].isspace() or lead and (not inner or inner[0].isspace()):
