@@ -2,8 +2,9 @@
 
 A document's shingles are its runs of five words (fewer words: the whole sequence).
 Its sketch keeps every 32-bit shingle hash below a fixed fraction of the hash space,
-so sketches of parts merge by union and sizes of intersections scale with the texts,
-however unequal.  If no hash falls below the threshold, the smallest one is kept.
+so sizes of intersections scale with the texts, however unequal.  If no hash falls below the
+threshold, the smallest one is kept.  ``merge`` makes of two sketches exactly the sketch of both sets of
+shingles together: a hash kept for want of a lower one goes when a lower one is there.
 ``containment`` (shared share of the smaller sketch) and ``resemblance`` compare two.
 
 ``fingerprint_edits`` also fingerprints each document's edited text, which ends with the
@@ -33,16 +34,26 @@ _LOWEST = -(1 << 31)
 _NO_ID = -(1 << 63)  # stands for a null id: last in descending order
 
 
+_THRESHOLD = _LOWEST + (1 << 32) // FRACTION
+
+
+def _kept(hashes: Column) -> Column:
+    return let(F.filter(hashes, lambda x: x < _THRESHOLD), lambda low: F.when(
+        F.size(low) > 0, F.array_sort(F.array_distinct(low))).when(
+        F.size(hashes) > 0, F.array(F.array_min(hashes))).otherwise(F.array().cast("array<int>")))
+
+
 def sketch(text: Column) -> Column:
     """Sorted distinct kept shingle hashes of a text, as array<int>."""
-    threshold = _LOWEST + (1 << 32) // FRACTION
     shingles = lambda w: F.when(F.size(w) >= SHINGLE, F.transform(
         F.sequence(F.lit(1), F.greatest(F.size(w) - (SHINGLE - 1), F.lit(1))), lambda i: F.hash(F.slice(w, i, SHINGLE)))
     ).when(F.size(w) > 0, F.array(F.hash(w))).otherwise(F.array().cast("array<int>"))
-    kept = lambda s: let(F.filter(s, lambda x: x < threshold), lambda low: F.when(
-        F.size(low) > 0, F.array_sort(F.array_distinct(low))).when(
-        F.size(s) > 0, F.array(F.array_min(s))).otherwise(F.array().cast("array<int>")))
-    return let(let(words(text), shingles), kept)
+    return let(let(words(text), shingles), _kept)
+
+
+def merge(a: Column, b: Column) -> Column:
+    """The sketch of two sketches' sets of shingles together; any order of merges gives the same."""
+    return let(F.concat(a, b), _kept)
 
 
 def as_text(kept: Column) -> Column:

@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import pytest
@@ -174,6 +175,47 @@ def test_fingerprints_of_edits(spark):
     assert got[2].fingerprint == got[3].fingerprint == ""
 
 
+def murmur3(data: bytes, seed: int) -> int:
+    """The 32-bit hash of a string as F.hash takes it: whole words of four bytes, then single signed bytes."""
+    m, rot = 0xFFFFFFFF, lambda x, r: (x << r | x >> (32 - r)) & 0xFFFFFFFF
+    cut = len(data) - len(data) % 4
+    blocks = [int.from_bytes(data[i:i + 4], "little") for i in range(0, cut, 4)] + [(x - 256 if x > 127 else x) & m for x in data[cut:]]
+    h = seed & m
+    for k in blocks:
+        h ^= rot(k * 0xCC9E2D51 & m, 15) * 0x1B873593 & m
+        h = (rot(h, 13) * 5 + 0xE6546B64) & m
+    h ^= len(data)
+    for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+        h = (h ^ h >> shift) * factor & m
+    return h ^ h >> 16
+
+
+def plain_sketch(grams) -> list[int]:
+    hashes = set()
+    for gram in grams:
+        h = 42
+        for word in gram:
+            h = murmur3(word.encode(), h)
+        hashes.add(h - (1 << 32) if h >> 31 else h)
+    low = sorted(x for x in hashes if x < -(1 << 31) + (1 << 32) // fingerprints.FRACTION)
+    return low or sorted(hashes)[:1]
+
+
+def test_sketches_equal_plain_ones_and_merge_exactly(spark):
+    rng = random.Random(2)
+    vocabulary = [f"w{i}é" for i in range(50)]
+    texts = [r[1] or "" for r in odd_rows()] + [" ".join(rng.choices(vocabulary, k=rng.randrange(12))) for _ in range(60)]
+    pairs = [(i, t, texts[(i * 7 + 3) % len(texts)]) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(pairs, "i int, a string, b string").withColumns(
+        {"sa": fingerprints.sketch(F.col("a")), "sb": fingerprints.sketch(F.col("b"))})
+    alone = 0
+    for r in df.withColumns({"ab": fingerprints.merge(F.col("sa"), F.col("sb")), "ba": fingerprints.merge(F.col("sb"), F.col("sa"))}).collect():
+        assert list(r.sa) == plain_sketch(shingles(r.a))
+        assert list(r.ab) == list(r.ba) == plain_sketch(shingles(r.a) | shingles(r.b))
+        alone += not set(r.sa) <= set(r.ab)
+    assert alone  # sketches of which the union would hold a hash too many
+
+
 def test_fingerprints_with_ties_nulls_and_no_rows(spark):
     docs = odd_documents(spark)
     got = fingerprints.fingerprint_edits(docs).collect()
