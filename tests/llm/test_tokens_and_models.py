@@ -39,6 +39,24 @@ def test_chunks_encode_like_whole_texts(encoders, name, texts):
     assert [np.frombuffer(x, dtype="<u4").tolist() for x in encoders[name].encode(texts)] == [x.ids for x in whole]
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_new_chunks_are_told_apart_in_lines(name):
+    texts = [f"first w{i} \x01 a\x01b Ġx{i} {'Σ' * (i % 3)}σ{i} ́y <|endoftext|> tail{i}" for i in range(700)] + ["x " * 500]
+    fresh = ChunkEncoder(str(public_tokenizers.path(name)))
+    calls = []
+    whole = fresh._whole
+    fresh._whole = lambda t: calls.append(len(t)) or whole(t)
+    got = fresh.encode(texts)
+    own = Tokenizer.from_file(str(public_tokenizers.path(name)))
+    own.encode_special_tokens = True
+    assert [np.frombuffer(g, dtype="<u4").tolist() for g in got] == [own.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sum(calls) < 700  # some 3000 chunks, many to a line
+    fresh._begins[:] = False  # no line adds up: chunk by chunk
+    fresh.first.clear()
+    fresh.later.clear()
+    assert fresh.encode(texts) == got
+
+
 def test_chunk_memory_is_bounded(encoders):
     small = ChunkEncoder(str(BYTE), limit=10)
     texts = [" ".join(f"x{i} y{j}" for j in range(20)) for i in range(50)]
@@ -162,6 +180,33 @@ def test_token_counts_match_a_plain_viterbi(spark):
         assert small.counts([words(r[1])]) == large.counts([words(r[1])])
 
 
+def test_very_long_words_are_counted_in_bounded_memory():
+    scores = token_counts.unigram_scores(tokenizer_path("piece_bpe_32k.model"))
+    rng = np.random.default_rng(3)
+    long_word = "".join(chr(c) for c in rng.integers(97, 123, 30_000)) + "日本\U0001f926" + "a" * 3000
+    trie, plain = token_counts.Trie(scores), token_counts.Trie(scores)
+    plain.long_word = len(long_word) + 1
+    text = [long_word, "plain", long_word, long_word[:500]]
+    assert trie.counts([text, ["plain"]]) == plain.counts([text, ["plain"]])
+    assert len(trie.score) < 1000 < len(plain.score) and long_word not in trie.terminal
+    small = token_counts.Trie(scores, max_nodes=50)
+    many = [[f"word{i}x" for i in range(500)]]
+    assert small.counts(many) == plain.counts(many) and len(small.score) < 100
+
+
+def test_token_counts_under_given_scores(spark):
+    docs = spark.createDataFrame([(1, "aab ab"), (2, None)], "doc_id long, text string")
+    scores = {token_counts.MARK + "a": -100, "a": -100, "b": -100, "ab": -250, token_counts.MARK + "ab": -100}
+    got = {r.doc_id: r.n_tokens for r in token_counts.token_counts(docs, tokenizer_path("piece_bpe_32k.model"), scores).collect()}
+    assert got == {1: 3 + 1, 2: 0}  # _a a b (-300) beats _a ab (-350); _ab
+
+
+def test_texts_are_taken_in_slices_of_bounded_size():
+    texts = ["a" * 10] * 5 + ["b" * 100] + [None] * 3
+    assert [len(x) for x in token_counts.slices(texts, rows=4, chars=40)] == [4, 2, 3]
+    assert list(token_counts.slices([])) == []
+
+
 def test_language_id_on_held_out_documents(spark):
     docs = spark.read.parquet(f"{SF.replace('sf0.001', 'sf0.01')}/documents.parquet")
     got = language_id.language_id(docs).filter("held_out").join(docs.filter("n_chars > 100"), "doc_id").select("lang", "lang_pred").collect()
