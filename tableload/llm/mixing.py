@@ -98,7 +98,7 @@ def mix(docs: DataFrame, max_repeat: int = MAX_REPEAT, key_digits: int = KEY_DIG
         "epochs", "part")
 
 
-def _told(docs: DataFrame, columns: list[str]) -> Column:
+def row_hash(docs: DataFrame, columns: list[str]) -> Column:
     """Hash of the named columns, of any type (maps and variants as JSON)."""
     def plain(c: str) -> Column:
         kind = dict(docs.dtypes)[c]
@@ -115,7 +115,7 @@ def mixed_documents(docs: DataFrame, max_repeat: int = MAX_REPEAT, key_digits: i
     text = F.coalesce(docs["text"], F.lit(""))
     held = docs.select(
         docs["doc_id"].alias("doc_id"), docs["source"].alias("source"), F.size(words(text)).cast("long").alias("size"),
-        F.md5(text).alias("text_hash"), _told(docs, [c for c in columns if c not in ("doc_id", "source", "text")]).alias("told"),
+        F.md5(text).alias("text_hash"), row_hash(docs, [c for c in columns if c not in ("doc_id", "source", "text")]).alias("told"),
         F.struct(*[docs[c] for c in columns]).alias("__row"))
     keys = ["doc_id", "source", "size", "text_hash", "told"]
     entries = held.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))

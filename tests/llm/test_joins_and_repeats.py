@@ -178,8 +178,9 @@ def test_repeated_rows_are_gathered_once(spark, monkeypatch):
         return pa.table({"n": pa.array([len(table)], pa.int64()), "__chunk": table.column("__chunk").slice(0, 1)})
 
     # what a step gathers of a chunk: every row once
-    monkeypatch.setattr(substring_dedup, "_report_seeds", lambda *a: gathered)
-    monkeypatch.setattr(substring_dedup, "_seen_twice", lambda found: found)
+    monkeypatch.setattr(substring_dedup, "_report_nodes", lambda *a: gathered)
+    told = spark.createDataFrame([], "h long, __chunk int, kind int")
+    monkeypatch.setattr(substring_dedup, "_repeated_nodes", lambda found: told)
     sizes = []
     frame = type(docs.groupBy("doc_id"))
     plain = frame.applyInArrow
@@ -203,3 +204,74 @@ def test_remove_repeats_keeps_columns_and_untouched_texts(spark):
     assert texts[21].text == "tail  two   spaces \n end " and texts[1].text is None
     assert 8 not in texts and 9 not in texts  # copies of each other: nothing is left
     assert len(texts[11].text.split()) == 120 and texts[11].n_chars == len(texts[11].text)
+
+
+def branching_texts(seed, n=60):
+    """Texts pieced together from few passages, edited here and there, some periodic: paths that branch, end and cross."""
+    rng = random.Random(seed)
+    passages = [[f"p{i}x{j}" for j in range(rng.randrange(3, 60))] for i in range(12)]
+    rows = []
+    for i in range(n):
+        text = [w for _ in range(rng.randrange(1, 7)) for w in rng.choice(passages)]
+        for _ in range(rng.randrange(3)):
+            text[rng.randrange(len(text))] = f"e{rng.randrange(5)}"
+        if i % 9 == 0:
+            text += ["a", "b", "a"] * rng.randrange(1, 30)
+        rows.append((i, " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("window,part", [(35, 4), (12, 3), (7, 1), (4, 4), (1, 1)])
+def test_repeats_of_branching_paths(spark, monkeypatch, window, part):
+    monkeypatch.setattr(substring_dedup, "CHUNK_ROWS", 13)
+    rows = branching_texts(window)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = substring_dedup.substring_dedup(docs, window, part)
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got.collect()) == brute_dedup(rows, window)
+
+
+def test_every_window_holds_a_node():
+    rng = random.Random(4)
+    for window, part in [(35, 4), (12, 3), (9, 2), (5, 5)]:
+        text = " ".join(f"w{rng.randrange(9)}" for _ in range(400))
+        table = pa.table({"text": [text], "__copies": [1]})
+        found = substring_dedup._Words(table, window, part)
+        assert max(np.diff(np.concatenate([[-1], found.at, [400 - found.k + 1]]))) <= window - found.k + 1
+
+
+def test_paths_are_the_same_words_wherever_they_occur(spark):
+    rows = branching_texts(8)
+    lone = " ".join(f"z{j}" for j in range(70))
+    rows += [(99, "before " + lone), (100, lone), (100, lone), (101, None), (102, lone + " after")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = substring_dedup.repeated_paths(docs, 20, 4).collect()
+    held = {i: t.split() for i, t in rows if t}
+    spans = defaultdict(list)
+    for r in found:
+        spans[r.path].append((r.doc_id, " ".join(held[r.doc_id][r.start:r.start + r.n_words])))
+    assert spans and all(len(s) > 1 and len({words for _, words in s}) == 1 for s in spans.values())
+    starts = sorted((r.doc_id, r.start, r.n_words) for r in found if r.doc_id > 98)
+    assert [i for i, _, _ in starts] == [99, 100, 100, 102] and len({n for _, _, n in starts}) == 1
+    assert starts[0][1] - 1 == starts[1][1] == starts[3][1]
+    assert all(r.n_words >= 20 for r in found)
+
+
+def test_one_path_of_a_very_long_text(spark):
+    """Two texts of 200,000 words that share all but the ends: a single path, found without a step per node."""
+    rng = random.Random(6)
+    long = [f"w{rng.randrange(50000)}" for _ in range(200_000)]
+    rows = [(1, " ".join(["only", "here", *long])), (2, " ".join([*long, "and", "there"]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert deduped(docs) == brute_dedup(rows)
+    found = substring_dedup.repeated_paths(docs).collect()
+    assert len(found) == 2 and all(r.n_words > 199_900 for r in found)
+
+
+def test_columns_of_any_type_pass_through(spark):
+    text = " ".join(f"w{i}" for i in range(50))
+    docs = spark.createDataFrame([(1, text), (2, text + " end"), (3, "short text"), (3, "short text")], "doc_id long, text string").selectExpr(
+        "doc_id", "text", "map('k', doc_id) AS m", "parse_json('{\"a\": 1}') AS v", "named_struct('m', map(1, 'x')) AS s", "array(1.5D) AS l")
+    out = substring_dedup.remove_repeats(docs)
+    assert out.dtypes == docs.dtypes
+    rows = out.selectExpr("doc_id", "text", "m['k'] AS k", "to_json(v) AS v", "s.m[1] AS s", "l[0] AS l").collect()
+    assert sorted(tuple(r) for r in rows) == [(2, "end", 2, '{"a":1}', "x", 1.5)] + [(3, "short text", 3, '{"a":1}', "x", 1.5)] * 2
