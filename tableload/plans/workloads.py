@@ -904,6 +904,31 @@ def stream_merge_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "_load_id", F.regexp_replace("_load_id", "-[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}-", "-"))
 
 
+@workload("stream_merge_newest", f"""
+WITH e AS (SELECT *, CASE event_type WHEN 'view' THEN 0 WHEN 'click' THEN 1 ELSE 2 END AS b FROM events)
+SELECT * EXCLUDE (b), 'newest-00000000000' || b AS _load_id, {_kid("user_id")} AS _row_id FROM e
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, b, event_id DESC) = 1
+""")
+def stream_merge_newest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stateful stream merge (X1 U2 U4): views, then clicks, then all other events arrive, and the stream is
+    started again from its checkpoint for each; state keeps the newest cursor of a user, so events older than
+    those stored, and ties with them, are dropped without a read of the target."""
+    from tableload.contract import TableContract
+    from tableload.session import scratch_path
+    from tableload.sources.dataset import Dataset
+    from tableload.streaming.newest import stream_merge_newest
+    path = scratch_path(spark, "newest-stream")
+    events = read(spark, sf_dir, "events")
+    c = TableContract("events", "merge", ("user_id",), cursor="ts", tie_break=("event_id",))
+    kind = F.col("event_type")
+    for arrived in (kind == "view", kind == "click", ~F.coalesce(kind.isin("view", "click"), F.lit(False))):
+        events.filter(arrived).write.mode("append").parquet(f"{path}/_in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{path}/_in")
+        stream_merge_newest(stream, f"{path}/lake", c, "newest", checkpoint=f"{path}/_checkpoint").awaitTermination()
+    return Dataset(spark, f"{path}/lake").table("events").withColumn(
+        "_load_id", F.regexp_replace("_load_id", "-[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}-", "-"))
+
+
 @workload("labels_partial_update", """
 WITH t AS (SELECT doc_id, lang, source, n_chars, CAST(NULL AS INTEGER) AS quality,
                   CAST(NULL AS INTEGER) AS toxic FROM documents)
