@@ -4,7 +4,7 @@
 all rows of the key before it.  The cursor let through last is kept per key in the state store
 (``transformWithState``), so stale and late rows go without a read of the target.  The rules are those of
 ``dedup_latest`` and ``drop_stale``: NULL cursors are lowest, within a micro-batch ties fall to the tie-break columns and then
-to the row's other values, and a row whose cursor equals the stored one loses.  Rows with a NULL in the key are a key of their own.
+to the row's other values (by their JSON text), and a row whose cursor equals the stored one loses.  Rows with a NULL in the key are a key of their own.
 
 Keys and cursors are compared by their canonical codes, written by Spark.  A key that holds a large share
 of the rows crosses the shuffle once per Arrow batch, as every batch passes on its newest row of a key.  The state
@@ -80,8 +80,9 @@ def newest_rows(stream: DataFrame, primary_key: Sequence[str], cursor: str, tie_
     ``known`` (a batch table with the key and the cursor) fills the state of a new checkpoint."""
     columns = stream.columns
     rest = [c for c in columns if c not in (*primary_key, cursor, *tie_break)]
+    others = F.to_json(F.struct(*["`" + c.replace("`", "``") + "`" for c in rest])) if rest else F.lit("")
     coded = stream.withColumns({KEY: _code(stream, list(primary_key)), CURSOR: _code(stream, [cursor]),
-                                ORDER: _code(stream, [cursor, *tie_break, *rest])})
+                                ORDER: F.concat(_code(stream, [cursor, *tie_break]), others)})
     first = coded.mapInArrow(_newest_of_batches, coded.schema)
     state = None
     if known is not None:

@@ -46,7 +46,7 @@ def test_late_stale_tied_and_repeated_rows_over_restarts(spark, tmp_path):
                  rng.choice([None, Decimal("-1.50"), Decimal("10.00"), Decimal("9.25")]), rng.choice([None, "", "a", "b"]))
                 for _ in range(200)] for _ in range(3)]
     batches[1] += batches[0]  # replayed by the source
-    ds = run(spark, tmp_path, batches, TableContract("t", "merge", ("id",), cursor="cur"))
+    ds = run(spark, tmp_path, batches, TableContract("t", "merge", ("id",), cursor="cur", tie_break=("n", "price", "v")))
     got = Counter((r.id, r.cur, r.n, r.price, r.v) for r in ds.table("t").collect())
     assert got == folded(batches)
     assert ds.loads().count() == 3
