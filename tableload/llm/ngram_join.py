@@ -9,7 +9,8 @@ of its grams in any partner.
    space (somewhat more than a partner may lack, by set size) are counted for all documents;
    a class with more than n - T single ones has no partner and is done.  Few classes besides
    true relatives remain.
-3. The remaining sets are written once.  Each class posts the n - T + 1 first grams of a
+3. The remaining sets are written once, in buckets of their key, so that no search shuffles
+   them by key again.  Each class posts the n - T + 1 first grams of a
    global order (grams below a fraction by frequency, then the others): two linked sets share a
    posted gram.  Each inverted list links its classes to its least class, and the
    components of these links are *families*: no link leaves a family.
@@ -34,6 +35,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -128,6 +130,17 @@ def _sets(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatc
     return run
 
 
+def _by_key(sets: DataFrame, path: str) -> DataFrame:
+    """``sets`` written to ``path`` in buckets of ``key``, and read back: joins on the key deal the other side only.
+    Its table leaves the session's catalog at once; the files stay."""
+    spark, table = sets.sparkSession, f"ngram_sets_{uuid.uuid4().hex[:12]}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sets.repartition(n, "key").write.format("parquet").bucketBy(n, "key").option("path", path).saveAsTable(table)
+    out = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return out
+
+
 class Search:
     """T-occurrence search in one group of sets, with the components found so far."""
 
@@ -283,9 +296,7 @@ def _family_components(members: DataFrame, sets: DataFrame, percent: int, chunk_
     if wide.isEmpty():
         return comps
     # only the sets of families in several chunks are read again, from a table of their own
-    again = f"{folder}/wide"
-    sets.select("key", "grams").join(wide.select("key"), "key", "left_semi").write.parquet(again)
-    grams = sets.sparkSession.read.parquet(again)
+    grams = _by_key(sets.select("key", "grams").join(wide.select("key"), "key", "left_semi"), f"{folder}/wide")
 
     def renamed(links: DataFrame) -> DataFrame:
         """Components after the links (u, v), v the root of u, were applied."""
@@ -306,7 +317,8 @@ def _family_components(members: DataFrame, sets: DataFrame, percent: int, chunk_
     facing = _facing(held.join(open_fams, "fam").checkpoint(), loads).checkpoint()
     if facing.isEmpty():
         return comps
-    roots = connected_components(search(facing, grams, "fam", "a", "b"))
+    # the components read their links more than once
+    roots = connected_components(search(facing, grams, "fam", "a", "b").checkpoint())
     return renamed(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))
 
 
@@ -338,11 +350,9 @@ def ngram_join(docs: DataFrame, k: int = GRAM, percent: int = PERCENT, spread: f
     # texts of the remaining classes' representatives
     texts = base.join(open_classes.select("key", F.col("rep.id").alias("id"), F.col("rep.th").alias("th")), ["id", "th"]) \
         .select("key", "text")
-    texts.mapInArrow(_sets(k), "key long, n long, grams array<long>").write.parquet(f"{folder}/sets")
-    sets = spark.read.parquet(f"{folder}/sets")
+    sets = _by_key(texts.mapInArrow(_sets(k), "key long, n long, grams array<long>"), f"{folder}/sets")
     if sets.count() > open_classes.count():  # equal rows of one id gave a class several times
-        sets.dropDuplicates(["key"]).write.parquet(f"{folder}/sets-once")
-        sets = spark.read.parquet(f"{folder}/sets-once")
+        sets = _by_key(sets.dropDuplicates(["key"]), f"{folder}/sets-once")
 
     # posted grams: the first of an order by frequency among the remaining sets, for the
     # grams below a fraction, and then the others in hash order

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tableload.llm import ngram_join, substring_dedup
 from tableload.llm.components import connected_components
 from tests.conftest import SF
+from tests.test_bucketed import above
 from tests.llm.helpers import no_documents, odd_documents, odd_rows
 
 
@@ -93,6 +94,34 @@ def test_join_of_families_of_many_sizes(spark, chunk_grams):
     assert got == brute_components(rows) and 1 < len({c for _, _, c in got}) < 60
 
 
+def test_sets_are_not_shuffled_by_key_again_and_facing_chunks_are_searched_once(spark, monkeypatch):
+    """The plans of all checkpoints: sets reach the grouping of a search from their buckets."""
+    plans = []
+    kind = type(spark.range(1))
+    checkpoint = kind.checkpoint
+
+    def noted(df, *args, **options):
+        plans.append(df._jdf.queryExecution().executedPlan().toString().split("\n"))  # noqa: SLF001
+        return checkpoint(df, *args, **options)
+
+    monkeypatch.setattr(kind, "checkpoint", noted)
+    rows = near_copies(3, 6, 25, 3)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert joined(docs, chunk_grams=700) == brute_components(rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    searches = [p for p in plans if any("FlatMapGroupsInArrow" in x for x in p)]
+    assert searches and sum(any("FlatMapGroupsInArrow [fam" in x and "a#" in x and "b#" in x for x in p) for p in searches) <= 1
+    for p in searches:
+        for i in (i for i, x in enumerate(p) if "FileScan" in x and "grams" in x):
+            first = next(x for x in above(p, i) if "Exchange" in x or "SortMergeJoin" in x)
+            assert "Bucketed: true" in p[i] and "SortMergeJoin" in first
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("ngram_sets")]
+
+
 def test_size_levels_hold_partners_side_by_side(spark):
     sizes = spark.range(1, 30000).select(F.col("id").alias("n"))
     for percent in (50, 80, 90, 99):
