@@ -283,10 +283,13 @@ def upsert_folded(target: DataFrame, folded: DataFrame, primary_key: Sequence[st
 
 
 # --------------------------------------------------------------------------- U8
-def drop_orphans(children: DataFrame, roots: DataFrame, root_key: str = ROOT_ID,
+def drop_orphans(children: DataFrame, roots: DataFrame | None, root_key: str = ROOT_ID,
                  root_row_key: str = ROW_ID) -> DataFrame:
     """Staged child rows whose root is not among the surviving staged roots are
-    discarded.  A semi join, not ``NOT IN`` (whose NULL semantics would empty it)."""
+    discarded.  A semi join, not ``NOT IN`` (whose NULL semantics would empty it).  ``roots`` is None
+    where every staged root survives: a child comes with its root, so none is an orphan."""
+    if roots is None:
+        return children
     keys = roots.select(F.col(root_row_key).alias(root_key))
     return children.join(keys, root_key, "left_semi").select(*children.columns)
 
@@ -296,16 +299,17 @@ def replace_children(
     stored_children: DataFrame,
     staged_children: DataFrame,
     passing_roots: DataFrame,
-    upserted_roots: DataFrame,
+    upserted_roots: DataFrame | None,
     root_key: str = ROOT_ID,
     root_row_key: str = ROW_ID,
 ) -> DataFrame:
     """Children of every passing staged root are replaced by the staged set: stored
     children of those roots go, staged children of upserted roots come in, and
-    other roots' children stay untouched.  Deleted roots lose their children."""
+    other roots' children stay untouched.  Deleted roots lose their children.  ``upserted_roots`` is
+    None where every staged root is upserted, as in ``drop_orphans``."""
     gone = passing_roots.select(F.col(root_row_key).alias(root_key))
     keep = stored_children.join(gone, root_key, "left_anti")
-    come = staged_children.join(upserted_roots.select(F.col(root_row_key).alias(root_key)), root_key, "left_semi")
+    come = drop_orphans(staged_children, upserted_roots, root_key, root_row_key)
     out_cols = list(stored_children.columns) + [c for c in staged_children.columns if c not in stored_children.columns]
     keep = keep.select(*[F.col(c) if c in stored_children.columns else
                          F.lit(None).cast(staged_children.schema[c].dataType).alias(c) for c in out_cols])
@@ -329,8 +333,14 @@ def merge_root(stored: DataFrame, live: DataFrame, root) -> DataFrame:
                   source_filter=root.source_filter, skip_unchanged=root.skip_unchanged)
 
 
-def merge_child(stored: DataFrame, staged: DataFrame, live: DataFrame, passing: DataFrame, up: DataFrame) -> DataFrame:
-    """New content of a child table: orphans go, children of passing roots are replaced."""
+def keeps_all_roots(root) -> bool:
+    """Whether no staged root of a chain can be stale, filtered out or deleted (its keys are unique)."""
+    return not (root.cursor or root.source_filter or root.hard_delete_column)
+
+
+def merge_child(stored: DataFrame, staged: DataFrame, live: DataFrame | None, passing: DataFrame, up: DataFrame | None) -> DataFrame:
+    """New content of a child table: orphans go, children of passing roots are replaced.  ``live`` and ``up``
+    are None where all staged roots stay (``keeps_all_roots``): the staged children then cross no join."""
     return replace_children(stored, drop_orphans(staged, live), passing, up)
 
 

@@ -673,8 +673,8 @@ def _merge(ds: Dataset, spark: SparkSession, base: Snapshot, new: Snapshot, root
     # staged root rows: one relation (staged route) or per-file column groups (flat)
     if staged_route:
         s_root = _union(files, 0)
-        # a chain takes one row per key: its write fails otherwise
-        s_root = _latest(s_root, pk, root) if len(chain) + len(extra) == 1 else M.unique_keys(s_root, pk)
+        # a chain takes one row per key: the guard's job fails otherwise
+        s_root = _latest(s_root, pk, root) if len(chain) + len(extra) == 1 else s_root
         groups = [s_root.drop(*ORDER_COLS)]
     else:
         groups = _column_groups([f[0].frame for f in files])
@@ -684,25 +684,24 @@ def _merge(ds: Dataset, spark: SparkSession, base: Snapshot, new: Snapshot, root
     stored_schema = base.schema_of(root.name)
     touched = _touched(ds, base, root.name, all_keys, pk)
     if stored_schema is not None:
-        t_root = ds.table(root.name, base, files=touched) if touched else spark.createDataFrame([], stored_schema)
+        t_root = ds.table(root.name, base, files=touched) if touched else _empty(spark, stored_schema)
     else:
         t_root = None
     incoming = groups[0].schema
     for g in groups[1:]:
         incoming = evolve(incoming, g.schema)
     schema = evolve(stored_schema, incoming)
-    t_cur = align_to_schema(t_root, schema) if t_root is not None else spark.createDataFrame([], schema)
+    t_cur = align_to_schema(t_root, schema) if t_root is not None else _empty(spark, schema)
     passing = up = live = None
     if staged_route:
+        if len(chain) + len(extra) > 1:
+            _require_unique(root.name, groups[0], pk)
         live = M.drop_stale(groups[0], t_cur, pk, root.cursor) if root.cursor else groups[0]
-        # written once: the upsert, the child replacement and the touched-file search
-        # all read it, instead of re-running dedup and the stale filter per consumer
-        try:
+        # written once where rows were dropped: the upsert, the child replacement and the touched-file
+        # search all read it, instead of re-running dedup and the stale filter per consumer.  All roots of
+        # a chain are on disk already
+        if root.cursor or len(chain) == 1:
             live = _materialize(ds, spark, load_id, root.name, f"live-{base.seq + 1}", live)
-        except Exception as e:
-            if M.DUPLICATE_KEY in str(e):
-                raise DuplicateRootError(f"{root.name}: {M.DUPLICATE_KEY}; a table with children takes one row per key") from None
-            raise
         passing, up = M.surviving_roots(live, root)
         t_cur = M.merge_root(t_cur, live, root)
     elif len(groups) == 1:
@@ -723,14 +722,30 @@ def _merge(ds: Dataset, spark: SparkSession, base: Snapshot, new: Snapshot, root
     for name, parent, s_child in children:
         c_schema = evolve(base.schema_of(name), s_child.schema)
         c_touched = _touched(ds, base, name, passing.select(F.col(ROW_ID).alias(ROOT_ID)), [ROOT_ID])
-        t_child = ds.table(name, base, files=c_touched) if c_touched else spark.createDataFrame([], c_schema)
-        merged = M.merge_child(align_to_schema(t_child, c_schema), align_to_schema(s_child, c_schema), passing, passing, up)
+        t_child = ds.table(name, base, files=c_touched) if c_touched else _empty(spark, c_schema)
+        come = (None, passing, None) if M.keeps_all_roots(root) else (passing, passing, up)
+        merged = M.merge_child(align_to_schema(t_child, c_schema), align_to_schema(s_child, c_schema), *come)
         c_entry = _entry(new, name, c_schema, _child_layout(entry, new.tables.get(name)), parent, None)
         c_seg = write_segment(ds, name, align_to_schema(merged, c_schema), c_entry["layout"], load_id, mrpf)
         _remove_files(ds, c_entry, c_touched)
         c_entry["segments"].append(c_seg)
 
 
+def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, which the optimizer knows: joins with them vanish from the plan, and with them their shuffles."""
+    return spark.createDataFrame([], schema).limit(0)
+
+
+def _require_unique(table: str, roots: DataFrame, pk: list[str]) -> None:
+    """Runs the guard over the keys alone; no row is written or shuffled for it."""
+    try:
+        M.unique_keys(roots.select(*pk), pk).write.format("noop").mode("overwrite").save()
+    except Exception as e:
+        if M.DUPLICATE_KEY in str(e):
+            raise DuplicateRootError(f"{table}: {M.DUPLICATE_KEY}; a table with children takes one row per key") from None
+        raise
+
+
 def _latest(df: DataFrame, pk: list[str], root: TableContract) -> DataFrame:
     """Highest cursor per key; ties (or no cursor) go to the last written row."""
     return M.dedup_latest(df, pk, root.cursor, list(root.tie_break) + list(ORDER_COLS))

@@ -170,3 +170,38 @@ def test_the_key_guard_is_in_the_plan(spark, dataset_path):
     stored = df.select("id").filter("id = 1")  # an anti join on the key does not slip under the guard
     with pytest.raises(PySparkException, match=M.DUPLICATE_KEY):
         M.unique_keys(df, "id").join(stored, "id", "left_anti").collect()
+
+
+def test_chain_without_cursor_joins_only_stored_rows(spark, dataset_path, monkeypatch):
+    """No staged root of it can be dropped: its roots are not written twice, its children cross no join."""
+    from collections import Counter
+
+    from tableload.contract import TableContract
+    from tableload.plans import load as L
+    from tableload.sources.dataset import Dataset
+    plans, written = [], []
+    write, materialize = L.write_segment, L._materialize  # noqa: SLF001
+
+    def noted(ds, table, df, *args, **options):
+        plans.append((table, plan(df)))
+        return write(ds, table, df, *args, **options)
+
+    monkeypatch.setattr(L, "write_segment", noted)
+    monkeypatch.setattr(L, "_materialize", lambda *a: written.append(a) or materialize(*a))
+    rows = spark.range(200).select("id", F.array(F.lit("a"), F.col("id").cast("string")).alias("notes"))
+    again = spark.range(190, 210).select("id", F.array(F.lit("b")).alias("notes"))
+    root = TableContract("t", "merge", ("id",))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        L.load(spark, dataset_path, {"t": rows}, [root], "L1", max_nesting=1)
+        assert [t for t, _ in plans] == ["t", "t__notes"] and not written
+        assert not [p for _, p in plans if "Exchange" in p or "Join" in p]
+        L.load(spark, dataset_path, {"t": again}, [root], "L2", max_nesting=1)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert not written and plans[-1][0] == "t__notes" and plans[-1][1].count("Join") == 1
+    got = Dataset(spark, dataset_path).table("t__notes").join(Dataset(spark, dataset_path).table("t").select(
+        "id", F.col("_row_id").alias("_root_id")), "_root_id")
+    expected = [(i, v) for i in range(190) for v in ("a", str(i))] + [(i, "b") for i in range(190, 210)]
+    assert Counter((r.id, r.value) for r in got.collect()) == Counter(expected)
