@@ -52,12 +52,12 @@ def shared_dir(spark: SparkSession) -> str:
     ``spark.checkpoint.dir`` from the session.  A local master, whose executors are
     this machine, may leave it unset; then the context's checkpoint folder serves, or a
     folder under the system temp dir is made one.  Elsewhere an unset folder is an error."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         master = spark.sparkContext.master
         if master != "local" and not master.startswith("local["):
             raise RuntimeError(f"spark.checkpoint.dir must name a shared folder (master {master})")
-        path = os.path.join(os.environ.get("TMPDIR", "/tmp"), "tableload-checkpoints")
+        path = spark.sparkContext.getCheckpointDir() or os.path.join(os.environ.get("TMPDIR", "/tmp"), "tableload-checkpoints")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
