@@ -9,10 +9,14 @@ of its grams in any partner.
    space (somewhat more than a partner may lack, by set size) are counted for all documents;
    a class with more than n - T single ones has no partner and is done.  Few classes besides
    true relatives remain.
-3. The remaining sets are written once, in buckets of their key, so that no search shuffles
-   them by key again.  Each class posts the n - T + 1 first grams of a
+3. Only texts of the remaining classes' representatives cross an exchange: a bitmap of their
+   row codes, bounded in size, turns the other rows away before it, and the join behind it is
+   exact.  The exchange deals by that code, which names the class from here on; the sets are
+   written from it once, in buckets of the code, so that no search shuffles
+   them by it again.  Each class posts the n - T + 1 first grams of a
    global order (grams below a fraction by frequency, then the others): two linked sets share a
-   posted gram.  Each inverted list links its classes to its least class, and the
+   posted gram.  A gram with a frequency of one takes its place in that order, but links
+   nothing and is not sent.  Each inverted list links its classes to its least class, and the
    components of these links are *families*: no link leaves a family.
 4. A family is searched by T-occurrence: for each set, the lists of its grams are split
    DivideSkip-wise, the short ones heap-merged for candidates found T - L times, the L
@@ -53,6 +57,8 @@ GRAM = 3
 PERCENT = 90
 SPREAD = 1.2             # how far the counted fraction exceeds the least that could suffice
 CHUNK_GRAMS = 1_000_000  # grams of one search group
+MARKS = 1 << 26          # bits of the bitmap at most
+BUCKET = 1 << 15         # bits of one of Spark's bitmaps
 _LOW_BATCH = 2000
 _NO_ID = -(1 << 63)
 _HASHES = WordHash()
@@ -130,12 +136,30 @@ def _sets(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatc
     return run
 
 
+def _marked(rows: DataFrame, codes: DataFrame, n_codes: int, limit: int) -> DataFrame:
+    """``rows`` (with a column ``code``) without nearly all whose code is not in ``codes``: none that is there goes.
+    Every code sets three bits in one bucket of a broadcast bitmap, which has 16 to 32 bits for each of the ``n_codes``
+    codes and ``limit`` bits at most (a bucket at least)."""
+    buckets = max(1, min(limit, 1 << (4 + n_codes.bit_length())) // BUCKET)
+    bucket = F.pmod("code", F.lit(buckets)).alias("bucket")
+    places = [F.pmod(F.xxhash64("code", F.lit(i)), F.lit(BUCKET)).cast("int") for i in range(3)]
+    marks = codes.select(bucket, F.explode(F.array(*places)).alias("at")).groupBy("bucket").agg(
+        F.bitmap_construct_agg(F.col("at").cast("long")).alias("marks"))
+
+    def is_set(at: Column) -> Column:
+        byte = F.conv(F.hex(F.substring("marks", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        return F.getbit(byte, F.pmod(at, F.lit(8))) == 1
+
+    return rows.select("*", bucket).join(F.broadcast(marks), "bucket") \
+        .filter(is_set(places[0]) & is_set(places[1]) & is_set(places[2])).drop("bucket", "marks")
+
+
 def _by_key(sets: DataFrame, path: str) -> DataFrame:
-    """``sets`` written to ``path`` in buckets of ``key``, and read back: joins on the key deal the other side only.
-    Its table leaves the session's catalog at once; the files stay."""
+    """``sets``, dealt by ``key``, written to ``path`` in buckets of it, and read back: joins on the key deal the other
+    side only.  Its table leaves the session's catalog at once; the files stay."""
     spark, table = sets.sparkSession, f"ngram_sets_{uuid.uuid4().hex[:12]}"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sets.repartition(n, "key").write.format("parquet").bucketBy(n, "key").option("path", path).saveAsTable(table)
+    sets.write.format("parquet").bucketBy(n, "key").option("path", path).saveAsTable(table)
     out = spark.table(table)
     spark.sql(f"DROP TABLE {table}")
     return out
@@ -296,7 +320,8 @@ def _family_components(members: DataFrame, sets: DataFrame, percent: int, chunk_
     if wide.isEmpty():
         return comps
     # only the sets of families in several chunks are read again, from a table of their own
-    grams = _by_key(sets.select("key", "grams").join(wide.select("key"), "key", "left_semi"), f"{folder}/wide")
+    several = sets.select("key", "grams").join(wide.select("key"), "key", "left_semi")
+    grams = _by_key(several.repartition(int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key"), f"{folder}/wide")
 
     def renamed(links: DataFrame) -> DataFrame:
         """Components after the links (u, v), v the root of u, were applied."""
@@ -323,7 +348,7 @@ def _family_components(members: DataFrame, sets: DataFrame, percent: int, chunk_
 
 
 def ngram_join(docs: DataFrame, k: int = GRAM, percent: int = PERCENT, spread: float = SPREAD,
-               chunk_grams: int = CHUNK_GRAMS) -> DataFrame:
+               chunk_grams: int = CHUNK_GRAMS, marks: int = MARKS) -> DataFrame:
     """doc_id, n_shingles, component_id of every row, plus ``component_key`` (null
     without words) and ``text_hash``, which tell rows of one id apart."""
     spark = docs.sparkSession
@@ -346,38 +371,40 @@ def ngram_join(docs: DataFrame, k: int = GRAM, percent: int = PERCENT, spread: f
         F.min("key").alias("key"), F.max("key").alias("k2"), F.max(F.col("pos") < F.col("own")).alias("own")) \
         .filter("key = k2 AND own").groupBy("key").agg(F.count("*").alias("single"))
     open_classes = classes.join(single, "key", "left").filter(
-        F.coalesce("single", F.lit(0)) <= F.col("n") - F.floor((percent * F.col("n") + 99) / 100)).checkpoint()
-    # texts of the remaining classes' representatives
-    texts = base.join(open_classes.select("key", F.col("rep.id").alias("id"), F.col("rep.th").alias("th")), ["id", "th"]) \
-        .select("key", "text")
+        F.coalesce("single", F.lit(0)) <= F.col("n") - F.floor((percent * F.col("n") + 99) / 100)) \
+        .select("key", "whole", "least", F.xxhash64("rep.id", "rep.th").alias("code")).checkpoint()
+    # texts of the remaining classes' representatives; equal rows of one id are one
+    codes = open_classes.select("code")
+    texts = _marked(base.select(F.xxhash64("id", "th").alias("code"), "text"), codes, codes.count(), marks) \
+        .groupBy("code").agg(F.first("text").alias("text")).join(codes, "code")
     sets = _by_key(texts.mapInArrow(_sets(k), "key long, n long, grams array<long>"), f"{folder}/sets")
-    if sets.count() > open_classes.count():  # equal rows of one id gave a class several times
-        sets = _by_key(sets.dropDuplicates(["key"]), f"{folder}/sets-once")
 
     # posted grams: the first of an order by frequency among the remaining sets, for the
     # grams below a fraction, and then the others in hash order
     fraction = min(1.0, 2 * (100 - percent) / 100)
     limit = int(fraction * 2**64)
     low = _is_low(F.col("gram"), limit)
-    frequency = sets.select(F.explode("grams").alias("gram")).filter(low).groupBy("gram").agg(F.count("*").alias("df"))
-    first = sets.select("key", F.explode("grams").alias("gram")).filter(low).join(frequency, "gram")
-    posted_low = first.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("low"))
+    # a gram is in a set once, so a window holds a row of two numbers for each class at most
+    same = Window.partitionBy("gram")
+    first = sets.select("key", F.explode("grams").alias("gram")).filter(low)
+    posted_low = first.withColumn("df", F.count("*").over(same)).filter("df > 1").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("low"))
     prefix = (F.col("n") - F.floor((percent * F.col("n") + 99) / 100) + 1).cast("int")
-    others = sets.select("key", prefix.alias("p"), F.slice(F.filter("grams", lambda g: ~_is_low(g, limit)), F.lit(1), prefix).alias("rest"))
-    posted = others.join(posted_low, "key", "left").select("key", F.explode(F.slice(F.concat(
-        F.coalesce(F.transform("low", lambda x: x["gram"]), F.array().cast("array<long>")), "rest"), F.lit(1), F.col("p"))).alias("gram")) \
-        .checkpoint()
-    heads = posted.groupBy("gram").agg(F.min("key").alias("head"), F.max("key").alias("tail")).filter("head <> tail")
-    edges = posted.join(heads.select("gram", "head"), "gram").select(F.col("key").alias("u"), F.col("head").alias("v")) \
-        .filter("u <> v").dropDuplicates()
+    others = sets.select("key", prefix.alias("p"), F.size(F.filter("grams", lambda g: _is_low(g, limit))).alias("n_low"),
+                         F.slice(F.filter("grams", lambda g: ~_is_low(g, limit)), F.lit(1), prefix).alias("rest"))
+    shared = F.coalesce(F.transform("low", lambda x: x["gram"]), F.array().cast("array<long>"))
+    posted = others.join(posted_low, "key", "left").select(
+        "key", F.greatest(F.lit(0), F.col("p") - F.col("n_low") + F.size(shared)).alias("p"), F.concat(shared, "rest").alias("grams")) \
+        .select("key", F.explode(F.slice("grams", F.lit(1), F.col("p"))).alias("gram")).checkpoint()
+    edges = posted.select(F.col("key").alias("u"), F.min("key").over(same).alias("v")).filter("u <> v").dropDuplicates()
     families = connected_components(edges).select(F.col("node").alias("key"), F.col("root").alias("fam"))
     members = sets.select("key", "n").join(families, "key")
     comps = _family_components(members, sets, percent, chunk_grams, folder)
 
-    least = comps.join(classes.select("key", "least"), "key").groupBy("comp").agg(F.min("least").alias("component"))
-    reached = comps.join(least, "comp").select("key", "comp", "component")
-    named = classes.join(reached, "key", "left").select(
-        "key", "whole", F.coalesce("comp", "key").alias("component_key"), F.coalesce("component", "least").alias("component"))
+    met = comps.withColumnRenamed("key", "code").join(open_classes, "code")
+    roots = met.groupBy("comp").agg(F.min("key").alias("component_key"), F.min("least").alias("component"))
+    reached = met.join(roots, "comp").select("key", "whole", "component_key", "component")
+    named = classes.join(reached, ["key", "whole"], "left").select(
+        "key", "whole", F.coalesce("component_key", "key").alias("component_key"), F.coalesce("component", "least").alias("component"))
     own = F.when(F.col("id") != _NO_ID, F.col("id"))
     return light.join(named, ["key", "whole"], "left").select(
         own.alias("doc_id"), F.col("n").alias("n_shingles"),

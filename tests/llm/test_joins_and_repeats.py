@@ -122,6 +122,47 @@ def test_sets_are_not_shuffled_by_key_again_and_facing_chunks_are_searched_once(
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("ngram_sets")]
 
 
+def test_only_texts_of_remaining_classes_cross_an_exchange_and_once(spark, monkeypatch, tmp_path):
+    """The plan of the sets' table: the bitmap is the first that a text meets, and nothing deals the sets behind it."""
+    plans = []
+    writer = type(spark.range(1).write)
+    save = writer.saveAsTable
+
+    def noted(out, *args, **options):
+        plans.append(out._df._jdf.queryExecution().executedPlan().toString().split("\n"))  # noqa: SLF001
+        return save(out, *args, **options)
+
+    monkeypatch.setattr(writer, "saveAsTable", noted)
+    rows = near_copies(3, 4, 5, 3) + [(100 + i, " ".join(f"u{i}_{j}" for j in range(80))) for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    assert joined(spark.read.parquet(f"{tmp_path}/docs")) == brute_components(rows)
+    plan = plans[0]
+    (at,) = [i for i, x in enumerate(plan) if "FileScan" in x and "text" in x]
+    over = [x for x in above(plan, at) if "Exchange" in x or "Join" in x or "MapInArrow" in x]
+    assert "BroadcastHashJoin" in over[0] and [("Exchange" in x) for x in over].count(True) == 1
+    assert "MapInArrow" in over[-1]
+
+
+def test_bitmap_keeps_every_code_and_few_others(spark):
+    rows = spark.range(-2000, 2000).select(F.xxhash64("id").alias("code"), "id").union(
+        spark.createDataFrame([(c, None) for c in (0, -1, 2**63 - 1, -(2**63))], "code long, id long"))
+    codes = rows.filter("id IS NULL OR id % 40 = 0").select("code")
+    for limit, most in ((16, 200), (ngram_join.MARKS, 200)):  # 104 codes; one bucket at least
+        kept = ngram_join._marked(rows, codes, codes.count(), limit)
+        assert kept.columns == ["code", "id"] and kept.join(codes, "code").count() == codes.count()
+        assert kept.count() == kept.distinct().count() <= most
+    assert ngram_join._marked(rows, codes.limit(0), 0, ngram_join.MARKS).count() == 0
+
+
+@pytest.mark.parametrize("bucket", [8, 64])
+def test_join_with_repeated_rows_and_a_full_bitmap(spark, monkeypatch, bucket):
+    monkeypatch.setattr(ngram_join, "BUCKET", bucket)
+    rows = near_copies(5, 4, 8, 3)
+    rows += rows[:10] * 3 + [(None, t) for _, t in rows[5:9] * 2] + [(7, None), (7, None), (None, "a b c d"), (None, "a b c d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert joined(docs, marks=bucket, chunk_grams=900) == brute_components(rows)
+
+
 def test_size_levels_hold_partners_side_by_side(spark):
     sizes = spark.range(1, 30000).select(F.col("id").alias("n"))
     for percent in (50, 80, 90, 99):
