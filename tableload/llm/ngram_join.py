@@ -282,9 +282,17 @@ def _dealt(members: DataFrame, loads: DataFrame, percent: int) -> DataFrame:
     return placed.withColumn("chunk", F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int")).drop("size_level", "chunks")
 
 
-def _facing(held: DataFrame, loads: DataFrame) -> DataFrame:
+def _dealt_anew(loads: DataFrame, before: DataFrame) -> DataFrame:
+    """Size levels whose number of chunks has changed: leaders of the others stay with leaders they were searched with."""
+    a, b = loads.alias("a"), before.alias("b")
+    return a.join(b, (F.col("a.fam") == F.col("b.fam")) & (F.col("a.size_level") == F.col("b.size_level"))
+                  & F.col("a.level").eqNullSafe(F.col("b.level")) & (F.col("a.chunks") == F.col("b.chunks")), "left_anti")
+
+
+def _facing(held: DataFrame, loads: DataFrame, percent: int) -> DataFrame:
     """Members (key, n, comp, fam, level, chunk) once for every chunk they have to meet: the others of their level
-    and those of the neighbouring levels, unless such a chunk is wholly of the member's component."""
+    and those of the neighbouring levels, unless such a chunk is wholly of the member's component or has
+    no set of a size that can be linked with the member's."""
     per_level = loads.filter("level IS NOT NULL").select("fam", "level", "chunks")
     beside = per_level
     for name, step in (("above", 1), ("below", -1)):
@@ -300,8 +308,10 @@ def _facing(held: DataFrame, loads: DataFrame) -> DataFrame:
     own = F.struct("level", "chunk")
     pairs = held.join(beside, ["fam", "level"]).select(
         "key", "n", "comp", "fam", own.alias("own"), F.explode(F.concat(*met)).alias("other")).filter("own <> other")
-    one = held.groupBy("fam", F.struct("level", "chunk").alias("other")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    return pairs.join(one, ["fam", "other"]).filter("NOT (lo = hi AND lo = comp)").select(
+    one = held.groupBy("fam", F.struct("level", "chunk").alias("other")).agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("n").alias("least"), F.max("n").alias("most"))
+    fits = (percent * F.col("least") <= 100 * F.col("n")) & (percent * F.col("n") <= 100 * F.col("most"))
+    return pairs.join(one, ["fam", "other"]).filter("NOT (lo = hi AND lo = comp)").filter(fits).select(
         "key", "n", "comp", "fam", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"))
 
 
@@ -328,18 +338,20 @@ def _family_components(members: DataFrame, sets: DataFrame, percent: int, chunk_
         to = links.select(F.col("u").alias("comp"), F.col("v").alias("root"))
         return comps.join(to, "comp", "left").select("key", F.coalesce("root", "comp").alias("comp")).checkpoint()
 
-    before = None
+    before, dealt_by = None, loads
     while True:  # leaders: one member for each component of a family in several chunks
         leaders = wide.join(comps, "key").filter("key = comp").select("key", "n", "fam", "comp").checkpoint()
         now = leaders.count()
         if now == before:
             break
         before = now
-        comps = renamed(search(_dealt(leaders, _loads(leaders, chunk_grams, percent), percent), grams, "fam", "level", "chunk"))
+        now_by = _loads(leaders, chunk_grams, percent).checkpoint()
+        comps = renamed(search(_dealt(leaders, _dealt_anew(now_by, dealt_by), percent), grams, "fam", "level", "chunk"))
+        dealt_by = now_by
     # families still in several components: chunks of neighbouring sizes face each other
     held = wide.join(comps, "key")
     open_fams = held.groupBy("fam").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).filter("a <> b").select("fam")
-    facing = _facing(held.join(open_fams, "fam").checkpoint(), loads).checkpoint()
+    facing = _facing(held.join(open_fams, "fam").checkpoint(), loads, percent).checkpoint()
     if facing.isEmpty():
         return comps
     # the components read their links more than once

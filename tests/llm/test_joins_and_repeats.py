@@ -163,6 +163,25 @@ def test_join_with_repeated_rows_and_a_full_bitmap(spark, monkeypatch, bucket):
     assert joined(docs, marks=bucket, chunk_grams=900) == brute_components(rows)
 
 
+def test_leaders_are_searched_again_only_where_they_are_dealt_anew(spark):
+    kind = "fam long, size_level int, level int, chunks int"
+    before = spark.createDataFrame([(1, 5, 5, 3), (1, 6, 6, 2), (2, 5, 5, 2), (2, 7, 7, 1), (3, 4, None, 1)], kind)
+    now = spark.createDataFrame([(1, 5, 5, 2), (1, 6, 6, 2), (2, 5, None, 1), (2, 7, None, 1), (3, 4, None, 1)], kind)
+    anew = ngram_join._dealt_anew(now, before)
+    assert sorted((r.fam, r.size_level) for r in anew.collect()) == [(1, 5), (2, 5), (2, 7)] and anew.columns == now.columns
+
+
+def test_chunks_face_only_chunks_with_sets_of_a_fitting_size(spark):
+    """Level 30 holds sizes 24 to 26 here, level 31 those to 28: a set of 24 grams links with at most 26."""
+    held = spark.createDataFrame([(1, 24, 1, 9, 30, 0), (2, 28, 2, 9, 31, 0), (3, 27, 3, 9, 31, 1), (4, 26, 4, 9, 30, 1)],
+                                 "key long, n long, comp long, fam long, level int, chunk int")
+    loads = spark.createDataFrame([(9, 30, 30, 2), (9, 31, 31, 2)], "fam long, size_level int, level int, chunks int")
+    met = {(r.key, *[(x.level, x.chunk) for x in (r.a, r.b)]) for r in ngram_join._facing(held, loads, 90).collect()}
+    low0, low1, high0, high1 = (30, 0), (30, 1), (31, 0), (31, 1)
+    assert met == {(1, low0, low1), (4, low0, low1), (4, low1, high0), (2, low1, high0), (4, low1, high1), (3, low1, high1),
+                   (2, high0, high1), (3, high0, high1)}
+
+
 def test_size_levels_hold_partners_side_by_side(spark):
     sizes = spark.range(1, 30000).select(F.col("id").alias("n"))
     for percent in (50, 80, 90, 99):
