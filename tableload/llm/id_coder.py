@@ -21,230 +21,247 @@ import zlib
 
 import numpy as np
 
-MAGIC = b"IDCM"
+MAGIC = b"IDC2"
 SLOT_BITS = 11
 CONFIDENCE = 7
 RECENT_BITS = 10
 SAFE = 12               # plain bits that still fit a range narrowed by leading bits
 LEAD = 4                # adaptive leading bits below the magnitude
-_U = np.uint64          # low, range and value wrap at 64 bits; 32 settled bits leave at a time
-_WORD, _ALL, _ONE = _U(1 << 32), _U(2**64 - 1), _U(1)
-_32, _12 = _U(32), _U(12)
+TOTAL_BITS = 14         # frequencies of a context add up to this power of two
+_LEAST = 1 << 30        # a range below it lets a word leave; ranges end at 2^62, bit 62 of low is a carry
+_LOW, _WORD = _LEAST - 1, (1 << 32) - 1
 _SQUASH = np.array([min(4095, max(1, round(4096 / (1 + math.exp(-x / 256))))) for x in range(-2047, 2048)], dtype=np.int64)
 _STRETCH = np.array([max(-2047, min(2047, round(256 * math.log((p + 0.5) / (4095.5 - p))))) for p in range(4096)], dtype=np.int64)
-
-
-def _settled(low, width):
-    """Lanes whose upper 32 bits are settled, after cutting ranges that straddle a
-    boundary and have become narrow (the carry-less form of range coding)."""
-    same = (low ^ (low + width)) < _WORD
-    m = np.flatnonzero(same | (width < _WORD))
-    if len(m):
-        under = m[~same[m]]
-        if len(under):
-            width[under] = (~low[under] + _ONE) & (_WORD - _ONE)
-    return m
+# by 8 * right + confidence: what a slot gains, and whether it takes the id instead
+_GAIN = np.array([(s >> 1) - s for s in range(8)] + [min(s + 1, CONFIDENCE) - s for s in range(8)], dtype=np.int32)
+_TAKES = np.array([s <= 1 for s in range(8)] + [False] * 8)
 
 
 class _Writer:
-    def __init__(self, lanes: int, steps: int):
-        self.low = np.zeros(lanes, dtype=_U)
-        self.range = np.full(lanes, _ALL, dtype=_U)
-        self.words = np.zeros((lanes, 3 * steps + 8), dtype="<u4")
-        self.at = np.zeros(lanes, dtype=np.int64)
-
-    def code(self, lanes, cum, freq, unit):
-        """Narrows each lane's range; ``unit`` is range // total."""
-        self.low[lanes] += unit * cum
-        self.range[lanes] = unit * freq
-
-    def settle(self, lanes):
-        """Lets settled words leave; every range is at least 2^32 wide afterwards."""
-        low, width = self.low[lanes], self.range[lanes]
-        while len(m := _settled(low, width)):
-            to = lanes[m]
-            self.words[to, self.at[to]] = low[m] >> _32
-            self.at[to] += 1
-            low[m] <<= _32
-            width[m] <<= _32
-        self.low[lanes], self.range[lanes] = low, width
-
-    def bit(self, lanes, p, hit):
-        unit = self.range[lanes] >> _12
-        p = p.astype(_U)
-        self.code(lanes, np.where(hit, _U(0), p), np.where(hit, p, _U(4096) - p), unit)
+    """``low`` and ``width`` of every lane's range.  Words are kept with their carries,
+    which ``finish`` hands to the words before."""
+
+    def __init__(self, lanes: int, steps: int, classes: int):
+        self.low = np.zeros(lanes, dtype=np.int64)
+        self.width = np.full(lanes, 1 << 62, dtype=np.int64)
+        self.stride = steps * (40 + classes) // 32 + 4  # most bits of an id: 12, twice 14, and plain ones
+        self.words = np.zeros(lanes * self.stride, dtype=np.int64)
+        self.to = np.arange(lanes) * self.stride
+
+    def settle(self, low, width, lanes=None):
+        m = (width < _LEAST).nonzero()[0]
+        if len(m):
+            of = m if lanes is None else lanes[m]
+            to, left = self.to[of], low[m]
+            self.words[to] = left >> 30
+            self.to[of] = to + 1
+            low[m] = (left & _LOW) << 32
+            width[m] <<= 32
+
+    @staticmethod
+    def bit(low, width, p, hit):
+        bound = (width >> 12) * p
+        low += np.where(hit, 0, bound)
+        width[:] = np.where(hit, bound, width - bound)
         return hit
 
-    def symbol(self, lanes, freqs, total, symbols):
-        rows = np.arange(len(lanes))
-        ends = freqs.cumsum(axis=1)
-        freq = freqs[rows, symbols]
-        self.code(lanes, (ends[rows, symbols] - freq).astype(_U), freq.astype(_U), self.range[lanes] // total.astype(_U))
-        return symbols
+    @staticmethod
+    def unit(low, width, bits):
+        return width >> bits
+
+    @staticmethod
+    def count(low, unit):
+        return None
 
-    def plain(self, lanes, bits, values):
-        self.code(lanes, values.astype(_U), np.ones(len(lanes), dtype=_U), self.range[lanes] >> bits.astype(_U))
-        return values
+    @staticmethod
+    def narrow(low, width, unit, start, freq):
+        low += unit * start
+        np.multiply(unit, freq, out=width)
 
     def finish(self) -> list[bytes]:
-        for _ in range(2):
-            self.words[np.arange(len(self.at)), self.at] = self.low >> _32
-            self.at += 1
-            self.low <<= _32
-        return [row[:n].tobytes() for row, n in zip(self.words, self.at.tolist(), strict=True)]
+        self.words[self.to] = self.low >> 30
+        self.words[self.to + 1] = (self.low & _LOW) << 2
+        ends = self.to + 2 - np.arange(len(self.to)) * self.stride
+        words = self.words.reshape(len(ends), self.stride)[:, :int(ends.max())]
+        while (carries := words >> 32).any():
+            words &= _WORD
+            words[:, :-1] += carries[:, 1:]
+        words = words.astype("<u4")
+        return [row[:n].tobytes() for row, n in zip(words, ends.tolist(), strict=True)]
 
 
 class _Reader:
+    """The same ranges; ``low`` holds how far the code lies above the range's start."""
+
     def __init__(self, blocks: list[bytes]):
         lanes, longest = len(blocks), max(map(len, blocks)) // 4
-        self.words = np.zeros((lanes, longest + 2), dtype="<u4")
+        words = np.zeros((lanes, longest + 4), dtype="<u4")
         for i, b in enumerate(blocks):
-            self.words[i, :len(b) // 4] = np.frombuffer(b[:len(b) // 4 * 4], dtype="<u4")
-        self.low = np.zeros(lanes, dtype=_U)
-        self.range = np.full(lanes, _ALL, dtype=_U)
-        self.value = (self.words[:, 0].astype(_U) << _32) | self.words[:, 1]
-        self.at = np.full(lanes, 2, dtype=np.int64)
-
-    def code(self, lanes, cum, freq, unit):
-        self.low[lanes] += unit * cum
-        self.range[lanes] = unit * freq
-
-    def settle(self, lanes):
-        low, width, value = self.low[lanes], self.range[lanes], self.value[lanes]
-        while len(m := _settled(low, width)):
-            to = lanes[m]
-            value[m] = (value[m] << _32) | self.words[to, np.minimum(self.at[to], self.words.shape[1] - 1)]
-            self.at[to] += 1
-            low[m] <<= _32
-            width[m] <<= _32
-        self.low[lanes], self.range[lanes], self.value[lanes] = low, width, value
-
-    def _count(self, lanes, unit, total):
-        return np.minimum((self.value[lanes] - self.low[lanes]) // unit, total - _ONE)
-
-    def bit(self, lanes, p, _hit):
-        unit = self.range[lanes] >> _12
-        p = p.astype(_U)
-        hit = self._count(lanes, unit, _U(4096)) < p
-        self.code(lanes, np.where(hit, _U(0), p), np.where(hit, p, _U(4096) - p), unit)
+            words[i, :len(b) // 4] = np.frombuffer(b[:len(b) // 4 * 4], dtype="<u4")
+        self.low = (words[:, 0].astype(np.int64) << 30) | (words[:, 1] >> 2)
+        self.width = np.full(lanes, 1 << 62, dtype=np.int64)
+        self.words = ((words[:, 1:-1] << 30) | (words[:, 2:] >> 2)).reshape(-1)  # 32 bits a word, 62 bits on
+        self.to = np.arange(lanes) * (longest + 2)
+        self.end = self.to + longest + 1
+
+    def settle(self, low, width, lanes=None):
+        m = (width < _LEAST).nonzero()[0]
+        if len(m):
+            of = m if lanes is None else lanes[m]
+            to = self.to[of]
+            low[m] = (low[m] << 32) | self.words[to]
+            self.to[of] = np.minimum(to + 1, self.end[of])
+            width[m] <<= 32
+
+    @staticmethod
+    def bit(low, width, p, _hit):
+        bound = (width >> 12) * p
+        hit = low < bound
+        low -= np.where(hit, 0, bound)
+        width[:] = np.where(hit, bound, width - bound)
         return hit
 
-    def symbol(self, lanes, freqs, total, _symbols):
-        rows = np.arange(len(lanes))
-        unit = self.range[lanes] // total.astype(_U)
-        count = self._count(lanes, unit, total.astype(_U)).astype(np.int64)
-        ends = freqs.cumsum(axis=1)
-        symbols = (ends <= count[:, None]).sum(axis=1)
-        freq = freqs[rows, symbols]
-        self.code(lanes, (ends[rows, symbols] - freq).astype(_U), freq.astype(_U), unit)
-        return symbols
+    @staticmethod
+    def unit(low, width, bits):
+        unit = width >> bits
+        np.minimum(low, (unit << bits) - 1, out=low)  # only damage lies above
+        return unit
 
-    def plain(self, lanes, bits, _values):
-        unit = self.range[lanes] >> bits.astype(_U)
-        values = self._count(lanes, unit, _ONE << bits.astype(_U))
-        self.code(lanes, values, np.ones(len(lanes), dtype=_U), unit)
-        return values.astype(np.int64)
+    @staticmethod
+    def count(low, unit):
+        return low // unit
 
+    @staticmethod
+    def narrow(low, width, unit, start, freq):
+        low -= unit * start
+        np.multiply(unit, freq, out=width)
 
-class _Frequencies:
-    """Adaptive counts of ``symbols`` symbols in ``contexts`` contexts of each lane."""
 
-    STEP, LIMIT = 24, 6000
+class _Frequencies:
+    """Adaptive cumulative frequencies of ``symbols`` symbols in ``contexts`` contexts of each lane."""
 
     def __init__(self, lanes: int, contexts: int, symbols: int):
-        self.counts = np.ones((lanes * contexts, symbols), dtype=np.int32)
-        self.total = np.full(lanes * contexts, symbols, dtype=np.int64)
-
-    def code(self, coder, lanes, row, symbols):
-        freqs = self.counts[row]
-        symbols = coder.symbol(lanes, freqs, self.total[row], symbols)
-        self.counts[row, symbols] += self.STEP
-        self.total[row] += self.STEP
-        full = row[self.total[row] > self.LIMIT]
-        if len(full):
-            self.counts[full] = (self.counts[full] >> 1) | 1
-            self.total[full] = self.counts[full].sum(axis=1)
+        symbols = max(2, symbols)
+        self.columns = -(-symbols // 8) * 8  # so that a row of comparisons is whole 64-bit words
+        total, place = 1 << TOTAL_BITS, np.arange(self.columns)
+        row = np.where(place < symbols, place * total // symbols, total)
+        self.starts = np.tile(row.astype(np.int16), (lanes * contexts, 1))
+        # where the starts move when a symbol comes: all room to it, save a little for each other one
+        least = total // symbols // 64
+        after = place[None, :] > np.arange(symbols)[:, None]
+        toward = np.where(after, total - (symbols - place) * least, place * least)
+        self.toward = np.where(place < symbols, toward, total).astype(np.int16)
+        self.rows = np.zeros((lanes + 1, self.columns), dtype=np.int16)
+        self.first = np.arange(lanes) * self.columns
+        self.item = f"V{2 * self.columns}"  # a row as one item: moved at once
+
+    def code(self, coder, low, width, row, symbols, rate):
+        m = len(row)
+        rows = self.rows[:m]
+        self.starts.take(row, axis=0, out=rows, mode="clip")
+        unit = coder.unit(low, width, TOTAL_BITS)
+        count = coder.count(low, unit)
+        if count is not None:
+            under = np.bitwise_count((rows <= count.astype(np.int16)[:, None]).view(np.uint64))
+            symbols = sum(under.T[1:], under.T[0]).astype(np.int64) - 1
+        at = self.first[:m] + symbols
+        flat = self.rows.reshape(-1)
+        start = flat.take(at)
+        freq = (flat.take(at + 1) - start) & ((1 << TOTAL_BITS) - 1)  # behind the last symbol comes a 0 or the total
+        coder.narrow(low, width, unit, start, freq)
+        step = self.toward.take(symbols, axis=0)
+        step -= rows
+        step >>= rate
+        rows += step
+        self.starts.view(self.item)[row] = rows.view(self.item)
         return symbols
 
 
-class _Order:
-    """Slots of predicted ids with confidences, for contexts of one length."""
-
-    def __init__(self, lanes: int):
-        self.slots = np.zeros(lanes << SLOT_BITS, dtype=np.int64)  # id << 3 | confidence
-
-    def look(self, at):
-        held = self.slots[at]
-        return held >> 3, held & 7
-
-    def learn(self, at, candidate, sure, x):
-        right = candidate == x
-        kept = (candidate << 3) | np.where(right, np.minimum(sure + 1, CONFIDENCE), sure >> 1)
-        self.slots[at] = np.where(~right & (sure <= 1), (x << 3) | 1, kept)
-
-
 def _magnitude(v: np.ndarray) -> np.ndarray:
     """Index of the highest set bit of positive numbers below 2^33."""
     return np.frexp(v.astype(np.float64))[1].astype(np.int64) - 1
 
 
-def _run(coder, lengths: np.ndarray, classes: int, ids: np.ndarray | None) -> np.ndarray:
-    """Codes (or, without ``ids``, decodes) all lanes; lengths do not increase."""
-    lanes, steps = len(lengths), int(lengths.max(initial=0))
-    out = np.zeros((lanes, steps), dtype=np.int64)
-    two, one = _Order(lanes), _Order(lanes)
+def _run(coder, lengths: np.ndarray, classes: int, ids: np.ndarray, coded: bool) -> None:
+    """Codes ``ids``, a row per step, or decodes into them; lengths do not increase."""
+    lanes, steps = len(lengths), len(ids)
+    kind = np.int32 if classes <= 28 else np.int64
+    slots = np.zeros(2 * lanes << SLOT_BITS, dtype=kind)  # id << 3 | confidence; order 2, then order 1
     recent = np.zeros(lanes << RECENT_BITS, dtype=np.int8)
     magnitude, lead = _Frequencies(lanes, 1, classes), _Frequencies(lanes, classes, 1 << LEAD)
     adapt = np.full(3 * lanes * 16, 1 << 14, dtype=np.int64)  # order 2, order 1, order 0
     weights = np.full((3, lanes), 1 << 15, dtype=np.int64)
     offsets = np.arange(lanes) * 16 + np.arange(3)[:, None] * lanes * 16
-    prev1, prev2 = np.zeros(lanes, dtype=np.int64), np.zeros(lanes, dtype=np.int64)
-    every, active = np.arange(lanes), (lengths[None, :] > np.arange(steps)[:, None]).sum(axis=1)
+    every = np.arange(lanes)
+    slot = (np.arange(2)[:, None] * lanes + every) << SLOT_BITS
+    mine = every << RECENT_BITS
+    key, last = np.zeros((2, lanes), dtype=np.uint32), np.zeros(lanes, dtype=np.uint32)
+    active = (lengths[None, :] > np.arange(steps)[:, None]).sum(axis=1)
+    shift = np.uint32(32 - SLOT_BITS)
+    places = np.empty((3, lanes), dtype=np.int64)
+    n = lanes
     for t in range(steps):
-        n = int(active[t])
-        lane = every[:n]
-        a, b = prev1[:n], prev2[:n]
-        slot = (lane << SLOT_BITS)
-        at2 = slot + (((a * 0x2F0B4C47 + b * 0x1E35A7BD + 0x165667B1) & 0xFFFFFFFF) >> (32 - SLOT_BITS))
-        at1 = slot + (((a * 0x2545F491 + 0x3C6EF372) & 0xFFFFFFFF) >> (32 - SLOT_BITS))
-        c2, k2 = two.look(at2)
-        c1, k1 = one.look(at1)
-        guess = np.where(k2 > 0, c2, c1)
-        seen = (lane << RECENT_BITS) + (guess & ((1 << RECENT_BITS) - 1))
-        places = np.stack([k2, k1 + 8 * (c1 == guess), recent[seen]]) + offsets[:, :n]
-        held = adapt[places]
-        inputs = _STRETCH[held >> 4]
-        dot = (weights[:, :n] * inputs).sum(axis=0) >> 16
-        p = _SQUASH[np.clip(dot, -2047, 2047) + 2047]
-        x = None if ids is None else ids[:n, t]
-        hit = coder.bit(lane, p, None if x is None else x == guess)
-        miss = np.flatnonzero(~hit)
-        x = guess.copy() if x is None else x
+        if int(active[t]) < n:
+            n = int(active[t])
+            key, last, slot, weights, offsets = key[:, :n], last[:n], slot[:, :n], weights[:, :n].copy(), offsets[:, :n]
+            mine, places = mine[:n], places[:, :n].copy()
+        rate = 3 if t < 16 else 4 if t < 64 else 5
+        low, width = coder.low[:n], coder.width[:n]
+        coder.settle(low, width)
+        at = (key >> shift) + slot
+        held = slots.take(at)
+        sure, candidates = held & 7, held >> 3
+        guess = np.where(sure[0] > 0, candidates[0], candidates[1]).astype(np.int64)
+        places[0] = sure[0]
+        np.multiply(candidates[1] == guess, 8, out=places[1])
+        places[1] += sure[1]
+        places[2] = recent.take(mine + (guess & ((1 << RECENT_BITS) - 1)))
+        places += offsets
+        chances = adapt.take(places)
+        inputs = _STRETCH.take(chances >> 4)
+        dot = (weights * inputs).sum(axis=0) >> 16
+        p = _SQUASH.take(dot + 2047, mode="clip")
+        x = ids[t, :n].astype(np.int64) if coded else guess
+        hit = coder.bit(low, width, p, x == guess if coded else None)
+        miss = (~hit).nonzero()[0]
         if len(miss):
-            v = x[miss] + 1
-            size = magnitude.code(coder, miss, miss, _magnitude(v))
+            low, width = low[miss], width[miss]
+            v = x[miss] + 1 if coded else None
+            size = magnitude.code(coder, low, width, miss, _magnitude(v) if coded else None, rate)
             rest = np.maximum(size - LEAD, 0)
-            coder.settle(lane)
-            head = lead.code(coder, miss, miss * classes + size, (v - (1 << size)) >> rest)
-            long = np.flatnonzero(rest)
-            if len(long) and int(rest.max()) > SAFE:
-                coder.settle(miss)
-            v = (1 << size) + (head << rest)
-            tail = None if ids is None else (x[miss] + 1) & ((1 << rest) - 1)
-            if len(long):
-                v[long] += coder.plain(miss[long], rest[long], None if tail is None else tail[long])
-            x[miss] = v - 1
-        coder.settle(lane if not len(miss) else miss)
-        error = ((hit.astype(np.int64) << 12) - p) * 6
-        weights[:, :n] += (inputs * error + 0x8000) >> 16
-        adapt[places] = held + (np.where(hit, 65535 - held, -held) >> 4)
-        two.learn(at2, c2, k2, x)
-        one.learn(at1, c1, k1, x)
-        mine = (lane << RECENT_BITS) + (x & ((1 << RECENT_BITS) - 1))
-        recent[mine] = np.minimum(recent[mine] + 1, CONFIDENCE)
-        prev2[:n], prev1[:n] = a, x
-        out[:n, t] = x
-    return out
+            coder.settle(low, width, miss)
+            head = lead.code(coder, low, width, miss * classes + size, (v - (1 << size)) >> rest if coded else None, rate)
+            if classes - 1 - LEAD > SAFE:
+                coder.settle(low, width, miss)
+            unit = coder.unit(low, width, rest)
+            tail = v & ((1 << rest) - 1) if coded else coder.count(low, unit)
+            coder.narrow(low, width, unit, tail, 1)
+            coder.low[miss], coder.width[miss] = low, width
+            if not coded:
+                x[miss] = (1 << size) + (head << rest) + tail - 1
+        if not coded:
+            ids[t, :n] = x
+        error = np.where(hit, 4096 * 6, 0) - p * 6
+        inputs *= error
+        inputs += 0x8000
+        inputs >>= 16
+        weights += inputs
+        gain = np.where(hit, 65535, 0) - chances
+        gain >>= 4
+        chances += gain
+        adapt[places] = chances
+        new = x.astype(kind)
+        seen = sure + ((candidates == new) << 3)
+        held += _GAIN.take(seen)
+        slots[at] = np.where(_TAKES.take(seen), (new << 3) | 1, held)
+        here = mine + (x & ((1 << RECENT_BITS) - 1))
+        recent[here] = np.minimum(recent.take(here) + 1, CONFIDENCE)
+        a = x.astype(np.uint32)
+        last += np.uint32(0x165667B1)
+        np.multiply(a, np.uint32(0x2F0B4C47), out=key[0])
+        key[0] += last
+        np.multiply(a, np.uint32(0x2545F491), out=key[1])
+        np.multiply(a, np.uint32(0x1E35A7BD), out=last)
 
 
 def encode_segment(ids: np.ndarray, block: int) -> bytes:
@@ -258,10 +275,12 @@ def encode_segment(ids: np.ndarray, block: int) -> bytes:
     ids = np.ascontiguousarray(ids, dtype="<u4")
     payloads: list[bytes] = []
     if lanes:
-        matrix = np.zeros((lanes, min(block, n)), dtype=np.int64)
-        matrix.reshape(-1)[:n] = ids
-        writer = _Writer(lanes, matrix.shape[1])
-        _run(writer, lengths, classes, matrix)
+        steps = np.zeros((min(block, n), lanes), dtype=np.uint32)
+        whole = n // block
+        steps[:, :whole] = ids[:whole * block].reshape(whole, -1).T if whole else 0
+        steps[:n - whole * block, whole:] = ids[whole * block:, None]
+        writer = _Writer(lanes, len(steps), classes)
+        _run(writer, lengths, classes, steps, True)
         payloads = writer.finish()
     directory = b"".join(struct.pack("<II", len(p), zlib.crc32(ids[i * block:(i + 1) * block].tobytes()))
                          for i, p in enumerate(payloads))
@@ -282,7 +301,9 @@ def decode_segment(raw: bytes) -> np.ndarray:
         at += size
     lengths = np.full(lanes, block, dtype=np.int64)
     lengths[-1] = n - block * (lanes - 1)
-    out = _run(_Reader(payloads), lengths, classes, None).reshape(-1)[:n].astype("<u4")
+    steps = np.zeros((int(lengths.max()), lanes), dtype=np.uint32)
+    _run(_Reader(payloads), lengths, classes, steps, False)
+    out = steps.T.astype("<u4").reshape(-1)[:n]
     for i, (_, crc) in enumerate(directory):
         if zlib.crc32(out[i * block:(i + 1) * block].tobytes()) != crc:
             raise ValueError(f"block {i} does not match its checksum")

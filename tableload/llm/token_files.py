@@ -33,7 +33,7 @@ from tableload.llm.tokens import encoder
 from tableload.session import scratch_path
 
 END_ID = 1
-SEGMENT_IDS = 3_000_000
+SEGMENT_IDS = 6_000_000
 LANES, LEAST_BLOCK, MOST_BLOCK = 1024, 256, 2048  # blocks are coded side by side
 SEGMENTS = "part int, segment int, n_ids long, doc_ids array<long>, doc_tokens array<long>, payload binary"
 

@@ -1,3 +1,4 @@
+import time
 import zlib
 from collections import defaultdict
 
@@ -140,6 +141,52 @@ def test_blocks_are_independent():
     assert alone[24 + 8:] in whole
 
 
+def test_damage_never_gives_other_ids():
+    rng = np.random.default_rng(5)
+    ids = np.minimum(rng.zipf(1.3, 900), 2**32 - 1).astype("<u4")
+    raw = id_coder.encode_segment(ids, 300)
+    for at in rng.integers(24, len(raw), 40).tolist():
+        damaged = bytearray(raw)
+        damaged[at] ^= int(rng.integers(1, 256))
+        try:
+            assert (id_coder.decode_segment(bytes(damaged)) == ids).all()  # the last bits of a block may be spare
+        except ValueError:
+            pass
+
+
+def test_words_of_the_range_coder_take_carries():
+    low = np.array([(1 << 62) + 5, 7], dtype=np.int64)  # the first lane has overflowed into the words before
+    writer = id_coder._Writer(2, 4, 16)
+    writer.words[:2] = [3, 2**32 - 1]
+    writer.low[:], writer.to[0] = low, 2
+    first, second = (np.frombuffer(x, dtype="<u4").tolist() for x in writer.finish())
+    assert (first, second) == ([4, 0, 0, 20], [0, 28])
+
+
+def least_seconds(run):
+    best = np.inf
+    for _ in range(3):
+        before = time.process_time()
+        run()
+        best = min(best, time.process_time() - before)
+    return best
+
+
+def test_coder_spends_few_vector_operations_an_id():
+    """Both ways together cost less than 1000 lookups of as many lanes a step (about 630; 1470 once)."""
+    rng = np.random.default_rng(4)
+    lanes, steps = 1500, 60
+    ids = np.minimum(rng.zipf(1.2, lanes * steps), 49_000).astype("<u4")
+    table, at = rng.integers(0, 9, 1 << 16), rng.integers(0, 1 << 16, lanes)
+
+    def lookups():
+        for _ in range(steps * 100):
+            table.take(at)
+
+    both = least_seconds(lambda: id_coder.decode_segment(id_coder.encode_segment(ids, steps)))
+    assert both < 10 * least_seconds(lookups)
+
+
 def test_token_files_read_back(spark, monkeypatch):
     monkeypatch.setattr(token_files, "SEGMENT_IDS", 2000)
     docs = odd_documents(spark)
