@@ -44,17 +44,17 @@ class _Writer:
     def __init__(self, lanes: int, steps: int, classes: int):
         self.low = np.zeros(lanes, dtype=np.int64)
         self.width = np.full(lanes, 1 << 62, dtype=np.int64)
-        self.stride = steps * (40 + classes) // 32 + 4  # most bits of an id: 12, twice 14, and plain ones
-        self.words = np.zeros(lanes * self.stride, dtype=np.int64)
-        self.to = np.arange(lanes) * self.stride
+        # a row per word, as lanes advance about together; most bits of an id: 12, twice 14, and plain ones
+        self.words = np.zeros((steps * (40 + classes) // 32 + 4, lanes), dtype=np.int64)
+        self.flat, self.to = self.words.reshape(-1), np.arange(lanes)
 
     def settle(self, low, width, lanes=None):
         m = (width < _LEAST).nonzero()[0]
         if len(m):
             of = m if lanes is None else lanes[m]
             to, left = self.to[of], low[m]
-            self.words[to] = left >> 30
-            self.to[of] = to + 1
+            self.flat[to] = left >> 30
+            self.to[of] = to + len(self.to)
             low[m] = (left & _LOW) << 32
             width[m] <<= 32
 
@@ -79,14 +79,15 @@ class _Writer:
         np.multiply(unit, freq, out=width)
 
     def finish(self) -> list[bytes]:
-        self.words[self.to] = self.low >> 30
-        self.words[self.to + 1] = (self.low & _LOW) << 2
-        ends = self.to + 2 - np.arange(len(self.to)) * self.stride
-        words = self.words.reshape(len(ends), self.stride)[:, :int(ends.max())]
+        lanes = len(self.to)
+        self.flat[self.to] = self.low >> 30
+        self.flat[self.to + lanes] = (self.low & _LOW) << 2
+        ends = self.to // lanes + 2
+        words = self.words[:int(ends.max())]
         while (carries := words >> 32).any():
             words &= _WORD
-            words[:, :-1] += carries[:, 1:]
-        words = words.astype("<u4")
+            words[:-1] += carries[1:]
+        words = words.T.astype("<u4", order="C")
         return [row[:n].tobytes() for row, n in zip(words, ends.tolist(), strict=True)]
 
 
@@ -100,17 +101,18 @@ class _Reader:
             words[i, :len(b) // 4] = np.frombuffer(b[:len(b) // 4 * 4], dtype="<u4")
         self.low = (words[:, 0].astype(np.int64) << 30) | (words[:, 1] >> 2)
         self.width = np.full(lanes, 1 << 62, dtype=np.int64)
-        self.words = ((words[:, 1:-1] << 30) | (words[:, 2:] >> 2)).reshape(-1)  # 32 bits a word, 62 bits on
-        self.to = np.arange(lanes) * (longest + 2)
-        self.end = self.to + longest + 1
+        words = words.T
+        self.flat = ((words[1:-1] << 30) | (words[2:] >> 2)).reshape(-1)  # a row per word: 32 bits, 62 bits on
+        self.to = np.arange(lanes)
+        self.end = self.to + lanes * (longest + 1)
 
     def settle(self, low, width, lanes=None):
         m = (width < _LEAST).nonzero()[0]
         if len(m):
             of = m if lanes is None else lanes[m]
             to = self.to[of]
-            low[m] = (low[m] << 32) | self.words[to]
-            self.to[of] = np.minimum(to + 1, self.end[of])
+            low[m] = (low[m] << 32) | self.flat[to]
+            self.to[of] = np.minimum(to + len(self.to), self.end[of])
             width[m] <<= 32
 
     @staticmethod

@@ -157,8 +157,8 @@ def test_damage_never_gives_other_ids():
 def test_words_of_the_range_coder_take_carries():
     low = np.array([(1 << 62) + 5, 7], dtype=np.int64)  # the first lane has overflowed into the words before
     writer = id_coder._Writer(2, 4, 16)
-    writer.words[:2] = [3, 2**32 - 1]
-    writer.low[:], writer.to[0] = low, 2
+    writer.words[:2, 0] = [3, 2**32 - 1]
+    writer.low[:], writer.to[0] = low, 4
     first, second = (np.frombuffer(x, dtype="<u4").tolist() for x in writer.finish())
     assert (first, second) == ([4, 0, 0, 20], [0, 28])
 
